@@ -8,13 +8,15 @@ Tokens are the 64-bit hashes of a text's distinct word shingles.  Two sets link
    token put there by chance only gets other keys, so the result doesn't depend on it.
 2. *Keys.*  Tokens are ordered rare first, then by hash.  Of the prefix of ``s - ceil(t*s) + 1``
    tokens, each rare token is a key of its own.  If fewer tokens than that are rare, the prefix is
-   extended into the frequent tokens and every two of them that follow each other are a key.  Linked sets differ in at
-   most ``E = (1-t)/t * s`` tokens, so among ``E + 2`` shared frequent tokens some two have no
+   extended into the frequent tokens, and every two of these that follow each other are a key.
+   Linked sets differ in at most ``E = (1-t)/t * s`` tokens, so among ``E + 2`` shared frequent tokens some two have no
    differing token between them and follow each other in both sets; they lie within the first
    ``2E + 2`` frequent tokens of either.  A linked pair thus shares a rare key or a combination.
 3. *Classes.*  Texts with equal sets are one class; only its smallest id carries keys.
-4. *Verification.*  Under every key each class is compared with the key's first class only.  The
-   links found are merged into components; then classes of one key that are still in different
+4. *Verification.*  Every class has a parity sketch: each token flips one of at least 4E bits, so
+   two sets differ in no fewer tokens than their sketches in bits; pairs with too many are out.
+   The others are verified on the whole sets.  Under every key each class is compared with the
+   key's first class only.  The links found are merged into components; then classes of one key that are still in different
    components are compared.  Links inside one component can't change the result, so copies are
    never expanded into all pairs, yet no link between components is lost.
 """
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuegrid.llm.common import (
@@ -42,7 +44,7 @@ from cuegrid.llm.common import (
 from cuegrid.llm.components import connected_components
 
 #: Tokens counted at once by a task, and the count there from which a token is frequent.
-BLOCK_TOKENS, FREQUENT_IN_BLOCK = 4_000_000, 4
+BLOCK_TOKENS, FREQUENT_IN_BLOCK = 4_000_000, 2
 #: Below this many tokens a set keeps single keys for its frequent tokens too.
 SMALL_SET = 32
 
@@ -90,31 +92,56 @@ def _keys(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
+def _sketch(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """Parity of the tokens at each of a power of two of bits, as 64-bit words."""
+    errors = (100 - percent) * len(tokens) // percent
+    bits = max(256, 1 << (4 * errors).bit_length())
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _differing_bits(x: Column, y: Column) -> Column:
+    """Bits in which two sketches differ; the longer one (twice as long at most) is folded."""
+    fold = lambda v, size: F.when(F.size(v) == size, v).otherwise(
+        F.zip_with(F.slice(v, 1, size), F.slice(v, size + 1, size), lambda p, q: p.bitwiseXOR(q))
+    )
+    size = F.least(F.size(x), F.size(y))
+    apart = F.zip_with(fold(x, size), fold(y, size), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(apart, F.lit(0), lambda a, b: a + b)
+
+
 def _keyed(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n, True)
         for batch in batches:
-            sizes, signs, keys = [], [], []
+            sizes, signs, keys, sketches = [], [], [], []
             for text in texts(batch):
                 tokens = shingles.distinct(text)
                 sizes.append(len(tokens))
                 signs.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
                 keys.append(_keys(tokens, shared.value, percent).view(np.int64) if len(tokens) else np.empty(0, np.int64))
-            offsets = np.cumsum([0, *map(len, keys)])
-            flat = np.concatenate([np.empty(0, np.int64), *keys])
+                sketches.append(_sketch(tokens, percent))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(signs, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64())),
+                    _lists(keys),
+                    _lists(sketches),
                 ],
-                ["doc_id", "n_shingles", "sign", "keys"],
+                ["doc_id", "n_shingles", "sign", "keys", "sketch"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(key, "doc_id long, n_shingles long, sign binary, keys array<long>")
+    return docs.select("doc_id", "text").mapInArrow(
+        key, "doc_id long, n_shingles long, sign binary, keys array<long>, sketch array<long>"
+    )
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    flat = np.concatenate([np.empty(0, np.int64), *rows])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), pa.array(flat, pa.int64()))
 
 
 def _sets(docs: DataFrame, n: int, ids: DataFrame) -> DataFrame:
@@ -130,22 +157,24 @@ def _sets(docs: DataFrame, n: int, ids: DataFrame) -> DataFrame:
             for at in range(0, kept.num_rows, 500):
                 part = kept.slice(at, 500)
                 tokens = [shingles.distinct(x).view(np.int64) for x in texts(part)]
-                offsets = np.cumsum([0, *map(len, tokens)])
-                flat = np.concatenate([np.empty(0, np.int64), *tokens])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id").cast(pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64())),
-                    ],
-                    ["id", "tokens"],
-                )
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), _lists(tokens)], ["id", "tokens"])
 
     out = hashed.mapInArrow(collect, "id long, tokens array<long>")
     return out.join(ids, "id", "left_semi").dropDuplicates(["id"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose token sets are similar enough."""
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs (a, b) that sizes and sketches don't rule out, written."""
+    side = lambda c: classes.select(F.col("id").alias(c), F.col("size").alias(f"s{c}"), F.col("sketch").alias(f"k{c}"))
+    smaller = F.least("sa", "sb")
+    fits = smaller * 100 >= F.greatest("sa", "sb") * percent
+    near = _differing_bits(F.col("ka"), F.col("kb")) <= F.floor(smaller * (100 - percent) / percent)
+    return stash(pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(fits).where(near).select("a", "b"))
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole token sets are similar enough."""
+    sets = _sets(docs, n, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb")).cast("long")
@@ -175,13 +204,12 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     classes = stash(
         keyed.where("sign is not null and doc_id is not null")
         .groupBy("sign")
-        .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("id"), *(F.first(c).alias(to) for c, to in (("n_shingles", "size"), ("keys", "keys"), ("sketch", "sketch"))))
     )
-    postings = classes.select("id", "size", F.explode("keys").alias("key"))
+    postings = classes.select("id", F.explode("keys").alias("key"))
     first = postings.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
     shared = stash(postings.join(first.select("key", "hub"), "key"))
-    edges = shared_edges(docs, shared, n, percent)
-    labels = connected_components(edges)
+    labels = connected_components(_edges(docs, classes.select("id", "size", "sketch"), shared, n, percent))
     member = classes.join(labels, "id", "left").select(
         "sign", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id")
     )
@@ -194,26 +222,30 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     )
 
 
-def shared_edges(docs: DataFrame, shared: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) that connect all linked classes of ``shared(key, id, size, hub)``."""
-    ids = stash(shared.select("id").distinct())
-    sets = stash(_sets(docs, n, ids))
-    sizes = shared.select(F.col("id").alias("hub"), F.col("size").alias("hub_size")).dropDuplicates(["hub"])
-    fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
-    stars = shared.where("id <> hub").select(F.col("hub"), F.col("id").alias("b"), "size").distinct()
-    stars = stars.join(sizes, "hub").where(fits(F.col("size"), F.col("hub_size"))).select(F.col("hub").alias("a"), "b")
-    found = stash(_verified(stars, sets, percent))
+def _edges(docs: DataFrame, classes: DataFrame, shared: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect all linked classes of ``shared(key, id, hub)``."""
+    stars = _possible(shared.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")), classes, percent)
+    found = stash(_verified(docs, stars, n, percent))
     labels = connected_components(found)
-    placed = shared.join(labels, "id", "left").select(
-        "key", "id", "size", "hub", F.coalesce("component", "id").alias("part")
+    part = F.coalesce("component", "id")
+    placed = shared.join(labels, "id", "left").select("key", "id", "hub", part.alias("part"))
+    split = placed.where("id <> hub").groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
+    # The hub has been compared with all.  A pair is made at a key only if the keys before it (in
+    # order) differ: that holds for the pair's first shared key, and spares most of its repeats.
+    left = (
+        placed.where("id <> hub")
+        .join(split.select("key"), "key")
+        .join(classes.select("id", "size"), "id")
+        .withColumn("before", F.lag("key").over(Window.partitionBy("id").orderBy("key")))
     )
-    split = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    open_ = stash(placed.join(split.select("key"), "key"))
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.part") != F.col("y.part")) & fits(F.col("x.size"), F.col("y.size")))
-        .where("x.id <> x.hub")  # the hub has been compared with all
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        .distinct()
+    left = stash(left)
+    x, y = left.alias("x"), left.alias("y")
+    apart = (
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.id") < F.col("y.id"))
+        & (F.col("x.part") != F.col("y.part"))
+        & (F.col("x.before").isNull() | ~F.col("x.before").eqNullSafe(F.col("y.before")))
+        & (F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent)
     )
-    return found.union(_verified(rest, sets, percent))
+    rest = _possible(x.join(y, apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), classes, percent)
+    return found if rest.isEmpty() else found.union(_verified(docs, rest, n, percent))

@@ -5,20 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cuegrid.llm.common import read_table
+from cuegrid.llm.decontaminate import find_contamination
 from cuegrid.llm.jaccard_join import ngram_jaccard_join
+from cuegrid.llm.pieces import encode_pieces
+from cuegrid.llm.quality import quality_classifier
+from cuegrid.llm.secrets import scan_secrets
+
+#: Where the public vocabulary files lie; the model's file is a parameter of its operators.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(read_table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(read_table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
-    }
+    return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
