@@ -16,8 +16,8 @@ Tokens are the 64-bit hashes of a text's distinct word shingles.  Two sets link
 4. *Verification.*  Every class has a parity sketch: each token flips one of at least 4E bits, so
    two sets differ in no fewer tokens than their sketches in bits; pairs with too many are out.
    The others are verified on the whole sets.  Under every key each class is compared with the
-   key's first class only.  The links found are merged into components; then classes of one key that are still in different
-   components are compared.  Links inside one component can't change the result, so copies are
+   key's first class only.  The links found are merged into components; then classes of one key
+   that are still in different components are compared.  Links inside one component can't change the result, so copies are
    never expanded into all pairs, yet no link between components is lost.
 """
 
@@ -47,6 +47,8 @@ from cuegrid.llm.components import connected_components
 BLOCK_TOKENS, FREQUENT_IN_BLOCK = 4_000_000, 2
 #: Below this many tokens a set keeps single keys for its frequent tokens too.
 SMALL_SET = 32
+#: Up to so many members, a hub's members are compared key by key; beyond, by their differences from it.
+FEW, USUAL = 24, 32
 
 
 def _frequent(docs: DataFrame, n: int) -> np.ndarray:
@@ -166,10 +168,16 @@ def _sets(docs: DataFrame, n: int, ids: DataFrame) -> DataFrame:
 def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs (a, b) that sizes and sketches don't rule out, written."""
     side = lambda c: classes.select(F.col("id").alias(c), F.col("size").alias(f"s{c}"), F.col("sketch").alias(f"k{c}"))
-    smaller = F.least("sa", "sb")
-    fits = smaller * 100 >= F.greatest("sa", "sb") * percent
-    near = _differing_bits(F.col("ka"), F.col("kb")) <= F.floor(smaller * (100 - percent) / percent)
-    return stash(pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(fits).where(near).select("a", "b"))
+    near = _near("sa", "sb", "ka", "kb", percent)
+    return stash(pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b"))
+
+
+def _near(size_x: str, size_y: str, sketch_x: str, sketch_y: str, percent: int) -> Column:
+    """Whether sizes and sketches allow a link."""
+    smaller = F.least(size_x, size_y)
+    fits = smaller * 100 >= F.greatest(size_x, size_y) * percent
+    most = F.floor(smaller * (100 - percent) / percent)
+    return F.when(fits, _differing_bits(F.col(sketch_x), F.col(sketch_y)) <= most).otherwise(F.lit(False))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -228,16 +236,28 @@ def _edges(docs: DataFrame, classes: DataFrame, shared: DataFrame, n: int, perce
     found = stash(_verified(docs, stars, n, percent))
     labels = connected_components(found)
     part = F.coalesce("component", "id")
-    placed = shared.join(labels, "id", "left").select("key", "id", "hub", part.alias("part"))
-    split = placed.where("id <> hub").groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    # The hub has been compared with all.  A pair is made at a key only if the keys before it (in
-    # order) differ: that holds for the pair's first shared key, and spares most of its repeats.
-    left = (
-        placed.where("id <> hub")
-        .join(split.select("key"), "key")
-        .join(classes.select("id", "size"), "id")
-        .withColumn("before", F.lag("key").over(Window.partitionBy("id").orderBy("key")))
+    placed = stash(shared.where("id <> hub").join(labels, "id", "left").select("key", "id", "hub", part.alias("part")))
+    members = placed.select("hub", "id", "part").distinct()
+    open_ = stash(
+        members.groupBy("hub")
+        .agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+        .where("lo < hi")  # the hub has been compared with all
     )
+    few = _pairs_of_keys(placed.join(open_.where(F.col("n") <= FEW).select("hub"), "hub"), classes, percent)
+    many = _pairs_of_differences(docs, members.join(open_.where(F.col("n") > FEW).select("hub"), "hub"), classes, n, percent)
+    rest = _possible(few.union(many), classes, percent)
+    return found if rest.isEmpty() else found.union(_verified(docs, rest, n, percent))
+
+
+def _pairs_of_keys(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs under one key in different components, for hubs of few members.
+
+    A pair is made at a key only if the keys before it (in order) differ: that holds for the
+    pair's first shared key, and spares most of its repeats.
+    """
+    split = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
+    before = F.lag("key").over(Window.partitionBy("id").orderBy("key"))
+    left = placed.join(split.select("key"), "key").join(classes, "id").withColumn("before", before)
     left = stash(left)
     x, y = left.alias("x"), left.alias("y")
     apart = (
@@ -245,7 +265,53 @@ def _edges(docs: DataFrame, classes: DataFrame, shared: DataFrame, n: int, perce
         & (F.col("x.id") < F.col("y.id"))
         & (F.col("x.part") != F.col("y.part"))
         & (F.col("x.before").isNull() | ~F.col("x.before").eqNullSafe(F.col("y.before")))
-        & (F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent)
+        & _near("x.size", "y.size", "x.sketch", "y.sketch", percent)
     )
-    rest = _possible(x.join(y, apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), classes, percent)
-    return found if rest.isEmpty() else found.union(_verified(docs, rest, n, percent))
+    return x.join(y, apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
+def _pairs_of_differences(docs: DataFrame, members: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs of ``members(hub, id, part)`` of one hub in different components, for hubs of many members.
+
+    Sets are held by their differences D from what most of the hub's members hold, which keeps
+    distances: |A ^ B| = |D(A) ^ D(B)|.  A link is |A ^ B| <= c * (|A| + |B|), c = (1-t)/(1+t).  Two
+    linked members whose differences have nothing in common are both linked to the member r of
+    the least |D| - c * size, so all are paired with r.  Others share a token; before the first one
+    (in any common order) come only tokens in which the two differ, E at most, so it is among the
+    first E + 1 of either.  The order puts last what more than one in USUAL of the members have.
+    """
+    ids = members.select("id").union(members.select("hub")).distinct()
+    sets = stash(_sets(docs, n, ids))
+    rows = members.join(sets, "id").join(sets.select(F.col("id").alias("hub"), F.col("tokens").alias("base")), "hub")
+    differing = F.concat(F.array_except("tokens", "base"), F.array_except("base", "tokens"))
+    rows = stash(rows.select("hub", "id", "part", F.size("tokens").alias("size"), differing.alias("tokens")))
+    counted = rows.select("hub", F.explode("tokens").alias("token")).groupBy("hub", "token").agg(F.count("*").alias("c"))
+    counted = counted.where("c > 1").join(members.groupBy("hub").agg(F.count("*").alias("total")), "hub")
+    # at most 2 and USUAL times a member's differences
+    most = F.col("c") * 2 > F.col("total")
+    usual = F.least("c", F.col("total") - F.col("c")) * USUAL > F.col("total")
+    shifts = counted.where(most | usual).groupBy("hub").agg(
+        F.collect_list(F.when(most, F.col("token"))).alias("most"), F.collect_list(F.when(usual, F.col("token"))).alias("usual")
+    )
+    rows = rows.join(shifts, "hub", "left")
+    none = F.array().cast("array<bigint>")
+    most, usual = F.coalesce("most", none), F.coalesce("usual", none)
+    rows = rows.withColumn("tokens", F.array_sort(F.concat(F.array_except("tokens", most), F.array_except(most, "tokens"))))
+    ordered = F.concat(F.array_except("tokens", usual), F.array_intersect("tokens", usual))
+    reach = F.floor(F.col("size") * (100 - percent) / percent).cast("int") + 1
+    excess = F.size("tokens") * (100 + percent) - F.col("size") * (100 - percent)
+    rows = stash(rows.select("hub", "id", "part", "size", excess.alias("excess"), F.slice(ordered, F.lit(1), reach).alias("first")))
+    centre = rows.groupBy("hub").agg(F.min(F.struct("excess", "id", "part")).alias("r"))
+    spokes = rows.join(centre, "hub").where("id <> r.id and part <> r.part").select(F.col("r.id").alias("a"), F.col("id").alias("b"))
+    rows = rows.select("hub", "id", "part", "size", F.explode("first").alias("token"))
+    split = rows.groupBy("hub", "token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
+    left = stash(rows.join(split.select("hub", "token"), ["hub", "token"]).join(classes.select("id", "sketch"), "id"))
+    x, y = left.alias("x"), left.alias("y")
+    apart = (
+        (F.col("x.hub") == F.col("y.hub"))
+        & (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.id") < F.col("y.id"))
+        & (F.col("x.part") != F.col("y.part"))
+        & _near("x.size", "y.size", "x.sketch", "y.sketch", percent)
+    )
+    return spokes.union(x.join(y, apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
