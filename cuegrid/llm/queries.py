@@ -8,23 +8,69 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cuegrid.llm.common import read_table
 from cuegrid.llm.decontaminate import find_contamination
+from cuegrid.llm.fingerprints import fingerprint_documents
 from cuegrid.llm.jaccard_join import ngram_jaccard_join
+from cuegrid.llm.lattice_lm import score_texts
+from cuegrid.llm.licenses import oracle_sql as license_sql
+from cuegrid.llm.licenses import scan_licenses
+from cuegrid.llm.pii import find_personal_data
 from cuegrid.llm.pieces import encode_pieces
 from cuegrid.llm.quality import quality_classifier
 from cuegrid.llm.secrets import scan_secrets
+from cuegrid.llm.url_filter import filter_urls
 
 #: Where the public vocabulary files lie; the model's file is a parameter of its operators.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+#: Hosts whose pages, and those of their subdomains, are blocked unless a rule says otherwise.
+BLOCKED_HOSTS = [
+    "spam-farm.example.org",
+    "casino-win.example.net",
+    "cheap-pills.example.com",
+    "cheap-pills.example.net",
+    "ads-track.example.com",
+    "adult-x.example.com",
+    "free-bets.example.net",
+]
+#: action, host, path
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame([(h,) for h in BLOCKED_HOSTS], "key string")
+    return filter_urls(read_table(spark, sf_dir, "pages"), listed, URL_RULES)
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(read_table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(read_table(spark, sf_dir, "documents"), PIECE_MODEL)
 
@@ -41,5 +87,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
+def _url_sql() -> str:
+    lower = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    cases = sorted(URL_RULES, key=lambda r: -len(r[1]) - len(r[2]))
+    fits = lambda h, p: f"(host = '{h}' or host like '%.{h}') and starts_with(path, '{p}')"
+    rule = " ".join(f"when {fits(h, p)} then '{h}{p}'" for _, h, p in cases)
+    action = " ".join(f"when {fits(h, p)} then '{a}'" for a, h, p in cases)
+    tails = "list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.'))"
+    return f"""
+    with p as (select page_id, {lower} as host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from pages),
+    k as (select *, case when host <> '' then list_filter({tails}, lambda x: list_contains({BLOCKED_HOSTS}, x))[1] end as listed_key from p)
+    select page_id, host, path, case {rule} end as rule,
+      coalesce(case {action} end, case when listed_key is not null then 'block' else 'allow' end) as verdict, listed_key
+    from k"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can say all of a query; the other queries are tested against brute force."""
+    return {"op1_url_filters": _url_sql(), "op5_license_scans": license_sql()}
