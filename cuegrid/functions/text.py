@@ -96,7 +96,7 @@ def srt_to_vtt(srt: Column) -> Column:
             F.contains(x, F.lit("-->")), F.regexp_replace(x, r"(\d{2}:\d{2}:\d{2}),(\d{3})", "$1.$2")
         ).otherwise(x),
     )
-    return F.concat(F.lit("WEBVTT\n\n"), F.trim(F.array_join(timed, "\n")), F.lit("\n"))
+    return F.concat(F.lit("WEBVTT\n\n"), F.regexp_replace(F.array_join(timed, "\n"), r"^\s+|\s+$", ""), F.lit("\n"))
 
 
 ENTITIES = {

@@ -1,15 +1,607 @@
-"""All registered queries of the library, with their DuckDB equivalents."""
+"""All registered queries of the library, each beside its DuckDB equivalent."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from cuegrid.functions import geometry as g
+from cuegrid.functions import text as tx
+from cuegrid.operators import activity, align, captions, detections, manifests, media_plan, pixels, transcript
+from cuegrid.plans import adapters as ad
+from cuegrid.sources import listing
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_ORACLES: dict[str, str] = {}
+
+
+def register(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
+
+
+def _track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = ad.samples(spark, sf_dir)
+    return activity.normalise(activity.bucket_values(s, ad.media(s), ad.DAY))
+
+
+# Activity -----------------------------------------------------------------------------------------
+
+
+@register(f"with {ad.TRACK} select title_id, bucket, round(value, 6) as value, round(top, 6) as top, level from track")
+def activity_track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _track(spark, sf_dir).select("title_id", "bucket", F.round("value", 6).alias("value"), F.round("top", 6).alias("top"), "level")
+
+
+@register(f"with {ad.TRACK} select title_id, round(avg(case when level < 20 then 1.0 else 0.0 end), 6) as idle from track group by 1")
+def activity_idle_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity.idle_fraction(_track(spark, sf_dir)).withColumn("idle", F.round("idle", 6))
+
+
+@register(
+    f"with {ad.TRACK}, p as (select event_id, user_id as title_id, (event_id % 4000) * 1000000 - 5000000 as position_ms from events) "
+    f"select p.title_id, p.position_ms, t.bucket, t.level from p join track t on t.title_id = p.title_id and "
+    f"t.bucket = least(greatest(floor(p.position_ms / {ad.DAY * 1000}), 0), {ad.DAYS - 1})"
+)
+def activity_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = ad.table(spark, sf_dir, "events")
+    p = e.select(F.col("user_id").alias("title_id"), (F.col("event_id") % 4000 * 1_000_000 - 5_000_000).alias("position_ms"))
+    return activity.level_at(_track(spark, sf_dir), p, ad.DAY * 1000)
+
+
+@register(
+    f"with {ad.TRACK}, c as (select title_id, cast(floor(((bucket + 1) * 12 - 1) / {ad.DAYS}) as int) as col, avg(level) as mean from track group by 1, 2) "
+    "select title_id, col as \"column\", round(mean, 6) as mean, substr(' ▁▂▃▄▅▆▇█', cast(round_even(mean / 100 * 8, 0) as int) + 1, 1) as glyph from c"
+)
+def activity_sparkline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity.sparkline_columns(_track(spark, sf_dir), 12).withColumn("mean", F.round("mean", 6))
+
+
+@register("select event_id, user_id from events where event_id % 5 = 0")
+def frame_stride_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad.table(spark, sf_dir, "events").where("event_id % 5 = 0").select("event_id", "user_id")
+
+
+# Detections ---------------------------------------------------------------------------------------
+
+W, H = ad.FRAME
+_FEATURES = f"""{ad.DETECTIONS},
+n as (select title_id, count(*) as n_frames from frames group by 1),
+b as (select d.title_id, box_no as cluster_id, count(*) as n_boxes, stddev_pop((x1 + x2) / 2) as sx, stddev_pop((y1 + y2) / 2) as sy,
+  median(x2 - x1) as w, avg(d.motion) as bm, avg(f.frame_motion) as fm from detections d join frames f using (title_id, frame_idx) group by 1, 2),
+f0 as (select b.title_id, cluster_id, n_boxes, n_boxes / n_frames as persistence,
+  case when n_boxes > 1 then sqrt(sx * sx + sy * sy) / sqrt({W}.0 * {W} + {H}.0 * {H}) else 0.0 end as centre_std, w / {W} as size_frac,
+  bm / greatest(fm, 0.001) as motion_ratio from b join n using (title_id)),
+f1 as (select *, least(greatest(1 - (centre_std - 0.01) / 0.05, 0), 1) as stability, least(greatest(1 - size_frac / 0.45, 0), 1) as size_score,
+  coalesce(least(greatest(motion_ratio / 3, 0), 1), 0) as motion_score from f0),
+features as (select *, 0.4 * motion_score + 0.25 * persistence + 0.25 * stability + 0.1 * size_score as score,
+  least(greatest(0.4 * persistence + 0.3 * stability + 0.3 * motion_score, 0), 1) as confidence,
+  persistence >= 0.5 and size_frac <= 0.45 as eligible from f1)"""
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = ad.detections(spark, sf_dir)
+    clustered = d.drop("frame_motion").withColumn("cluster_id", F.col("box_no"))
+    return detections.cluster_features(clustered, ad.frames(d), W, H)
+
+
+_NUMBERS = ("persistence", "centre_std", "size_frac", "motion_ratio", "stability", "motion_score", "score", "confidence")
+
+
+@register(f"with {_FEATURES} select title_id, cluster_id, n_boxes, {', '.join(f'round({c}, 6) as {c}' for c in _NUMBERS)}, eligible from features")
+def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _features(spark, sf_dir)
+    return f.select("title_id", "cluster_id", "n_boxes", *(F.round(c, 6).alias(c) for c in _NUMBERS), "eligible")
+
+
+@register(
+    f"with {_FEATURES} select title_id, case when eligible then cluster_id end as cluster_id, case when eligible then round(confidence, 6) end as confidence, "
+    "case when not eligible then 'no eligible person' end as error from (select *, row_number() over (partition by title_id "
+    "order by eligible desc, round(score, 9) desc, cluster_id) as rank from features) where rank = 1"
+)
+def signer_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _features(spark, sf_dir).withColumn("score", F.round("score", 9))
+    return detections.choose_signer(f).withColumn("confidence", F.round("confidence", 6))
+
+
+_RECT = f"""{ad.DETECTIONS},
+e as (select title_id, quantile_cont(x1, 0.05) as x1, quantile_cont(y1, 0.05) as y1, quantile_cont(x2, 0.95) as x2, quantile_cont(y2, 0.95) as y2 from detections group by 1),
+p as (select title_id, cast(floor(x1 - greatest(x2 - x1, 1) * 0.08) as int) as xa, cast(floor(y1 - greatest(y2 - y1, 1) * 0.08) as int) as ya,
+  least({W}, cast(ceil(x2 + greatest(x2 - x1, 1) * 0.08) as int)) as xb, least({H}, cast(ceil(y2 + greatest(y2 - y1, 1) * 0.08) as int)) as yb from e),
+q as (select title_id, greatest(xa - ((xa % 2) + 2) % 2, 0) as x, greatest(ya - ((ya % 2) + 2) % 2, 0) as y, xb, yb from p),
+s as (select title_id, x, y, greatest((xb - x) - (((xb - x) % 2) + 2) % 2, 2) as w, greatest((yb - y) - (((yb - y) % 2) + 2) % 2, 2) as h from q),
+rects as (select title_id, x, y, greatest(case when x + w > {W} then ({W} - x) - (({W} - x) % 2) else w end, 2) as w,
+  greatest(case when y + h > {H} then ({H} - y) - (({H} - y) % 2) else h end, 2) as h from s)"""
+
+
+def _rects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detections.fixed_rect(ad.detections(spark, sf_dir), W, H)
+
+
+@register(f"with {_RECT} select title_id, x, y, w, h from rects")
+def fixed_crop_rect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rects(spark, sf_dir).select("title_id", "rect.x", "rect.y", "rect.w", "rect.h")
+
+
+_PART = f"""r as (select p_partkey as k, p_partkey % {W - 80} as x, p_size * 4 as y, 2 + p_partkey % 77 as w, 3 + p_size as h from part)"""
+
+
+def _part_rects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, s = F.col("p_partkey"), F.col("p_size")
+    return ad.table(spark, sf_dir, "part").select(k.alias("k"), g.rect(k % (W - 80), s * 4, k % 77 + 2, s + 3).alias("r"))
+
+
+def _even_sql(e: str) -> str:
+    return f"(({e}) - ((({e}) % 2) + 2) % 2)"
+
+
+_PADX, _PADY = _even_sql("x - cast(ceil(w * 0.03) as int)"), _even_sql("y - cast(ceil(h * 0.03) as int)")
+
+
+@register(
+    f"""with {_PART}, a as (select *, greatest({_PADX}, 0) as px, greatest({_PADY}, 0) as py, least({W}, x + w + cast(ceil(w * 0.03) as int)) as px2,
+    least({H}, y + h + cast(ceil(h * 0.03) as int)) as py2, {_even_sql("cast(floor(x * 1.5) as int)")} as sx, {_even_sql("cast(floor(y * 1.5) as int)")} as sy,
+    least({W * 2}, cast(ceil((x + w) * 1.5) as int)) as sx2, least({H * 2}, cast(ceil((y + h) * 1.5) as int)) as sy2 from r)
+    select k, px, py, greatest({_even_sql("px2 - px")}, 2) as pw, greatest({_even_sql("py2 - py")}, 2) as ph,
+    sx, sy, greatest({_even_sql("sx2 - sx")}, 2) as sw, greatest({_even_sql("sy2 - sy")}, 2) as sh,
+    greatest(x, 2) as ix, greatest(y, 2) as iy, greatest(least(x + w, {W - 2}) - greatest(x, 2), 1) as iw, greatest(least(y + h, {H - 2}) - greatest(y, 2), 1) as ih from a"""
+)
+def rect_pad_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, w, h = F.col("r"), F.lit(W), F.lit(H)
+    made = {"p": g.pad_rect(r, 0.03, w, h), "s": g.scale_rect(r, 1.5, w * 2, h * 2), "i": g.inset_rect(r, w, h)}
+    rows = _part_rects(spark, sf_dir).withColumns(made)
+    return rows.select("k", *(F.col(f"{c}.{d}").alias(c + d) for c in made for d in "xywh"))
+
+
+_IOU = "greatest(least(a.x2, b.x2) - greatest(a.x1, b.x1), 0) * greatest(least(a.y2, b.y2) - greatest(a.y1, b.y1), 0)"
+
+
+@register(
+    f"""with {ad.DETECTIONS}, p as (select a.title_id, a.frame_idx, a.box_no as a, b.box_no as b, {_IOU} as o,
+    (a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1) as t from detections a join detections b
+    on a.title_id = b.title_id and a.frame_idx = b.frame_idx and a.box_no < b.box_no)
+    select title_id, frame_idx, a, b, round(o / (t - o), 6) as iou from p where o / (t - o) >= 0.3"""
+)
+def pairwise_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detections.iou_candidates(ad.detections(spark, sf_dir)).withColumn("iou", F.round("iou", 6))
+
+
+@register(
+    f"with {_PART} select a.k as outer_k, b.k as inner_k from r a join r b on b.k = a.k + 1 "
+    "where b.x >= a.x and b.y >= a.y and b.x + b.w <= a.x + a.w + 1 and b.y + b.h <= a.y + a.h + 40"
+)
+def rect_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _part_rects(spark, sf_dir)
+    a = r.select(F.col("k").alias("outer_k"), g.rect(F.col("r.x"), F.col("r.y"), F.col("r.w") + 1, F.col("r.h") + 40).alias("o"))
+    b = r.select(F.col("k").alias("inner_k"), F.col("r").alias("i"))
+    return a.join(b, F.col("inner_k") == F.col("outer_k") + 1).where(g.contains(F.col("o"), F.col("i"))).select("outer_k", "inner_k")
+
+
+@register(
+    f"with {_RECT}, c as (select title_id, x <= 16 as l, x + w >= {W - 16} as r, h >= 0.85 * {H} as tall from rects) "
+    "select title_id, case when (l or r) and tall then 'side-panel' else 'corner-inset' end as kind, "
+    "case when (l or r) and tall then case when l then 'left' else 'right' end end as edge from c"
+)
+def layout_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pixels.classify_layout(_rects(spark, sf_dir), None, W, H).select("title_id", "kind", "edge")
+
+
+@register(
+    f"with {_FEATURES}, d as (select title_id, confidence, least(greatest((100 * size_frac - 12) / 24, 0), 1) * 0.6 + least(greatest((10 * motion_score - 8) / 52, 0), 1) * 0.4 as hard, "
+    "title_id % 9 = 0 as broken, title_id % 7 = 0 as panel from (select *, row_number() over (partition by title_id order by eligible desc, round(score, 9) desc, cluster_id) as rank from features) where rank = 1), "
+    "v as (select title_id, case when broken then 'unusable' when panel then 'excellent' when confidence < 0.7 then 'marginal' when hard < 0.35 then 'good' when hard < 0.65 then 'marginal' else 'poor' end as verdict, round(hard, 6) as hard from d) "
+    "select title_id, verdict, hard, list_position(['excellent', 'good', 'marginal', 'poor', 'unusable'], verdict) as rank from v"
+)
+def triage_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = detections.rank_clusters(_features(spark, sf_dir).withColumn("score", F.round("score", 9))).where("rank = 1")
+    hard = pixels.difficulty(F.col("size_frac") * 100, F.col("motion_score") * 10)
+    layout = F.when(F.col("title_id") % 7 == 0, "side-panel").otherwise("corner-inset")
+    v = pixels.verdict(F.col("title_id") % 9 != 0, layout, F.col("confidence"), F.col("hard"))
+    rows = f.withColumn("hard", hard).withColumn("verdict", v)
+    return rows.select("title_id", "verdict", F.round("hard", 6).alias("hard"), pixels.verdict_rank(F.col("verdict")).alias("rank"))
+
+
+@register()
+def track_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy tracking (sequential within a title): held against a plain twin in the tests."""
+    return detections.cluster_detections(ad.detections(spark, sf_dir)).select("title_id", "frame_idx", "box_no", "cluster_id")
+
+
+@register()
+def nms_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy suppression: held against a plain twin in the tests."""
+    d = ad.detections(spark, sf_dir).withColumn("score", F.col("motion") / 100)
+    return detections.suppress_overlaps(d).select("title_id", "frame_idx", "box_no", F.round("score", 6).alias("score"))
+
+
+# Pixels -------------------------------------------------------------------------------------------
+
+
+@register(
+    f"with {ad.GREY} select title_id, y, x, round(avg(v), 6) as mean_grey, round(coalesce(var_samp(v), 0), 6) as temporal_var, count(*) as frames from grey group by 1, 2, 3"
+)
+def pixel_welford(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = pixels.pixel_stats(ad.grey(spark, sf_dir))
+    return s.select("title_id", "y", "x", F.round("mean_grey", 6).alias("mean_grey"), F.round("temporal_var", 6).alias("temporal_var"), "frames")
+
+
+_DIFF = f"{ad.GREY}, diffs as (select *, abs(v - lag(v) over (partition by title_id, y, x order by frame_idx)) as diff from grey)"
+
+
+@register(f"with {_DIFF} select title_id, frame_idx, round(avg(diff), 6) as motion from diffs group by 1, 2")
+def frame_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pixels.frame_motion(ad.grey(spark, sf_dir)).withColumn("motion", F.round("motion", 6))
+
+
+@register(
+    f"with {_DIFF} select title_id, frame_idx, cast(1 as bigint) as box_no, round(avg(diff) filter (y >= 1 and y < 5 and x >= 2 and x < 7), 6) as motion from diffs group by 1, 2"
+)
+def box_motion_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    px = ad.grey(spark, sf_dir)
+    boxes = px.select("title_id", "frame_idx").distinct().select(
+        "title_id", "frame_idx", F.lit(1).cast("long").alias("box_no"), *(F.lit(v).alias(c) for c, v in (("x1", 2.2), ("y1", 1.4), ("x2", 6.1), ("y2", 7.4)))
+    )
+    return pixels.box_motion(px, boxes).withColumn("motion", F.round("motion", 6))
+
+
+_STATS = f"{ad.GREY}, stats as (select title_id, y, x, avg(v) as mean_grey, coalesce(var_samp(v), 0) as temporal_var from grey group by 1, 2, 3)"
+
+
+@register(
+    f"with {_STATS}, b as (select unnest(range(5)) as band) select title_id, cast(band as int) as band, round(avg(temporal_var) filter (x >= band and x < band + 2), 5) as variance, "
+    "round(avg(mean_grey) filter (x >= band and x < band + 2), 6) as grey from stats, b group by 1, 2"
+)
+def band_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = pixels.pixel_stats(ad.grey(spark, sf_dir))
+    bands = s.select("title_id").distinct().select("title_id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("band"))
+    bands = bands.select("title_id", "band", F.col("band").alias("x"), F.lit(0).alias("y"), F.lit(2).alias("w"), F.lit(8).alias("h"))
+    return pixels.band_stats(s, bands).select("title_id", "band", F.round("variance", 5).alias("variance"), F.round("grey", 6).alias("grey"))
+
+
+@register(
+    f"""with {ad.GREY}, s as (select title_id, y, x, sum(v) as v from grey group by 1, 2, 3),
+    t as (select * from (values (-1,-1,-1,-1),(-1,0,-2,0),(-1,1,-1,1),(0,-1,0,-2),(0,1,0,2),(1,-1,1,-1),(1,0,2,0),(1,1,1,1)) t(dx, dy, gx, gy)),
+    n as (select s.title_id, s.x, s.y, gx, gy, case when x + dx < 0 then -(x + dx) when x + dx > 7 then 14 - x - dx else x + dx end as fx,
+    case when y + dy < 0 then -(y + dy) when y + dy > 7 then 14 - y - dy else y + dy end as fy from s, t)
+    select n.title_id, n.x, n.y, round(sqrt(sum(gx * f.v) ** 2 + sum(gy * f.v) ** 2), 4) as gradient from n join s f on f.title_id = n.title_id and f.x = n.fx and f.y = n.fy group by 1, 2, 3"""
+)
+def sobel_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = ad.grey(spark, sf_dir).groupBy("title_id", "y", "x").agg(F.sum("v").alias("mean_grey"))
+    return pixels.sobel_detail(s).withColumn("gradient", F.round("gradient", 4))
+
+
+@register()
+def grow_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window growth to a fixpoint: held against known images in the tests."""
+    s = pixels.pixel_stats(ad.grey(spark, sf_dir)).withColumn("temporal_var", F.col("temporal_var") / 100)
+    rects = s.select("title_id").distinct().select("title_id", *(F.lit(v).alias(c) for c, v in (("x", 3), ("y", 3), ("w", 2), ("h", 2))))
+    return pixels.grow_windows(rects, s)
+
+
+# Text ---------------------------------------------------------------------------------------------
+
+_WORDS = r"""w as (select conv_id, turn, unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) as word from conversations)"""
+_NORM = """trim(regexp_replace(lower(translate(word, '‘’', '''''')), '[^a-z0-9'']+', '', 'g'), '''')"""
+
+
+def _said(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(tx.words(F.col("text"))).alias("word"))
+
+
+@register(f"with {_WORDS} select conv_id, turn, {_NORM} as norm, count(*) as n from w group by 1, 2, 3")
+def token_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _said(spark, sf_dir).groupBy("conv_id", "turn", tx.normal_word(F.col("word")).alias("norm")).agg(F.count("*").alias("n"))
+
+
+@register(
+    rf"""with {ad.CONTRIBUTIONS}, p as (select title_id, ci, unnest(paragraphs) as t from contributions),
+    x as (select title_id, ci, unnest(list_filter(regexp_split_to_array(replace(t, '[Applause and noise.]', ' ' || chr(1) || ' '), '\s+'), lambda w: w <> '')) as w from p)
+    select title_id, ci, count(*) as tokens, count(*) filter (w = chr(1)) as events, sum(case when w = chr(1) then 12 else length(w) end)::bigint as weight from x group by 1, 2"""
+)
+def tokenise_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = transcript.report_words(ad.contributions(spark, sf_dir))
+    return w.groupBy("title_id", "ci").agg(F.count("*").alias("tokens"), F.count_if("is_event").alias("events"), F.sum("weight").alias("weight"))
+
+
+@register(f"with {ad.CUES}, t as (select title_id, index, {ad.BREAK} as broken from cues) select title_id, index, broken, not exists(select 1 from (select unnest(string_split(broken, chr(10))) as l) where length(l) > 42) as fits from t")
+def cue_line_break(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = ad.cues(spark, sf_dir)
+    return c.select("title_id", "index", tx.break_line(F.col("text")).alias("broken"), tx.fits(F.col("text")).alias("fits"))
+
+
+@register(
+    f"""with {_WORDS} select conv_id, turn, count(*) filter (regexp_matches(word, '[.!?]["''”’)\\]]*$')) as sentences,
+    count(*) filter (regexp_matches(word, '[,;:—–]["''”’)\\]]*$')) as clauses from w group by 1, 2"""
+)
+def sentence_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = F.col("word")
+    return _said(spark, sf_dir).groupBy("conv_id", "turn").agg(F.count_if(w.rlike(tx.SENTENCE_END)).alias("sentences"), F.count_if(w.rlike(tx.CLAUSE_END)).alias("clauses"))
+
+
+_TIMING = f"{ad.STAMP.format('start_s')} || ' --> ' || {ad.STAMP.format('end_s')} || case when settings = '' then '' else ' ' || settings end"
+
+
+@register(
+    f"with {ad.CUES} select title_id, 'WEBVTT' || chr(10) || chr(10) || string_agg(case when identifier is null then '' else identifier || chr(10) end || {_TIMING} || chr(10) || text || chr(10), chr(10) order by index) as text from cues group by 1"
+)
+def vtt_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.build_vtt(ad.cues(spark, sf_dir))
+
+
+@register(f"with {ad.CUES} select title_id, cast(row_number() over (partition by title_id order by index) as int) as index, start_s, end_s, text, identifier, settings from cues")
+def vtt_parse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.parse_vtt(captions.build_vtt(ad.cues(spark, sf_dir)))
+
+
+@register(f"with {ad.SAMPLES} select title_id, {ad.STAMP.format('(time_s / 7)')} as stamp, count(*) as n from samples group by 1, 2")
+def timestamp_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = ad.samples(spark, sf_dir).withColumn("stamp", tx.format_timestamp(F.col("time_s") / 7))
+    return s.groupBy("title_id", "stamp").agg(F.count("*").alias("n"))
+
+
+@register(f"with {ad.CUES} select title_id, index, cast(floor((index - 1) / 3) as int) as chunk, '[' || index || '] (<=' || greatest(3, cast(floor((end_s - start_s) * 2) as int)) || ' words) ' || trim(regexp_replace(text, '\\s+', ' ', 'g')) as line from cues")
+def word_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.chunks(ad.cues(spark, sf_dir), 3).select("title_id", "index", "chunk", "line")
+
+
+_SRT = "index || chr(10) || replace({a}, '.', ',') || ' --> ' || replace({b}, '.', ',') || chr(10) || 'line ' || index || chr(10)".format(a=ad.STAMP.format("start_s"), b=ad.STAMP.format("end_s"))
+
+
+@register(
+    f"with {ad.CUES} select title_id, index, 'WEBVTT' || chr(10) || chr(10) || {ad.STAMP.format('start_s')} || ' --> ' || {ad.STAMP.format('end_s')} || chr(10) || 'line ' || index || chr(10) as vtt from cues"
+)
+def srt_to_vtt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = ad.cues(spark, sf_dir)
+    comma = lambda s: F.replace(tx.format_timestamp(F.col(s)), F.lit("."), F.lit(","))
+    n = F.col("index").cast("string")
+    srt = F.concat(n, F.lit("\n"), comma("start_s"), F.lit(" --> "), comma("end_s"), F.lit("\nline "), n, F.lit("\n"))
+    return c.select("title_id", "index", tx.srt_to_vtt(srt).alias("vtt"))
+
+
+def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reply a title and chunk that leaves out every fourth cue and wraps every third."""
+    c = captions.chunks(ad.cues(spark, sf_dir), 3).where("index % 4 <> 0")
+    n = F.col("index").cast("string")
+    line = F.concat(F.lit("["), n, F.lit("] new "), n, F.when(F.col("index") % 3 == 0, "\n and more").otherwise(""))
+    ordered = F.array_sort(F.collect_list(F.struct("index", line.alias("l"))))
+    text = F.concat(F.lit("Here:\n"), F.array_join(F.transform(ordered, lambda x: x["l"]), "\n"))
+    return c.groupBy("title_id", "chunk").agg(text.alias("reply"))
+
+
+_PARSED = "'new ' || index || case when index % 3 = 0 then chr(10) || 'and more' else '' end"
+
+
+@register(f"with {ad.CUES} select title_id, cast(floor((index - 1) / 3) as int) as chunk, index, {_PARSED} as text from cues where index % 4 <> 0")
+def parse_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.parse_replies(_replies(spark, sf_dir))
+
+
+@register(f"with {ad.CUES} select title_id, index, start_s, end_s, case when index % 4 <> 0 then {_PARSED} else text end as text, index % 4 <> 0 as rewritten from cues")
+def rewrite_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = captions.merge_rewrites(ad.cues(spark, sf_dir), captions.parse_replies(_replies(spark, sf_dir)))
+    return merged.select("title_id", "index", "start_s", "end_s", "text", "rewritten")
+
+
+@register(f"with {ad.CUES} select title_id, count(*) as cues, count(*) filter (index % 4 <> 0) as rewritten, round(count(*) filter (index % 4 <> 0) / count(*), 6) as coverage from cues group by 1")
+def rewrite_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = captions.merge_rewrites(ad.cues(spark, sf_dir), captions.parse_replies(_replies(spark, sf_dir)))
+    return captions.rewrite_stats(merged).withColumn("coverage", F.round("coverage", 6))
+
+
+@register(f"with {ad.CUES} select title_id, index from cues where index % 4 = 0")
+def rewrite_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.missing(ad.cues(spark, sf_dir), captions.parse_replies(_replies(spark, sf_dir))).select("title_id", "index")
+
+
+@register(
+    r"""with b as (select page_id, regexp_replace(html, '(?is)<(script|style)\b.*?</(script|style)>', '', 'g') as h from pages),
+    p as (select page_id, h, unnest(regexp_extract_all(h, '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1)) as inner_ from b)
+    select page_id, count(*) as paragraphs, sum(length(trim(regexp_replace(replace(replace(replace(inner_, '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), '<[^>]+>', '', 'g'))))::bigint as chars from p group by 1"""
+)
+def html_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = transcript.paragraphs(ad.table(spark, sf_dir, "pages"))
+    return p.groupBy("page_id").agg(F.count("*").alias("paragraphs"), F.sum(F.length(tx.clean_html(F.col("inner")))).alias("chars"))
+
+
+def _recognised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One recogniser result a conversation: a word a turn, a full stop after every third."""
+    t = ad.table(spark, sf_dir, "conversations").groupBy("conv_id", "turn").agg(F.min("role").alias("role"))
+    item = lambda kind, at, content: F.struct(
+        F.lit(kind).alias("type"), at.cast("string").alias("start_time"), (at + 0.5).cast("string").alias("end_time"),
+        F.array(F.struct(F.lit("0.9").alias("confidence"), content.alias("content"))).alias("alternatives"),
+    )
+    at = F.col("turn").cast("double")
+    word = item("pronunciation", at, F.concat("role", F.col("turn").cast("string")))
+    stop = item("punctuation", at, F.lit("."))
+    items = F.when(F.col("turn") % 3 == 0, F.array(word, stop)).otherwise(F.array(word))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("turn", items.alias("i")))), lambda x: x["i"])
+    doc = F.struct(F.struct(F.flatten(ordered).alias("items")).alias("results"))
+    return t.groupBy(F.col("conv_id").alias("title_id")).agg(F.to_json(doc).alias("json"))
+
+
+@register(
+    "with t as (select conv_id, turn, min(role) as role from conversations group by 1, 2) select conv_id as title_id, row_number() over (partition by conv_id order by turn) as pos, "
+    "role || turn || case when turn % 3 = 0 then '.' else '' end as text, cast(turn as double) as start, turn + 0.5::double as \"end\" from t"
+)
+def punctuation_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transcript.recognised_words(_recognised(spark, sf_dir)).select("title_id", "pos", "text", "start", "end")
+
+
+@register(
+    r"""with w as (select title_id, ci, generate_subscripts(l, 1) as i, unnest(l) as word from (select conv_id as title_id, turn as ci,
+    list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') as l from conversations)),
+    o as (select title_id, row_number() over (partition by title_id order by ci, i, word) - 1 as pos from w),
+    t as (select title_id, pos, pos % 6 < 2 as anchored, pos * 0.1 as s, pos * 0.1 + 0.05 as e from o),
+    r as (select *, sum(case when anchored then 1 else 0 end) over (partition by title_id order by pos) as island from t),
+    g as (select title_id, island, count(*) as n, max(e) - min(s) as span from r where not anchored group by 1, 2)
+    select title_id, cast(sum(case when n >= 3 and n / greatest(span, 0.001) > 8 then n else 0 end) as bigint) as unheard from g group by 1"""
+)
+def anchored_islands_unheard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = ad.table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("title_id"), "turn", F.posexplode(tx.words(F.col("text"))).alias("i", "word"))
+    order = Window.partitionBy("title_id").orderBy("turn", "i", "word")
+    t = w.select("title_id", (F.row_number().over(order) - 1).alias("pos"), F.lit(False).alias("is_event"))
+    t = t.select("title_id", "pos", "is_event", (F.col("pos") % 6 < 2).alias("anchored"), (F.col("pos") * 0.1).alias("start"), (F.col("pos") * 0.1 + 0.05).alias("end"))
+    return align.unheard_words(t)
+
+
+def _alignment(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    c = ad.contributions(spark, sf_dir)
+    report = transcript.report_words(c)
+    spoken = report.where("not is_event and pos % 7 <> 3").select(
+        "title_id", "pos", "text", (F.col("pos") * 0.4).alias("start"), (F.col("pos") * 0.4 + 0.35).alias("end"), "norm"
+    )
+    return c, report, spoken
+
+
+@register()
+def lcs_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchored words a title (a longest common subsequence): held against dynamic programming in the tests."""
+    _, report, spoken = _alignment(spark, sf_dir)
+    return align.alignment_report(align.timed_words(report, spoken))
+
+
+@register()
+def caption_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, report, spoken = _alignment(spark, sf_dir)
+    names = c.select("title_id", "ci", tx.display_name(F.col("speaker")).alias("name")).distinct()
+    return align.caption_cues(align.timed_words(report, spoken), names).drop("identifier", "settings")
+
+
+@register()
+def machine_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.machine_cues(_alignment(spark, sf_dir)[2]).drop("identifier", "settings")
+
+
+# Sources, manifests, reports ----------------------------------------------------------------------
+
+BLOCKED = ("spam-farm.example.org", "casino-win.example.net", "example.com")
+_HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"
+
+
+@register(f"select page_id, {_HOST} as host, {' or '.join(f'''{_HOST} = '{b}' or {_HOST} like '%.{b}' ''' for b in BLOCKED)} as blocked from pages")
+def blocked_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = F.col("url")
+    return ad.table(spark, sf_dir, "pages").select("page_id", listing.url_host(u).alias("host"), listing.is_blocked(u, BLOCKED).alias("blocked"))
+
+
+@register(f"select host, page_id, nth from (select {_HOST} as host, page_id, cast(row_number() over (partition by {_HOST} order by page_id) as int) as nth from pages) where nth > 1")
+def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = ad.table(spark, sf_dir, "pages").select(listing.url_host(F.col("url")).alias("host"), "page_id")
+    return listing.repeated(p, "host", "page_id")
+
+
+@register(
+    "select cast(s_suppkey as varchar) as id, case when s_suppkey % 3 = 0 then 'de' else 'en' end as caption_language, 'https://x.org/' || s_suppkey as media, "
+    "case when s_suppkey % 4 = 0 then 2 else 1 end as faults from supplier"
+)
+def source_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    s = ad.table(spark, sf_dir, "supplier").select(
+        k.cast("string").alias("id"), F.col("s_name").alias("title"), F.concat(F.lit(" https://x.org/"), k.cast("string")).alias("url"), F.lit("p").alias("publisher"),
+        F.when(k % 4 == 0, "  ").otherwise("CC").alias("licence"), F.lit(" ").alias("attribution"), F.when(k % 3 == 0, " de ").alias("caption_language"),
+    )
+    s = s.withColumn("id", F.concat(F.lit("s-"), "id"))
+    out = listing.with_defaults(s)
+    return out.select(F.substring("id", 3, 20).alias("id"), "caption_language", "media", F.size("faults").alias("faults"))
+
+
+_DOCS = """o as (select o_orderkey as k, min(round(o_totalprice * 100)::bigint) as cents, min(o_orderpriority) as p, min(o_custkey) as c from orders group by 1)"""
+_ISSUES = f"""{_DOCS}, shape as (
+  select k, '$' as path, 'error' as severity from o where k % 23 = 7
+  union all select k, 'stmVersion', 'error' from o where k % 17 = 4 and k % 23 <> 7
+  union all select k, 'source/attribution', 'error' from o where k % 7 = 2 and k % 23 <> 7
+  union all select k, '$', 'error' from o where k % 19 = 6 and k % 23 <> 7
+  union all select k, 'signLanguage/' || i || '/language', 'error' from o, (select unnest([0, 1]) as i) where k % 11 = 3 and k % 23 <> 7 and (i = 0 or k % 5 = 1)
+  union all select k, 'signLanguage/' || i || '/provenance', 'error' from o, (select unnest([0, 1]) as i) where k % 13 = 5 and k % 23 <> 7 and (i = 0 or k % 5 = 1)),
+sound as (select * from o where k not in (select k from shape)),
+issues as (select * from shape
+  union all select k, 'signLanguage/1/language', 'error' from sound where k % 5 = 1
+  union all select k, 'signLanguage/' || i || '/extraction/confidence', 'warning' from sound, (select unnest([0, 1]) as i) where (cents % 100) / 100 < 0.7 and (i = 0 or k % 5 = 1))"""
+
+
+@register(f"with {_ISSUES} select k as doc_id, path, severity from issues")
+def validate_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifests.validate(ad.manifests(spark, sf_dir)).select("doc_id", "path", "severity")
+
+
+@register(
+    f"with {_ISSUES} select o.k as doc_id, count(*) filter (severity = 'error') as errors, count(*) filter (severity = 'warning') as warnings, "
+    "count(*) filter (severity = 'error') = 0 as valid from o left join issues i on i.k = o.k group by 1"
+)
+def validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = ad.manifests(spark, sf_dir)
+    return manifests.validity(d, manifests.validate(d))
+
+
+@register(
+    f"with {_DOCS} select 'title-' || k as id, 'Title ' || p as title, cast(cents % 100000 as int) as duration_ms, 'https://cdn.example.org/t/poster.jpg' as poster, "
+    "'https://cdn.example.org/t/' || k || '/manifest.json' as manifest_url, case when k % 11 = 3 then 'xx' else 'ase' end as languages, (cents % 100) / 100 as confidence from o where k % 23 <> 7"
+)
+def catalogue_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = manifests.parse_manifests(ad.manifests(spark, sf_dir).where("doc_id % 23 <> 7"))
+    m = m.withColumn("manifest_url", F.concat(F.col("doc_id").cast("string"), F.lit("/manifest.json")))
+    c = manifests.catalogue_entries(m, "https://cdn.example.org/t/")
+    return c.withColumn("languages", F.array_join("sign_languages", ",")).drop("sign_languages")
+
+
+@register(f"with {_DOCS} select k as doc_id, 'https://b.org/main.mp4' as main, 'https://b.org/poster.jpg' as poster, 'https://b.org/sign.mp4' as track, 'https://b.org/cap/en.vtt' as caption from o where k % 23 <> 7")
+def absolutise_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = manifests.absolutise(manifests.parse_manifests(ad.manifests(spark, sf_dir).where("doc_id % 23 <> 7")), "https://b.org/")
+    return m.select(
+        "doc_id", F.col("m.video.main.url").alias("main"), F.col("m.video.poster").alias("poster"),
+        F.get(F.col("m.signLanguage"), F.lit(0))["track"]["url"].alias("track"), F.get(F.col("m.captions"), F.lit(0))["url"].alias("caption"),
+    )
+
+
+_FILES = ["main.mp4", "poster.JPG", "captions/verbatim.en.vtt", "analysis.json", "manifest.json", "notes.bin"]
+
+
+@register(
+    f"select c_custkey as title_id, 'base/' || c_custkey || '/' || f as key, case f when 'main.mp4' then 'video/mp4' when 'poster.JPG' then 'image/jpeg' when 'captions/verbatim.en.vtt' then 'text/vtt' "
+    f"when 'manifest.json' then 'application/json' else 'application/octet-stream' end as content_type, cast(row_number() over (partition by c_custkey order by f) as int) as position from customer, (select unnest({_FILES}) as f) where f <> 'analysis.json'"
+)
+def upload_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = ad.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("title_id"), F.explode(F.array(*map(F.lit, _FILES))).alias("rel_path"))
+    return manifests.upload_plan(files, "base/")
+
+
+@register(
+    f"with {_PART} select k, 'crop=' || (w - w % 2) || ':' || (h - h % 2) || ':' || x || ':' || y || case when h > 40 then ',scale=-2:40' else '' end as crop, "
+    f"'delogo=x=' || greatest(x, 2) || ':y=' || greatest(y, 2) || ':w=' || greatest(least(x + w, {W - 2}) - greatest(x, 2), 1) || ':h=' || greatest(least(y + h, {H - 2}) - greatest(y, 2), 1) as patch from r"
+)
+def media_plan_argv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = F.col("r")
+    graph = media_plan.fill_graph(r, F.lit("interpolated-surround"), F.lit(W), F.lit(H))
+    return _part_rects(spark, sf_dir).select("k", media_plan.crop_filter(r, 40).alias("crop"), F.element_at(F.split(graph, ",split"), 1).alias("patch"))
+
+
+@register(
+    "with j as (select l.doc_id, l.quality, case when d.n_chars is null then 0.0 else least(d.n_chars, 2000) / 2000.0 end as iou from labels l left join documents d using (doc_id)) "
+    "select quality, count(*) as clips, count(*) filter (iou >= 0.85) as passed, round(avg(iou), 6) as mean_iou from j group by 1"
+)
+def harness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ground truth against decisions: a missing decision scores 0."""
+    d = ad.table(spark, sf_dir, "documents").select("doc_id", (F.least("n_chars", F.lit(2000)) / 2000.0).alias("iou"))
+    j = ad.table(spark, sf_dir, "labels").join(d, "doc_id", "left").withColumn("iou", F.coalesce("iou", F.lit(0.0)))
+    return j.groupBy("quality").agg(F.count("*").alias("clips"), F.count_if(F.col("iou") >= 0.85).alias("passed"), F.round(F.avg("iou"), 6).alias("mean_iou"))
+
+
+@register("select doc_id, sha256(text) as sha256 from documents")
+def content_sha256(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
