@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_MEMO_WORDS = 300_000
+_MEMO_WORDS = 100_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _S32 = np.uint64(32)
@@ -132,6 +133,13 @@ def words_for_bitmap(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return word[first].astype(np.int64), np.bitwise_or.reduceat(bits, first).view(np.int64)
 
 
+def small_batches(batches: Iterator, rows: int = 500) -> Iterator:
+    """The batches in slices, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts(batch, column: str = "text") -> list[bytes | None]:
     """A string column of an Arrow batch as UTF-8 bytes."""
     import pyarrow as pa

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cuegrid.llm.common import Shingler, texts
+from cuegrid.llm.common import Shingler, small_batches, texts
 
 #: Characters of item texts in one block; bounds what is broadcast.
 BLOCK_CHARS = 16_000_000
@@ -116,7 +116,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, n: int = 5, percent: i
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingles, block = Shingler(n, True), shared.value
             ids, sizes = np.array(block.ids, np.int64), block.sizes
-            for batch in batches:
+            for batch in small_batches(batches):
                 docs_, items_, counts = [], [], []
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
                     for position, count in block.search(shingles(text)):

@@ -37,6 +37,7 @@ from cuegrid.llm.common import (
     bitmap_of_words,
     in_bitmap,
     mix,
+    small_batches,
     stash,
     texts,
     words_for_bitmap,
@@ -44,7 +45,7 @@ from cuegrid.llm.common import (
 from cuegrid.llm.components import connected_components
 
 #: Tokens counted at once by a task, and the count there from which a token is frequent.
-BLOCK_TOKENS, FREQUENT_IN_BLOCK = 4_000_000, 2
+BLOCK_TOKENS, FREQUENT_IN_BLOCK = 2_000_000, 2
 #: Below this many tokens a set keeps single keys for its frequent tokens too.
 SMALL_SET = 32
 #: Up to so many members, a hub's members are compared key by key; beyond, by their differences from it.
@@ -56,11 +57,12 @@ def _frequent(docs: DataFrame, n: int) -> np.ndarray:
         shingles, held, size, seen = Shingler(n, True), [], 0, set()
 
         def flush() -> pa.RecordBatch:
-            tokens, times = np.unique(np.concatenate(held), return_counts=True)
-            word, bits = words_for_bitmap(tokens[times >= FREQUENT_IN_BLOCK])
+            tokens = np.concatenate(held)
+            tokens.sort()
+            word, bits = words_for_bitmap(tokens[FREQUENT_IN_BLOCK - 1 :][tokens[FREQUENT_IN_BLOCK - 1 :] == tokens[: 1 - FREQUENT_IN_BLOCK]])
             return pa.RecordBatch.from_arrays([pa.array(word), pa.array(bits)], ["word", "bits"])
 
-        for batch in batches:
+        for batch in small_batches(batches):
             for text in texts(batch):
                 tokens = shingles.distinct(text)
                 key = hash(tokens.tobytes())
@@ -117,7 +119,7 @@ def _keyed(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataF
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n, True)
-        for batch in batches:
+        for batch in small_batches(batches):
             sizes, signs, keys, sketches = [], [], [], []
             for text in texts(batch):
                 tokens = shingles.distinct(text)
@@ -153,7 +155,7 @@ def _sets(docs: DataFrame, n: int, ids: DataFrame) -> DataFrame:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n, True)
-        for batch in batches:
+        for batch in small_batches(batches):
             hashes = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
             kept = batch.filter(pa.array(in_bitmap(wanted.value, hashes)))
             for at in range(0, kept.num_rows, 500):

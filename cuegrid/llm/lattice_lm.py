@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuegrid.llm.common import stash, texts
+from cuegrid.llm.common import small_batches, stash, texts
 from cuegrid.llm.pieces import SPACE, PieceTransducer
 
 #: Least share of the training tokens of a broadcast word, rounds of fitting.
@@ -191,7 +191,7 @@ def _words(docs: DataFrame) -> DataFrame:
                 [pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"]
             )
 
-        for batch in batches:
+        for batch in small_batches(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
                 for word, n in Counter((text or b"").lower().split()).items():
                     seen[word] = seen.get(word, 0) + (0 if held_out(doc_id) else n)

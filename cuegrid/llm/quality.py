@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuegrid.llm.common import stash
+from cuegrid.llm.common import small_batches, stash
 
 #: Most labelled rows and unlabelled pool rows that fitting looks at, and the rounds.
 MAX_LABELLED, MAX_POOL, ROUNDS = 8_000, 8_000, 3
@@ -163,7 +163,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
     chosen = stash(some.unionAll(pool))  # bounded, so it may be broadcast
 
     def view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             content, metadata = _features(batch)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("doc_id", "h", "y")]
@@ -222,7 +222,7 @@ def score_quality(docs: DataFrame, model: CoTrained, threshold: float = 0.5) ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             a, b, both = shared.value.probability(*_features(batch))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(a), pa.array(b), pa.array(both), pa.array(both >= threshold)],
@@ -245,7 +245,7 @@ def keep_good(docs: DataFrame, model: CoTrained, threshold: float = 0.5) -> Data
     names = docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             seen = pa.RecordBatch.from_arrays(
                 [batch.column("text"), *(batch.column(hidden[c]) for c in METADATA)], ["text", *METADATA]
             )
