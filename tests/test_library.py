@@ -249,3 +249,26 @@ def test_sobel_against_numpy(spark):
     for r in pixels.sobel_detail(df).collect():
         w = p[r.y : r.y + 3, r.x : r.x + 3]
         assert r.gradient == pytest.approx(np.hypot((w * k).sum(), (w * k.T).sum()))
+
+
+def test_scores_and_triage(spark):
+    from cuegrid.operators import harness
+
+    r = "struct<x:int,y:int,w:int,h:int>"
+    truth = spark.createDataFrame([("a", (0, 0, 10, 10), None), ("b", (0, 0, 10, 10), (8, 8, 4, 4)), ("c", (0, 0, 4, 4), None)], f"clip string, rect {r}, face {r}")
+    found = spark.createDataFrame([("a", (0, 0, 10, 10), 0.9, None), ("b", (0, 0, 10, 10), 0.9, None)], f"clip string, found {r}, confidence double, error string")
+    scores = harness.score_clips(truth, found)
+    assert {x.clip: (x.iou, x.passed) for x in scores.collect()} == {"a": (1.0, True), "b": (1.0, False), "c": (0.0, False)}
+    s = harness.summary(scores).first()
+    assert (s.clips, s.passed) == (3, 1) and s.mean_iou == pytest.approx(2 / 3)
+    again = harness.upsert(truth, truth.where("clip = 'a'").withColumn("face", F.col("rect")), "clip")
+    assert again.count() == 3 and again.where("clip = 'a' and face is not null").count() == 1
+    clips = spark.createDataFrame(
+        [("p", None, "side-panel", 0.1, 99.0, 99.0), ("q", None, "corner-inset", 0.9, 12.0, 8.0), ("r", None, "corner-inset", 0.9, 36.0, 60.0), ("s", "boom", None, None, None, None)],
+        "clip string, error string, layout string, confidence double, detail double, motion double",
+    )
+    t = harness.triage(clips)
+    assert {x.clip: x.verdict for x in t.collect()} == {"p": "excellent", "q": "good", "r": "poor", "s": "unusable"}
+    assert harness.useful(t).first().useful == 2
+    assert all(len(x.line) == 28 + 1 + 10 + 1 + 6 + 1 + 6 for x in t.select(harness.triage_line().alias("line")).collect())
+    assert one(spark, harness.source_skeleton(F.lit("a/My Clip_1.mp4"), F.lit(0.5))).startswith("- id: my-clip-1\n")
