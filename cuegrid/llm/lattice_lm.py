@@ -39,6 +39,8 @@ SHARE, ROUNDS = 2e-6, 2
 MOST_COUNTED, MOST_ROWS = 300_000, 4_000
 _BASE = np.uint64(0x100000001B3)
 _LN10 = math.log(10)
+_MAYBE_BITS = 18
+_MAYBE_SHIFT = np.uint64(64 - _MAYBE_BITS)
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -61,7 +63,9 @@ class PieceLattice:
             order = np.argsort(hashes)
             if len(np.unique(hashes)) != len(hashes):
                 raise ValueError("two pieces have the same hash")
-            self.tables[size] = hashes[order], np.array(members)[order]
+            maybe = np.zeros(1 << _MAYBE_BITS, bool)  # spares most searches
+            maybe[(hashes >> _MAYBE_SHIFT).astype(np.int64)] = True
+            self.tables[size] = hashes[order], np.array(members)[order], maybe
         self.n_bytes = n_bytes
         weight = 1.0 / (ranks + 2.0)
         total = weight.sum() * 1.02
@@ -96,10 +100,14 @@ class PieceLattice:
                 table = self.tables.get(j - i + 1)
                 if table is None:
                     continue
-                at = np.minimum(np.searchsorted(table[0], out), len(table[0]) - 1)
-                rows = np.flatnonzero(table[0][at] == out)
-                if len(rows):
-                    yield i, j + 1, rows, table[1][at[rows]]
+                rows = np.flatnonzero(table[2][(out >> _MAYBE_SHIFT).view(np.int64)])
+                if not len(rows):
+                    continue
+                some = out[rows]
+                at = np.minimum(np.searchsorted(table[0], some), len(table[0]) - 1)
+                hit = table[0][at] == some
+                if hit.any():
+                    yield i, j + 1, rows[hit], table[1][at[hit]]
 
     def _fallback(self, codes: np.ndarray, i: int) -> np.ndarray:
         """UTF-8 bytes of the characters at i."""
@@ -155,12 +163,16 @@ class PieceLattice:
             beta[n] = 0.0
             for i, j, at, _, weight in sorted(kept, key=lambda x: -x[0]):
                 beta[i, at] = np.logaddexp(beta[i, at], beta[j, at] + weight)
+            uses, shares = [], []
             for i, j, at, piece, weight in kept:
                 share = np.exp(alpha[i, at] + weight + beta[j, at] - alpha[n, at]) * counts[at]
-                if np.isscalar(piece) or piece.ndim == 0:
+                if piece.ndim == 0:
                     out[byte] += (share * self._fallback(codes[at], i)).sum()
                 else:
-                    out += np.bincount(piece, share, len(out))
+                    uses.append(piece)
+                    shares.append(share)
+            if uses:
+                out += np.bincount(np.concatenate(uses), np.concatenate(shares), len(out))
         return alpha[n]
 
     def _bytes(self, codes: np.ndarray, alpha: np.ndarray, i: int, single: tuple, kept: list, byte: int) -> None:
@@ -184,7 +196,7 @@ def _words(docs: DataFrame) -> DataFrame:
     """(word, n): n is the count in training texts, 0 for words of held-out texts only."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen: Counter[bytes] = Counter()
 
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -193,11 +205,15 @@ def _words(docs: DataFrame) -> DataFrame:
 
         for batch in small_batches(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
-                for word, n in Counter((text or b"").lower().split()).items():
-                    seen[word] = seen.get(word, 0) + (0 if held_out(doc_id) else n)
+                words = (text or b"").lower().split()
+                if held_out(doc_id):
+                    for word in words:
+                        seen.setdefault(word, 0)
+                else:
+                    seen.update(words)
                 if len(seen) >= MOST_COUNTED:
                     yield flush()
-                    seen = {}
+                    seen = Counter()
         if seen:
             yield flush()
 
