@@ -26,19 +26,24 @@ RANGE_ROWS, MOST_RANGES = 1_000, 4_096
 def paragraph_sums(text: Column) -> Column:
     """array<bigint>: WIDE sums modulo 2**32, then NARROW sums modulo 2**16."""
     hashes = F.transform(F.split(text, "\n", -1), lambda p: F.xxhash64(p))
-    wide = F.transform(
-        F.sequence(F.lit(1), F.lit(WIDE)),
-        lambda i: F.aggregate(
-            hashes, F.lit(0).cast("long"), lambda a, h: (a + F.xxhash64(h, i).bitwiseAND(MASK32)).bitwiseAND(MASK32)
-        ),
-    )
     units = F.split(text, r"(?<=[.!?])[\x20\t\r]+|\n", -1)
     places = F.transform(units, lambda u: F.xxhash64(u).bitwiseAND(NARROW - 1).cast("int"))
-    narrow = F.transform(
-        F.sequence(F.lit(0), F.lit(NARROW - 1)),
-        lambda i: F.size(F.filter(places, lambda p: p == i)).cast("long").bitwiseAND(MASK16),
-    )
-    return F.concat(wide, narrow)
+
+    def sums(v: Column) -> Column:
+        wide = F.transform(
+            F.sequence(F.lit(1), F.lit(WIDE)),
+            lambda i: F.aggregate(
+                v["hashes"], F.lit(0).cast("long"), lambda a, h: (a + F.xxhash64(h, i).bitwiseAND(MASK32)).bitwiseAND(MASK32)
+            ),
+        )
+        narrow = F.transform(
+            F.sequence(F.lit(0), F.lit(NARROW - 1)),
+            lambda i: F.size(F.filter(v["places"], lambda p: p == i)).cast("long").bitwiseAND(MASK16),
+        )
+        return F.concat(wide, narrow)
+
+    # bound in a one-element array, so that texts are split and hashed once and not once a component
+    return F.element_at(F.transform(F.array(F.struct(hashes.alias("hashes"), places.alias("places"))), sums), 1)
 
 
 def add(x: Column, y: Column, sign: int = 1) -> Column:
