@@ -48,8 +48,9 @@ from cuegrid.llm.components import connected_components
 BLOCK_TOKENS, FREQUENT_IN_BLOCK = 2_000_000, 2
 #: Below this many tokens a set keeps single keys for its frequent tokens too.
 SMALL_SET = 32
-#: Up to so many members, a hub's members are compared key by key; beyond, by their differences from it.
-FEW, USUAL = 24, 32
+#: Up to so many members, a hub's members are compared key by key (their sketches, within the join);
+#: beyond, by their differences, which takes whole token sets.
+FEW, USUAL = 1_000, 32
 
 
 def _frequent(docs: DataFrame, n: int) -> np.ndarray:
