@@ -251,6 +251,8 @@ def test_licenses(spark):
     assert got[2].licenses == "MIT"
     assert got[3].licenses == "" and got[3].n_sentences == 2  # the order is wrong
     assert all(got[i].licenses == "" for i in (4, 5, 6))
+    tagged = licenses.scan_licenses(docs(spark, {7: "# SPDX-License-Identifier: MIT\ncode"})).first()
+    assert tagged.licenses == "MIT" and tagged.sentence_ids == "spdx-mit"
     assert licenses.scan_licenses(docs(spark, {})).count() == 0
 
 
