@@ -5,8 +5,8 @@ a text's fingerprint is the sum of its paragraphs' vectors, component by compone
 
 * ``WIDE`` components modulo 2**32, all of them random for every paragraph: equal multisets, in
   whatever order, have equal sums, and others do not but by chance;
-* ``NARROW`` components modulo 2**16, of which every sentence of the paragraph adds one to one:
-  sums of texts with common sentences are close, so likeness can be read off.
+* ``NARROW`` components modulo 2**16, of which every sentence of the paragraph adds 1 or -1 (by its
+  hash) to one: sums of texts with common sentences point the same way, so likeness can be read off.
 
 Sums can be updated by adding an inserted paragraph's vector or subtracting a deleted one's.
 """
@@ -27,7 +27,8 @@ def paragraph_sums(text: Column) -> Column:
     """array<bigint>: WIDE sums modulo 2**32, then NARROW sums modulo 2**16."""
     hashes = F.transform(F.split(text, "\n", -1), lambda p: F.xxhash64(p))
     units = F.split(text, r"(?<=[.!?])[\x20\t\r]+|\n", -1)
-    places = F.transform(units, lambda u: F.xxhash64(u).bitwiseAND(NARROW - 1).cast("int"))
+    units = F.filter(units, lambda u: u != "")
+    places = F.transform(units, lambda u: F.xxhash64(u).bitwiseAND(2 * NARROW - 1).cast("int"))
 
     def sums(v: Column) -> Column:
         wide = F.transform(
@@ -38,7 +39,9 @@ def paragraph_sums(text: Column) -> Column:
         )
         narrow = F.transform(
             F.sequence(F.lit(0), F.lit(NARROW - 1)),
-            lambda i: F.size(F.filter(v["places"], lambda p: p == i)).cast("long").bitwiseAND(MASK16),
+            lambda i: (F.size(F.filter(v["places"], lambda p: p == i)) - F.size(F.filter(v["places"], lambda p: p == i + NARROW)))
+            .cast("long")
+            .bitwiseAND(MASK16),
         )
         return F.concat(wide, narrow)
 
@@ -62,12 +65,17 @@ def as_string(sums: Column) -> Column:
 
 
 def likeness(x: Column, y: Column) -> Column:
-    """0 to 1: what the narrow components have in common over what either has; 1 for equal sums."""
-    narrow = lambda v: F.slice(v, WIDE + 1, NARROW)
-    total = lambda pairs: F.aggregate(pairs, F.lit(0).cast("long"), lambda a, v: a + v)
-    common = total(F.zip_with(narrow(x), narrow(y), lambda a, b: F.least(a, b)))
-    either = total(F.zip_with(narrow(x), narrow(y), lambda a, b: F.greatest(a, b)))
-    return F.when(x == y, F.lit(1.0)).otherwise(F.coalesce(F.try_divide(common.cast("double"), either), F.lit(0.0)))
+    """0 to 1: an estimate of the sentences in common over those of either; 1 for equal sums only.
+
+    The product of two signed sums is that of the sentences' counts but for chance, whose share
+    falls with NARROW and not with the length of the texts.
+    """
+    signed = lambda v: F.transform(F.slice(v, WIDE + 1, NARROW), lambda c: F.when(c > MASK16 // 2, c - MASK16 - 1).otherwise(c))
+    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda a, b: a * b), F.lit(0).cast("long"), lambda a, v: a + v)
+    common = dot(signed(x), signed(y))
+    either = dot(signed(x), signed(x)) + dot(signed(y), signed(y)) - common
+    near = F.coalesce(F.try_divide(common.cast("double"), either), F.lit(0.0))
+    return F.when(x == y, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(0.999), near)))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
