@@ -35,7 +35,11 @@ def tokens(text: Column) -> Column:
 def break_line(text: Column) -> Column:
     """At most two lines: a text over 42 characters breaks at its most balanced space."""
     n = F.length(text)
-    spaces = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.substring(text, i + 1, F.lit(1)) == " ")
+    half = F.floor((n - 1) / 2).cast("int")
+    # of the spaces on either side of the middle only the nearest can be the best
+    left = F.instr(F.reverse(F.substring(text, F.lit(1), half + 1)), " ")
+    right = F.instr(F.substring(text, half + 2, n), " ")
+    spaces = F.filter(F.array(F.when(left > 0, half + 1 - left), F.when(right > 0, half + right)), lambda i: i.isNotNull())
     options = F.transform(
         spaces,
         lambda i: F.struct(

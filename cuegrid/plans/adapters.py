@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DAY = 86_400
@@ -98,8 +98,17 @@ CONTRIBUTIONS = """contributions as (select conv_id as title_id, turn as ci, rol
 
 def cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conversations -> cues: one a turn, 2 s apart, the first 80 characters on one line."""
+    return _turns(spark, sf_dir, F.regexp_replace(F.substring(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), 1, 80), "^ +| +$", ""))
+
+
+def whole_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conversations -> cues as in ``cues``, but each with all lines of its turn except blank ones."""
+    lines = F.split(F.regexp_replace(F.coalesce("text", F.lit("")), "\r\n?", "\n"), "\n")
+    return _turns(spark, sf_dir, F.array_join(F.filter(lines, lambda x: ~x.rlike(r"^[ \t]*$")), "\n"))
+
+
+def _turns(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
     t = table(spark, sf_dir, "conversations")
-    text = F.regexp_replace(F.substring(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), 1, 80), "^ +| +$", "")
     first = t.groupBy("conv_id", "turn").agg(F.min(text).alias("text"), F.min("role").alias("role"))
     start = F.col("turn") * 2.5
     return first.select(
@@ -114,6 +123,11 @@ CUES = """cues as (select conv_id as title_id, cast(turn + 1 as int) as index, c
   min(regexp_replace(substr(replace(text, chr(10), ' '), 1, 80), '^ +| +$', '', 'g')) as text,
   case when min(role) = 'user' then 'id-' || turn end as identifier, case when min(role) = 'system' then 'align:start' else '' end as settings
   from conversations group by conv_id, turn)"""
+WHOLE_CUES = r"""cues as (select conv_id as title_id, cast(turn + 1 as int) as index, cast(turn * 2.5 as double) as start_s,
+  cast(turn * 2.5 + 2.125 as double) as end_s,
+  min(array_to_string(list_filter(string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)), lambda l: not regexp_full_match(l, '[ \t]*')), chr(10))) as text,
+  case when min(role) = 'user' then 'id-' || turn end as identifier, case when min(role) = 'system' then 'align:start' else '' end as settings
+  from conversations group by conv_id, turn)"""
 STAMP = (
     "printf('%02d:%02d:%02d.%03d', cast(floor(round_even({0} * 1000, 0) / 3600000) as int), "
     "cast(floor(round_even({0} * 1000, 0) / 60000) as int) % 60, cast(floor(round_even({0} * 1000, 0) / 1000) as int) % 60, "

@@ -409,6 +409,39 @@ def rewrite_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return captions.missing(ad.cues(spark, sf_dir), captions.parse_replies(_replies(spark, sf_dir))).select("title_id", "index")
 
 
+# The five queries above hold at most 80 characters a turn, as their SQL says; these take whole turns.
+
+
+@register()
+def whole_cue_line_break(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without SQL: the balanced break is quadratic there; the tests hold it against brute force."""
+    text = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
+    return ad.whole_cues(spark, sf_dir).select("title_id", "index", tx.break_line(text).alias("broken"), tx.fits(text).alias("fits"))
+
+
+@register(
+    f"with {ad.WHOLE_CUES} select title_id, 'WEBVTT' || chr(10) || chr(10) || string_agg(case when identifier is null then '' else identifier || chr(10) end || {_TIMING} || chr(10) || text || chr(10), chr(10) order by index) as text from cues group by 1"
+)
+def whole_vtt_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.build_vtt(ad.whole_cues(spark, sf_dir))
+
+
+@register(f"with {ad.WHOLE_CUES} select title_id, cast(row_number() over (partition by title_id order by index) as int) as index, start_s, end_s, text, identifier, settings from cues")
+def whole_vtt_parse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.parse_vtt(captions.build_vtt(ad.whole_cues(spark, sf_dir)))
+
+
+@register(f"with {ad.WHOLE_CUES} select title_id, index, cast(floor((index - 1) / 3) as int) as chunk, '[' || index || '] (<=' || greatest(3, cast(floor((end_s - start_s) * 2) as int)) || ' words) ' || trim(regexp_replace(text, '\\s+', ' ', 'g')) as line from cues")
+def whole_word_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.chunks(ad.whole_cues(spark, sf_dir), 3).select("title_id", "index", "chunk", "line")
+
+
+@register(f"with {ad.WHOLE_CUES} select title_id, index, start_s, end_s, case when index % 4 <> 0 then {_PARSED} else text end as text, index % 4 <> 0 as rewritten from cues")
+def whole_rewrite_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = captions.merge_rewrites(ad.whole_cues(spark, sf_dir), captions.parse_replies(_replies(spark, sf_dir)))
+    return merged.select("title_id", "index", "start_s", "end_s", "text", "rewritten")
+
+
 @register(
     r"""with b as (select page_id, regexp_replace(html, '(?is)<(script|style)\b.*?</(script|style)>', '', 'g') as h from pages),
     p as (select page_id, h, unnest(regexp_extract_all(h, '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1)) as inner_ from b)

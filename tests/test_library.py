@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cuegrid.functions import geometry as g
 from cuegrid.functions import text as tx
 from cuegrid.operators import activity, align, captions, detections, manifests, pixels, transcript
+from cuegrid.plans import catalogue
 from cuegrid.sources import listing
 
 
@@ -272,3 +273,28 @@ def test_scores_and_triage(spark):
     assert harness.useful(t).first().useful == 2
     assert all(len(x.line) == 28 + 1 + 10 + 1 + 6 + 1 + 6 for x in t.select(harness.triage_line().alias("line")).collect())
     assert one(spark, harness.source_skeleton(F.lit("a/My Clip_1.mp4"), F.lit(0.5))).startswith("- id: my-clip-1\n")
+
+
+def test_cues_of_whole_turns(spark, tmp_path):
+    rng = random.Random(4)
+    line = lambda: " ".join("w" * rng.randrange(1, 9) for _ in range(rng.randrange(1, 40)))
+    turns = [(1, i, "user", "\n".join(line() for _ in range(rng.randrange(1, 5)))) for i in range(8)]
+    turns += [(2, 0, "system", "a\n\n \t\nb\r\nc --> d"), (2, 1, "user", None)]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    whole = {(c, t + 1): x for c, t, _, x in turns} | {(2, 1): "a\nb\nc --> d", (2, 2): ""}
+    assert max(map(len, whole.values())) > 300
+    got = lambda name: {(r.title_id, r["index"]): r for r in catalogue.queries()[name](spark, str(tmp_path)).collect()}
+
+    def broken(t):
+        at = min((max(i, len(t) - i - 1), abs(i - len(t) // 2), i) for i, c in enumerate(t) if c == " ")[2] if len(t) > 42 and " " in t else None
+        return t if at is None else t[:at] + "\n" + t[at + 1 :]
+
+    flat = {k: x.replace("\n", " ") for k, x in whole.items()}
+    breaks = got("whole_cue_line_break")
+    assert {k: r.broken for k, r in breaks.items()} == {k: broken(x) for k, x in flat.items()}
+    assert {k: r.fits for k, r in breaks.items()} == {k: all(len(y) <= 42 for y in broken(x).split("\n")) for k, x in flat.items()}
+    assert {k: r.text for k, r in got("whole_vtt_parse_roundtrip").items()} == whole
+    assert {k: r.line.split("words) ", 1)[1] for k, r in got("whole_word_budget").items()} == {k: x.strip() for k, x in flat.items()}
+    assert {k: r.text for k, r in got("whole_rewrite_merge").items() if not r.rewritten} == {k: x for k, x in whole.items() if k[1] % 4 == 0}
+    files = {r.title_id: r.text for r in catalogue.queries()["whole_vtt_build"](spark, str(tmp_path)).collect()}
+    assert all(x in files[k[0]] for k, x in whole.items())
