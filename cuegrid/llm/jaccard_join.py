@@ -17,8 +17,11 @@ Tokens are the 64-bit hashes of a text's distinct word shingles.  Two sets link
    two sets differ in no fewer tokens than their sketches in bits; pairs with too many are out.
    The others are verified on the whole sets.  Under every key each class is compared with the
    key's first class only.  The links found are merged into components; then classes of one key
-   that are still in different components are compared.  Links inside one component can't change the result, so copies are
-   never expanded into all pairs, yet no link between components is lost.
+   that are still in different components are compared.  Links inside one component can't change the components, so
+   no link between components is lost.
+5. *Links* (``similar_pairs``, only where asked for).  Linked classes are in one component, so each component is
+   compared in full: its sets, by size, in blocks of bounded size, every two blocks in a task of their own, by counts
+   of common tokens.  Copies with equal sets stay one class.
 """
 
 from __future__ import annotations
@@ -51,6 +54,8 @@ SMALL_SET = 32
 #: Up to so many members, a hub's members are compared key by key (their sketches, within the join);
 #: beyond, by their differences, which takes whole token sets.
 FEW, USUAL = 1_000, 32
+#: Tokens of a block whose links are counted at once, what a member adds to them, and the tokens of one matrix.
+LINK_BLOCK, MEMBER_TOKENS, COLUMNS = 200_000, 200, 4096
 
 
 def _frequent(docs: DataFrame, n: int) -> np.ndarray:
@@ -198,15 +203,16 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
     )
 
 
-def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Similar documents, one row per input row: doc_id, n_shingles, class_id, component_id.
+def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, links: bool = False) -> DataFrame:
+    """Similar documents, one row per input row: doc_id, n_shingles, class_id, component_id (and n_links).
 
     ``docs`` needs doc_id (any integer type) and text; other columns are ignored.  class_id is the
     smallest doc_id with the same shingle set, component_id the smallest reachable by links.
     Null, empty and blank texts have no shingles and keep their own id in both.  Texts of fewer
     than ``n`` words have their whole word sequence as their only shingle.  Rows that repeat are
     answered each; rows with a null doc_id keep null ids and link with nothing.  An empty table
-    gives an empty result.
+    gives an empty result.  With ``links``, n_links is the number of other classes that the row's
+    class links with: all links, also those inside a component.
     """
     if not 70 <= percent <= 100:
         raise ValueError("percent must be from 70 to 100: below that the combinations prove nothing")
@@ -225,12 +231,66 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         "sign", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id")
     )
     own = F.col("doc_id")
-    return keyed.join(member, "sign", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(own.isNotNull(), F.coalesce("class_id", own)).alias("class_id"),
-        F.when(own.isNotNull(), F.coalesce("component_id", own)).alias("component_id"),
+    found = ["doc_id", "n_shingles", F.when(own.isNotNull(), F.coalesce("class_id", own)).alias("class_id"),
+             F.when(own.isNotNull(), F.coalesce("component_id", own)).alias("component_id")]
+    if links:
+        ends = similar_pairs(docs, labels, n, percent, True).groupBy(F.col("id").alias("class_id")).agg(F.sum("n").alias("n_links"))
+        member = member.join(stash(ends), "class_id", "left")
+        found.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return keyed.join(member, "sign", "left").select(*found)
+
+
+def similar_pairs(docs: DataFrame, labels: DataFrame, n: int, percent: int, counted: bool = False) -> DataFrame:
+    """Every link (a, b), a < b, between the classes of ``labels(id, component)``, once.
+
+    ``counted``: instead (id, n), the links of a class in two blocks, so that no row a link is made.
+    A component's sets are put in blocks by size; blocks whose sizes allow no link don't meet.
+    """
+    sets = stash(_sets(docs, n, labels.select("id")).join(labels, "id"))
+    rows = sets.select("component", "id", F.size("tokens").cast("long").alias("size"))
+    upto = F.sum(F.col("size") + MEMBER_TOKENS).over(Window.partitionBy("component").orderBy("size", "id"))
+    rows = stash(rows.withColumn("block", F.floor(upto / LINK_BLOCK)))
+    blocks = rows.groupBy("component", "block").agg(F.min("size").alias("lo"), F.max("size").alias("hi"))
+    x, y = blocks.alias("x"), blocks.alias("y")
+    meet = (
+        (F.col("x.component") == F.col("y.component"))
+        & (F.col("x.block") <= F.col("y.block"))
+        & (F.col("x.hi") * 100 >= F.col("y.lo") * percent)
     )
+    meeting = stash(x.join(y, meet).select("x.component", F.col("x.block").alias("one"), F.col("y.block").alias("two")))
+    sides = F.array_distinct(F.array("one", "two"))
+    sent = rows.join(meeting.withColumn("block", F.explode(sides)), ["component", "block"]).join(sets.select("id", "tokens"), "id")
+
+    def link(key: tuple, group: pa.Table) -> pa.Table:
+        ids = group["id"].to_numpy()
+        tokens = group["tokens"].combine_chunks()
+        sizes = tokens.value_lengths().to_numpy()
+        first = group["block"].to_numpy() == key[1].as_py()
+        second = first if key[1] == key[2] else ~first
+        _, code, times = np.unique(tokens.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(ids)), sizes)[times[code] > 1]
+        kept = times > 1  # others are common to no two
+        code = (np.cumsum(kept) - 1)[code[times[code] > 1]]
+        order = np.argsort(code, kind="stable")
+        row, code, total = row[order], code[order], int(kept.sum())
+        common = np.zeros((int(first.sum()), int(second.sum())), np.float64)
+        for at in range(0, total, COLUMNS):
+            lo, hi = np.searchsorted(code, [at, at + COLUMNS])
+            held = np.zeros((len(ids), min(COLUMNS, total - at)), np.float32)
+            held[row[lo:hi], code[lo:hi] - at] = 1
+            common += held[first] @ held[second].T
+        either = sizes[first][:, None].astype(np.int64) + sizes[second][None, :] - common
+        linked = common * 100 >= either * percent
+        if first is second:
+            linked = np.triu(linked, 1)
+        if counted:
+            ends = np.concatenate([ids[first], ids[second]])
+            return pa.table({"id": ends, "n": np.concatenate([linked.sum(1), linked.sum(0)]).astype(np.int64)})
+        i, j = np.nonzero(linked)
+        a, b = ids[first][i], ids[second][j]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return sent.groupBy("component", "one", "two").applyInArrow(link, "id long, n long" if counted else "a long, b long")
 
 
 def _edges(docs: DataFrame, classes: DataFrame, shared: DataFrame, n: int, percent: int) -> DataFrame:

@@ -56,7 +56,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_jaccard_join(read_table(spark, sf_dir, "documents"), n=3, percent=90)
+    return ngram_jaccard_join(read_table(spark, sf_dir, "documents"), n=3, percent=90, links=True)
 
 
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

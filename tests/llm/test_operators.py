@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cuegrid.llm import fingerprints, licenses, pii, secrets, url_filter
 from cuegrid.llm.components import connected_components
 from cuegrid.llm.decontaminate import find_contamination
-from cuegrid.llm.jaccard_join import ngram_jaccard_join
+from cuegrid.llm.jaccard_join import ngram_jaccard_join, similar_pairs
 from cuegrid.llm.lattice_lm import PieceLattice, score_texts
 from cuegrid.llm.pieces import PieceTransducer, decode_pieces, encode_pieces
 from cuegrid.llm.quality import Logistic, fit_cotraining, keep_good, quality_classifier
@@ -224,6 +224,26 @@ def test_jaccard_join(spark, n, percent, few, monkeypatch):
     assert len(got) == len(texts)
 
 
+@pytest.mark.parametrize(("n", "percent", "block", "columns"), [(3, 90, 200_000, 4096), (5, 80, 900, 7)])
+def test_jaccard_links(spark, n, percent, block, columns, monkeypatch):
+    monkeypatch.setattr("cuegrid.llm.jaccard_join.LINK_BLOCK", block)
+    monkeypatch.setattr("cuegrid.llm.jaccard_join.COLUMNS", columns)
+    texts = near_copies(7 * n + percent)
+    got = ngram_jaccard_join(docs(spark, texts), n, percent, links=True).collect()
+    sets = {i: frozenset(shingles(t, n)) for i, t in texts.items()}
+    similar = lambda x, y: bool(x and y) and x != y and 100 * len(x & y) >= percent * len(x | y)
+    expected = {i: sum(similar(x, y) for y in set(sets.values())) for i, x in sets.items()}
+    assert {r.doc_id: r.n_links for r in got} == expected and len(got) == len(texts)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, n, percent)
+    assert sum(expected.values()) > 2 * len({r.component_id for r in got})  # more links than a tree of each component has
+    ids = {x: min(i for i in sets if sets[i] == x) for x in sets.values() if x}
+    labels = spark.createDataFrame([(r.class_id, r.component_id) for r in got if r.n_links], "id long, component long").distinct()
+    pairs = sorted((r.a, r.b) for r in similar_pairs(docs(spark, texts), labels, n, percent).collect())
+    assert pairs == sorted((ids[x], ids[y]) for x in ids for y in ids if ids[x] < ids[y] and similar(x, y))
+    empty = ngram_jaccard_join(docs(spark, {}), n, percent, links=True)
+    assert empty.count() == 0 and empty.columns[-1] == "n_links"
+
+
 def test_jaccard_join_edges(spark):
     rows = ngram_jaccard_join(docs(spark, [(None, "a b c d"), (3, "a b c d"), (3, "a b c d"), (9, "a b c d")]), 3, 90).collect()
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in rows) == [(0, 0), (3, 3), (3, 3), (9, 3)]
