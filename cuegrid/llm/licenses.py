@@ -69,9 +69,20 @@ RULES = [
     ("BSD", ["bsd-redistribute"]),
 ]
 
-#: Every known sentence holds one of these (a cheap test before normalising).
+#: Beyond the SQL: sentences that other known ones are parts of, and their rules.
+JOINED = {
+    "apache-notice": (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"
+    ),
+}
+JOINED_RULES = [("Apache-2.0", ["apache-notice"])]
+
+#: Every known sentence but gpl-hope holds one of these (a cheap test before normalising).
 CUE = "(?i)licen[cs]e|permission|copyright|redistribut|cc0"
+_CUE = CUE + "|warranty"
 _END = r"[.!?:]+(\s|$)"
+#: A colon ends a sentence only where the whole one is unknown.
+_FULL_END = r"[.!?]+(\s|$)"
 #: A tag whose colon doesn't end a sentence.
 _TAG = "(?i)(spdx-licen[cs]e-identifier):"
 
@@ -83,20 +94,26 @@ def normalised(sentence: Column) -> Column:
 
 def _identifiers(sentences: Column, known: dict[str, str]) -> Column:
     table = F.create_map(*[F.lit(x) for name, text in known.items() for x in (text, name)])
-    cued = F.filter(sentences, lambda s: s.rlike(CUE))
-    return F.filter(F.transform(cued, lambda s: F.try_element_at(table, normalised(s))), lambda x: x.isNotNull())
+    found = lambda parts: F.filter(F.transform(parts, lambda s: F.try_element_at(table, normalised(s))), lambda x: x.isNotNull())
+    cued = F.filter(sentences, lambda s: s.rlike(_CUE))
+
+    def read(s: Column) -> Column:
+        whole = found(F.array(s))
+        return F.when(s.rlike(_END) & (F.size(whole) == 0), found(F.split(s, _END))).otherwise(whole)
+
+    return F.flatten(F.transform(cued, read))
 
 
 def sentence_identifiers(text: Column, known: dict[str, str]) -> tuple[Column, Column]:
     """Identifiers in order, of lines' sentences and of paragraphs' sentences."""
     text = F.regexp_replace(text, _TAG, "$1")
-    lines = F.split(F.regexp_replace(text, _END, "\n"), "\n")
-    paragraphs = F.split(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\n[ \t\r]*\n", "\u0001"), "\n", " "), _END, "\u0001"), "\u0001")
+    lines = F.split(F.regexp_replace(text, _FULL_END, "\n"), "\n")
+    paragraphs = F.split(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\n[ \t\r]*\n", "\u0001"), "\n", " "), _FULL_END, "\u0001"), "\u0001")
     return _identifiers(lines, known), _identifiers(paragraphs, known)
 
 
 def scan_licenses(
-    docs: DataFrame, known: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES
+    docs: DataFrame, known: dict[str, str] = SENTENCES | JOINED, rules: list[tuple[str, list[str]]] = RULES + JOINED_RULES
 ) -> DataFrame:
     """doc_id, n_sentences, sentence_ids and licenses of every row of ``docs(doc_id, text)``.
 
@@ -109,7 +126,7 @@ def scan_licenses(
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast("array<string>")
     lines, paragraphs = sentence_identifiers(text, known)
-    has = text.rlike(CUE)
+    has = text.rlike(_CUE)
     rows = docs.select(
         "doc_id", F.when(has, lines).otherwise(none).alias("lines"), F.when(has, paragraphs).otherwise(none).alias("paragraphs")
     )

@@ -276,6 +276,26 @@ def test_licenses(spark):
     assert licenses.scan_licenses(docs(spark, {})).count() == 0
 
 
+def test_published_license_headers(spark):
+    gpl = [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    ]
+    apache = ['Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at']
+    mit = [
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    ]
+    bsd = ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "1. Redistributions of source code must retain the above copyright notice."]
+    headers = {"GPL-3.0": gpl, "Apache-2.0": apache, "MIT": mit, "BSD": bsd}
+    texts, names = {}, {}
+    for name, parts in headers.items():
+        for text in ("\n\n".join(parts), " ".join(parts), "\n\n".join("\n".join(textwrap.wrap(p, 70)) for p in parts)):
+            names[len(texts)] = name
+            texts[len(texts)] = text
+    assert {r.doc_id: r.licenses for r in licenses.scan_licenses(docs(spark, texts)).collect()} == names
+
+
 # Operator 6
 
 
