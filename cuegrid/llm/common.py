@@ -12,7 +12,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _MEMO_WORDS = 100_000
@@ -20,14 +21,18 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _S32 = np.uint64(32)
 
+#: Most keys that a join may broadcast.
+BROADCAST_KEYS = 1_000_000
 #: Bits of a fixed-size membership bitmap (2 MB): a bound that does not grow with the data.
 BITMAP_BITS = 24
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a private one only where it is unset."""
+    """The shared folder of ``spark.checkpoint.dir``; without it only a local master gets a folder of its own."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -41,6 +46,45 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it (whatever its case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, names with dots included."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
+def with_row_keys(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a bigint column ``name``: a key of the row, the same in every job.
+
+    The key is the row's file (hashed) and its place in the file, which don't depend on how tasks
+    split the files.  The hash has all bits that the places leave free and is tried with other seeds until the
+    files' hashes differ.  What isn't read from files is written first.
+    """
+    try:
+        rows = docs.select("*", docs.metadataColumn("_metadata").alias(name))
+    except AnalysisException:
+        docs = stash(docs)
+        rows = docs.select("*", docs.metadataColumn("_metadata").alias(name))
+    meta = F.col(name)
+    files = stash(rows.groupBy(meta["file_path"].alias("file")).agg(F.max(meta["row_index"]).alias("most")))
+    count, most = files.agg(F.count("*"), F.coalesce(F.max("most"), F.lit(0))).first()
+    bits = max(1, int(most).bit_length())
+    for seed in range(64):
+        place = lambda file, seed=seed: F.shiftrightunsigned(F.xxhash64(file, F.lit(seed)), bits + 1)
+        if files.select(place(F.col("file"))).distinct().count() == count:
+            return rows.withColumn(name, F.shiftleft(place(meta["file_path"]), bits).bitwiseOR(meta["row_index"]))
+    raise ValueError("too many files of too many rows to number")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -147,11 +191,11 @@ def texts(batch, column: str = "text") -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def drop_ids(docs: DataFrame, losers: DataFrame, column: str = "doc_id", most: int = 1_000_000) -> DataFrame:
-    """``docs`` without the rows whose id is in ``losers`` (one id column, written already).
+def drop_rows(docs: DataFrame, losers: DataFrame, column: str) -> DataFrame:
+    """``docs`` without the rows whose key is in ``losers`` (one column, written already).
 
-    Up to ``most`` ids (8 MB) are broadcast, so that the texts are not shuffled; beyond that the
-    join shuffles both sides.
+    Up to ``BROADCAST_KEYS`` keys (8 MB) are broadcast, so that the texts are not shuffled; beyond
+    that the join shuffles both sides.  Either way the same rows stay.
     """
-    small = losers.count() <= most
+    small = losers.count() <= BROADCAST_KEYS
     return docs.join(F.broadcast(losers) if small else losers.hint("merge"), column, "left_anti")

@@ -9,9 +9,9 @@ The vocabulary file's scores are ranks, not probabilities; they give the first w
 law, and ``ROUNDS`` rounds of expectation maximisation over the counts of all words of all training
 texts fit the weights (the pieces themselves stay as they are).
 
-A word that training texts hold has one more arc, across its whole lattice, weighted by its share
-of the training tokens; all other paths together have the weight of unseen words (Good-Turing: the
-share of words seen once).  The end mixes its share and its fitted weight likewise.
+Nothing else enters a score: words that training texts hold have no arcs of their own, so known and
+unknown words are scored by the same lattice, and the probabilities of all texts are those of one
+model of pieces.
 
 Base scores need each word's count over the corpus.  Words whose share of all training tokens is at
 least ``SHARE`` (no more than 1 / SHARE words, whatever the corpus) are broadcast with their counts;
@@ -34,7 +34,7 @@ from cuegrid.llm.common import small_batches, stash, texts
 from cuegrid.llm.pieces import SPACE, PieceTransducer
 
 #: Least share of the training tokens of a broadcast word, rounds of fitting.
-SHARE, ROUNDS = 2e-6, 2
+SHARE, ROUNDS = 2e-6, 3
 #: Words a task counts before it hands them on, and words of one vectorised lattice.
 MOST_COUNTED, MOST_ROWS = 300_000, 4_000
 _BASE = np.uint64(0x100000001B3)
@@ -268,21 +268,17 @@ def score_texts(docs: DataFrame, model_path: str) -> DataFrame:
     trains = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 != 0, F.lit(True))
     ends = docs.where(trains).count()
     n = F.col("n")
-    row = words.agg(F.coalesce(F.sum(n), F.lit(0)).alias("n"), F.count_if(n > 0).alias("v"), F.count_if(n == 1).alias("once")).first()
+    row = words.agg(F.coalesce(F.sum(n), F.lit(0)).alias("n"), F.count_if(n > 0).alias("v")).first()
     total, kinds = row.n + ends, row.v + (ends > 0)
-    unseen = min(0.9, max(row.once, 1) / total) if total else 1.0
     lattice = PieceLattice.from_file(model_path)
     _fit(words, lattice, ends)
-    table = _scored(words, lattice)
-    apart = F.col("log10") + math.log10(unseen)
-    arc = F.when(n > 0, F.log10(n * ((1 - unseen) / max(1, total)) + F.pow(F.lit(10.0), apart))).otherwise(apart)
-    table = stash(table.select("word", "n", arc.alias("log10")))
+    table = stash(_scored(words, lattice))
     often = table.where(F.col("n") >= max(1, math.ceil(SHARE * total))).toArrow()  # at most 1 / SHARE words
     common = {w.encode(): (n, s) for w, n, s in zip(*(often[c].to_pylist() for c in ("word", "n", "log10")), strict=True)}
     shared = spark.sparkContext.broadcast(common)
     below = total + 0.1 * (kinds + 1)
     end_base = math.log10((ends + 0.1) / below)
-    end_score = math.log10((1 - unseen) * ends / max(1, total) + unseen * math.exp(lattice.log_weight[-1]))
+    end_score = lattice.log_weight[-1] / _LN10
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value

@@ -1,16 +1,21 @@
 """Personal data by bootstrapped contextual extraction (operator 6), in DataFrame functions only.
 
 Base rules find e-mail addresses, IP addresses, payment-card and phone numbers.  They are the seeds
-of a bootstrap: the word in front of an entity, alone and together with the word behind it, is a
-lexical pattern; other tokens of four and more digits are instances that might be identifiers too.  On the graph of
-patterns and instances, scores are passed to and fro for a few rounds:
-
-* a pattern's confidence for a kind is the mean score of the instances it stands at, given enough
-  distinct seeds among them;
-* an instance's score for a kind is 1 (a seed), or 1 minus the product of its patterns' doubts.
-
-Instances whose final score is high enough are entities of the kind ``context``.  Edges are
-aggregated before any join, so common contexts meet as counts, and texts are read once.
+of a bootstrap.  A lexical pattern is the word in front of an entity, alone or together with the
+word behind it.  Instances are the entities and all identifier-like tokens: whole tokens, without
+brackets and punctuation around them, that hold a digit or a sign within (``@ _ / \\ # ~ = +``, or ``. : [ (``
+between others).  A token of letters alone is no candidate.  Rounds on the graph of patterns and instances:
+
+* a pattern lives for a kind once ``MIN_SEEDS`` distinct instances of the kind stand at it: seeds and
+  whatever rounds before have found;
+* its confidence is the share of those among all its instances, and it must reach ``MIN_PATTERN``;
+* an instance's score is 1 minus the product of the doubts of the words in front of it (of a word's
+  patterns the most confident counts); from ``MIN_SCORE`` on it is found, and counts as the seeds do.
+
+So found instances induce new patterns at their other places, and these find others.  What counts
+only grows, so the rounds end, when one finds nothing more.  Found instances are entities of the kind
+``context``.  Edges are aggregated before any join, so common contexts meet as counts, and texts are
+read once.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cuegrid.llm.common import stash
-from cuegrid.llm.spans import SPAN, apart_from, as_text, find_spans, in_order, no_spans, of_kind
+from cuegrid.llm.spans import apart_from, as_text, find_spans, in_order, no_spans, of_kind
 
 KINDS = ("email", "ip", "card", "phone")
 W = r"\x20\x09-\x0D"  # what separates words
@@ -32,10 +37,12 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = "[0-9][0-9\u0001]*[0-9]"
 JOINT, OTHER = "\u0001", "\u0002"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A whole token with four digits and more.
-CANDIDATE = rf"(?<![^{W}])[^{W}0-9]*+[0-9][^{W}0-9]*+[0-9][^{W}0-9]*+[0-9][^{W}0-9]*+[0-9][^{W}]*+"
+P = r".,;:!?()\[\]<>\"'"  # what may stand around a token
+SIGNED = rf"(?=[^{W}]*?(?:[0-9@_/\\#~=+]|[^{W}{P}][.:\[(][^{W}{P}]))"
+#: A token that looks like an identifier, without the punctuation around it.
+CANDIDATE = rf"(?<=(?:^|[{W}])[(\[<\"']{{0,3}}+)(?=[^{W}{P}]){SIGNED}[^{W}]*[^{W}{P}](?=[{P}]*+(?:[{W}]|\z))"
 
-ROUNDS, MIN_SEEDS, MIN_PATTERN, MIN_SCORE = 3, 5, 0.5, 0.9
+MIN_SEEDS, MIN_PATTERN, MIN_SCORE, DIGITS = 5, 0.4, 0.6, 9
 
 
 def _digits(hit: Column) -> Column:
@@ -63,107 +70,84 @@ def base_spans(text: Column) -> Column:
     joined = F.regexp_replace(F.translate(text, JOINT, OTHER), r"(?<=[0-9])[\x20-](?=[0-9])", JOINT)
     many = text.rlike(r"[0-9](?:[\x20-]?[0-9]){13}")
     return in_order(
-        find_spans(text, EMAIL, "email", 0, guard=F.contains(text, F.lit("@"))),
-        find_spans(text, IP, "ip", 1, small_parts),
-        F.when(many, find_spans(joined, CARD, "card", 2, luhn)).otherwise(no_spans()),
-        find_spans(text, PHONE, "phone", 3, lambda h: F.length(_digits(h)).between(10, 15), F.contains(text, F.lit("+"))),
+        find_spans(text, EMAIL, "email", 0, guard=F.contains(text, F.lit("@")), placed=True),
+        find_spans(text, IP, "ip", 1, small_parts, placed=True),
+        F.when(many, find_spans(joined, CARD, "card", 2, luhn, placed=True)).otherwise(no_spans(True)),
+        find_spans(text, PHONE, "phone", 3, lambda h: F.length(_digits(h)).between(10, 15), F.contains(text, F.lit("+")), True),
     )
 
 
-def _placed(text: Column, spans: Column) -> Column:
-    """Each span with the word in front of it and the word behind it (lower case, 40 characters at most)."""
-
-    def place(s: Column) -> Column:
-        left = F.substring(text, F.greatest(s["start"] - 39, F.lit(1)), F.least(s["start"], F.lit(40)))
-        right = F.substring(text, s["end"] + 1, F.lit(40))
-        return F.struct(
-            s.alias("span"),
-            F.lower(F.regexp_extract(left, rf"([^{W}]+)[{W}]*$", 1)).alias("left"),
-            F.lower(F.regexp_extract(right, rf"^[{W}]*([^{W}]+)", 1)).alias("right"),
-        )
-
-    return F.transform(spans, place)
-
-
 def discover(occurrences: DataFrame) -> DataFrame:
-    """(value, kind, score) of the unseen instances found.
+    """(value, kind, score) of the unseen instances found; of several kinds the likeliest.
 
     ``occurrences(value, kind, left, right)``: one row an entity or candidate; kind is null for
-    candidates.
+    candidates.  Rows without a word in front (null or empty) are in no pattern; a null right counts as none.
     """
-    both = F.array(F.concat(F.lit("l:"), "left"), F.concat(F.lit("b:"), "left", F.lit(" "), "right"))
+    both = F.array(F.concat(F.lit("l:"), "left"), F.concat(F.lit("b:"), "left", F.lit(" "), F.coalesce("right", F.lit(""))))
     edges = stash(
-        occurrences.where("left <> ''")
-        .select("value", "kind", F.explode(both).alias("pattern"))
-        .groupBy("pattern", "value")
-        .agg(F.max("kind").alias("kind"))
+        occurrences.where("left <> '' and value <> ''")
+        .select("value", "kind", "left", F.explode(both).alias("pattern"))
+        .groupBy("left", "pattern", "value")
+        .agg(F.collect_set("kind").alias("kinds"))
     )
-    # A pattern without enough distinct seeds can't gain confidence in any round.
-    sown = edges.groupBy("pattern").agg(F.count("kind").alias("seeds"), F.count("*").alias("n")).where(F.col("seeds") >= MIN_SEEDS)
-    edges = stash(edges.join(sown.select("pattern", "n"), "pattern"))
-    scores = edges.where("kind is not null").select("value", "kind", F.lit(1.0).alias("score")).distinct()
-    new = None
-    for _ in range(ROUNDS):
-        rows = edges.select("pattern", "value", "n", F.col("kind").alias("own")).join(scores, "value")
-        patterns = rows.groupBy("pattern", "kind").agg(
-            (F.sum("score") / F.max("n")).alias("trust"), F.count_if(F.col("own") == F.col("kind")).alias("seeds")
+    total = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SEEDS)
+    edges = stash(edges.join(total, "pattern"))  # a pattern of fewer instances never lives
+    seeds = edges.select("value", F.explode("kinds").alias("kind")).distinct()
+    values = edges.where(F.size("kinds") == 0).select("left", "pattern", "value")
+    found, number = stash(seeds.select("value", "kind", F.lit(1.0).alias("score")).limit(0)), 0
+    while True:
+        positive = seeds.unionAll(found.select("value", "kind")).distinct()
+        patterns = (
+            edges.select("left", "pattern", "value", "n")
+            .join(positive, "value")
+            .groupBy("left", "pattern", "n", "kind")
+            .agg(F.count("*").alias("hits"))
+            .where((F.col("hits") >= MIN_SEEDS) & (F.col("hits") >= MIN_PATTERN * F.col("n")))
+            .select("pattern", "kind", (F.col("hits") / F.col("n")).alias("trust"))
         )
-        patterns = patterns.where((F.col("seeds") >= MIN_SEEDS) & (F.col("trust") >= MIN_PATTERN))
-        doubt = F.sum(F.log(F.greatest(1 - F.least("trust", F.lit(0.999)), F.lit(1e-6))))
-        new = stash(
-            edges.where("kind is null")
-            .select("pattern", "value")
-            .join(patterns.select("pattern", "kind", "trust"), "pattern")
-            .groupBy("value", "kind")
-            .agg((1 - F.exp(doubt)).alias("score"))
-        )
-        scores = edges.where("kind is not null").select("value", "kind", F.lit(1.0).alias("score")).distinct().unionAll(new)
-    return new.where(F.col("score") >= MIN_SCORE).groupBy("value").agg(
-        F.max_by("kind", F.struct("score", "kind")).alias("kind"), F.max("score").alias("score")
-    )
+        words = values.join(patterns, "pattern").groupBy("value", "kind", "left").agg(F.max("trust").alias("trust"))
+        doubt = F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-6))))
+        scored = words.groupBy("value", "kind").agg(F.round(1 - F.exp(doubt), DIGITS).alias("score"))
+        found = stash(scored.where(F.col("score") >= MIN_SCORE))
+        before, number = number, found.count()
+        if number == before:
+            break
+    return found.groupBy("value").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"), F.max("score").alias("score"))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, n_context, base_sha256 and spans, one row per input row.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_context, one row per input row.
 
     The four base counts are those of the base rules; ``context`` counts what the method adds.
     A null text counts as empty; an empty text has no spans (empty string, and the hash of it); a
-    null doc_id stays null; repeated rows are answered each; an empty table gives an empty result;
-    other columns are ignored.  Method spans that overlap a base span are left out.
+    null doc_id stays null; repeated rows are answered each, and count once in the graph; an empty
+    table gives an empty result; other columns are ignored.  Method spans that overlap a base span are
+    left out.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).withColumn("base", base_spans(F.col("text")))
-    more = apart_from(find_spans(F.col("text"), CANDIDATE, "context", 4), F.col("base"))
-    digits = F.col("text").rlike("[0-9]")
-    rows = rows.withColumn("more", F.when(digits, more).otherwise(no_spans()))
-    rows = stash(
-        rows.select(
-            F.monotonically_increasing_id().alias("row"),
-            "doc_id",
-            "base",
-            _placed(F.col("text"), F.col("base")).alias("seeds"),
-            _placed(F.col("text"), F.col("more")).alias("candidates"),
-        )
-    )
+    more = apart_from(find_spans(F.col("text"), CANDIDATE, "context", 4, placed=True), F.col("base"))
+    rows = rows.withColumn("more", more)
+    rows = stash(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "base", "more"))
     one = lambda c, kind: rows.select(F.explode(c).alias("x")).select(
-        F.lower("x.span.hit").alias("value"), kind.alias("kind"), "x.left", "x.right"
+        F.lower("x.hit").alias("value"), kind.alias("kind"), F.lower("x.left").alias("left"), F.lower("x.right").alias("right")
     )
-    seen = one("seeds", F.col("x.span.kind")).unionAll(one("candidates", F.lit(None).cast("string")))
+    seen = one("base", F.col("x.kind")).unionAll(one("more", F.lit(None).cast("string")))
     found = stash(discover(seen))
     found_in = (
-        rows.select("row", F.explode("candidates").alias("x"))
-        .select("row", F.lower("x.span.hit").alias("value"), F.col("x.span").alias("span"))
+        rows.select("row", F.explode("more").alias("span"))
+        .withColumn("value", F.lower("span.hit"))
         .join(found.select("value"), "value")
         .groupBy("row")
         .agg(F.collect_list("span").alias("extra"))
     )
     joined = rows.select("row", "doc_id", "base").join(found_in, "row", "left")
-    extra = F.coalesce("extra", F.array().cast(f"array<{SPAN}>"))
+    extra = F.coalesce("extra", no_spans(True))
     every = in_order(F.col("base"), extra)
     return joined.select(
         "doc_id",
         *(of_kind(F.col("base"), k).alias(f"n_{k}") for k in KINDS),
-        F.size(extra).cast("long").alias("n_context"),
         F.sha2(as_text(F.col("base")), 256).alias("base_sha256"),
         as_text(every).alias("spans"),
+        F.size(extra).cast("long").alias("n_context"),
     )

@@ -12,9 +12,11 @@ alphabet,
 A random string passes all three: Fisher's combination of their p-values must not be small.
 Against it stands ordinary text, whose chi-squared is non-central with a parameter that grows with
 the length; its excess a character is measured on the corpus's own letter-only runs, and carried
-to other alphabets as the same chance of drawing one character twice.  The p-value
-of a candidate is the chance that an ordinary string of its length comes out as even, so short
-strings can't be declared on luck.  The Benjamini-Hochberg rule at ``FDR`` is applied in every
+to other alphabets as the same chance of drawing one character twice; for hexadecimal digits the
+ordinary string is a decimal number (ten of the sixteen symbols).  Evenness says
+little of 20 to 40 characters, so there are two p-values: the chance that an ordinary string of the length comes
+out as even, and the chance that it changes as often between letters and digits (``CHANGES`` a
+character).  Fisher's rule combines them.  The Benjamini-Hochberg rule at ``FDR`` is applied in every
 length band, over counts of p-values in tenths of a decade (bounded rows, no global sort).
 Letter-only runs are the reference and are never declared.
 """
@@ -26,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuegrid.llm.common import stash
+from cuegrid.llm.common import columns, fresh, stash
 from cuegrid.llm.spans import apart_from, as_text, find_spans, in_order, of_kind, replaced
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -40,6 +42,10 @@ FDR, LEAST_FIT = 0.01, 0.01
 USUAL_EXCESS = 0.7
 #: Least excess a character taken for any alphabet.
 LEAST_EXCESS = 0.3
+#: Excess a character of a decimal number over the hexadecimal digits: 16 / 10 - 1.
+HEX_EXCESS = 0.6
+#: Changes between letters and digits a character in ordinary strings (two in a name such as "run2024b").
+CHANGES = 0.075
 BINS = 300
 
 ALPHABETS = {
@@ -86,7 +92,7 @@ def _encoding(token: Column) -> Column:
 
 
 def token_tests(token: Column) -> Column:
-    """struct(encoding, size, chi2, free, fit) of a token: fit is Fisher's combined p-value."""
+    """struct(encoding, size, chi2, free, fit, changes) of a token: fit is Fisher's combined p-value."""
     encoding = _encoding(token)
     plain = (
         F.when(encoding == "hex", F.lower(token))
@@ -107,9 +113,11 @@ def token_tests(token: Column) -> Column:
         halves = F.array_join(F.transform(codes, lambda c: F.when(c < F.floor(kinds / 2), "a").otherwise("b")), "")
         low = n - F.length(F.replace(halves, F.lit("a")))
         runs = F.length(F.regexp_replace(halves, "a+|b+", "x"))
+        changes = F.length(F.regexp_replace(F.regexp_replace(text, "[^A-Za-z0-9]", ""), "[A-Za-z]+|[0-9]+", "x")) - 1
         return F.struct(
-            n.alias("n"), kinds.alias("kinds"), squares.alias("squares"), codes.alias("codes"), low.alias("low"), runs.alias("runs")
-        )
+            n.alias("n"), kinds.alias("kinds"), squares.alias("squares"), codes.alias("codes"), low.alias("low"), runs.alias("runs"),
+            changes.cast("double").alias("changes"),
+        )
 
     def judged(v: Column) -> Column:
         n, kinds, low = v["n"], v["kinds"], v["low"].cast("double")
@@ -130,7 +138,7 @@ def token_tests(token: Column) -> Column:
         z_serial = F.when(around > 0, beside / around * F.sqrt(n)).otherwise(F.lit(9.0))
         tails = F.struct(z_chi.alias("chi"), z_runs.alias("runs"), z_serial.alias("serial"))
         fit = bind(bind(tails, logs), lambda half: F.exp(-half) * (1 + half + half * half / 2))
-        return F.struct(encoding.alias("encoding"), n.alias("size"), chi2.alias("chi2"), free.alias("free"), fit.alias("fit"))
+        return F.struct(encoding.alias("encoding"), n.alias("size"), chi2.alias("chi2"), free.alias("free"), fit.alias("fit"), v["changes"].alias("changes"))
 
     def logs(z: Column) -> Column:
         """Half of Fisher's statistic, which has 6 degrees of freedom."""
@@ -139,19 +147,33 @@ def token_tests(token: Column) -> Column:
 
     start = F.struct(plain.alias("text"), F.element_at(table, encoding).alias("alphabet"))
     return F.when(F.length(plain) >= 16, bind(bind(start, tests), judged)).otherwise(
-        F.struct(F.lit("letters").alias("encoding"), *(F.lit(x).alias(c) for c, x in (("size", 0.0), ("chi2", 0.0), ("free", 1.0), ("fit", 0.0))))
+        F.struct(F.lit("letters").alias("encoding"), *(F.lit(x).alias(c) for c, x in (("size", 0.0), ("chi2", 0.0), ("free", 1.0), ("fit", 0.0), ("changes", 0.0))))
     )
 
 
-def ordinary_p(t: Column, excess: float) -> Column:
+def evenness_p(t: Column, excess: float) -> Column:
     """The chance that ordinary text of this length has as small a chi-squared (Abdel-Aty)."""
-    shift = t["size"] * F.greatest(F.lit(LEAST_EXCESS), (t["free"] + 1) * (excess + 1) / 26 - 1)
+    rate = F.when(t["encoding"] == "hex", F.lit(HEX_EXCESS)).otherwise(F.greatest(F.lit(LEAST_EXCESS), (t["free"] + 1) * (excess + 1) / 26 - 1))
+    shift = t["size"] * rate
     a = t["free"] + shift
     spread = F.lit(2.0) * (1 + shift / a) / (9 * a)
     z = (F.pow(F.greatest(t["chi2"], F.lit(0.0)) / a, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
     return bind(-z, normal_tail)
 
 
+def changes_p(t: Column) -> Column:
+    """The chance of as many changes in an ordinary string: a Poisson tail by its first term (Stirling) and a geometric series."""
+    mean, c = t["size"] * CHANGES, F.greatest(t["changes"], F.lit(0.0))
+    tail = F.exp(c - mean - c * F.log(c / mean)) / F.sqrt(c * 6.283185307179586) / (1 - mean / (c + 1))
+    return F.when(c > mean, F.least(F.lit(1.0), tail)).otherwise(F.lit(1.0))
+
+
+def ordinary_p(t: Column, excess: float) -> Column:
+    """The chance that an ordinary string of this length looks as random (Fisher's rule, 4 degrees of freedom)."""
+    half = -(F.log(evenness_p(t, excess)) + F.log(F.greatest(changes_p(t), F.lit(1e-300))))
+    return bind(half, lambda h: F.exp(-h) * (1 + h))
+
+
 def _band(t: Column) -> Column:
     return F.when(t["size"] < 32, 0).when(t["size"] < 64, 1).when(t["size"] < 128, 2).otherwise(3)
 
@@ -205,36 +227,55 @@ def _spans(text: Column, excess: float, least: dict[int, int]) -> tuple[Column,
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random and the whole row's text spans.
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_random, one row per input row.
 
-    One row per input row.  A null text counts as empty; an empty text has no spans (empty string,
-    and the hash of it); a null doc_id stays null; repeated rows are answered each; an empty table
-    gives an empty result; other columns are ignored.  Method spans that overlap a base span are
-    left out.  Distinct candidate strings count once in the false-discovery control.
+    spans are of the whole text, base ones and those of the method.  A null text counts as empty; an
+    empty text has no spans (empty string, and the hash of it); a null doc_id stays null; repeated
+    rows are answered each; an empty table gives an empty result; other columns are ignored.
+    Method spans that overlap a base span are left out.  Distinct candidate strings count once in
+    the false-discovery control.
     """
     docs = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    marked = mark_secrets(docs)
+    marked = mark_secrets(docs, "found")
     base = F.filter("found", lambda s: s["rank"] < 3)
     return marked.select(
         "doc_id",
-        *(of_kind(F.col("found"), k).alias(f"n_{k}") for k in KINDS),
+        *(of_kind(F.col("found"), k).alias(f"n_{k}") for k in KINDS[:3]),
         F.sha2(as_text(base), 256).alias("base_sha256"),
         as_text(F.col("found")).alias("spans"),
+        of_kind(F.col("found"), KINDS[3]).alias(f"n_{KINDS[3]}"),
     )
 
 
-def mark_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column ``found``: all spans of text in order."""
-    excess, least = calibrate(docs)
-    base, more = _spans(F.col("text"), excess, least)
-    return docs.withColumns({"__base": base, "__more": more}).select(
-        *docs.columns, in_order(F.col("__base"), apart_from(F.col("__more"), F.col("__base"))).alias("found")
-    )
+def mark_secrets(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column ``name``, which they mustn't have: all spans of text in order.
+
+    A null text has null spans, an empty one none; all other columns stay, whatever their names; an
+    empty table gives an empty result.
+    """
+    base, more = _spans(F.col("text"), *calibrate(docs.select("text")))
+    one, two = fresh(docs, "base", "more")
+    wide = docs.select("*", base.alias(one), more.alias(two))
+    return wide.select(*columns(docs), in_order(F.col(one), apart_from(F.col(two), F.col(one))).alias(name))
 
 
 def redact_secrets(docs: DataFrame, by: str = "[secret]") -> DataFrame:
-    """``docs`` with every secret of text replaced, and n_chars (if there) as it is then."""
-    marked = mark_secrets(docs).withColumn("text", replaced(F.col("text"), F.col("found"), by))
-    if "n_chars" in docs.columns:
-        marked = marked.withColumn("n_chars", F.when(F.size("found") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return marked.select(*docs.columns)
+    """``docs`` with every secret of text replaced, and n_chars (if there) as it is then.
+
+    Texts without secrets, null and empty ones included, and all other columns (whatever their
+    names) stay as they are; rows that repeat are rewritten each; an empty table gives an empty
+    result.
+    """
+    (found,) = fresh(docs, "found")
+    marked = mark_secrets(docs, found)
+    any_ = F.coalesce(F.size(found), F.lit(0)) > 0
+    text = F.when(any_, replaced(F.col("text"), F.col(found), by)).otherwise(F.col("text"))
+    out = []
+    for column, name in zip(columns(docs), docs.columns, strict=True):
+        if name == "text":
+            column = text.alias("text")
+        elif name == "n_chars":
+            kind = docs.schema["n_chars"].dataType
+            column = F.when(any_, F.length(text).cast(kind)).otherwise(F.col("n_chars")).alias("n_chars")
+        out.append(column)
+    return marked.select(*out)
