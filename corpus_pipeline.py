@@ -9,6 +9,11 @@ stage's documents.  All stages but the last keep the columns of ``documents``:
 3. decontamination: documents that hold a benchmark item go;
 4. secrets: secrets in texts are replaced, and n_chars follows;
 5. pieces: the texts are encoded as SentencePiece ids.
+
+Stages judge rows, not ids: rows that share a doc_id are documents of their own, and rows with a null doc_id are
+judged like all others.  Null, empty and blank texts are near copies of nothing and hold no item and no secret.  Of rows that
+repeat, near_duplicates keeps one.  An empty table gives an empty result.  Extra columns stay as
+they are, whatever their names; no stage needs columns besides doc_id and text.
 """
 
 from __future__ import annotations
@@ -17,8 +22,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cuegrid.llm.common import checkpoint_dir, drop_ids, read_table, stash
+from cuegrid.llm.common import checkpoint_dir, columns, drop_rows, fresh, read_table, stash, with_row_keys
 from cuegrid.llm.decontaminate import find_contamination
 from cuegrid.llm.jaccard_join import ngram_jaccard_join
 from cuegrid.llm.pieces import encode_pieces
@@ -28,24 +34,40 @@ from cuegrid.llm.secrets import redact_secrets
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that the classifier keeps; all of them if ``labels`` has too few rows of a class."""
     return keep_good(docs, fit_cotraining(docs, read_table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_jaccard_join(docs, n=5, percent=80)
-    return drop_ids(docs, stash(groups.where("component_id <> doc_id").select("doc_id")))
+    """One row of each group: that of the smallest doc_id (nulls last), of several such rows one."""
+    (row,) = fresh(docs, "row")
+    keyed = with_row_keys(docs, row)
+    found = ngram_jaccard_join(keyed.select(F.col(row).alias("doc_id"), "text"), n=5, percent=80)
+    groups = stash(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("part")))
+    parts = groups.where("part <> row").select("part").distinct()
+    members = groups.join(parts, "part").join(keyed.select(F.col(row).alias("row"), F.col("doc_id").alias("id")), "row")
+    members = stash(members.select("row", "part", F.struct(F.col("id").isNull(), "id", "row").alias("place")))
+    kept = members.groupBy("part").agg(F.min("place")["row"].alias("row"))
+    losers = stash(members.join(kept, "row", "left_anti").select(F.col("row").alias(row)))
+    return drop_rows(keyed, losers, row).select(*columns(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = find_contamination(docs, read_table(spark, sf_dir, "benchmark"), n=5, percent=80)
-    return drop_ids(docs, stash(found.select("doc_id").distinct()))
+    """The rows that hold no benchmark item (80 % of its five-word shingles)."""
+    (row,) = fresh(docs, "row")
+    keyed = with_row_keys(docs, row)
+    found = find_contamination(keyed.select(F.col(row).alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"), n=5, percent=80)
+    losers = stash(found.select(F.col("doc_id").alias(row)).distinct())
+    return drop_rows(keyed, losers, row).select(*columns(docs))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with the secrets in their texts replaced."""
     return redact_secrets(docs)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of piece ids a row; see :func:`encode_pieces`."""
     return encode_pieces(docs, PIECE_MODEL)
 
 
@@ -62,7 +84,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written into the shared folder and read again."""
+    """All stages over ``documents``, each written into the shared folder and read again.
+
+    One row a document kept: its piece ids.  The files of the stages stay in the shared folder of the job.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = f"{checkpoint_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
