@@ -1,14 +1,17 @@
 """Benchmark decontamination by size-partitioned MinHash containment search (operator 10).
 
 An item is found in a document when at least ``percent`` % of the item's distinct word shingles
-are in the document's.  The search sketches the items only:
-
-* Items are partitioned by size (number of distinct shingles ``m``, by powers of two), and each
-  partition has its own sketch length, ``m - ceil(percent * m) + 1`` for its largest ``m``: the
-  item's smallest shingle hashes (a bottom-k MinHash).
-* A document that holds an item misses fewer shingles than the sketch has, so it holds one
-  sketch hash at least: no item is missed, however long the document.  Sketching the documents too
-  (banded MinHash) would lose short items in long documents, whose Jaccard similarity goes to 0.
+are in the document's:
+
+* Items are partitioned by size (number of distinct shingles ``m``, by powers of two).  An item may miss
+  ``e = m - ceil(percent * m)`` shingles.  Its sketch is a bottom-k MinHash, its ``2 * e_max + 1`` smallest shingle hashes,
+  where ``e_max`` is the most that an item of the partition may miss.
+* In every partition a document's sketch is its hashes up to the partition's greatest sketch hash (a scaled
+  MinHash), so short items keep their weight in long documents.  Banded MinHash of the documents would lose
+  them there, where Jaccard similarity goes to 0.
+* The share of an item's sketch in the document's estimates containment.  An item is a candidate if
+  no more than ``e`` of its sketch is missing, which holds of every item that the document holds: the
+  search loses none, and most others fall here.
 * Candidates are verified by exact containment of all the item's shingles.
 
 Items are a stated query set: they reach the tasks in blocks of bounded size, and every block is
@@ -18,6 +21,7 @@ run against all documents; documents are never shuffled.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -32,58 +36,75 @@ from cuegrid.llm.common import Shingler, small_batches, texts
 BLOCK_CHARS = 16_000_000
 
 
+@dataclass
+class Partition:
+    """The sketches of the items of one range of sizes: hashes in order, and whose they are."""
+
+    hashes: np.ndarray
+    owners: np.ndarray
+    least: np.ndarray  # a candidate's hits, by position in the block (0 for items of other partitions)
+
+    def candidates(self, tokens: np.ndarray) -> np.ndarray:
+        """Positions of the candidates among a document's distinct hashes, in order."""
+        sketch = tokens[: np.searchsorted(tokens, self.hashes[-1], "right")]
+        hits = np.bincount(_owners(self.hashes, self.owners, sketch), minlength=len(self.least))
+        return np.flatnonzero((self.least > 0) & (hits >= self.least))
+
+
+def _owners(keys: np.ndarray, owners: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Owners of the keys (in order) that are among distinct tokens, with repeats."""
+    lo, hi = np.searchsorted(keys, tokens, "left"), np.searchsorted(keys, tokens, "right")
+    hit = np.flatnonzero(hi > lo)
+    return np.concatenate([owners[:0], *(owners[lo[k] : hi[k]] for k in hit)])
+
+
+def _in_order(hashes: list[np.ndarray], owners: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    h = np.concatenate([np.empty(0, np.uint64), *hashes])
+    o = np.repeat(np.array(owners, np.int64), [len(x) for x in hashes])
+    order = np.argsort(h, kind="stable")
+    return h[order], o[order]
+
+
 class ItemIndex:
-    """Sketches and full shingle sets of one block of items; ``positions`` number the items."""
+    """Partitions and full shingle sets of one block of items, which are known by their positions."""
 
     def __init__(self, items: list[tuple[int, str]], n: int, percent: int) -> None:
         shingles = Shingler(n, True)
         self.ids = [i for i, _ in items]
-        sets = [shingles.distinct((text or "").encode()) for _, text in items]
-        self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.sets = [shingles.distinct((text or "").encode()) for _, text in items]
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
         self.need = -(-percent * self.sizes // 100)
-        classes = np.array([len(s).bit_length() for s in sets], np.int64)
-        sketch_h, sketch_i = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        missing = self.sizes - self.need
+        classes = np.array([len(s).bit_length() for s in self.sets], np.int64)
+        self.partitions = []
         for c in np.unique(classes[self.sizes > 0]):
             members = np.flatnonzero(classes == c)
-            largest = int(self.sizes[members].max())
-            length = largest + (-percent * largest) // 100 + 1
-            for i in members:
-                sketch_h.append(sets[i][:length])
-                sketch_i.append(np.full(min(length, len(sets[i])), i, np.int64))
-        self.sketch, self.sketch_item = self._sorted(sketch_h, sketch_i)
-        self.token, self.token_item = self._sorted(
-            [np.empty(0, np.uint64), *sets], [np.empty(0, np.int64), *(np.full(len(s), i, np.int64) for i, s in enumerate(sets))]
-        )
+            length = 2 * int(missing[members].max()) + 1
+            sketches = [self.sets[i][:length] for i in members]
+            least = np.zeros(len(items), np.int64)
+            least[members] = np.array([len(s) for s in sketches]) - missing[members]
+            self.partitions.append(Partition(*_in_order(sketches, list(members)), least))
         bits = 20
         self.shift = np.uint64(64 - bits)
         self.maybe = np.zeros(1 << bits, bool)  # spares most look-ups
-        self.maybe[(self.sketch >> self.shift).astype(np.int64)] = True
-
-    @staticmethod
-    def _sorted(hashes: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        h, i = np.concatenate(hashes), np.concatenate(items)
-        order = np.argsort(h, kind="stable")
-        return h[order], i[order]
-
-    @staticmethod
-    def _hits(keys: np.ndarray, owners: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-        """Owners of the keys that are among distinct tokens, with repeats."""
-        lo, hi = np.searchsorted(keys, tokens, "left"), np.searchsorted(keys, tokens, "right")
-        hit = np.flatnonzero(hi > lo)
-        if not len(hit):
-            return owners[:0]
-        return np.concatenate([owners[lo[k] : hi[k]] for k in hit])
+        for p in self.partitions:
+            self.maybe[(p.hashes >> self.shift).astype(np.int64)] = True
 
     def search(self, shingles: np.ndarray) -> list[tuple[int, int]]:
         """(position, shared shingles) of the items that the document of these shingles holds."""
-        if not len(shingles) or not self.maybe[(shingles >> self.shift).astype(np.int64)].any():
-            return []
-        tokens = np.unique(shingles)
-        candidates = np.unique(self._hits(self.sketch, self.sketch_item, tokens))
-        if not len(candidates):
+        maybe = self.maybe[(shingles >> self.shift).astype(np.int64)]
+        if not maybe.any():
             return []
-        shared = np.bincount(self._hits(self.token, self.token_item, tokens), minlength=len(self.ids))
-        return [(int(i), int(shared[i])) for i in candidates if shared[i] >= self.need[i]]
+        likely = np.unique(shingles[maybe])  # holds all hashes of any sketch
+        found, tokens = [], None
+        for p in self.partitions:
+            for i in p.candidates(likely):
+                tokens = np.unique(shingles) if tokens is None else tokens
+                at = np.minimum(np.searchsorted(tokens, self.sets[i]), len(tokens) - 1)
+                shared = int((tokens[at] == self.sets[i]).sum())
+                if shared >= self.need[i]:
+                    found.append((int(i), shared))
+        return found
 
 
 def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:

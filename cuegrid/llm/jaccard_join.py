@@ -204,7 +204,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, links: bool = False) -> DataFrame:
-    """Similar documents, one row per input row: doc_id, n_shingles, class_id, component_id (and n_links).
+    """Similar documents, one row per input row: doc_id, n_shingles, component_id, class_id (and n_links).
 
     ``docs`` needs doc_id (any integer type) and text; other columns are ignored.  class_id is the
     smallest doc_id with the same shingle set, component_id the smallest reachable by links.
@@ -231,8 +231,8 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, links: bo
         "sign", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id")
     )
     own = F.col("doc_id")
-    found = ["doc_id", "n_shingles", F.when(own.isNotNull(), F.coalesce("class_id", own)).alias("class_id"),
-             F.when(own.isNotNull(), F.coalesce("component_id", own)).alias("component_id")]
+    found = ["doc_id", "n_shingles", F.when(own.isNotNull(), F.coalesce("component_id", own)).alias("component_id"),
+             F.when(own.isNotNull(), F.coalesce("class_id", own)).alias("class_id")]
     if links:
         ends = similar_pairs(docs, labels, n, percent, True).groupBy(F.col("id").alias("class_id")).agg(F.sum("n").alias("n_links"))
         member = member.join(stash(ends), "class_id", "left")

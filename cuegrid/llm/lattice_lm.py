@@ -186,8 +186,9 @@ class PieceLattice:
 
     def refit(self, uses: np.ndarray) -> None:
         """New weights from expected uses; half a use is added to each, so that none is impossible."""
-        uses = uses + 0.5
-        uses[-2] = uses[-2] / self.n_bytes + 0.5  # a byte's share of all fallback bytes
+        uses = uses.copy()
+        uses[-2] /= self.n_bytes  # a byte's share of all fallback bytes
+        uses += 0.5
         total = uses.sum() + uses[-2] * (self.n_bytes - 1)
         self.log_weight = np.log(uses / total)
 

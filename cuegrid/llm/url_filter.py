@@ -7,12 +7,15 @@ keys that level 2 takes for those; and so on until a level errs on nothing.  A k
 level by level until one doesn't hold it: listed if that took an odd number of levels held.  A look-up is
 a column expression over literals, so pages are neither joined nor shuffled.
 
-The literals' size follows the list's length; lists of more than ``MOST_KEYS`` keys are looked up
-by a shuffled join on the distinct hosts instead.
+Level 1 errs on about as many keys as are listed (its error rate is the list's share of the universe), and every
+later level on half of its keys.  All levels together so take about ``len(list) * (5 + 1.44 *
+log2(universe / list))`` bits, whatever the universe holds: 2 MB for a million listed keys among a
+billion, and that is also all that the driver sees.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,9 +24,8 @@ from pyspark.sql import functions as F
 
 from cuegrid.llm.common import stash
 
-#: Most listed keys of a cascade in literals (about 2.5 MB), bits a key and hashes of its levels.
-MOST_KEYS = 1_000_000
-BITS, HASHES = 16, 4
+#: Least and most hashes of a level; a level of h hashes errs on one key in 2 ** h.
+HASHES = (1, 40)
 
 
 def host_of(url: Column) -> Column:
@@ -46,41 +48,39 @@ def parents(host: Column) -> Column:
 
 @dataclass
 class Level:
-    """One Bloom filter: bits in 64-bit words, their number a power of two."""
+    """One Bloom filter: its number, hashes a key, and bits in 64-bit words."""
 
     number: int
+    hashes: int
     words: np.ndarray
 
     def holds(self, key: Column) -> Column:
         words, bits = F.lit(self.words), len(self.words) * 64
         found = F.lit(True)
-        for at in _places(key, self.number, bits):
+        for at in _places(key, self.number, self.hashes, bits):  # the first bit that is off ends the search
             word = F.element_at(words, (F.shiftright(at, 6) + 1).cast("int"))
             found = found & (F.getbit(word, (at.bitwiseAND(63)).cast("int")) == 1)
         return found
 
 
-def _places(key: Column, number: int, bits: int) -> list[Column]:
-    return [F.xxhash64(key, F.lit(number), F.lit(j)).bitwiseAND(bits - 1) for j in range(HASHES)]
+def _places(key: Column, number: int, hashes: int, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(number), F.lit(j)), F.lit(bits).cast("long")) for j in range(hashes)]
 
 
-def _level(keys: DataFrame, number: int) -> Level | None:
-    """The filter of a table of distinct keys; None without keys."""
-    count = keys.count()
-    if not count:
-        return None
-    bits = max(64, 1 << (count * BITS - 1).bit_length())
-    at = keys.select(F.explode(F.array(*_places(F.col("key"), number, bits))).alias("at"))
+def _level(keys: DataFrame, number: int, count: int, others: int) -> Level:
+    """The filter of a table of ``count`` distinct keys that is to err on about as many of ``others``."""
+    hashes = min(HASHES[1], max(HASHES[0], math.ceil(math.log2(max(1.0, others / count)))))
+    size = max(1, math.ceil(count * hashes / math.log(2) / 64))
+    at = keys.select(F.explode(F.array(*_places(F.col("key"), number, hashes, size * 64))).alias("at"))
     rows = (
         at.select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
-        .collect()  # at most MOST_KEYS * 32 bits
+        .toArrow()  # at most ``size`` rows
     )
-    words = np.zeros(bits // 64, np.int64)
-    for r in rows:
-        words[r.word] = r.bits
-    return Level(number, words)
+    words = np.zeros(size, np.int64)
+    words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return Level(number, hashes, words)
 
 
 @dataclass
@@ -99,11 +99,15 @@ def build_cascade(universe: DataFrame, listed: DataFrame) -> Cascade:
     """The cascade of ``listed(key)`` that is exact over ``universe(key)`` and the list itself."""
     inside = stash(listed.select("key").where("key is not null").distinct())
     outside = universe.select("key").where("key is not null").distinct().join(inside, "key", "left_anti")
+    outside = stash(outside)
     cascade, held, other, number = Cascade(), inside, outside, 1
-    while (level := _level(held, number)) is not None:
+    count, others = held.count(), other.count()
+    while count:
+        level = _level(held, number, count, others)
         cascade.levels.append(level)
         wrong = stash(other.where(level.holds(F.col("key"))))
         held, other, number = wrong, held, number + 1
+        count, others = wrong.count(), count
     return cascade
 
 
@@ -126,16 +130,9 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     empty list blocks nothing; an empty table gives an empty result.
     """
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    if listed.count() <= MOST_KEYS:
-        universe = rows.select("host").distinct().select(F.explode(parents(F.col("host"))).alias("key"))
-        cascade = build_cascade(stash(universe), listed)
-        judged = rows.withColumn("hits", F.filter(parents(F.col("host")), cascade.lists))
-    else:
-        keys = rows.select("host").distinct().select("host", F.posexplode(parents(F.col("host"))).alias("at", "key"))
-        hits = keys.join(listed.select("key").distinct(), "key").groupBy("host").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("at", "key"))), lambda x: x["key"]).alias("hits")
-        )
-        judged = rows.join(hits, "host", "left").withColumn("hits", F.coalesce("hits", F.array().cast("array<string>")))
+    universe = rows.select("host").distinct().select(F.explode(parents(F.col("host"))).alias("key"))
+    cascade = build_cascade(stash(universe), listed)
+    judged = rows.withColumn("hits", F.filter(parents(F.col("host")), cascade.lists))
     rule, action = matching_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.size("hits") > 0, "block").otherwise("allow")
     return judged.select(

@@ -12,7 +12,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cuegrid.llm import fingerprints, licenses, pii, secrets, url_filter
+from cuegrid.llm import fingerprints, lattice_lm, licenses, pii, secrets, url_filter
+from cuegrid.llm import quality
+from cuegrid.llm.common import Shingler
 from cuegrid.llm.components import connected_components
 from cuegrid.llm.decontaminate import find_contamination
 from cuegrid.llm.jaccard_join import ngram_jaccard_join, similar_pairs
@@ -57,9 +59,7 @@ def judged(url, listed):
     return host, path, rule, action or ("block" if hit else "allow")
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_urls(spark, limit, monkeypatch):
-    monkeypatch.setattr(url_filter, "MOST_KEYS", limit)
+def test_urls(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.Example.NET/en/x?y", "http://example.net/EN/", "https://bad.org/fr/a#b", "https://bad.org", "x://sub.bad.org/q", "a://b://c/d", "http://net/", "http://É.org/fr/", "http://a.example.com/de/\n/x"]
     listed = {"bad.org", "c"}
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)] + [(None, urls[6])], "page_id long, url string")
@@ -75,12 +75,22 @@ def test_cascade_is_exact_over_its_universe(spark):
     listed = universe.where("pmod(hash(key), 11) = 3")
     cascade = url_filter.build_cascade(universe, listed)
     assert len(cascade.levels) >= 2
+    assert sum(len(x.words) for x in cascade.levels) * 64 < 40_000 / 11 * (5 + 1.44 * math.log2(11))
     got = universe.where(cascade.lists(F.col("key")))
     assert got.exceptAll(listed).count() == 0 and listed.exceptAll(got).count() == 0
     empty = url_filter.build_cascade(universe, listed.limit(0))
     assert universe.where(empty.lists(F.col("key"))).count() == 0
 
 
+def test_cascade_follows_the_list_and_not_the_universe(spark):
+    listed = spark.createDataFrame([(f"k{i}",) for i in range(7)], "key string")
+    sizes = []
+    for n in (1_000, 100_000):
+        cascade = url_filter.build_cascade(spark.range(n).select(F.concat(F.lit("k"), "id").alias("key")), listed)
+        sizes.append(sum(len(x.words) for x in cascade.levels))
+    assert sizes[1] <= sizes[0] + 7
+
+
 # Operator 2
 
 
@@ -119,6 +129,117 @@ def test_secrets(spark):
     assert secrets.scan_secrets(docs(spark, {})).count() == 0
 
 
+def tail(z):
+    return min(1.0, max(1e-300, 0.5 * math.erfc(z / math.sqrt(2))))
+
+
+def encoding(token):
+    bare = re.sub("[=_+/-]", "", token)
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", token):
+        return "hex", token.lower()
+    if re.fullmatch("[a-z]+|[A-Z]+|[A-Z][a-z]+|[A-Za-z]*[a-z]{8}[A-Za-z]*", bare):
+        return "letters", re.sub("[^A-Za-z]", "", token).lower()
+    if re.fullmatch("[A-Z2-7]+=*", token):
+        return "base32", token.replace("=", "")
+    if re.fullmatch("[0-9a-z]+", bare):
+        return "base36", re.sub("[^0-9a-z]", "", token)
+    return "base64", token.rstrip("=").translate(str.maketrans("-_=", "+/ ")).replace(" ", "")
+
+
+def plain_tests(token):
+    """(encoding, n, chi-squared, degrees of freedom, fit, changes), each test by its textbook formula."""
+    kind, text = encoding(token)
+    if len(text) < 16:
+        return "letters", 0, 0.0, 1, 0.0, 0
+    alphabet = secrets.ALPHABETS[kind]
+    codes = np.array([alphabet.index(c) for c in text], float)
+    n, k = len(codes), len(alphabet)
+    counts = np.bincount(codes.astype(int), minlength=k)
+    chi2 = ((counts - n / k) ** 2 / (n / k)).sum()
+    z_chi = ((chi2 / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    low = codes < k // 2
+    a, b = low.sum(), (~low).sum()
+    spread = 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))
+    z_runs = (1 + (low[1:] != low[:-1]).sum() - (2 * a * b / n + 1)) / math.sqrt(spread) if spread > 0 else 9
+    away = codes - codes.mean()
+    z_serial = (away[1:] * away[:-1]).sum() / (away**2).sum() * math.sqrt(n) if away.any() else 9
+    half = -math.log(tail(z_chi)) - math.log(min(1, 2 * tail(abs(z_runs)))) - math.log(min(1, 2 * tail(abs(z_serial))))
+    kinds = [c.isdigit() for c in text if c.isalnum()]
+    return kind, n, chi2, k - 1, math.exp(-half) * (1 + half + half * half / 2), sum(x != y for x, y in zip(kinds, kinds[1:], strict=False))
+
+
+def plain_p(t, excess):
+    kind, n, chi2, free, _, changes = t
+    shift = n * (0.6 if kind == "hex" else max(0.3, (free + 1) * (excess + 1) / 26 - 1))
+    a = free + shift
+    spread = 2 * (1 + shift / a) / (9 * a)
+    half = -math.log(tail(-((chi2 / a) ** (1 / 3) - (1 - spread)) / math.sqrt(spread)))
+    mean = n * secrets.CHANGES
+    if changes > mean:
+        first = math.exp(-mean + changes * math.log(mean) - math.lgamma(changes + 1))
+        half -= math.log(min(1.0, first / (1 - mean / (changes + 1))))
+    return math.exp(-half) * (1 + half)
+
+
+def plain_declared(tokens):
+    """The tokens that the Benjamini-Hochberg rule declares, band by band."""
+    tests = {t: plain_tests(t) for t in set(tokens)}
+    letters = [(t[2] - t[3]) / t[1] for t in tests.values() if t[0] == "letters" and t[1]]
+    excess, out = max(0.3, sum(letters) / len(letters)) if letters else secrets.USUAL_EXCESS, set()
+    for lo, hi in ((0, 32), (32, 64), (64, 128), (128, 10**9)):
+        p = {k: plain_p(t, excess) if t[4] >= 0.01 else 1.0 for k, t in tests.items() if t[0] != "letters" and lo <= t[1] < hi}
+        cut = max((x for x in p.values() if x <= 0.01 * sum(y <= x for y in p.values()) / len(p)), default=-1)
+        out |= {k for k, x in p.items() if x <= cut}
+    return out
+
+
+def ordinary_names(rng, n):
+    part = lambda: "".join(rng.choice(["er", "th", "on", "an", "re", "tion", "ing", "com", "data", "index", "user"]) for _ in range(rng.randrange(1, 4)))
+    makes = [
+        lambda: "_".join(part() for _ in range(6)),
+        lambda: "/".join(part() for _ in range(6)),
+        lambda: "".join(part().capitalize() for _ in range(6)),
+        lambda: str(rng.randrange(10**24, 10**25)),
+        lambda: part() + part() + part() + "2024-" + part() + part(),
+        lambda: "".join(part() for _ in range(8)),
+    ]
+    return [rng.choice(makes)() for _ in range(n)]
+
+
+def test_randomness_battery(spark):
+    """Every test against its plain twin, the declared set against the plain rule, power and false discoveries."""
+    rng = random.Random(12)
+    planted = {}
+    for name, alphabet in {"HEX": "0123456789ABCDEF", **{k: secrets.ALPHABETS[k] for k in ("base32", "base36", "base64")}}.items():
+        for size in (20, 24, 32, 40, 64, 128):
+            for _ in range(30):
+                planted["".join(rng.choice(alphabet) for _ in range(size))] = name, size
+    names = ordinary_names(rng, 600)
+    texts = dict(enumerate([f"see {t} there" for t in [*planted, *names]]))
+    tokens = [t for x in texts.values() for t in re.findall("[A-Za-z0-9+/_=-]{20,}", x)]
+    rows = spark.createDataFrame([(t,) for t in tokens], "token string")
+    for r in rows.select("token", secrets.token_tests(F.col("token")).alias("t")).collect():
+        kind, n, chi2, free, fit, changes = plain_tests(r.token)
+        assert (r.t.encoding, r.t.size, r.t.free) == (kind, n, free) and r.t.changes == changes, r
+        assert r.t.chi2 == pytest.approx(chi2, abs=1e-6) and r.t.fit == pytest.approx(fit, rel=1e-3, abs=1e-6)
+    got = {r.doc_id for r in secrets.scan_secrets(docs(spark, texts)).where("n_random > 0").collect()}
+    found, expected = {t for i in got for t in re.findall("[A-Za-z0-9+/_=-]{20,}", texts[i])}, plain_declared(tokens)
+    # p-values are counted in tenths of a decade, so the cuts differ by one bin at most
+    assert len(found ^ expected) <= 0.02 * len(expected), found ^ expected
+    power = Counter(planted[t] for t in found if t in planted)
+    assert all(power[k] >= (0.75 if k in (("base32", 20), ("base36", 20)) else 0.9) * 30 for k in set(planted.values())), power
+    assert len(found - set(planted)) <= 0.02 * len(found)
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    rows = [(1, 'x token = "abcdef0123" y', 7, "k", 3), (2, None, 8, "l", 4), (2, None, 8, "l", 4), (None, "", 9, "m", 5)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, __base int, found string, `a.b` int")
+    got = secrets.redact_secrets(data)
+    assert got.schema == data.schema
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 'x [secret]" y', 7, "k", 3), *rows[1:]], key=str)
+    assert secrets.redact_secrets(data.limit(0)).count() == 0
+
+
 # Operator 3
 
 
@@ -170,6 +291,42 @@ def test_scores(spark):
     assert sorted((r.doc_id or 0, r.n_tokens) for r in twice) == [(0, 2), (1, 4), (1, 4)]
 
 
+def test_scores_equal_the_sum_over_all_segmentations(spark):
+    """The fitted model and the score of whole texts by listing every segmentation of every word."""
+    texts = {i: t for i, t in enumerate(["the cat sat", "a cat, the 日b", "the the mat", "on a mat sät", "unseen words here", "cat on the mat", "", "tin hat"])}
+    lattice = PieceLattice.from_file(PIECE_MODEL)
+    number, weight = {p: i for i, p in enumerate(lattice.pieces)}, lattice.log_weight.copy()
+
+    def paths(w, i=0):
+        """Lists of used numbers, a fallback byte being -2."""
+        if i == len(w):
+            yield []
+        for j in range(i + 1, len(w) + 1):
+            if w[i:j] in number:
+                yield from ([number[w[i:j]], *rest] for rest in paths(w, j))
+        if i < len(w) and w[i] not in number:
+            yield from ([*[-2] * len(w[i].encode()), *rest] for rest in paths(w, i + 1))
+
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in texts}
+    train = Counter(w.decode() for i, t in texts.items() if not held[i] for w in words(t))
+    ends = sum(not h for h in held.values())
+    for _ in range(lattice_lm.ROUNDS):
+        uses = np.zeros(len(weight))
+        for w, n in train.items():
+            ways = list(paths("▁" + w))
+            p = np.array([math.exp(sum(weight[k] for k in way)) for way in ways])
+            for way, share in zip(ways, p / p.sum(), strict=True):
+                for k in way:
+                    uses[k] += n * share
+        uses[-1] = ends
+        uses += 0.5
+        uses[-2] = (uses[-2] - 0.5) / lattice.n_bytes + 0.5
+        weight = np.log(uses / (uses.sum() + uses[-2] * (lattice.n_bytes - 1)))
+    log = lambda w: math.log10(sum(math.exp(sum(weight[k] for k in way)) for way in paths("▁" + w)))
+    for r in score_texts(docs(spark, texts), PIECE_MODEL).collect():
+        assert r.score == pytest.approx(sum(log(w.decode()) for w in words(texts[r.doc_id])) + weight[-1] / math.log(10))
+
+
 # Operator 4
 
 
@@ -332,11 +489,110 @@ def test_personal_data(spark):
     assert pii.find_personal_data(docs(spark, {})).count() == 0
 
 
-def test_contexts_find_unseen_identifiers(spark):
-    texts = {i: f"blah call: +1 (555) 010-{1000 + i} now" for i in range(20)}
-    texts |= {100: "blah call: 0555-010-7777 now", 101: "the year 20240101 was"}
+SPACE, PUNCT = r"\x20\x09-\x0D", re.escape(".,;:!?()[]<>\"'")
+
+
+def plain_places(t, spans):
+    """(start, end, left, right) of spans of one kind that were found in order, their words by the stated rule."""
+    out = []
+    for k, (a, b) in enumerate(spans):
+        before = t[(spans[k - 1][0] if k else 0) : a]
+        after = t[b : (spans[k + 1][1] if k + 1 < len(spans) else len(t))]
+        m = re.search(rf"(?:^|(?<=[{SPACE}]))([^{SPACE}]+)[{SPACE}]*[(\[<\"']{{0,3}}\Z", before)
+        left = m[1] if m else ""
+        m = re.match(rf"[{PUNCT}]*[{SPACE}]*([^{SPACE}]+)", after)
+        out.append((a, b, left, m[1] if m else ""))
+    return out
+
+
+def plain_candidates(t):
+    """Whole tokens without the punctuation around them, with a digit or a sign within."""
+    spans = []
+    for m in re.finditer(rf"[^{SPACE}]+", t):
+        w, a = m[0], 0
+        while a < min(3, len(w)) and w[a] in "([<\"'":
+            a += 1
+        core = w[a:].rstrip(".,;:!?()[]<>\"'")
+        if core and core[0] not in ".,;:!?()[]<>\"'" and (re.search(r"[0-9@_/\\#~=+]", core) or re.search(rf"[^{PUNCT}][.:\[(][^{PUNCT}]", core)):
+            spans.append((m.start() + a, m.start() + a + len(core)))
+    return spans
+
+
+def plain_discovery(seen):
+    """``seen``: (value, kind or None, left, right).  The values found by rounds until nothing is added."""
+    at, seeds = {}, set()
+    for value, kind, left, right in seen:
+        if left:
+            for pattern in ((left,), (left, right)):
+                at.setdefault(pattern, {}).setdefault(value, set()).update({kind} - {None})
+            seeds |= {(value, kind)} if kind else set()
+    live = {p: v for p, v in at.items() if len(v) >= pii.MIN_SEEDS}
+    seeds = {(v, k) for p in live.values() for v, kinds in p.items() for k in kinds}
+    found = {}
+    while True:
+        positive, score = seeds | set(found), {}
+        for pattern, values in live.items():
+            for kind in pii.KINDS:
+                hits = sum((v, kind) in positive for v in values)
+                if hits >= pii.MIN_SEEDS and hits >= pii.MIN_PATTERN * len(values):
+                    for v, kinds in values.items():
+                        if not kinds:
+                            by_word = score.setdefault((v, kind), {})
+                            by_word[pattern[0]] = max(by_word.get(pattern[0], 0), hits / len(values))
+        new = {k: 1 - math.prod(max(1 - x, 1e-6) for x in words_.values()) for k, words_ in score.items()}
+        new = {k: x for k, x in new.items() if round(x, 9) >= pii.MIN_SCORE}
+        if len(new) == len(found):
+            return {v for v, _ in new}
+        found = new
+
+
+def planted_contacts(rng):
+    """Documents with seeds after some words, and two further generations of identifiers after others."""
+    number = lambda: f"0{rng.randrange(100, 999)}-{rng.randrange(10**6, 10**7)}"
+    filler = lambda: " ".join(rng.choice(["red", "blue", "green", "house", "tree", "the"]) for _ in range(rng.randrange(1, 5)))
+    lines = [f"call: +1 (555) 010-{1000 + i}" for i in range(30)]
+    lines += [f"mail: user{i}@mail.example.org" for i in range(20)]
+    second, third = [number() for _ in range(15)], [number() for _ in range(10)]
+    lines += [f"call: {x}" for x in second] + [f"dial {x}" for x in second]
+    lines += [f"dial {x}" for x in third] + [f"then ring {x}" for x in third]
+    last = [number() for _ in range(4)]
+    lines += [f"then ring {x}" for x in last]
+    odd = ["jane@intranet", "jane[at]corp.org", "joe_7"]
+    lines += [f"mail: {x}" for x in odd]
+    planted = {*second, *third, *last, *odd}
+    lines += [f"year {1900 + i} and room {i}" for i in range(60)]
+    texts = {i: f"{filler()} {x}{rng.choice(['. ', ' ', ', '])}{filler()}" for i, x in enumerate(lines)}
+    return texts, planted
+
+
+def test_bootstrapping_reaches_further_generations(spark):
+    texts, planted = planted_contacts(random.Random(3))
     got = {r.doc_id: r for r in pii.find_personal_data(docs(spark, texts)).collect()}
-    assert got[100].spans == "context:11:24" and got[101].n_context == 0
+    found, seen, spans = set(), [], {}
+    for i, t in texts.items():
+        base = [tuple(int(x) if x.isdigit() else x for x in s.split(":")) for s in base_pii(t).split(",") if s]
+        for kind in pii.KINDS:
+            seen += [(t[a:b].lower(), kind, x.lower(), y.lower()) for a, b, x, y in plain_places(t, [s[1:] for s in base if s[0] == kind])]
+        places = plain_places(t, plain_candidates(t))
+        spans[i] = [p for p in places if not any(p[0] < s[2] and s[1] < p[1] for s in base)]
+        seen += [(t[a:b].lower(), None, x.lower(), y.lower()) for a, b, x, y in spans[i]]
+    expected = plain_discovery(seen)
+    for i, t in texts.items():
+        mine = {(a, b) for a, b, _, _ in spans[i] if t[a:b].lower() in expected}
+        assert {tuple(map(int, s.split(":")[1:])) for s in got[i].spans.split(",") if s.startswith("context")} == mine, t
+        assert got[i].n_context == len(mine)
+        found |= {t[a:b] for a, b in mine}
+    assert len(found & planted) >= 0.9 * len(planted) and len(found - planted) <= 0.1 * len(found)
+
+
+def test_contexts_of_odd_rows(spark):
+    texts = [(i % 3 or None, f"call: +1 (555) 010-{1000 + i % 20} now") for i in range(40)]
+    texts += [(100, "call: 0555-010-7777 now"), (100, "call: 0555-010-7777 now"), (101, "the year 20240101 was"), (102, None), (103, "call:")]
+    data = docs(spark, texts).withColumn("value", F.lit("x")).withColumn("base", F.lit(1)).withColumn("row", F.lit(1))
+    rows = pii.find_personal_data(data).collect()
+    assert len(rows) == len(texts) and rows[0].__fields__[:8] == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_context"]
+    assert [r.spans for r in rows if r.doc_id == 100] == ["context:6:19"] * 2
+    assert all(r.n_context == 0 for r in rows if (r.doc_id or 0) > 100)
 
 
 # Operator 7
@@ -365,11 +621,39 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprint_documents(docs(spark, {})).count() == 0
 
 
+def test_fingerprints_equal_a_plain_twin(spark):
+    """Counters and likeness from the sentences' hashes, one by one; repeated and null ids in order."""
+    rng = random.Random(16)
+    texts = [(i // 2 if i % 7 else None, " ".join(rng.choice(["A b. ", "c! ", "D e f?\n", "g", "\n", "é. "]) for _ in range(rng.randrange(40)))) for i in range(60)]
+    data = docs(spark, texts)
+    split = F.filter(F.split("text", r"(?<=[.!?])[\x20\t\r]+|\n", -1), lambda u: u != "")
+    rows = data.select("text", F.transform(split, lambda u: F.xxhash64(u)).alias("h"), fingerprints.counters(fingerprints.paragraph_sums(F.col("text"))).alias("c")).collect()
+    hold = {}
+    for r in rows:
+        plain = [0] * fingerprints.NARROW
+        for h in r.h:
+            plain[(h >> 1) % fingerprints.NARROW] += -1 if h & 1 else 1
+        assert r.c == plain
+        hold[r.text] = plain
+    got = sorted(((r.doc_id is not None, r.doc_id, r.n_chars, round(r.near_next, 9)) for r in fingerprints.fingerprint_documents(data).collect()), key=str)
+    order = sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    expected = []
+    for k, (i, t) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        x, y = np.array(hold[t]), np.array(hold[after])
+        either = int(x @ x + y @ y - x @ y)
+        near = 1.0 if sorted(t.split("\n")) == sorted(after.split("\n")) else max(0.0, min(0.999, int(x @ y) / either if either else 0.0))
+        expected.append((i is not None, i, len(t), round(near, 9)))
+    assert got == sorted(expected, key=str)
+
+
 def test_fingerprints_add_up(spark):
     df = spark.createDataFrame([("a\nb", "c", "c\na\nb")], "x string, y string, z string")
     x, y, z = (fingerprints.paragraph_sums(F.col(c)) for c in "xyz")
     row = df.select((fingerprints.add(x, y) == z).alias("sum"), (fingerprints.add(z, y, -1) == x).alias("difference")).first()
     assert row["sum"] and row["difference"]
+    big = spark.createDataFrame([(2**63 - 1, 1), (-1, -1), (-(2**63), -1), (5, -7)], "a long, b long")
+    assert [r[0] for r in big.select(fingerprints._plus(F.col("a"), F.col("b"))).collect()] == [-(2**63), -2, 2**63 - 1, -2]
 
 
 # Operator 8
@@ -420,10 +704,47 @@ def test_quality(spark):
     odd = docs(spark, [(1, None), (1, None), (None, "")])
     model = fit_cotraining(data, labels)
     assert keep_good(odd, model).columns == odd.columns
-    assert quality_classifier(odd, labels.limit(0)).count() == 3
+    assert quality_classifier(odd, labels.limit(0)).count() == 3 and quality_classifier(odd, labels.limit(0)).where("keep").count() == 3
+    clash = odd.selectExpr("doc_id", "text", "1 as length_bucket", "2 as source_bucket", "3 as y", "4 as kept")
+    assert keep_good(clash, model).columns == clash.columns and keep_good(clash.limit(0), model).count() == 0
+    assert fit_cotraining(clash, labels).calibrate is None
     assert quality_classifier(data.limit(0), labels).count() == 0
 
 
+def test_views_equal_a_plain_twin(spark):
+    """Counts, log-odds and pseudo-labels of one round from plain sums over the documents."""
+    data, labels = labelled(spark, 240)
+    chosen = {r.doc_id: r for r in quality._chosen(data, labels, 100).collect()}
+    assert len(chosen) == 100
+    shingler = Shingler(1, True)
+    rows = {r.doc_id: r for r in quality._viewed(data).collect()}
+    model = fit_cotraining(data, labels, rounds=0, most_labelled=100)
+    content, metadata = np.zeros((2, quality.CONTENT_PARTS[-1])), np.zeros((2, quality.METADATA_PARTS[-1]))
+    meta = lambda r: np.array([r.source_bucket, r.lang_bucket, r.length_bucket]) + quality.METADATA_PARTS[:-1]
+    features = {i: (quality.content_features(r.text.encode(), shingler), meta(r)) for i, r in rows.items()}
+
+    def count(i, y, a=True, b=True):
+        for f in features[i][0] if a else ():
+            content[int(y), f] += 1
+        metadata[int(y), features[i][1]] += b
+
+    for i, c in chosen.items():
+        if not c.kept:
+            count(i, c.y)
+    odds = lambda x, lo, hi: np.log((x[1, lo:hi] + 0.5) / (x[1, lo:hi] + 0.5).sum()) - np.log((x[0, lo:hi] + 0.5) / (x[0, lo:hi] + 0.5).sum())
+    plain = lambda x, parts: np.concatenate([odds(x, lo, hi) for lo, hi in zip(parts, parts[1:], strict=False)])
+    assert np.allclose(model.content, plain(content, quality.CONTENT_PARTS)) and np.allclose(model.metadata, plain(metadata, quality.METADATA_PARTS))
+    others = [i for i in rows if i not in chosen]
+    a, b, _ = model.probability(iter(features[i] for i in others), len(others))
+    for i, pa, pb in zip(others, a, b, strict=True):
+        for p, view in ((pa, "b"), (pb, "a")):
+            if p >= quality.CONFIDENT or p <= 1 - quality.CONFIDENT:
+                count(i, p > 0.5, a=view == "a", b=view == "b")
+    after = fit_cotraining(data, labels, rounds=1, most_labelled=100)
+    assert np.allclose(after.content, plain(content, quality.CONTENT_PARTS)) and np.allclose(after.metadata, plain(metadata, quality.METADATA_PARTS))
+    assert not np.allclose(after.metadata, model.metadata)
+
+
 def test_logistic_regression():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(500, 3))

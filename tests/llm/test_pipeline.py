@@ -38,3 +38,51 @@ def test_stages(spark):
         assert docs.columns == columns
         before = {i: r.text for i, r in rows.items()}
     assert corpus_pipeline.run(spark, SF).count() == len(rows)
+
+
+ODD = "doc_id long, text string, row string, __length int, found string, __base int, part int, length_bucket int, _metadata string"
+
+
+def odd_rows(spark, rows):
+    return spark.createDataFrame([(i, t, "r", 1, "f", 2, 3, 4, "m") for i, t in rows], ODD)
+
+
+def written(spark, tmp_path, df, name):
+    df.write.parquet(str(tmp_path / name))
+    return spark.read.parquet(str(tmp_path / name))
+
+
+def test_near_duplicates_judge_rows(spark, tmp_path):
+    a, b = " ".join(f"w{i}" for i in range(30)), " ".join(f"v{i}" for i in range(30))
+    rows = [(3, a), (5, a), (5, b), (9, "one two three four five six"), (9, "one two three four five six"), (None, a), (None, "x y"), (None, None), (7, ""), (7, " \n")]
+    expected = sorted([(3, a), (5, b), (9, rows[3][1]), (None, "x y"), (None, None), (7, ""), (7, " \n")], key=str)
+    for docs in (odd_rows(spark, rows), written(spark, tmp_path, odd_rows(spark, rows).repartition(3), "docs")):
+        got = corpus_pipeline.near_duplicates(spark, docs, SF)
+        assert got.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == expected
+    only_nulls = corpus_pipeline.near_duplicates(spark, odd_rows(spark, [(None, a), (None, a)]), SF)
+    assert [(r.doc_id, r.text) for r in only_nulls.collect()] == [(None, a)]
+
+
+def test_decontamination_judges_rows(spark):
+    item = read_table(spark, SF, "benchmark").first().text
+    long_ = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(4, "clean words only here today"), (4, f"{long_} {item}"), (None, item.upper()), (None, "clean"), (5, None), (5, ""), (6, long_), (6, long_)]
+    got = corpus_pipeline.decontamination(spark, odd_rows(spark, rows), SF)
+    left = [rows[0], rows[3], *rows[4:]]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(left, key=str)
+
+
+def test_stages_on_odd_and_empty_tables(spark):
+    rows = [(1, None), (None, ""), (2, "x " * 50_000), (2, "token = 'abcdef123456' y"), (2, "token = 'abcdef123456' y")]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = odd_rows(spark, rows)
+        got = stage(spark, docs, SF)
+        count, none = len(got.collect()), stage(spark, docs.limit(0), SF)
+        assert none.count() == 0 and none.columns == got.columns
+        if name == "pieces":
+            assert count == len(rows)
+        else:
+            assert got.columns == docs.columns and 0 < count <= len(rows)
+        if name == "secrets":
+            assert sorted(r.text or "" for r in got.collect())[-1] == rows[2][1] and sum("[secret]" in (r.text or "") for r in got.collect()) == 2
