@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ CLAUSE_END = "[,;:—–][\"'”’)\\]]*$"
 LINE, LINES = 42, 2
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with the value worked out once however often ``then`` uses it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def words(text: Column) -> Column:
     """Tokens between white space of any kind."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
@@ -33,7 +40,7 @@ def tokens(text: Column) -> Column:
 
 
 def break_line(text: Column) -> Column:
-    """At most two lines: a text over 42 characters breaks at its most balanced space."""
+    """At most two lines: a text over 42 characters breaks at its most balanced space, and white space around the break goes."""
     n = F.length(text)
     half = F.floor((n - 1) / 2).cast("int")
     # of the spaces on either side of the middle only the nearest can be the best
@@ -47,7 +54,8 @@ def break_line(text: Column) -> Column:
         ),
     )
     best = F.array_min(options)
-    broken = F.concat(F.substring(text, F.lit(1), best["at"]), F.lit("\n"), F.substring(text, best["at"] + 2, n))
+    upper = F.regexp_replace(F.substring(text, F.lit(1), best["at"]), SPACES + r"\z", "")
+    broken = F.concat(upper, F.lit("\n"), F.regexp_replace(F.substring(text, best["at"] + 2, n), r"\A" + SPACES, ""))
     return F.when(n <= LINE, text).when(best.isNull(), text).otherwise(broken)
 
 

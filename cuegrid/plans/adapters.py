@@ -133,7 +133,7 @@ STAMP = (
     "cast(floor(round_even({0} * 1000, 0) / 60000) as int) % 60, cast(floor(round_even({0} * 1000, 0) / 1000) as int) % 60, "
     "cast(round_even({0} * 1000, 0) as bigint) % 1000)"
 )
-BREAK = """case when length(text) <= 42 then text else coalesce((select substr(text, 1, b.i) || chr(10) || substr(text, b.i + 2)
+BREAK = r"""case when length(text) <= 42 then text else coalesce((select regexp_replace(substr(text, 1, b.i), '\s+$', '') || chr(10) || regexp_replace(substr(text, b.i + 2), '^\s+', '')
   from (select unnest(range(length(text))) as i) b where substr(text, b.i + 1, 1) = ' '
   order by greatest(b.i, length(text) - b.i - 1), abs(b.i - length(text) // 2), b.i limit 1), text) end"""
 

@@ -125,7 +125,8 @@ def test_text_functions(spark):
     assert one(spark, tx.display_name(F.lit("3. Ann Other (Somewhere) (X)"))) == "Ann Other"
     long = "one two three four five six seven eight nine ten eleven"
     assert max(map(len, one(spark, tx.break_line(F.lit(long))).split("\n"))) <= 42
-    assert one(spark, tx.break_line(F.lit(long))) == align.break_line(long)
+    assert one(spark, tx.break_line(F.lit(long))) == "one two three four five six\nseven eight nine ten eleven"
+    assert one(spark, tx.break_line(F.lit("a" * 30 + " \u2003 " + "b" * 30))) == "a" * 30 + "\n" + "b" * 30
 
 
 def test_captions_round_trip(spark):
@@ -184,9 +185,101 @@ def test_alignment_and_cues(spark):
     assert r[1].events == 1 and r[2].anchored_fraction == 0.0
 
 
-def test_machine_cues_break_at_pauses():
-    words = [("one", 0.0, 0.4), ("two.", 0.5, 0.9), ("three", 4.0, 4.5)]
-    assert [c[2] for c in align.machine_segments(words)] == ["one two.", "three"]
+REPORT = "title_id long, pos long, text string, ci long, pi long, is_event boolean, norm string, weight long"
+
+
+def timed_run(spark, run, heard, last_ci=0):
+    """Times of the words between an anchor at 0.0-0.4 and one at ``heard``; run: words, events in brackets, a pair (word, ci)."""
+    words = [("first", 0), *((w if isinstance(w, tuple) else (w, 0)) for w in run), ("final", last_ci)]
+    rows = [(1, k, w, ci, 0, w[0] == "[", None if w[0] == "[" else w, 12 if w[0] == "[" else len(w)) for k, (w, ci) in enumerate(words)]
+    spoken = [(1, 0, "first", 0.0, 0.4, "first"), (1, 1, "final", heard, heard + 8.0, "final")]
+    report = spark.createDataFrame(rows, REPORT)
+    got = align.timed_words(report, spark.createDataFrame(spoken, "title_id long, pos long, text string, start double, end double, norm string"))
+    rows = got.orderBy("pos").collect()
+    assert rows[-1].end == pytest.approx(heard + 1.0) and rows[0].anchored and rows[-1].anchored  # an anchored word takes a second at most
+    return [(round(r.start, 6), round(r.end, 6)) for r in rows[1:-1]]
+
+
+def test_times_of_unheard_words(spark):
+    assert timed_run(spark, ["fiver", "words"], 10.0) == [(0.4, 0.8), (0.8, 1.2)]  # cling to the left
+    assert timed_run(spark, ["fiver", "words"], 2.0) == [(0.4, 1.2), (1.2, 2.0)]  # fill the gap
+    assert timed_run(spark, ["[Applause]"], 20.4) == [(0.8, 5.8)]
+    assert timed_run(spark, ["[A]", "[B]"], 20.4) == [(0.8, 5.8), (5.8, 10.8)]
+    assert timed_run(spark, ["[A]", "[B]"], 3.4) == [(0.8, 2.3), (2.3, 3.4)]
+    assert timed_run(spark, ["[A]", "[B]", "[C]"], 3.4) == [(0.8, 1.8), (1.8, 2.8), (2.8, 3.8)]
+    assert timed_run(spark, ["fiver", "[A]", "words"], 10.0) == [(0.4, 0.8), (1.2, 6.2), (9.6, 10.0)]
+    assert timed_run(spark, ["fiver", ("words", 1)], 10.0, 1) == [(0.4, 0.8), (9.6, 10.0)]
+    assert timed_run(spark, ["fiver", "[A]", "words"], 1.5) == [(0.4, 0.65), (0.65, 1.25), (1.25, 1.5)]  # cramped
+    # between late words an event is timed like any other, and late words leave it room
+    assert timed_run(spark, ["[A]", "fiver", "[B]", "words"], 12.0) == [(0.8, 5.8), (11.2, round(11.2 + 0.8 * 5 / 22, 6)), (5.8, 10.8), (round(11.2 + 0.8 * 17 / 22, 6), 12.0)]
+
+
+def test_times_without_anchors_on_a_side(spark):
+    rows = [(1, k, w, 0, 0, False, w, 5) for k, w in enumerate(["aaaaa", "bbbbb", "heard", "ddddd"])]
+    said = spark.createDataFrame([(1, 0, "heard", 0.5, 0.9, "heard")], "title_id long, pos long, text string, start double, end double, norm string")
+    report = spark.createDataFrame(rows, REPORT)
+    got = [(round(r.start, 6), round(r.end, 6)) for r in align.timed_words(report, said).orderBy("pos").collect()]
+    assert got == [(0.0, 0.25), (0.25, 0.5), (0.5, 0.9), (0.9, 1.3)]
+    got = [(round(r.start, 6), round(r.end, 6)) for r in align.timed_words(report, said.limit(0)).orderBy("pos").collect()]
+    assert got == [(0.0, 0.4), (0.4, 0.8), (0.8, 1.2), (1.2, 1.6)]
+
+
+def cue_texts(spark, words, name="Ann", step=0.3):
+    """words: text, or (text, ci, pi), or (text, ci, pi, start)."""
+    rows, at = [], 0.0
+    for k, w in enumerate(words):
+        text, ci, pi, *start = w if isinstance(w, tuple) else (w, 0, 1)
+        at = start[0] if start else at
+        rows.append((1, k, text, ci, pi, text[0] == "[", at, at + step, True))
+        at += step
+    timed = spark.createDataFrame(rows, "title_id long, pos long, text string, ci long, pi long, is_event boolean, start double, end double, anchored boolean")
+    names = spark.createDataFrame([(1, 0, name)], "title_id long, ci long, name string")
+    return [r.text for r in align.caption_cues(timed, names).orderBy("index").collect()]
+
+
+def test_cues_are_cut_by_reason(spark):
+    nine = "abcdefghi"
+    sizes = lambda *w, **k: [len(t.split()) for t in cue_texts(spark, list(w), **k)]
+    assert sizes(*[nine] * 12) == [8, 4]  # eight words fill two lines
+    assert sizes(*[nine] * 9) == [7, 2]  # the last word of the paragraph takes one along
+    assert sizes(*[nine] * 8, "abcdefgh,", *[nine] * 3) == [8, 4]  # a clause's end takes none along
+    assert sizes(*[nine] * 8, "abcdefgh.", *[nine] * 3) == [7, 5]  # a sentence's end does: 19 characters don't close the cue
+    assert sizes(*[nine] * 7, "of", "abcdefghij") == [6, 3]  # a short word comes along too
+    assert sizes(*[nine] * 8, "[Applause]", nine) == [8, 1, 1]
+    assert sizes(*[nine] * 8, (nine, 0, 2)) == [8, 1]
+    assert sizes("one", "two", ("three", 0, 1, 4.0)) == [2, 1]  # a pause
+    assert sizes("one", ("two", 0, 1, 4.0)) == [2]  # not after one word
+    assert sizes("one", ("two", 0, 1, 7.0)) == [1, 1]  # unless it is too slow
+    assert sizes("Yes.", "This", "is", "a", "sentence.", "And", "more") == [5, 2]  # 4 characters don't close a cue
+    assert sizes(*[nine] * 5, "ab,", nine) == [6, 1] and sizes(*[nine] * 4, "ab,", nine) == [6]  # a clause of 53 characters does, one of 43 doesn't
+    event = "[" + "long event " * 5 + "]"
+    assert cue_texts(spark, [("Good", 0, 0), ("day.", 0, 0), (event, 0, 0), ("More", 0, 1)]) == ["Ann: Good day.", event, "More"]
+    assert cue_texts(spark, [(event, 0, 0), ("Good", 0, 0)], name="") == [event, "Good"]
+    assert cue_texts(spark, [(event, 0, 0), ("Good", 0, 1)]) == [event, "Good"]  # named in the first paragraph only
+
+
+def test_tidy_cues(spark):
+    rows = [(1, 0, 0.0, 0.5, "a"), (1, 1, 1.1, 20.0, "b"), (1, 2, 30.0, 32.0, "c"), (1, 3, 32.1, 32.2, "d"), (1, 4, 32.15, 34.0, "e"), (1, 5, 32.05, 33.0, "f"), (1, 6, 33.3, 33.5, "g")]
+    got = align.tidy(spark.createDataFrame(rows, "title_id long, pos long, start double, end double, text string")).orderBy("index").collect()
+    assert [(r.start_s, r.end_s) for r in got] == [
+        (0.0, 1.1),  # at least a second, and the small gap closed
+        (1.1, 8.1),  # at most seven
+        (30.0, 32.1),
+        (32.1, 32.15),  # up to the next one's start
+        (32.15, 32.2),  # which is before: a twentieth of a second
+        (32.2, 33.3),
+        (33.3, 34.3),
+    ]
+
+
+def test_machine_cues_break_at_pauses(spark):
+    words = [("one", 0.0, 0.4), ("two.", 0.5, 0.9), ("three", 4.0, 4.5), ("four", 5.4, 5.6), *((f"w{i:08d}", 6.0 + i / 2, 6.4 + i / 2) for i in range(14)), ("end.", 13.1, 13.2), ("last", 13.3, 13.5)]
+    rows = [(1, k, *w) for k, w in enumerate(words)]
+    got = align.machine_cues(spark.createDataFrame(rows, "title_id long, pos long, text string, start double, end double")).orderBy("index").collect()
+    texts = [r.text.replace("\n", " ").split() for r in got]
+    assert texts[0] == ["one", "two."] and texts[1][:2] == ["three", "four"] and texts[-1] == ["last"] and texts[-2][-1] == "end."
+    assert [w for t in texts for w in t] == [w[0] for w in words]
+    assert all(len(x) <= 42 for r in got for x in r.text.split("\n"))
 
 
 def test_transcript_page(spark):
