@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuegrid.functions.text import absolute_url
+from cuegrid.functions.text import absolute_url, let
+from cuegrid.operators import checks as c
 
 RECT = "struct<x:int,y:int,w:int,h:int>"
 TITLE = (
@@ -19,149 +22,184 @@ TITLE = (
     "captions:array<struct<kind:string,language:string,url:string,format:string,generatedBy:string,reviewed:boolean,reviewedBy:string>>>"
 )
 
-#: Keys allowed at each level; anything else is an error.
-KEYS = {
-    "$": ["stmVersion", "id", "title", "durationMs", "source", "video", "signLanguage", "captions"],
-    "$.source": ["publisher", "url", "licence", "attribution", "productionCredit", "acquisitionRoute"],
-    "$.video": ["main", "poster"],
-    "$.video.main": ["url", "width", "height", "codec"],
-}
+# Fixed values of the wire format.
+VERSIONS = ["0.1", "0.2"]
 CODECS = ["h264", "hevc", "vp9", "av1"]
+PROVENANCES = ["human-interpreter", "synthesised"]
+METHODS = ["detected-crop", "manual-crop"]
+LAYOUTS = ["corner-inset", "side-panel"]
+FILLS = ["none", "interpolated-surround", "blurred-surround"]
+KINDS = ["verbatim", "simplified"]
+ID = "^[a-z0-9][a-z0-9-]{1,63}$"
+SIGN_LANGUAGE = "^[a-z]{3}$"
+LANGUAGE = "^[a-z]{2,3}(-[A-Za-z0-9]{2,8})*$"
+LEAST_CONFIDENCE, MOST_OFFSET = 0.7, 5000
 
 
 def parse_manifests(documents: DataFrame) -> DataFrame:
-    """``documents(doc_id, json)`` with the typed manifest as ``m`` (null if it isn't JSON)."""
+    """``documents(doc_id, json)`` with the typed manifest as ``m`` (all members null if it isn't JSON)."""
     return documents.withColumn("m", F.from_json("json", TITLE))
 
 
-def _issue(path: str | Column, message: str, severity: str = "error") -> Column:
-    path = F.lit(path) if isinstance(path, str) else path
-    return F.struct(path.alias("path"), F.lit(message).alias("message"), F.lit(severity).alias("severity"))
-
-
-def _when(broken: Column, path: str | Column, message: str, severity: str = "error") -> Column:
-    return F.when(F.coalesce(broken, F.lit(True)), _issue(path, message, severity))
-
-
-def _blank(c: Column) -> Column:
-    return F.coalesce(F.length(c), F.lit(0)) == 0
-
-
-def _rules() -> list[Column]:
-    m, raw = F.col("m"), F.col("json")
-    rules = [
-        _when(~m["stmVersion"].isin("0.1", "0.2"), "stmVersion", "unknown version"),
-        _when(~m["id"].rlike("^[a-z0-9][a-z0-9-]{1,63}$"), "id", "bad identifier"),
-        _when(_blank(m["title"]), "title", "missing"),
-        _when(~(m["durationMs"] >= 0), "durationMs", "must be a whole number from 0"),
-        _when(_blank(m["video"]["main"]["url"]), "video/main/url", "missing"),
-        _when(~(m["video"]["main"]["width"] >= 1), "video/main/width", "must be at least 1"),
-        _when(~(m["video"]["main"]["height"] >= 1), "video/main/height", "must be at least 1"),
-        _when(~m["video"]["main"]["codec"].isin(CODECS), "video/main/codec", "unknown codec"),
-        _when(_blank(m["video"]["poster"]), "video/poster", "missing"),
-        _when(m["signLanguage"].isNull(), "signLanguage", "missing"),
-        _when(m["captions"].isNull(), "captions", "missing"),
-    ]
-    rules += [_when(_blank(m["source"][k]), f"source/{k}", "missing") for k in ("publisher", "url", "licence", "attribution")]
-    for at, allowed in KEYS.items():
-        keys = F.json_object_keys(raw if at == "$" else F.get_json_object(raw, at))
-        more = F.size(F.array_except(keys, F.array(*map(F.lit, allowed)))) > 0
-        rules.append(F.when(F.coalesce(more, F.lit(False)), _issue(at.removeprefix("$.").replace(".", "/"), "unknown key")))
-    return rules
-
-
-def _track_rules(t: Column, at: Column) -> list[Column]:
-    human, made = t["provenance"] == "human-interpreter", t["provenance"] == "synthesised"
-    e, a = t["extraction"], t["activity"]
-    where = lambda tail: F.concat(F.lit("signLanguage/"), at.cast("string"), F.lit(tail))
-    wrong = lambda c, tail, message: F.when(F.coalesce(c, F.lit(False)), _issue(where(tail), message))
-    return [
-        wrong(~F.coalesce(t["language"].rlike("^[a-z]{3}$"), F.lit(False)), "/language", "three letters wanted"),
-        wrong(_blank(t["languageLabel"]), "/languageLabel", "missing"),
-        wrong(~F.coalesce(human | made, F.lit(False)), "/provenance", "unknown provenance"),
-        wrong(human & (e.isNull() | t["generatedBy"].isNotNull()), "", "a human interpreter has an extraction and no generator"),
-        wrong(made & (e.isNotNull() | t["generatedBy"].isNull()), "", "a synthesised track has a generator and no extraction"),
-        wrong(~e["method"].isin("detected-crop", "manual-crop"), "/extraction/method", "unknown method"),
-        wrong(~e["sourceLayout"].isin("corner-inset", "side-panel"), "/extraction/sourceLayout", "unknown layout"),
-        wrong(~e["confidence"].between(0.0, 1.0), "/extraction/confidence", "from 0 to 1"),
-        wrong(
-            (e["cropRect"]["x"] < 0) | (e["cropRect"]["y"] < 0) | (e["cropRect"]["w"] < 1) | (e["cropRect"]["h"] < 1),
-            "/extraction/cropRect", "bad rectangle",
-        ),
-        wrong(~e["fillMethod"].isin("none", "interpolated-surround", "blurred-surround"), "/extraction/fillMethod", "unknown fill"),
-        wrong(t["track"].isNull() | _blank(t["track"]["url"]), "/track/url", "missing"),
-        wrong(a.isNotNull() & ~F.coalesce(a["intervalMs"].between(200, 5000), F.lit(False)), "/activity/intervalMs", "from 200 to 5000"),
-        wrong(a.isNotNull() & ~F.coalesce(a["scale"] == "title-p95", F.lit(False)), "/activity/scale", "unknown scale"),
-        wrong(
-            a.isNotNull() & ~F.coalesce((F.size(a["values"]) > 0) & F.forall(a["values"], lambda v: v.between(0, 100)), F.lit(False)),
-            "/activity/values", "whole numbers from 0 to 100",
-        ),
-    ]
-
-
-def _caption_rules(c: Column, at: Column) -> list[Column]:
-    where = lambda tail: F.concat(F.lit("captions/"), at.cast("string"), F.lit(tail))
-    wrong = lambda x, tail, message: F.when(F.coalesce(x, F.lit(False)), _issue(where(tail), message))
-    return [
-        wrong(~F.coalesce(c["kind"].isin("verbatim", "simplified"), F.lit(False)), "/kind", "unknown kind"),
-        wrong(~F.coalesce(c["language"].rlike("^[a-z]{2,3}(-[A-Za-z0-9]{2,8})*$"), F.lit(False)), "/language", "bad language"),
-        wrong(_blank(c["url"]), "/url", "missing"),
-        wrong(~F.coalesce(c["format"] == "webvtt", F.lit(False)), "/format", "unknown format"),
-        wrong(c["generatedBy"].isNotNull() & c["reviewed"].isNull(), "", "generated captions say whether they are reviewed"),
-        wrong(F.coalesce(c["reviewed"], F.lit(False)) != c["reviewedBy"].isNotNull(), "", "a review has a reviewer, and only then"),
-    ]
-
-
-def _exploded(rows: DataFrame, rules: list[Column]) -> DataFrame:
-    found = F.filter(F.array(*rules), lambda x: x.isNotNull())
-    return rows.select("doc_id", F.explode(found).alias("i")).select("doc_id", "i.path", "i.message", "i.severity")
-
-
-def schema_issues(documents: DataFrame) -> DataFrame:
-    """(doc_id, path, message, severity) of ``documents(doc_id, json)`` against the declared shape."""
-    bad = documents.where(F.try_parse_json("json").isNull()).select(
-        "doc_id", F.lit("$").alias("path"), F.lit("not JSON").alias("message"), F.lit("error").alias("severity")
-    )
-    rows = parse_manifests(documents.where(F.try_parse_json("json").isNotNull()))
-    own = _exploded(rows, _rules())
-    old = rows.where(
-        (F.col("m.stmVersion") == "0.1") & F.exists("m.signLanguage", lambda t: t["activity"].isNotNull())
-    ).select("doc_id", F.lit("signLanguage").alias("path"), F.lit("activity needs version 0.2").alias("message"), F.lit("error").alias("severity"))
-    tracks = rows.select("doc_id", F.posexplode("m.signLanguage").alias("at", "t"))
-    captions = rows.select("doc_id", F.posexplode("m.captions").alias("at", "c"))
-    return (
-        bad.unionByName(own)
-        .unionByName(old)
-        .unionByName(_exploded(tracks, _track_rules(F.col("t"), F.col("at"))))
-        .unionByName(_exploded(captions, _caption_rules(F.col("c"), F.col("at"))))
+def _track_rules(node: Column, members: Column, at: Column) -> Column:
+    """Who signs decides what else a track has; without a provenance both rules hold."""
+    human, made = (c.equals(members, "provenance", p) for p in PROVENANCES)
+    return F.concat(
+        c.issue_if(human & c.lacks(members, "extraction"), at, "an interpreter's track has an extraction"),
+        c.issue_if(human & c.has(members, "generatedBy"), at, "an interpreter's track has no generator"),
+        c.issue_if(made & c.lacks(members, "generatedBy"), at, "a synthesised track has a generator"),
+        c.issue_if(made & c.has(members, "extraction"), at, "a synthesised track has no extraction"),
     )
 
 
-def semantic_issues(documents: DataFrame) -> DataFrame:
-    """Duplicates, low confidence and large offsets in manifests whose shape is right."""
-    rows = parse_manifests(documents)
-    tracks = rows.select("doc_id", F.posexplode("m.signLanguage").alias("at", "t"))
-    captions = rows.select("doc_id", F.posexplode("m.captions").alias("at", "c"))
-    nth = lambda *by: F.row_number().over(Window.partitionBy("doc_id", *by).orderBy("at"))
-    where = lambda head, tail: F.concat(F.lit(head), F.col("at").cast("string"), F.lit(tail))
-    row = lambda df, path, message, severity: df.select(
-        "doc_id", path.alias("path"), F.lit(message).alias("message"), F.lit(severity).alias("severity")
+def _caption_rules(node: Column, members: Column, at: Column) -> Column:
+    reviewed = F.try_element_at(members, F.lit("reviewed"))
+    yes = F.coalesce((c.kind(reviewed) == "BOOLEAN") & c.as_(reviewed, "boolean"), F.lit(False))
+    by = F.coalesce(F.map_contains_key(members, "reviewedBy"), F.lit(False))
+    return F.concat(
+        c.issue_if(F.map_contains_key(members, "generatedBy") & c.lacks(members, "reviewed"), at, "generated captions say whether they are reviewed"),
+        c.issue_if(yes & ~by, at, "a review has a reviewer"),
+        c.issue_if(by & c.lacks(members, "reviewed"), at, "a reviewer has reviewed"),
+        c.issue_if(by & F.map_contains_key(members, "reviewed") & ~yes, c.below(at, "reviewed"), "a reviewer has reviewed"),
     )
-    twice = tracks.withColumn("n", nth("t.language")).where("n > 1")
-    again = captions.withColumn("n", nth("c.kind", "c.language")).where("n > 1")
-    return (
-        row(twice, where("signLanguage/", "/language"), "language occurs twice", "error")
-        .unionByName(row(again, where("captions/", ""), "kind and language occur twice", "error"))
-        .unionByName(row(tracks.where("t.extraction.confidence < 0.7"), where("signLanguage/", "/extraction/confidence"), "low confidence", "warning"))
-        .unionByName(row(tracks.where("abs(t.track.syncOffsetMs) > 5000"), where("signLanguage/", "/track/syncOffsetMs"), "large offset", "warning"))
+
+
+def _title_rules(node: Column, members: Column, at: Column) -> Column:
+    """Activity belongs to version 0.2; a missing version counts as the old one."""
+    old = c.equals(members, "stmVersion", "0.1")
+    tracks = c.as_(F.try_element_at(members, F.lit("signLanguage")), "array<variant>")
+    active = lambda t: c.has(F.when(c.is_object(t), c.as_(t, "map<string,variant>")), "activity")
+    place = lambda i: c.below(c.below(at, "signLanguage"), i)
+    found = F.flatten(F.transform(tracks, lambda t, i: c.issue_if(active(t), place(i), "activity needs version 0.2")))
+    return F.when(old & tracks.isNotNull(), found).otherwise(c.none())
+
+
+URL = c.text(least=1)
+_ASSET = {"url": URL, "width": c.number(1), "height": c.number(1), "codec": c.text(among=CODECS)}
+_RECT = c.record({"x": c.number(0), "y": c.number(0), "w": c.number(1), "h": c.number(1)}, ["x", "y", "w", "h"])
+_EXTRACTION = {
+    "method": c.text(among=METHODS),
+    "sourceLayout": c.text(among=LAYOUTS),
+    "confidence": c.number(0, 1, whole=False),
+    "cropRect": _RECT,
+    "fillMethod": c.text(among=FILLS),
+}
+_ACTIVITY = {"intervalMs": c.number(200, 5000), "scale": c.text(among=["title-p95"]), "values": c.listing(c.number(0, 100), least=1)}
+_TRACK = {
+    "language": c.text(like=SIGN_LANGUAGE),
+    "languageLabel": c.text(least=1),
+    "provenance": c.text(among=PROVENANCES),
+    "extraction": c.record(_EXTRACTION, list(_EXTRACTION)),
+    "generatedBy": c.text(least=1),
+    "track": c.record(_ASSET | {"syncOffsetMs": c.number()}, [*_ASSET, "syncOffsetMs"]),
+    "activity": c.record(_ACTIVITY, list(_ACTIVITY)),
+}
+_CAPTION = {
+    "kind": c.text(among=KINDS),
+    "language": c.text(like=LANGUAGE),
+    "url": URL,
+    "format": c.text(among=["webvtt"]),
+    "generatedBy": c.text(least=1),
+    "reviewed": c.flag(),
+    "reviewedBy": c.text(least=1),
+}
+_SOURCE = {k: c.text(least=1) for k in ("publisher", "url", "licence", "attribution")} | {"productionCredit": c.text(), "acquisitionRoute": c.text()}
+_TITLE = {
+    "stmVersion": c.text(among=VERSIONS),
+    "id": c.text(like=ID),
+    "title": c.text(least=1),
+    "durationMs": c.number(0),
+    "source": c.record(_SOURCE, ["publisher", "url", "licence", "attribution"]),
+    "video": c.record({"main": c.record(_ASSET, list(_ASSET)), "poster": URL}, ["main", "poster"]),
+    "signLanguage": c.listing(c.record(_TRACK, ["language", "languageLabel", "provenance", "track"], _track_rules)),
+    "captions": c.listing(c.record(_CAPTION, ["kind", "language", "url", "format"], _caption_rules)),
+}
+#: The shape of a title's manifest and of a catalogue.
+TITLE_SHAPE = c.record(_TITLE, list(_TITLE), _title_rules)
+_ENTRY = {
+    "id": c.text(like=ID),
+    "title": c.text(least=1),
+    "durationMs": c.number(0),
+    "poster": URL,
+    "manifestUrl": URL,
+    "signLanguages": c.listing(c.text(like=SIGN_LANGUAGE)),
+    "confidence": c.number(0, 1, whole=False),
+}
+CATALOGUE_SHAPE = c.record(
+    {"stmVersion": c.text(among=VERSIONS), "titles": c.listing(c.record(_ENTRY, [k for k in _ENTRY if k != "confidence"]))}, ["stmVersion", "titles"]
+)
+
+
+def _repeated(values: Column, i: Column) -> Column:
+    return F.array_position(values, F.get(values, i)) <= i
+
+
+def title_semantics(v: Column) -> Column:
+    """Issues of a manifest whose shape is right: repeated tracks and captions, low confidence, large offsets."""
+    tracks, captions = (F.try_variant_get(v, f"$.{k}", "array<variant>") for k in ("signLanguage", "captions"))
+    of = lambda xs, path, type_: F.transform(xs, lambda x: F.coalesce(F.try_variant_get(x, path, type_), F.lit(None).cast(type_)))
+
+    def judged(x: Column) -> Column:
+        at = lambda head, i, *keys: F.array(F.lit(head), i.cast("string"), *map(F.lit, keys))
+        by_track = F.transform(
+            F.sequence(F.lit(0), F.size(x["languages"]) - 1),
+            lambda i: F.concat(
+                c.issue_if(_repeated(x["languages"], i), at("signLanguage", i, "language"), "language occurs twice"),
+                c.issue_if(F.get(x["confidence"], i) < LEAST_CONFIDENCE, at("signLanguage", i, "extraction", "confidence"), "low confidence", "warning"),
+                c.issue_if(F.abs(F.get(x["offset"], i)) > MOST_OFFSET, at("signLanguage", i, "track", "syncOffsetMs"), "large offset", "warning"),
+            ),
+        )
+        by_caption = F.transform(
+            F.sequence(F.lit(0), F.size(x["kinds"]) - 1),
+            lambda i: c.issue_if(_repeated(x["kinds"], i), at("captions", i), "kind and language occur twice"),
+        )
+        flat = lambda xs, part: F.when(F.size(xs) > 0, F.flatten(part)).otherwise(c.none())
+        return F.concat(flat(x["languages"], by_track), flat(x["kinds"], by_caption))
+
+    members = F.struct(
+        of(tracks, "$.language", "string").alias("languages"),
+        of(tracks, "$.extraction.confidence", "double").alias("confidence"),
+        of(tracks, "$.track.syncOffsetMs", "double").alias("offset"),
+        F.transform(captions, lambda x: F.concat_ws(" ", F.try_variant_get(x, "$.kind", "string"), F.try_variant_get(x, "$.language", "string"))).alias("kinds"),
     )
+    return let(members, judged)
+
+
+def catalogue_semantics(v: Column) -> Column:
+    """Issues of a catalogue whose shape is right: ids that occur twice."""
+    ids = F.transform(F.try_variant_get(v, "$.titles", "array<variant>"), lambda x: F.try_variant_get(x, "$.id", "string"))
+
+    def judged(ids: Column) -> Column:
+        at = lambda i: F.array(F.lit("titles"), i.cast("string"), F.lit("id"))
+        found = F.transform(F.sequence(F.lit(0), F.size(ids) - 1), lambda i: c.issue_if(_repeated(ids, i), at(i), "id occurs twice"))
+        return F.when(F.size(ids) > 0, F.flatten(found)).otherwise(c.none())
+
+    return let(ids, judged)
+
+
+def _validated(documents: DataFrame, shape: c.Check, semantics: Callable[[Column], Column]) -> DataFrame:
+    root = F.array().cast("array<string>")
+    rows = documents.select("doc_id", F.try_parse_json("json").alias("v"))
+    found = let(F.col("v"), lambda v: F.array_sort(shape(v, root)))
+    rows = rows.select("doc_id", "v", F.when(F.col("v").isNull(), F.array(c.issue(root, "not JSON"))).otherwise(found).alias("found"))
+    found = F.when(F.size("found") == 0, semantics(F.col("v"))).otherwise(F.col("found"))
+    rows = rows.select("doc_id", F.posexplode(found).alias("nth", "i"))
+    path = F.when(F.size("i.at") == 0, "$").otherwise(F.array_join("i.at", "/"))
+    return rows.select("doc_id", "nth", path.alias("path"), "i.message", "i.severity")
 
 
 def validate(documents: DataFrame) -> DataFrame:
-    """All issues; semantic ones only for documents whose shape is right."""
-    shape = schema_issues(documents)
-    sound = documents.join(shape.select("doc_id").distinct(), "doc_id", "left_anti")
-    return shape.unionByName(semantic_issues(sound))
+    """(doc_id, nth, path, message, severity) of ``documents(doc_id, json)``, manifests of titles.
+
+    Issues of the shape come in the order of their paths; documents whose shape is right are asked for
+    more (:func:`title_semantics`).  A text that isn't JSON, and a null one, is one issue at ``$``.
+    """
+    return _validated(documents, TITLE_SHAPE, title_semantics)
+
+
+def validate_catalogues(documents: DataFrame) -> DataFrame:
+    """As :func:`validate`, of catalogues."""
+    return _validated(documents, CATALOGUE_SHAPE, catalogue_semantics)
 
 
 def validity(documents: DataFrame, issues: DataFrame, strict: bool = False) -> DataFrame:
@@ -174,7 +212,7 @@ def validity(documents: DataFrame, issues: DataFrame, strict: bool = False) -> D
 def catalogue_entries(manifests: DataFrame, base: str = "") -> DataFrame:
     """One index row a manifest ``(title_id, m, manifest_url)``; confidence is the least extraction's."""
     confidence = F.array_min(F.transform(F.filter("m.signLanguage", lambda t: t["extraction"].isNotNull()), lambda t: t["extraction"]["confidence"]))
-    link = lambda c: absolute_url(c, base) if base else c
+    link = lambda u: absolute_url(u, base) if base else u
     return manifests.select(
         F.col("m.id").alias("id"),
         F.col("m.title").alias("title"),
@@ -191,21 +229,21 @@ def absolutise(manifests: DataFrame, base: str) -> DataFrame:
     m = F.col("m")
     video = m["video"].withField("main.url", absolute_url(m["video"]["main"]["url"], base)).withField("poster", absolute_url(m["video"]["poster"], base))
     tracks = F.transform(m["signLanguage"], lambda t: t.withField("track.url", absolute_url(t["track"]["url"], base)))
-    captions = F.transform(m["captions"], lambda c: c.withField("url", absolute_url(c["url"], base)))
+    captions = F.transform(m["captions"], lambda x: x.withField("url", absolute_url(x["url"], base)))
     return manifests.withColumn("m", m.withField("video", video).withField("signLanguage", tracks).withField("captions", captions))
 
 
 #: Content types by suffix (fixed values).
 CONTENT_TYPES = {
     ".mp4": "video/mp4",
-    ".m4a": "audio/mp4",
-    ".webm": "video/webm",
+    ".m4v": "video/mp4",
     ".jpg": "image/jpeg",
     ".jpeg": "image/jpeg",
     ".png": "image/png",
     ".vtt": "text/vtt",
+    ".srt": "application/x-subrip",
     ".json": "application/json",
-    ".html": "text/html",
+    ".m3u8": "application/vnd.apple.mpegurl",
 }
 
 

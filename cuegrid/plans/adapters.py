@@ -138,6 +138,19 @@ BREAK = r"""case when length(text) <= 42 then text else coalesce((select regexp_
   order by greatest(b.i, length(text) - b.i - 1), abs(b.i - length(text) // 2), b.i limit 1), text) end"""
 
 
+#: Faults of manifests planted by text, in order: of orders whose number has this remainder.
+PLANTED = [
+    (29, 8, '"title":"[^"]*"', '"title":7'),
+    (31, 9, '"syncOffsetMs":0', '"syncOffsetMs":0.5'),
+    (37, 10, '"width":4,', '"width":-4,'),
+    (41, 11, '"codec":"h264","syncOffsetMs"', '"codec":"nope","syncOffsetMs"'),
+    (43, 12, '"format":"webvtt"', '"format":"webvtt","more":1'),
+    (47, 13, '"kind":"verbatim"', '"kind":"verbatim","reviewedBy":"Ann"'),
+    (53, 14, '"fillMethod":"none"', '"fillMethod":"none","x":[]'),
+    (59, 15, '"syncOffsetMs":0}', '"syncOffsetMs":6000}'),
+]
+
+
 def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders -> (doc_id, json): manifests, some with a fault by the order's number."""
     o = table(spark, sf_dir, "orders").groupBy("o_orderkey").agg(F.min("o_custkey").alias("c"), F.min("o_orderpriority").alias("p"), F.min(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
@@ -160,5 +173,8 @@ def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 5 == 1, F.array(track, track)).otherwise(F.array(track)).alias("signLanguage"), F.array(caption).alias("captions"),
         F.when(k % 19 == 6, F.lit(1)).alias("extraKey"),
     )
-    json = F.when(k % 23 == 7, F.lit("{broken")).otherwise(F.to_json(doc))
+    json = F.to_json(doc)
+    for modulus, rest, pattern, by in PLANTED:
+        json = F.regexp_replace(json, F.when(k % modulus == rest, pattern).otherwise("(?!)"), F.lit(by))
+    json = F.when(k % 23 == 7, F.lit("{broken")).otherwise(json)
     return o.select(k.alias("doc_id"), json.alias("json"))

@@ -555,17 +555,28 @@ def source_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DOCS = """o as (select o_orderkey as k, min(round(o_totalprice * 100)::bigint) as cents, min(o_orderpriority) as p, min(o_custkey) as c from orders group by 1)"""
+_EACH = "(select unnest([0, 1]) as i) where k % 23 <> 7 and (i = 0 or k % 5 = 1)"
 _ISSUES = f"""{_DOCS}, shape as (
   select k, '$' as path, 'error' as severity from o where k % 23 = 7
   union all select k, 'stmVersion', 'error' from o where k % 17 = 4 and k % 23 <> 7
-  union all select k, 'source/attribution', 'error' from o where k % 7 = 2 and k % 23 <> 7
+  union all select k, 'source', 'error' from o where k % 7 = 2 and k % 23 <> 7
   union all select k, '$', 'error' from o where k % 19 = 6 and k % 23 <> 7
-  union all select k, 'signLanguage/' || i || '/language', 'error' from o, (select unnest([0, 1]) as i) where k % 11 = 3 and k % 23 <> 7 and (i = 0 or k % 5 = 1)
-  union all select k, 'signLanguage/' || i || '/provenance', 'error' from o, (select unnest([0, 1]) as i) where k % 13 = 5 and k % 23 <> 7 and (i = 0 or k % 5 = 1)),
+  union all select k, 'title', 'error' from o where k % 29 = 8 and k % 23 <> 7
+  union all select k, 'captions/0', 'error' from o where k % 43 = 12 and k % 23 <> 7
+  union all select k, 'captions/0', 'error' from o where k % 47 = 13 and k % 23 <> 7
+  union all select k, 'signLanguage/' || i || '/language', 'error' from o, {_EACH} and k % 11 = 3
+  union all select k, 'signLanguage/' || i, 'error' from o, {_EACH} and k % 13 = 5
+  union all select k, 'signLanguage/' || i, 'error' from o, {_EACH} and k % 13 = 5
+  union all select k, 'signLanguage/' || i, 'error' from o, {_EACH} and k % 13 = 5
+  union all select k, 'signLanguage/' || i || '/track/syncOffsetMs', 'error' from o, {_EACH} and k % 31 = 9
+  union all select k, 'signLanguage/' || i || '/track/width', 'error' from o, {_EACH} and k % 37 = 10
+  union all select k, 'signLanguage/' || i || '/track/codec', 'error' from o, {_EACH} and k % 41 = 11
+  union all select k, 'signLanguage/' || i || '/extraction', 'error' from o, {_EACH} and k % 53 = 14),
 sound as (select * from o where k not in (select k from shape)),
 issues as (select * from shape
   union all select k, 'signLanguage/1/language', 'error' from sound where k % 5 = 1
-  union all select k, 'signLanguage/' || i || '/extraction/confidence', 'warning' from sound, (select unnest([0, 1]) as i) where (cents % 100) / 100 < 0.7 and (i = 0 or k % 5 = 1))"""
+  union all select k, 'signLanguage/' || i || '/extraction/confidence', 'warning' from sound, {_EACH} and (cents % 100) / 100 < 0.7
+  union all select k, 'signLanguage/' || i || '/track/syncOffsetMs', 'warning' from sound, {_EACH} and k % 59 = 15)"""
 
 
 @register(f"with {_ISSUES} select k as doc_id, path, severity from issues")
@@ -583,31 +594,37 @@ def validity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    f"with {_DOCS} select 'title-' || k as id, 'Title ' || p as title, cast(cents % 100000 as int) as duration_ms, 'https://cdn.example.org/t/poster.jpg' as poster, "
-    "'https://cdn.example.org/t/' || k || '/manifest.json' as manifest_url, case when k % 11 = 3 then 'xx' else 'ase' end as languages, (cents % 100) / 100 as confidence from o where k % 23 <> 7"
+    f"with {_DOCS}, x as (select *, k % 23 <> 7 as ok from o) select case when ok then 'title-' || k end as id, "
+    "case when ok then case when k % 29 = 8 then '7' else 'Title ' || p end end as title, case when ok then cast(cents % 100000 as int) end as duration_ms, case when ok then 'https://cdn.example.org/t/poster.jpg' end as poster, "
+    "'https://cdn.example.org/t/' || k || '/manifest.json' as manifest_url, case when ok then case when k % 11 = 3 then 'xx' else 'ase' end end as languages, case when ok then (cents % 100) / 100 end as confidence from x"
 )
 def catalogue_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = manifests.parse_manifests(ad.manifests(spark, sf_dir).where("doc_id % 23 <> 7"))
+    m = manifests.parse_manifests(ad.manifests(spark, sf_dir))
     m = m.withColumn("manifest_url", F.concat(F.col("doc_id").cast("string"), F.lit("/manifest.json")))
     c = manifests.catalogue_entries(m, "https://cdn.example.org/t/")
     return c.withColumn("languages", F.array_join("sign_languages", ",")).drop("sign_languages")
 
 
-@register(f"with {_DOCS} select k as doc_id, 'https://b.org/main.mp4' as main, 'https://b.org/poster.jpg' as poster, 'https://b.org/sign.mp4' as track, 'https://b.org/cap/en.vtt' as caption from o where k % 23 <> 7")
+@register(
+    f"with {_DOCS}, x as (select *, k % 23 <> 7 as ok from o) select k as doc_id, case when ok then 'https://b.org/main.mp4' end as main, case when ok then 'https://b.org/poster.jpg' end as poster, "
+    "case when ok then 'https://b.org/sign.mp4' end as track, case when ok then 'https://b.org/cap/en.vtt' end as caption from x"
+)
 def absolutise_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = manifests.absolutise(manifests.parse_manifests(ad.manifests(spark, sf_dir).where("doc_id % 23 <> 7")), "https://b.org/")
+    m = manifests.absolutise(manifests.parse_manifests(ad.manifests(spark, sf_dir)), "https://b.org/")
     return m.select(
         "doc_id", F.col("m.video.main.url").alias("main"), F.col("m.video.poster").alias("poster"),
         F.get(F.col("m.signLanguage"), F.lit(0))["track"]["url"].alias("track"), F.get(F.col("m.captions"), F.lit(0))["url"].alias("caption"),
     )
 
 
-_FILES = ["main.mp4", "poster.JPG", "captions/verbatim.en.vtt", "analysis.json", "manifest.json", "notes.bin"]
+_FILES = ["main.mp4", "poster.JPG", "captions/verbatim.en.vtt", "analysis.json", "manifest.json", "notes.bin", "clip.m4v", "still.jpeg", "logo.png", "captions/verbatim.en.srt", "play/list.m3u8"]
 
 
 @register(
-    f"select c_custkey as title_id, 'base/' || c_custkey || '/' || f as key, case f when 'main.mp4' then 'video/mp4' when 'poster.JPG' then 'image/jpeg' when 'captions/verbatim.en.vtt' then 'text/vtt' "
-    f"when 'manifest.json' then 'application/json' else 'application/octet-stream' end as content_type, cast(row_number() over (partition by c_custkey order by f) as int) as position from customer, (select unnest({_FILES}) as f) where f <> 'analysis.json'"
+    f"select c_custkey as title_id, 'base/' || c_custkey || '/' || f as key, case when f = 'main.mp4' or f = 'clip.m4v' then 'video/mp4' when f = 'poster.JPG' or f = 'still.jpeg' then 'image/jpeg' "
+    f"when f = 'captions/verbatim.en.vtt' then 'text/vtt' when f = 'manifest.json' then 'application/json' when f = 'logo.png' then 'image/png' when f = 'captions/verbatim.en.srt' then 'application/x-subrip' "
+    f"when f = 'play/list.m3u8' then 'application/vnd.apple.mpegurl' else 'application/octet-stream' end as content_type, "
+    f"cast(row_number() over (partition by c_custkey order by f) as int) as position from customer, (select unnest({_FILES}) as f) where f <> 'analysis.json'"
 )
 def upload_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = ad.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("title_id"), F.explode(F.array(*map(F.lit, _FILES))).alias("rel_path"))

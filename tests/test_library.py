@@ -309,21 +309,93 @@ def test_manifest_rules(spark):
         "signLanguage": [{"language": "ase", "languageLabel": "A", "provenance": "synthesised", "generatedBy": "g", "track": {"url": "t", "width": 1, "height": 1, "codec": "h264", "syncOffsetMs": 9000}}],
         "captions": [{"kind": "verbatim", "language": "en", "url": "c.vtt", "format": "webvtt", "generatedBy": "g", "reviewed": False}],
     }
-    bad = json.loads(json.dumps(good))
-    bad["captions"][0] |= {"reviewed": True}
-    bad["unknown"] = 1
-    del bad["source"]["licence"]
-    rows = [(1, json.dumps(good)), (2, json.dumps(bad)), (3, "{")]
-    docs = spark.createDataFrame(rows, "doc_id long, json string")
-    issues = manifests.validate(docs)
-    got = sorted((r.doc_id, r.path, r.severity) for r in issues.collect())
-    assert got == [
-        (1, "signLanguage/0/track/syncOffsetMs", "warning"), (2, "", "error"), (2, "captions/0", "error"), (2, "source/licence", "error"), (3, "$", "error"),
-    ] or got == [
-        (1, "signLanguage/0/track/syncOffsetMs", "warning"), (2, "$", "error"), (2, "captions/0", "error"), (2, "source/licence", "error"), (3, "$", "error"),
-    ]
-    assert {r.doc_id: r.valid for r in manifests.validity(docs, issues).collect()} == {1: True, 2: False, 3: False}
-    assert not manifests.validity(docs, issues, strict=True).where("doc_id = 1").first().valid
+    human = json.loads(json.dumps(good["signLanguage"][0])) | {
+        "provenance": "human-interpreter",
+        "extraction": {"method": "manual-crop", "sourceLayout": "side-panel", "confidence": 1, "cropRect": {"x": 0, "y": 0, "w": 1, "h": 5.0}, "fillMethod": "none"},
+        "activity": {"intervalMs": 200, "scale": "title-p95", "values": [0, 100]},
+    }
+    del human["generatedBy"]
+    human["track"]["syncOffsetMs"] = 0
+    docs, expected = [], {}
+
+    def case(paths, **changes):
+        """A good document with members (by path, ``__`` between keys) replaced, or deleted (None)."""
+        doc = json.loads(json.dumps(good | {"signLanguage": [human]}))
+        for path, value in changes.items():
+            *way, last = [int(k) if k.isdigit() else k for k in path.split("__")]
+            at = doc
+            for k in way:
+                at = at[k]
+            if value is None:
+                del at[last]
+            else:
+                at[last] = value
+        docs.append((len(docs), json.dumps(doc)))
+        expected[len(docs) - 1] = paths
+
+    case([])
+    case(["$"], unknown=1)
+    case(["$"], title=None)
+    case(["title"], title=7)
+    case(["stmVersion", "stmVersion"], stmVersion=0.2)
+    case(["signLanguage/0"], stmVersion="0.1")
+    case(["id"], id="A")
+    case(["durationMs"], durationMs=50.5)
+    case([], durationMs=5.0)
+    case(["durationMs"], durationMs=True)
+    case(["source", "source"], source__licence=None, source__x=1)
+    case(["source/licence"], source__licence="")
+    case(["source"], source="text")
+    case(["video/main/codec", "video/main/width"], video__main__codec="nope", video__main__width=0)
+    case(["signLanguage/0/track", "signLanguage/0/track/codec", "signLanguage/0/track/codec", "signLanguage/0/track/width"], signLanguage__0__track__more=1, signLanguage__0__track__codec=1, signLanguage__0__track__width=-4)
+    case(["signLanguage/0/track"], signLanguage__0__track__syncOffsetMs=None)
+    case(["signLanguage/0", "signLanguage/0", "signLanguage/0"], signLanguage__0__provenance=None)
+    case(["signLanguage/0"], signLanguage__0__generatedBy="g")
+    case(["signLanguage/0", "signLanguage/0"], signLanguage__0__provenance="synthesised")
+    case(["signLanguage/0/extraction/confidence"], signLanguage__0__extraction__confidence=1.5)
+    case(["signLanguage/0/extraction/cropRect/h", "signLanguage/0/extraction/cropRect/x"], signLanguage__0__extraction__cropRect__h=0, signLanguage__0__extraction__cropRect__x=-1)
+    case(["signLanguage/0/activity/intervalMs", "signLanguage/0/activity/scale", "signLanguage/0/activity/values/1"], signLanguage__0__activity={"intervalMs": 100, "scale": "x", "values": [1, 101]})
+    case(["signLanguage/0/activity/values"], signLanguage__0__activity__values=[])
+    case(["signLanguage/0/activity", "signLanguage/0/activity/values/0"], signLanguage__0__activity={"intervalMs": 200, "values": ["7"]})
+    case(["signLanguage"], signLanguage={"a": 1})
+    case(["signLanguage/0"] * 3, signLanguage__0=5)
+    case(["captions/0"], captions__0__reviewed=None)
+    case(["captions/0"], captions__0__reviewed=True)
+    case(["captions/0/reviewed"], captions__0__reviewedBy="Ann")
+    case([], captions__0__reviewed=True, captions__0__reviewedBy="Ann")
+    case(["captions/0/format", "captions/0/language"], captions__0__format="srt", captions__0__language="e")
+    case(["signLanguage/1/language"], signLanguage=[human, human])
+    case(["captions/1"], captions=[good["captions"][0]] * 2)
+    case(["signLanguage/0/extraction/confidence", "signLanguage/0/track/syncOffsetMs"], signLanguage__0__extraction__confidence=0.5, signLanguage__0__track__syncOffsetMs=-5001)
+    for text in ("{", None, "[1]", "7"):
+        docs.append((len(docs), text))
+        expected[len(docs) - 1] = ["$"]
+    table = spark.createDataFrame(docs, "doc_id long, json string")
+    issues = manifests.validate(table)
+    got = {i: [] for i in expected}
+    for r in issues.orderBy("doc_id", "nth").collect():
+        got[r.doc_id].append(r.path)
+    assert got == expected
+    valid = {r.doc_id: (r.valid, r.warnings) for r in manifests.validity(table, issues).collect()}
+    warned = 33
+    assert valid == {i: (not p or i == warned, 2 * (i == warned)) for i, p in expected.items()}
+    assert not manifests.validity(table, issues, strict=True).where(f"doc_id = {warned}").first().valid
+    assert manifests.validate(table.limit(0)).count() == 0
+
+
+def test_catalogue_rules(spark):
+    import json
+
+    entry = {"id": "a-title", "title": "T", "durationMs": 1, "poster": "p", "manifestUrl": "u", "signLanguages": ["ase"], "confidence": 0.5}
+    rows = [
+        {"stmVersion": "0.2", "titles": [entry]},
+        {"stmVersion": "0.2", "titles": [entry, entry | {"id": "b-title"}, entry]},
+        {"stmVersion": "0.3", "titles": [entry | {"poster": "", "x": 1, "signLanguages": ["as"], "confidence": 2}]},
+        {"titles": []},
+    ]
+    docs = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)], "doc_id long, json string")
+    got = [(r.doc_id, r.path) for r in manifests.validate_catalogues(docs).orderBy("doc_id", "nth").collect()]
+    assert got == [(1, "titles/2/id"), (2, "stmVersion"), (2, "titles/0"), (2, "titles/0/confidence"), (2, "titles/0/poster"), (2, "titles/0/signLanguages/0"), (3, "$")]
 
 
 def test_generated_captions_are_never_reviewed(spark):
