@@ -98,17 +98,24 @@ def flat(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACES, " "))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+
+
 def srt_to_vtt(srt: Column) -> Column:
-    """Header, lines of digits only dropped, decimal commas of times as points."""
-    lines = F.split(F.regexp_replace(srt, "\r\n?", "\n"), "\n")
-    kept = F.filter(lines, lambda x: ~F.trim(x).rlike("^[0-9]+$"))
-    timed = F.transform(
-        kept,
-        lambda x: F.when(
-            F.contains(x, F.lit("-->")), F.regexp_replace(x, r"(\d{2}:\d{2}:\d{2}),(\d{3})", "$1.$2")
-        ).otherwise(x),
-    )
-    return F.concat(F.lit("WEBVTT\n\n"), F.regexp_replace(F.array_join(timed, "\n"), r"^\s+|\s+$", ""), F.lit("\n"))
+    """Header, lines of digits only dropped, lines trimmed at the right, decimal commas of times as points."""
+    text = F.regexp_replace(F.regexp_replace(srt, "^\ufeff", ""), "\r\n", "\n")
+    lines = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(x, SPACES + r"\z", ""))
+    kept = F.filter(lines, lambda x: ~x.rlike(r"^\d+\z"))
+    timed = F.transform(kept, lambda x: F.regexp_replace(x, r"(\d{2}:\d{2}:\d{2}),(\d{3})", "$1.$2"))
+    return F.concat(F.regexp_replace(F.array_join(F.concat(F.array(F.lit("WEBVTT"), F.lit("")), timed), "\n"), SPACES + r"\z", ""), F.lit("\n"))
+
+
+def as_vtt(path: Column, text: Column) -> Column:
+    """A subtitle file as WebVTT: ``.srt`` converted, others as they are; null for what is neither."""
+    plain = F.regexp_replace(text, "^\ufeff", "")
+    return F.when(F.lower(path).rlike(r"\.srt$"), srt_to_vtt(plain)).when(plain.rlike(r"(?U)\A\s*WEBVTT"), plain)
 
 
 ENTITIES = {
@@ -134,10 +141,10 @@ def clean_html(html: Column) -> Column:
 
 
 def display_name(speaker: Column) -> Column:
-    """Without a leading number and without what stands in brackets behind the name."""
-    name = F.regexp_replace(speaker, r"^\d+\.\s+", "")
+    """Without a leading number and without what stands in brackets behind the name, trimmed."""
+    name = stripped(F.regexp_replace(speaker, r"^\d+\.\s+", ""))
     at = F.locate(" (", name)
-    return F.when(at > 1, F.substring(name, F.lit(1), at - 1)).otherwise(name)
+    return F.when(at > 1, stripped(F.substring(name, F.lit(1), at - 1))).otherwise(name)
 
 
 def absolute_url(url: Column, base: str) -> Column:

@@ -5,41 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuegrid.functions.text import flat, parse_timestamp, timing_line, word_budget
+from cuegrid.functions.text import flat, parse_timestamp, stripped, timing_line, word_budget
 
-TIMING = r"^\s*([0-9:.,]+)\s+-->\s+([0-9:.,]+)[ \t]*(.*?)\s*$"
+_CLOCK = r"((?:\d{1,3}:\d{2}|\d{1,2}):\d{2}[.,]\d{3})"
+TIMING = rf"^\s*{_CLOCK}\s*-->\s*{_CLOCK}[ \t]*(.*?)\s*$"
+
+
+def _blocks(files: DataFrame) -> DataFrame:
+    """(title_id, pos, block, lines, at): the blocks between blank lines and the place of their timing line, from 1 (0: none)."""
+    body = F.regexp_replace(F.regexp_replace(F.col("text"), "^\ufeff", ""), "\r\n?", "\n")
+    rows = files.select("title_id", F.posexplode(F.split(body, "\n\n")).alias("pos", "block")).where(~F.col("block").rlike(r"(?U)^\s*$"))
+    rows = rows.withColumn("lines", F.split("block", "\n"))
+    at = F.array_position(F.transform("lines", lambda x: x.rlike(TIMING)), F.lit(True)).cast("int")
+    return rows.withColumn("at", at)
 
 
 def parse_vtt(files: DataFrame) -> DataFrame:
     """``files(title_id, text)`` to cues: title_id, index, start_s, end_s, text, identifier, settings.
 
-    Blocks are parted by blank lines.  A block is a cue if one of its lines is a timing line: what
-    is in front of it is the identifier, what follows is the text.  Cues count from 1 in order.
+    A block is a cue if one of its lines is a timing line: what is in front of it is the
+    identifier, what follows is the text.  Cues count from 1 in order.
     """
-    body = F.regexp_replace(F.regexp_replace(F.col("text"), "^﻿", ""), "\r\n?", "\n")
-    blocks = files.select("title_id", F.posexplode(F.split(body, r"\n[ \t]*\n")).alias("pos", "block"))
-    lines = F.filter(F.split("block", "\n"), lambda x: F.trim(x) != "")
-    is_time = lambda x: x.rlike(TIMING)
-    blocks = blocks.withColumn("lines", lines).withColumn(
-        "at", F.array_position(F.transform("lines", is_time), F.lit(True)).cast("int")
-    )
-    cues = blocks.where("at > 0").withColumn("time", F.element_at("lines", F.col("at")))
+    cues = _blocks(files).where("at > 0").withColumn("time", F.element_at("lines", F.col("at")))
     part = lambda i: F.regexp_extract("time", TIMING, i)
     order = Window.partitionBy("title_id").orderBy("pos")
-    head = F.array_join(F.slice("lines", F.lit(1), F.col("at") - 1), "\n")
+    joined = lambda start, size: stripped(F.array_join(F.slice("lines", start, size), "\n"))
+    head = joined(F.lit(1), F.col("at") - 1)
     return cues.select(
         "title_id",
         F.row_number().over(order).alias("index"),
         parse_timestamp(part(1)).alias("start_s"),
         parse_timestamp(part(2)).alias("end_s"),
-        F.array_join(F.slice("lines", F.col("at") + 1, F.size("lines")), "\n").alias("text"),
+        joined(F.col("at") + 1, F.size("lines")).alias("text"),
         F.when(head != "", head).alias("identifier"),
         part(3).alias("settings"),
     )
 
 
-def build_vtt(cues: DataFrame, note: str | None = None) -> DataFrame:
-    """(title_id, text): a WebVTT file of each title's cues, in order of index."""
+def vtt_preamble(files: DataFrame) -> DataFrame:
+    """(title_id, blocks): notes, styles and regions of ``files(title_id, text)``, in order; files without any have none."""
+    rows = _blocks(files).where("at = 0").withColumn("block", stripped(F.col("block"))).where("not startswith(block, 'WEBVTT')")
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "block")))
+    return rows.groupBy("title_id").agg(F.transform(ordered, lambda x: x["block"]).alias("blocks"))
+
+
+def build_vtt(cues: DataFrame, note: str | None = None, preamble: DataFrame | None = None) -> DataFrame:
+    """(title_id, text): a WebVTT file of each title's cues, in order of index, after a note and the preamble's blocks."""
     block = F.concat(
         F.when(F.coalesce("identifier", F.lit("")) == "", "").otherwise(F.concat("identifier", F.lit("\n"))),
         timing_line(F.col("start_s"), F.col("end_s"), F.col("settings")),
@@ -47,11 +58,13 @@ def build_vtt(cues: DataFrame, note: str | None = None) -> DataFrame:
         F.col("text"),
         F.lit("\n"),
     )
-    head = "WEBVTT\n\n" + (f"NOTE {note}\n\n" if note else "")
     ordered = F.array_sort(F.collect_list(F.struct("index", block.alias("block"))))
-    return cues.groupBy("title_id").agg(
-        F.concat(F.lit(head), F.array_join(F.transform(ordered, lambda x: x["block"]), "\n")).alias("text")
-    )
+    files = cues.groupBy("title_id").agg(F.array_join(F.transform(ordered, lambda x: x["block"]), "\n").alias("body"))
+    head = F.array(F.lit("WEBVTT"), *([F.lit(f"NOTE {note}")] if note else []))
+    if preamble is not None:
+        files = files.join(preamble.select("title_id", "blocks"), "title_id", "left")
+        head = F.concat(head, F.coalesce("blocks", F.array().cast("array<string>")))
+    return files.select("title_id", F.concat(F.array_join(F.transform(head, lambda x: F.concat(x, F.lit("\n\n"))), ""), "body").alias("text"))
 
 
 def chunks(cues: DataFrame, size: int = 40) -> DataFrame:
@@ -63,26 +76,25 @@ def chunks(cues: DataFrame, size: int = 40) -> DataFrame:
     return cues.withColumn("chunk", F.floor((F.col("index") - 1) / size).cast("int")).withColumn("line", line)
 
 
-def parse_replies(replies: DataFrame) -> DataFrame:
+def parse_replies(replies: DataFrame, asked: DataFrame | None = None) -> DataFrame:
     """``replies(title_id, chunk, reply)`` to (title_id, chunk, index, text).
 
-    ``[n]`` at a line's start opens cue n; other lines go on with it.  A repeated marker
-    overwrites, blank results are dropped.
+    ``[n]`` at a line's start opens cue n; other lines go on with it after a space.  A repeated marker
+    overwrites, blank results are dropped.  With ``asked(title_id, chunk, index)`` the cues of other chunks,
+    their further lines included, are dropped: a reply can't touch what it wasn't asked for.
     """
-    lines = replies.select("title_id", "chunk", F.posexplode(F.split("reply", "\n")).alias("pos", "line"))
+    lines = replies.select("title_id", "chunk", F.posexplode(F.split(F.regexp_replace("reply", "\r\n", "\n"), "\n")).alias("pos", "line"))
     marker = r"^\s*\[(\d+)\]\s?(.*)$"
     lines = lines.withColumn("index", F.regexp_extract("line", marker, 1).try_cast("int"))
     order = Window.partitionBy("title_id", "chunk").orderBy("pos")
     lines = lines.withColumn("group", F.count("index").over(order.rowsBetween(Window.unboundedPreceding, 0))).where("group > 0")
-    own = F.trim(F.when(F.col("index").isNotNull(), F.regexp_extract("line", marker, 2)).otherwise(F.col("line")))
-    texts = lines.groupBy("title_id", "chunk", "group").agg(
-        F.max("index").alias("index"),
-        F.array_join(
-            F.filter(F.transform(F.array_sort(F.collect_list(F.struct("pos", own.alias("t")))), lambda x: x["t"]), lambda t: t != ""), "\n"
-        ).alias("text"),
-    )
+    own = stripped(F.when(F.col("index").isNotNull(), F.regexp_extract("line", marker, 2)).otherwise(F.col("line")))
+    said = F.filter(F.transform(F.array_sort(F.collect_list(F.struct("pos", own.alias("t")))), lambda x: x["t"]), lambda t: t != "")
+    texts = lines.groupBy("title_id", "chunk", "group").agg(F.max("index").alias("index"), F.array_join(said, " ").alias("text"))
+    if asked is not None:
+        texts = texts.join(asked.select("title_id", "chunk", "index"), ["title_id", "chunk", "index"], "left_semi")
     last = texts.groupBy("title_id", "chunk", "index").agg(F.max_by("text", "group").alias("text"))
-    return last.where("trim(text) <> ''")
+    return last.where("text <> ''")
 
 
 def missing(cues: DataFrame, parsed: DataFrame) -> DataFrame:

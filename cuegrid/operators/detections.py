@@ -30,12 +30,12 @@ def cluster_detections(detections: DataFrame, min_iou: float = 0.3, smoothing: f
     def track(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["frame_idx", "box_no"], kind="stable").reset_index(drop=True)
         boxes = pdf[["x1", "y1", "x2", "y2"]].to_numpy(float)
-        means = np.empty((0, 4))
+        held, n = np.empty((64, 4)), 0  # open clusters' boxes, in a buffer that doubles
         found = np.empty(len(pdf), np.int32)
         for at in pdf.groupby("frame_idx", sort=True).indices.values():
             own = boxes[at]
-            taken_box, taken_cluster = set(), set()
-            if len(means):
+            taken_box, taken_cluster, means = set(), set(), held[:n]
+            if n:
                 low = np.maximum(own[:, None, :2], means[None, :, :2])
                 high = np.minimum(own[:, None, 2:], means[None, :, 2:])
                 common = np.prod(np.maximum(high - low, 0), axis=2)
@@ -52,8 +52,9 @@ def cluster_detections(detections: DataFrame, min_iou: float = 0.3, smoothing: f
                     means[c] += smoothing * (own[b] - means[c])
             for b in range(len(at)):
                 if b not in taken_box:
-                    found[at[b]] = len(means)
-                    means = np.vstack([means, own[b]])
+                    if n == len(held):
+                        held = np.concatenate([held, np.empty_like(held)])
+                    held[n], found[at[b]], n = own[b], n, n + 1
         return pdf.assign(cluster_id=found)
 
     columns = ["title_id", "frame_idx", "box_no", "x1", "y1", "x2", "y2", "motion"]
@@ -115,15 +116,22 @@ def rank_clusters(features: DataFrame) -> DataFrame:
     return features.withColumn("rank", F.row_number().over(order))
 
 
-def choose_signer(features: DataFrame) -> DataFrame:
-    """The best eligible cluster of each title; a title without one has an error instead."""
+def choose_signer(features: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """The best eligible cluster of each title; a title without one has an error instead.
+
+    With ``titles(title_id)`` titles without any cluster have theirs too.
+    """
     best = rank_clusters(features).where("rank = 1")
-    return best.select(
+    chosen = best.select(
         "title_id",
         F.when(F.col("eligible"), F.col("cluster_id")).alias("cluster_id"),
         F.when(F.col("eligible"), F.col("confidence")).alias("confidence"),
         F.when(~F.col("eligible"), F.lit("no eligible person")).alias("error"),
     )
+    if titles is None:
+        return chosen
+    rows = titles.select("title_id").distinct().join(chosen, "title_id", "left")
+    return rows.withColumn("error", F.when(F.col("cluster_id").isNull(), F.coalesce("error", F.lit("no person"))))
 
 
 def fixed_rect(boxes: DataFrame, frame_w: int, frame_h: int, low: float = 0.05, high: float = 0.95, pad: float = 0.08) -> DataFrame:

@@ -209,6 +209,19 @@ def validity(documents: DataFrame, issues: DataFrame, strict: bool = False) -> D
     return rows.withColumn("valid", (F.col("errors") == 0) & ((F.col("warnings") == 0) if strict else F.lit(True)))
 
 
+def build_manifests(titles: DataFrame, tracks: DataFrame, captions: DataFrame | None = None, version: str = "0.2") -> DataFrame:
+    """(title_id, json) of ``titles(title_id, id, title, durationMs, source, video)`` with ``tracks(title_id, nth, track)``
+    and ``captions(title_id, nth, caption)`` in the order of nth; members without a value are left out.
+    """
+    in_order = lambda df, c: df.groupBy("title_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("nth", c))), lambda x: x[c]).alias(f"{c}s")
+    )
+    rows = titles.join(in_order(tracks, "track"), "title_id", "left")
+    rows = rows.join(in_order(captions, "caption"), "title_id", "left") if captions is not None else rows.withColumn("captions", F.array())
+    members = [F.lit(version).alias("stmVersion"), "id", "title", "durationMs", "source", "video", F.coalesce("tracks", F.array()).alias("signLanguage")]
+    return rows.select("title_id", F.to_json(F.struct(*members, F.coalesce("captions", F.array()).alias("captions"))).alias("json"))
+
+
 def catalogue_entries(manifests: DataFrame, base: str = "") -> DataFrame:
     """One index row a manifest ``(title_id, m, manifest_url)``; confidence is the least extraction's."""
     confidence = F.array_min(F.transform(F.filter("m.signLanguage", lambda t: t["extraction"].isNotNull()), lambda t: t["extraction"]["confidence"]))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuegrid.functions.geometry import bottom, clamp01, right
+from cuegrid.functions.geometry import bottom, clamp01, right, ring
 
 
 def luma(r: Column, g: Column, b: Column) -> Column:
@@ -37,23 +37,23 @@ def frame_motion(grey: DataFrame) -> DataFrame:
 
 def box_motion(grey: DataFrame, boxes: DataFrame, upper: float = 0.6) -> DataFrame:
     """Mean difference in the upper part of each box of ``boxes(title_id, frame_idx, box_no, x1, y1, x2, y2)``."""
-    inside = (
-        (F.col("y") >= F.floor("y1"))
-        & (F.col("y") < F.ceil(F.col("y1") + upper * (F.col("y2") - F.col("y1"))))
-        & (F.col("x") >= F.floor("x1"))
-        & (F.col("x") < F.ceil("x2"))
-    )
-    hit = boxes.join(frame_differences(grey), ["title_id", "frame_idx"], "left")
+    columns = F.sequence(F.floor("x1").cast("int"), F.ceil("x2").cast("int") - 1)
+    spread = boxes.select("title_id", "frame_idx", "box_no", "y1", "y2", F.explode_outer(F.when(F.ceil("x2") > F.floor("x1"), columns)).alias("x"))
+    inside = (F.col("y") >= F.floor("y1")) & (F.col("y") < F.ceil(F.col("y1") + upper * (F.col("y2") - F.col("y1"))))
+    hit = spread.join(frame_differences(grey).select("title_id", "frame_idx", "x", "y", "diff"), ["title_id", "frame_idx", "x"], "left")
     return hit.groupBy("title_id", "frame_idx", "box_no").agg(F.avg(F.when(inside, F.col("diff"))).alias("motion"))
 
 
 def band_stats(stats: DataFrame, bands: DataFrame) -> DataFrame:
     """Mean variance and grey over ``bands(title_id, band, x, y, w, h)``; nulls for an empty band."""
-    inside = (F.col("x_") >= F.col("x")) & (F.col("x_") < F.col("x") + F.col("w")) & (F.col("y_") >= F.col("y")) & (F.col("y_") < F.col("y") + F.col("h"))
-    px = stats.select("title_id", F.col("x").alias("x_"), F.col("y").alias("y_"), "mean_grey", "temporal_var")
-    hit = bands.join(px, "title_id", "left")
-    return hit.groupBy("title_id", "band").agg(
-        F.avg(F.when(inside, F.col("temporal_var"))).alias("variance"), F.avg(F.when(inside, F.col("mean_grey"))).alias("grey")
+    columns = F.when(F.col("w") > 0, F.sequence(F.col("x"), F.col("x") + F.col("w") - 1))
+    spread = bands.select("title_id", "band", "y", "h", F.explode_outer(columns).alias("x"))
+    px = stats.select("title_id", "x", F.col("y").alias("y_"), "mean_grey", "temporal_var")
+    inside = (F.col("y_") >= F.col("y")) & (F.col("y_") < F.col("y") + F.col("h"))
+    return (
+        spread.join(px, ["title_id", "x"], "left")
+        .groupBy("title_id", "band")
+        .agg(F.avg(F.when(inside, F.col("temporal_var"))).alias("variance"), F.avg(F.when(inside, F.col("mean_grey"))).alias("grey"))
     )
 
 
@@ -62,9 +62,13 @@ def accepts_band(variance: Column, grey: Column, reference: Column, max_var: flo
     return still & (reference.isNull() | (F.abs(grey - reference) <= max_step))
 
 
-def grow_windows(rects: DataFrame, stats: DataFrame, band: int = 2, max_var: float = 40.0, max_step: float = 6.0) -> DataFrame:
+def grow_windows(
+    rects: DataFrame, stats: DataFrame, band: int = 2, max_var: float = 40.0, max_step: float = 6.0, size: tuple[int, int] | None = None
+) -> DataFrame:
     """``rects(title_id, x, y, w, h)`` grown over still, even background, edge by edge to a fixpoint.
 
+    The frame's ``size`` (width, height) is that of the pixels found unless it is given.
+
     Edges are tried left, right, top, bottom with the extents of the moment; each remembers the
     grey it took last.  A title's statistics form one dense image in one task.
     """
@@ -72,7 +76,7 @@ def grow_windows(rects: DataFrame, stats: DataFrame, band: int = 2, max_var: flo
     def grow(key: tuple, found: pd.DataFrame, px: pd.DataFrame) -> pd.DataFrame:
         if not len(found):
             return found[["title_id", "x", "y", "w", "h"]]
-        fh, fw = (int(px.y.max()) + 1, int(px.x.max()) + 1) if len(px) else (0, 0)
+        fw, fh = size or ((int(px.x.max()) + 1, int(px.y.max()) + 1) if len(px) else (0, 0))
         var, grey = np.full((fh, fw), np.inf), np.zeros((fh, fw))
         var[px.y, px.x], grey[px.y, px.x] = px.temporal_var, px.mean_grey
         out = []
@@ -143,20 +147,41 @@ def classify_layout(rects: DataFrame, stats: DataFrame | None, frame_w: int, fra
 def sobel_detail(stats: DataFrame) -> DataFrame:
     """Gradient magnitude of mean_grey by 3x3 Sobel over a whole image, borders reflected.
 
-    A stencil as an equi-join: every pixel sends its weighted grey to its neighbours.
+    The stencil is separable: differences and sums along rows, then along columns, each by the two neighbours
+    of a window (at a border the inner one on both sides).
     """
-    size = stats.groupBy("title_id").agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h"))
-    taps = [(dx, dy, dx * (2 - abs(dy)), dy * (2 - abs(dx))) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if dx or dy]
-    tap = F.explode(F.array(*[F.struct(*(F.lit(v).alias(n) for v, n in zip(t, ("dx", "dy", "gx", "gy"), strict=True))) for t in taps]))
-    centre = stats.select("title_id", "x", "y").join(size, "title_id").withColumn("t", tap)
-    fold = lambda v, n: F.when(v < 0, -v).when(v >= n, 2 * n - 2 - v).otherwise(v)
-    from_x, from_y = fold(F.col("x") + F.col("t.dx"), F.col("w")), fold(F.col("y") + F.col("t.dy"), F.col("h"))
-    taps_ = centre.select("title_id", "x", "y", "t.gx", "t.gy", from_x.alias("fx"), from_y.alias("fy"))
-    source = stats.select("title_id", F.col("x").alias("fx"), F.col("y").alias("fy"), "mean_grey")
-    return (
-        taps_.join(source, ["title_id", "fx", "fy"])
-        .groupBy("title_id", "x", "y")
-        .agg(F.hypot(F.sum(F.col("gx") * F.col("mean_grey")), F.sum(F.col("gy") * F.col("mean_grey"))).alias("gradient"))
+
+    def sides(window: Window, c: str) -> tuple[Column, Column]:
+        before, after = F.lag(c).over(window), F.lead(c).over(window)
+        return F.coalesce(before, after, F.col(c)), F.coalesce(after, before, F.col(c))
+
+    row, column = (Window.partitionBy("title_id", a).orderBy(b) for a, b in (("y", "x"), ("x", "y")))
+    left, right_ = sides(row, "mean_grey")
+    rows = stats.select("title_id", "x", "y", (right_ - left).alias("step"), (left + 2 * F.col("mean_grey") + right_).alias("soft"))
+    above, below = sides(column, "step")
+    soft_above, soft_below = sides(column, "soft")
+    return rows.select("title_id", "x", "y", F.hypot(above + 2 * F.col("step") + below, soft_below - soft_above).alias("gradient"))
+
+
+def measure_background(rects: DataFrame, stats: DataFrame, frame_w: int, frame_h: int) -> DataFrame:
+    """``rects(title_id, rect)`` with detail (mean gradient), motion (mean variance) and difficulty of what surrounds each.
+
+    The surroundings are the ring a quarter wider without the rectangle; the gradient is taken within the ring.
+    A rectangle that fills its ring, and a title without pixels, has 0, 0 and 0.5.
+    """
+    ringed = rects.select("title_id", "rect", ring(F.col("rect"), F.lit(frame_w), F.lit(frame_h)).alias("ring"))
+    px = stats.join(ringed, "title_id")
+    within = lambda r: (F.col("x") >= r["x"]) & (F.col("x") < right(r)) & (F.col("y") >= r["y"]) & (F.col("y") < bottom(r))
+    px = px.where(within(F.col("ring"))).withColumn("outside", ~within(F.col("rect")))
+    px = px.join(sobel_detail(px.select("title_id", "x", "y", "mean_grey")), ["title_id", "x", "y"]).where("outside")
+    means = px.groupBy("title_id").agg(F.avg("gradient").alias("detail"), F.avg("temporal_var").alias("motion"))
+    rows = rects.join(means, "title_id", "left")
+    return rows.withColumns(
+        {
+            "difficulty": difficulty(F.col("detail"), F.col("motion")),
+            "detail": F.coalesce("detail", F.lit(0.0)),
+            "motion": F.coalesce("motion", F.lit(0.0)),
+        }
     )
 
 

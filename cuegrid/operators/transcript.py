@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuegrid.functions.text import clean_html, is_event, normal_word, tokens
+from cuegrid.functions.text import clean_html, is_event, normal_word, stripped, tokens
 
 RECOGNISED = (
     "struct<results:struct<items:array<struct<type:string,start_time:string,end_time:string,"
@@ -13,15 +13,18 @@ RECOGNISED = (
 )
 
 
-def paragraphs(pages: DataFrame, opener: str = "") -> DataFrame:
+def paragraphs(pages: DataFrame, opener: str = "", ends: tuple[str, ...] = ()) -> DataFrame:
     """``pages(page_id, html)`` to (page_id, pos, attributes, inner, text), scripts left out.
 
-    With an ``opener`` (the start of an id) a page begins at its first such paragraph.
+    With an ``opener`` (the start of an id) a page begins at its first such paragraph, and ends where
+    one of ``ends`` comes after it.
     """
     body = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", "")
     if opener:
         at = F.locate(f'<p id="{opener}', body)
         body = F.when(at > 0, F.substring(body, at, F.length(body))).otherwise(F.lit(""))
+    for end in ends:
+        body = F.regexp_replace(body, rf"(?s)(?<=.)\Q{end}\E.*", "")
     pattern = r"(?is)<p(\s[^>]*)?>(.*?)</p>"
     hits = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
     rows = pages.select("page_id", F.posexplode(hits).alias("pos", "hit"))
@@ -31,21 +34,28 @@ def paragraphs(pages: DataFrame, opener: str = "") -> DataFrame:
         "pos",
         F.regexp_extract("hit", pattern, 1).alias("attributes"),
         inner.alias("inner"),
-        F.regexp_replace(clean_html(inner), "^[: ]+", "").alias("text"),
+        stripped(F.regexp_replace(clean_html(inner), "^[: ]+", "")).alias("text"),
     )
 
 
-def contributions(pages: DataFrame, opener: str = "orscontributions_", footers: tuple[str, ...] = ("Back to Official Report", "©", "&copy;")) -> DataFrame:
+# Fixed values of the report's pages.
+OPENER = "orscontributions_"
+FOOTERS = ("Back to Official Report", "©", "&copy;")
+END_MARKERS = ("<!-- Previous/Next navigation -->", '<p class="h5">')
+
+
+def contributions(pages: DataFrame, opener: str = OPENER, footers: tuple[str, ...] = FOOTERS, ends: tuple[str, ...] = END_MARKERS) -> DataFrame:
     """Speakers' contributions: page_id, ci, speaker, clock, paragraphs.
 
     A paragraph with an opener id opens one; ``H:MM`` alone is a clock for the next; class ``lead``
-    is left out; a footer ends the page; a contribution needs a speaker and a paragraph.
+    is left out; an end marker ends the page, and so does a paragraph (not an opener) whose text has a footer; a
+    contribution needs a speaker and a paragraph.
     """
-    rows = paragraphs(pages, opener)
+    rows = paragraphs(pages, opener, ends)
     opens = F.contains("attributes", F.lit(f'id="{opener}'))
     footer = F.lit(False)
     for f in footers:
-        footer = footer | F.contains("inner", F.lit(f))
+        footer = footer | (~opens & F.contains("text", F.lit(f)))
     upto = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("ended", F.max(footer.cast("int")).over(upto)).where("ended = 0").withColumn("opens", opens)
     rows = rows.withColumn("ci", F.sum(F.col("opens").cast("int")).over(upto))
@@ -110,3 +120,18 @@ def recognised_words(results: DataFrame) -> DataFrame:
         F.max(F.when(F.col("spoken"), F.col("end"))).alias("end"),
         F.max(F.when(F.col("spoken"), F.col("probability"))).alias("probability"),
     )
+
+
+WORDS = "array<struct<text:string,start:double,end:double,probability:double>>"
+
+
+def load_words(lists: DataFrame) -> DataFrame:
+    """``lists(title_id, json)`` of saved words to (title_id, pos, text, start, end, probability); a missing probability is 1."""
+    rows = lists.select("title_id", F.posexplode(F.from_json("json", WORDS)).alias("pos", "w"))
+    return rows.select("title_id", "pos", "w.text", "w.start", "w.end", F.coalesce("w.probability", F.lit(1.0)).alias("probability"))
+
+
+def save_words(words: DataFrame) -> DataFrame:
+    """(title_id, json): the words of each title as one list, in order of pos."""
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "text", "start", "end", "probability")))
+    return words.groupBy("title_id").agg(F.to_json(F.transform(ordered, lambda w: w.dropFields("pos"))).alias("json"))

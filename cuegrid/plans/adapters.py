@@ -97,12 +97,12 @@ CONTRIBUTIONS = """contributions as (select conv_id as title_id, turn as ci, rol
 
 
 def cues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conversations -> cues: one a turn, 2 s apart, the first 80 characters on one line."""
-    return _turns(spark, sf_dir, F.regexp_replace(F.substring(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), 1, 80), "^ +| +$", ""))
+    """conversations -> cues: one a turn, 2 s apart, with all lines of the turn except blank ones."""
+    return whole_cues(spark, sf_dir)
 
 
 def whole_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conversations -> cues as in ``cues``, but each with all lines of its turn except blank ones."""
+    """conversations -> cues, each with all lines of its turn except blank ones; rows that repeat a turn are one cue."""
     lines = F.split(F.regexp_replace(F.coalesce("text", F.lit("")), "\r\n?", "\n"), "\n")
     return _turns(spark, sf_dir, F.array_join(F.filter(lines, lambda x: ~x.rlike(r"^[ \t]*$")), "\n"))
 
@@ -118,24 +118,23 @@ def _turns(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
     )
 
 
-CUES = """cues as (select conv_id as title_id, cast(turn + 1 as int) as index, cast(turn * 2.5 as double) as start_s,
-  cast(turn * 2.5 + 2.125 as double) as end_s,
-  min(regexp_replace(substr(replace(text, chr(10), ' '), 1, 80), '^ +| +$', '', 'g')) as text,
-  case when min(role) = 'user' then 'id-' || turn end as identifier, case when min(role) = 'system' then 'align:start' else '' end as settings
-  from conversations group by conv_id, turn)"""
 WHOLE_CUES = r"""cues as (select conv_id as title_id, cast(turn + 1 as int) as index, cast(turn * 2.5 as double) as start_s,
   cast(turn * 2.5 + 2.125 as double) as end_s,
   min(array_to_string(list_filter(string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)), lambda l: not regexp_full_match(l, '[ \t]*')), chr(10))) as text,
   case when min(role) = 'user' then 'id-' || turn end as identifier, case when min(role) = 'system' then 'align:start' else '' end as settings
   from conversations group by conv_id, turn)"""
+CUES = WHOLE_CUES
 STAMP = (
     "printf('%02d:%02d:%02d.%03d', cast(floor(round_even({0} * 1000, 0) / 3600000) as int), "
     "cast(floor(round_even({0} * 1000, 0) / 60000) as int) % 60, cast(floor(round_even({0} * 1000, 0) / 1000) as int) % 60, "
     "cast(round_even({0} * 1000, 0) as bigint) % 1000)"
 )
-BREAK = r"""case when length(text) <= 42 then text else coalesce((select regexp_replace(substr(text, 1, b.i), '\s+$', '') || chr(10) || regexp_replace(substr(text, b.i + 2), '^\s+', '')
-  from (select unnest(range(length(text))) as i) b where substr(text, b.i + 1, 1) = ' '
-  order by greatest(b.i, length(text) - b.i - 1), abs(b.i - length(text) // 2), b.i limit 1), text) end"""
+#: Of the spaces on either side of the middle only the nearest can be the most balanced break.
+BREAK = r"""case when length(text) <= 42 then text else coalesce((select regexp_replace(substr(text, 1, b.at), '\s+$', '') || chr(10) || regexp_replace(substr(text, b.at + 2), '^\s+', '')
+  from (select list_sort(list_filter([case when l > 0 then {'m': greatest(h + 1 - l, n - h - 2 + l), 'o': abs(h + 1 - l - n // 2), 'at': h + 1 - l} end,
+    case when r > 0 then {'m': greatest(h + r, n - h - r - 1), 'o': abs(h + r - n // 2), 'at': h + r} end], lambda s: s is not null))[1].at as at
+    from (select length(text) as n, (length(text) - 1) // 2 as h, instr(reverse(substr(text, 1, (length(text) - 1) // 2 + 1)), ' ') as l,
+      instr(substr(text, (length(text) - 1) // 2 + 2), ' ') as r)) b where b.at is not null), text) end"""
 
 
 #: Faults of manifests planted by text, in order: of orders whose number has this remainder.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cuegrid.functions import geometry as g
 from cuegrid.functions import text as tx
-from cuegrid.operators import activity, align, captions, detections, manifests, media_plan, pixels, transcript
+from cuegrid.operators import activity, align, captions, decide, detections, harness, manifests, media_plan, pixels, transcript
 from cuegrid.plans import adapters as ad
 from cuegrid.sources import listing
 
@@ -202,21 +202,6 @@ def layout_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pixels.classify_layout(_rects(spark, sf_dir), None, W, H).select("title_id", "kind", "edge")
 
 
-@register(
-    f"with {_FEATURES}, d as (select title_id, confidence, least(greatest((100 * size_frac - 12) / 24, 0), 1) * 0.6 + least(greatest((10 * motion_score - 8) / 52, 0), 1) * 0.4 as hard, "
-    "title_id % 9 = 0 as broken, title_id % 7 = 0 as panel from (select *, row_number() over (partition by title_id order by eligible desc, round(score, 9) desc, cluster_id) as rank from features) where rank = 1), "
-    "v as (select title_id, case when broken then 'unusable' when panel then 'excellent' when confidence < 0.7 then 'marginal' when hard < 0.35 then 'good' when hard < 0.65 then 'marginal' else 'poor' end as verdict, round(hard, 6) as hard from d) "
-    "select title_id, verdict, hard, list_position(['excellent', 'good', 'marginal', 'poor', 'unusable'], verdict) as rank from v"
-)
-def triage_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = detections.rank_clusters(_features(spark, sf_dir).withColumn("score", F.round("score", 9))).where("rank = 1")
-    hard = pixels.difficulty(F.col("size_frac") * 100, F.col("motion_score") * 10)
-    layout = F.when(F.col("title_id") % 7 == 0, "side-panel").otherwise("corner-inset")
-    v = pixels.verdict(F.col("title_id") % 9 != 0, layout, F.col("confidence"), F.col("hard"))
-    rows = f.withColumn("hard", hard).withColumn("verdict", v)
-    return rows.select("title_id", "verdict", F.round("hard", 6).alias("hard"), pixels.verdict_rank(F.col("verdict")).alias("rank"))
-
-
 @register()
 def track_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy tracking (sequential within a title): held against a plain twin in the tests."""
@@ -286,6 +271,69 @@ def sobel_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pixels.sobel_detail(s).withColumn("gradient", F.round("gradient", 4))
 
 
+# A rectangle of 8x8 frames: at the left edge of odd titles, 2 pixels in on even ones.
+_SMALL = "(case when title_id % 2 = 0 then 2 else 0 end)"
+_STILL = f"{ad.GREY}, stats as (select title_id, y, x, avg(v) as mean_grey, coalesce(var_samp(v), 0) / 200 as temporal_var from grey group by 1, 2, 3)"
+_STRIP = f"""{_STILL}, strips as (select title_id, avg(temporal_var) as variance, stddev_pop(mean_grey) as spread from stats
+  where title_id % 2 = 1 and x < 3 and (y < 2 or y >= 6) group by 1),
+layouts as (select t.title_id, coalesce(t.title_id % 2 = 1 and variance <= 40 and spread <= 12, false) as side from (select distinct title_id from stats) t left join strips using (title_id))"""
+
+
+def _still(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Statistics of 8x8 frames and a rectangle a title."""
+    s = pixels.pixel_stats(ad.grey(spark, sf_dir)).withColumn("temporal_var", F.col("temporal_var") / 200)
+    x = F.when(F.col("title_id") % 2 == 0, 2).otherwise(0)
+    return s, s.select("title_id").distinct().select("title_id", g.rect(x, F.lit(2), F.lit(3), F.lit(4)).alias("rect"))
+
+
+@register(f"with {_STRIP} select title_id, case when side then 'side-panel' else 'corner-inset' end as kind, case when side then 'left' end as edge from layouts")
+def layout_of_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s, rects = _still(spark, sf_dir)
+    return pixels.classify_layout(rects, s, 8, 8).select("title_id", "kind", "edge")
+
+
+# The ring is 2 wider on every side, within the frame: x from max(0, x - 2) to min(8, x + 5), y from 0 to 8.
+_RING = f"""{_STILL}, ring as (select title_id, x - greatest(0, {_SMALL} - 2) as x, y, least(8, {_SMALL} + 5) - greatest(0, {_SMALL} - 2) as w, mean_grey, temporal_var,
+  not (x >= {_SMALL} and x < {_SMALL} + 3 and y >= 2 and y < 6) as outside from stats where x >= greatest(0, {_SMALL} - 2) and x < least(8, {_SMALL} + 5)),
+taps as (select * from (values (-1,-1,-1,-1),(-1,0,-2,0),(-1,1,-1,1),(0,-1,0,-2),(0,1,0,2),(1,-1,1,-1),(1,0,2,0),(1,1,1,1)) t(dx, dy, gx, gy)),
+near as (select r.title_id, r.x, r.y, gx, gy, case when x + dx < 0 then -(x + dx) when x + dx >= w then 2 * w - 2 - x - dx else x + dx end as fx,
+  case when y + dy < 0 then -(y + dy) when y + dy > 7 then 14 - y - dy else y + dy end as fy from ring r, taps where outside),
+steep as (select n.title_id, n.x, n.y, sqrt(sum(gx * f.mean_grey) ** 2 + sum(gy * f.mean_grey) ** 2) as gradient from near n join ring f on f.title_id = n.title_id and f.x = n.fx and f.y = n.fy group by 1, 2, 3),
+background as (select title_id, avg(gradient) as detail, avg(temporal_var) as motion from steep join ring using (title_id, x, y) group by 1),
+hard as (select *, 0.6 * least(greatest((detail - 12) / 24, 0), 1) + 0.4 * least(greatest((motion - 8) / 52, 0), 1) as difficulty from background)"""
+
+
+@register(f"with {_RING} select title_id, round(detail, 4) as detail, round(motion, 4) as motion, round(difficulty, 4) as difficulty from hard")
+def background_difficulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s, rects = _still(spark, sf_dir)
+    b = pixels.measure_background(rects, s, 8, 8)
+    return b.select("title_id", *(F.round(c, 4).alias(c) for c in ("detail", "motion", "difficulty")))
+
+
+@register(
+    f"with {_RING}, {_STRIP[len(_STILL) + 2 :]}, d as (select title_id, title_id % 9 = 0 as broken, side, (title_id % 10) / 10.0 as confidence, case when side then 0.0 else difficulty end as difficulty from hard join layouts using (title_id)), "
+    "v as (select title_id, case when not broken then round(difficulty, 4) end as difficulty, case when broken then 'unusable' when side then 'excellent' when confidence < 0.7 then 'marginal' when difficulty < 0.35 then 'good' "
+    "when difficulty < 0.65 then 'marginal' else 'poor' end as verdict from d) select title_id, verdict, difficulty, list_position(['excellent', 'good', 'marginal', 'poor', 'unusable'], verdict) as rank from v"
+)
+def triage_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Background, layout and confidence of a rectangle a title to a verdict; every ninth title failed."""
+    s, rects = _still(spark, sf_dir)
+    clips = pixels.measure_background(rects, s, 8, 8).join(pixels.classify_layout(rects, s, 8, 8), "title_id")
+    k = F.col("title_id")
+    clips = clips.select(k.alias("clip"), F.when(k % 9 == 0, "unreadable").alias("error"), F.col("kind").alias("layout"), (k % 10 / 10).alias("confidence"), "detail", "motion")
+    return harness.triage(clips).select(F.col("clip").alias("title_id"), "verdict", F.round("difficulty", 4).alias("difficulty"), "rank")
+
+
+@register()
+def decide_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections to decisions (tracking has no SQL): held against a known scene in the tests."""
+    d = ad.detections(spark, sf_dir)
+    videos = d.select("title_id").distinct().select("title_id", F.lit(W * 2).alias("width"), F.lit(H * 2).alias("height"))
+    stats = videos.limit(0).select("title_id", F.lit(0).alias("y"), F.lit(0).alias("x"), F.lit(0.0).alias("mean_grey"), F.lit(0.0).alias("temporal_var"))
+    out = decide.decide(ad.frames(d), d.drop("frame_motion"), stats, videos, W, H)
+    return out.select("title_id", "rect", "kind", "edge", "method", F.round("confidence", 6).alias("confidence"), "error")
+
+
 @register()
 def grow_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window growth to a fixpoint: held against known images in the tests."""
@@ -319,7 +367,7 @@ def tokenise_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.groupBy("title_id", "ci").agg(F.count("*").alias("tokens"), F.count_if("is_event").alias("events"), F.sum("weight").alias("weight"))
 
 
-@register(f"with {ad.CUES}, t as (select title_id, index, {ad.BREAK} as broken from cues) select title_id, index, broken, not exists(select 1 from (select unnest(string_split(broken, chr(10))) as l) where length(l) > 42) as fits from t")
+@register(f"with {ad.CUES}, t as (select title_id, index, {ad.BREAK} as broken from cues) select title_id, index, broken, len(string_split(broken, chr(10))) <= 2 and not exists(select 1 from (select unnest(string_split(broken, chr(10))) as l) where length(l) > 42) as fits from t")
 def cue_line_break(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = ad.cues(spark, sf_dir)
     return c.select("title_id", "index", tx.break_line(F.col("text")).alias("broken"), tx.fits(F.col("text")).alias("fits"))
@@ -344,7 +392,7 @@ def vtt_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return captions.build_vtt(ad.cues(spark, sf_dir))
 
 
-@register(f"with {ad.CUES} select title_id, cast(row_number() over (partition by title_id order by index) as int) as index, start_s, end_s, text, identifier, settings from cues")
+@register(f"with {ad.CUES} select title_id, cast(row_number() over (partition by title_id order by index) as int) as index, start_s, end_s, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as text, identifier, settings from cues")
 def vtt_parse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return captions.parse_vtt(captions.build_vtt(ad.cues(spark, sf_dir)))
 
@@ -380,36 +428,41 @@ def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("index").cast("string")
     line = F.concat(F.lit("["), n, F.lit("] new "), n, F.when(F.col("index") % 3 == 0, "\n and more").otherwise(""))
     ordered = F.array_sort(F.collect_list(F.struct("index", line.alias("l"))))
-    text = F.concat(F.lit("Here:\n"), F.array_join(F.transform(ordered, lambda x: x["l"]), "\n"))
+    # in front, a line of no cue; behind, a cue of another chunk with a further line
+    text = F.concat(F.lit("Here:\n"), F.array_join(F.transform(ordered, lambda x: x["l"]), "\n"), F.lit("\n["), (F.min("index") + 4).cast("string"), F.lit("] not asked\nfor"))
     return c.groupBy("title_id", "chunk").agg(text.alias("reply"))
 
 
-_PARSED = "'new ' || index || case when index % 3 = 0 then chr(10) || 'and more' else '' end"
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.parse_replies(_replies(spark, sf_dir), captions.chunks(ad.cues(spark, sf_dir), 3))
+
+
+_PARSED = "'new ' || index || case when index % 3 = 0 then ' and more' else '' end"
 
 
 @register(f"with {ad.CUES} select title_id, cast(floor((index - 1) / 3) as int) as chunk, index, {_PARSED} as text from cues where index % 4 <> 0")
 def parse_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captions.parse_replies(_replies(spark, sf_dir))
+    return _parsed(spark, sf_dir)
 
 
 @register(f"with {ad.CUES} select title_id, index, start_s, end_s, case when index % 4 <> 0 then {_PARSED} else text end as text, index % 4 <> 0 as rewritten from cues")
 def rewrite_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = captions.merge_rewrites(ad.cues(spark, sf_dir), captions.parse_replies(_replies(spark, sf_dir)))
+    merged = captions.merge_rewrites(ad.cues(spark, sf_dir), _parsed(spark, sf_dir))
     return merged.select("title_id", "index", "start_s", "end_s", "text", "rewritten")
 
 
 @register(f"with {ad.CUES} select title_id, count(*) as cues, count(*) filter (index % 4 <> 0) as rewritten, round(count(*) filter (index % 4 <> 0) / count(*), 6) as coverage from cues group by 1")
 def rewrite_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = captions.merge_rewrites(ad.cues(spark, sf_dir), captions.parse_replies(_replies(spark, sf_dir)))
+    merged = captions.merge_rewrites(ad.cues(spark, sf_dir), _parsed(spark, sf_dir))
     return captions.rewrite_stats(merged).withColumn("coverage", F.round("coverage", 6))
 
 
 @register(f"with {ad.CUES} select title_id, index from cues where index % 4 = 0")
 def rewrite_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captions.missing(ad.cues(spark, sf_dir), captions.parse_replies(_replies(spark, sf_dir))).select("title_id", "index")
+    return captions.missing(ad.cues(spark, sf_dir), _parsed(spark, sf_dir)).select("title_id", "index")
 
 
-# The five queries above hold at most 80 characters a turn, as their SQL says; these take whole turns.
+# The same on cues as they come from the adapter, by name.
 
 
 @register()
@@ -426,7 +479,7 @@ def whole_vtt_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return captions.build_vtt(ad.whole_cues(spark, sf_dir))
 
 
-@register(f"with {ad.WHOLE_CUES} select title_id, cast(row_number() over (partition by title_id order by index) as int) as index, start_s, end_s, text, identifier, settings from cues")
+@register(f"with {ad.WHOLE_CUES} select title_id, cast(row_number() over (partition by title_id order by index) as int) as index, start_s, end_s, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as text, identifier, settings from cues")
 def whole_vtt_parse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return captions.parse_vtt(captions.build_vtt(ad.whole_cues(spark, sf_dir)))
 
@@ -438,7 +491,7 @@ def whole_word_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"with {ad.WHOLE_CUES} select title_id, index, start_s, end_s, case when index % 4 <> 0 then {_PARSED} else text end as text, index % 4 <> 0 as rewritten from cues")
 def whole_rewrite_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = captions.merge_rewrites(ad.whole_cues(spark, sf_dir), captions.parse_replies(_replies(spark, sf_dir)))
+    merged = captions.merge_rewrites(ad.whole_cues(spark, sf_dir), _parsed(spark, sf_dir))
     return merged.select("title_id", "index", "start_s", "end_s", "text", "rewritten")
 
 
@@ -631,25 +684,45 @@ def upload_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifests.upload_plan(files, "base/")
 
 
+_SAFE = f"""safe as (select *, greatest(x, 2) as sx, greatest(y, 2) as sy, greatest(least(x + w, {W - 2}) - greatest(x, 2), 1) as sw, greatest(least(y + h, {H - 2}) - greatest(y, 2), 1) as sh from r)"""
+
+
 @register(
-    f"with {_PART} select k, 'crop=' || (w - w % 2) || ':' || (h - h % 2) || ':' || x || ':' || y || case when h > 40 then ',scale=-2:40' else '' end as crop, "
-    f"'delogo=x=' || greatest(x, 2) || ':y=' || greatest(y, 2) || ':w=' || greatest(least(x + w, {W - 2}) - greatest(x, 2), 1) || ':h=' || greatest(least(y + h, {H - 2}) - greatest(y, 2), 1) as patch from r"
+    f"with {_PART}, {_SAFE} select k, 'crop=' || (w - w % 2) || ':' || (h - h % 2) || ':' || x || ':' || y || case when h > 40 then ',scale=-2:40' else '' end as crop, "
+    "case k % 3 when 0 then 'none' when 1 then 'interpolated-surround' else 'blurred-surround' end as method, "
+    "case when k % 3 > 0 then '[0:v]' || case when k % 3 = 1 then 'delogo=x=' || sx || ':y=' || sy || ':w=' || sw || ':h=' || sh || ',' else '' end || 'split[whole][part];[part]crop=' || sw || ':' || sh || ':' || sx || ':' || sy || "
+    "',gblur=sigma=' || case when k % 3 = 1 then '6.0' else '18.0' end || '[patch];[whole][patch]overlay=' || sx || ':' || sy || '[v]' end as graph, "
+    "case when k % 3 = 0 then '-i in.mp4 -c copy -movflags +faststart out.mp4' end as copied from safe"
 )
 def media_plan_argv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = F.col("r")
-    graph = media_plan.fill_graph(r, F.lit("interpolated-surround"), F.lit(W), F.lit(H))
-    return _part_rects(spark, sf_dir).select("k", media_plan.crop_filter(r, 40).alias("crop"), F.element_at(F.split(graph, ",split"), 1).alias("patch"))
+    r, size = F.col("r"), (F.lit(W), F.lit(H))
+    method = F.when(F.col("k") % 3 == 0, "none").when(F.col("k") % 3 == 1, "interpolated-surround").otherwise("blurred-surround")
+    rows = _part_rects(spark, sf_dir).withColumn("method", method)
+    argv = media_plan.fill_argv(F.lit("in.mp4"), r, F.col("method"), *size, F.lit("out.mp4"))
+    return rows.select(
+        "k", media_plan.crop_filter(r, 40).alias("crop"), "method", F.when(F.col("method") != "none", F.get(argv, F.lit(3))).alias("graph"),
+        F.when(F.col("method") == "none", F.array_join(argv, " ")).alias("copied"),
+    )
 
 
 @register(
-    "with j as (select l.doc_id, l.quality, case when d.n_chars is null then 0.0 else least(d.n_chars, 2000) / 2000.0 end as iou from labels l left join documents d using (doc_id)) "
-    "select quality, count(*) as clips, count(*) filter (iou >= 0.85) as passed, round(avg(iou), 6) as mean_iou from j group by 1"
+    "with t as (select doc_id as clip, doc_id % 50 as x, doc_id % 30 as y, 20 + doc_id % 7 as w, doc_id % 3 = 0 as faced from labels), "
+    "d as (select doc_id as clip, doc_id % 50 + n_chars % 5 as x, doc_id % 30 as y, 20 + doc_id % 7 as w, n_chars % 11 = 0 as broken from documents where lang <> 'de'), "
+    "j as (select t.clip, t.faced, d.clip is not null and not d.broken as ok, greatest(0, least(t.x + t.w, d.x + d.w) - greatest(t.x, d.x)) * 40 as common, t.w * 40 * 2 as total, d.x <= t.x + 2 as inside from t left join d using (clip)), "
+    "s as (select case when ok then common / (total - common) else 0.0 end as iou, case when ok and faced then inside end as face from j) "
+    "select count(*) as clips, count(*) filter (iou >= 0.85 and coalesce(face, true)) as passed, round(avg(iou), 6) as mean_iou from s"
 )
 def harness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ground truth against decisions: a missing decision scores 0."""
-    d = ad.table(spark, sf_dir, "documents").select("doc_id", (F.least("n_chars", F.lit(2000)) / 2000.0).alias("iou"))
-    j = ad.table(spark, sf_dir, "labels").join(d, "doc_id", "left").withColumn("iou", F.coalesce("iou", F.lit(0.0)))
-    return j.groupBy("quality").agg(F.count("*").alias("clips"), F.count_if(F.col("iou") >= 0.85).alias("passed"), F.round(F.avg("iou"), 6).alias("mean_iou"))
+    """Ground truth of the labelled documents against decisions: a missing or failed one scores 0."""
+    k = F.col("doc_id").cast("int")
+    wide = lambda x: g.rect(x, k % 30, 20 + k % 7, F.lit(40))
+    truth = ad.table(spark, sf_dir, "labels").select(
+        k.alias("clip"), wide(k % 50).alias("rect"), F.when(k % 3 == 0, g.rect(k % 50 + 2, k % 30 + 2, F.lit(3), F.lit(3))).alias("face")
+    )
+    d = ad.table(spark, sf_dir, "documents").where("lang <> 'de'")
+    found = wide(k % 50 + (F.col("n_chars") % 5).cast("int")).alias("found")
+    decisions = d.select(k.alias("clip"), found, F.lit(0.9).alias("confidence"), F.when(F.col("n_chars") % 11 == 0, "no signer").alias("error"))
+    return harness.summary(harness.score_clips(truth, decisions)).withColumn("mean_iou", F.round("mean_iou", 6))
 
 
 @register("select doc_id, sha256(text) as sha256 from documents")

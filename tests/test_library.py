@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cuegrid.functions import geometry as g
 from cuegrid.functions import text as tx
-from cuegrid.operators import activity, align, captions, detections, manifests, pixels, transcript
+from cuegrid.operators import activity, align, captions, decide, detections, manifests, media_plan, pixels, transcript
 from cuegrid.plans import catalogue
 from cuegrid.sources import listing
 
@@ -141,7 +141,10 @@ def test_captions_round_trip(spark):
 def test_replies(spark):
     reply = "intro\n[1] one\n  more\n[2]\n[3] x\n[3] y"
     got = captions.parse_replies(spark.createDataFrame([(1, 0, reply)], "title_id long, chunk int, reply string"))
-    assert sorted((r["index"], r.text) for r in got.collect()) == [(1, "one\nmore"), (3, "y")]
+    assert sorted((r["index"], r.text) for r in got.collect()) == [(1, "one more"), (3, "y")]
+    replies = spark.createDataFrame([(1, 0, "[1] one\r\n[7] other\nits rest\n[2] two"), (1, 1, "[1] wrong\n[7]  seven \n")], "title_id long, chunk int, reply string")
+    asked = spark.createDataFrame([(1, 0, 1), (1, 0, 2), (1, 1, 7)], "title_id long, chunk int, index int")
+    assert sorted((r["index"], r.text) for r in captions.parse_replies(replies, asked).collect()) == [(1, "one"), (2, "two"), (7, "seven")]
 
 
 def lcs_length(a, b):
@@ -291,6 +294,155 @@ def test_transcript_page(spark):
     assert [(r.speaker, r.clock, r.paragraphs) for r in got] == [("1. Ann Other (Y)", None, ["Hello there."]), ("Bob", "14:01", ["Yes."])]
 
 
+def test_transcript_page_ends(spark):
+    page = (
+        '<p class="h5">menu</p><p id="orscontributions_a"><strong>1. Ann © (Y)</strong></p><p>One.</p>{}<p>Two.</p><p id="orscontributions_b"><strong>Bob</strong></p><p>Yes.</p>'
+    )
+    rows = [(1, page.format("")), (2, page.format("<!-- Previous/Next navigation -->")), (3, page.format('<p class="h5">x</p>')), (4, page.format("<p>all &copy; here</p>")), (5, page.format("<p><!-- © -->kept</p>"))]
+    got = transcript.contributions(spark.createDataFrame(rows, "page_id long, html string")).orderBy("page_id", "ci").collect()
+    said = {}
+    for r in got:
+        said.setdefault(r.page_id, []).append((r.speaker, r.paragraphs))
+    whole, cut = [("1. Ann © (Y)", ["One.", "Two."]), ("Bob", ["Yes."])], [("1. Ann © (Y)", ["One."])]
+    assert said == {1: whole, 2: cut, 3: cut, 4: cut, 5: [("1. Ann © (Y)", ["One.", "kept", "Two."]), whole[1]]}
+
+
+def test_word_lists(spark):
+    text = '[{"text": "a", "start": 0.5, "end": 1.0, "probability": 0.25}, {"text": "b", "start": 1, "end": 2}]'
+    words = transcript.load_words(spark.createDataFrame([(1, text), (2, "[]")], "title_id long, json string"))
+    assert [tuple(r) for r in words.orderBy("pos").collect()] == [(1, 0, "a", 0.5, 1.0, 0.25), (1, 1, "b", 1.0, 2.0, 1.0)]
+    assert transcript.load_words(transcript.save_words(words)).orderBy("pos").collect() == words.orderBy("pos").collect()
+
+
+def test_subtitle_files(spark):
+    srt = "\ufeff1\r\n00:00:01,000 --> 00:00:02,500 \r\nAt 00:00:09,111 sharp  \r\n\r\n 12\r\n"
+    assert one(spark, tx.srt_to_vtt(F.lit(srt))) == "WEBVTT\n\n00:00:01.000 --> 00:00:02.500\nAt 00:00:09.111 sharp\n\n 12\n"
+    assert one(spark, tx.as_vtt(F.lit("a.SRT"), F.lit("x"))) == "WEBVTT\n\nx\n"
+    assert one(spark, tx.as_vtt(F.lit("a.vtt"), F.lit("\ufeff\n WEBVTT\n"))) == "\n WEBVTT\n"
+    assert one(spark, tx.as_vtt(F.lit("a.vtt"), F.lit("nothing"))) is None
+    text = "WEBVTT - t\n\nNOTE hello\nthere\n\nSTYLE\n::cue {}\n\n1\n00:01.000-->00:02.500 align:start\nA\n  \nline\n\n\nREGION\nid:x\n"
+    files = spark.createDataFrame([(1, text)], "title_id long, text string")
+    blocks = captions.vtt_preamble(files)
+    assert blocks.first().blocks == ["NOTE hello\nthere", "STYLE\n::cue {}", "REGION\nid:x"]
+    cues = captions.parse_vtt(files)
+    assert [(r.start_s, r.end_s, r.text, r.identifier, r.settings) for r in cues.collect()] == [(1.0, 2.5, "A\n  \nline", "1", "align:start")]
+    again = captions.build_vtt(cues, "made", blocks)
+    assert again.first().text.startswith("WEBVTT\n\nNOTE made\n\nNOTE hello\nthere\n\nSTYLE")
+    assert captions.vtt_preamble(again).first().blocks == ["NOTE made", *blocks.first().blocks] and captions.parse_vtt(again).collect() == cues.collect()
+
+
+def test_encoder_calls(spark):
+    r, size = rect(0, 10, 101, 50), (F.lit(200), F.lit(100))
+    call = lambda c: " ".join(one(spark, c))
+    x264 = "-c:v libx264 -preset medium -crf {} -pix_fmt yuv420p"
+    src, dst = F.lit("a"), F.lit("b")
+    assert call(media_plan.crop_argv(src, r, dst)) == f"-i a -vf crop=100:50:0:10 {x264.format(23)} -movflags +faststart -an b"
+    assert call(media_plan.crop_argv(src, r, dst, 41, 20, True)) == f"-i a -vf crop=100:50:0:10,scale=-2:40 {x264.format(20)} -movflags +faststart -c:a aac -b:a 96k b"
+    tail = f"-map [v] -map 0:a? {x264.format(20)} -c:a copy -movflags +faststart b"
+    cut = "crop=99:50:2:10"
+    graph = "[0:v]{}split[whole][part];[part]" + cut + ",gblur=sigma={}[patch];[whole][patch]overlay=2:10[v]"
+    fill = lambda m: call(media_plan.fill_argv(src, r, F.lit(m), *size, dst))
+    assert fill("none") == "-i a -c copy -movflags +faststart b"
+    assert fill("blurred-surround") == f"-i a -filter_complex {graph.format('', '18.0')} {tail}"
+    assert fill("interpolated-surround") == f"-i a -filter_complex {graph.format('delogo=x=2:y=10:w=99:h=50,', '6.0')} {tail}"
+    assert call(media_plan.crop_away_argv(src, r, dst)) == f"-i a -vf crop=100:50:0:10 {x264.format(20)} -c:a copy -movflags +faststart b"
+    assert call(media_plan.poster_argv(src, F.lit(1.25), dst)) == "-ss 1.250 -i a -frames:v 1 -q:v 2 b"
+    boxes = F.array(F.struct(r.alias("rect"), F.lit("red").alias("colour"), F.lit(3).alias("thickness")))
+    assert call(media_plan.drawbox_argv(src, boxes, dst)) == "-i a -vf drawbox=x=0:y=10:w=101:h=50:color=red@1:t=3 -c:v libx264 -preset veryfast -crf 23 -pix_fmt yuv420p -c:a copy b"
+    assert one(spark, media_plan.drawbox_argv(src, F.slice(boxes, 1, 0), dst)) is None
+
+
+def test_background_of_a_window(spark):
+    rng = np.random.default_rng(7)
+    grey, var = rng.integers(0, 255, (20, 30)).astype(float), rng.integers(0, 90, (20, 30)).astype(float)
+    stats = spark.createDataFrame([(t, y, x, float(grey[y, x]), float(var[y, x])) for t in (1, 2) for y in range(20) for x in range(30)], "title_id long, y int, x int, mean_grey double, temporal_var double")
+    rects = {1: (8, 6, 8, 4), 2: (0, 0, 30, 20), 3: (1, 1, 2, 2)}
+    table = spark.createDataFrame([(t, dict(zip("xywh", r, strict=True))) for t, r in rects.items()], "title_id long, rect struct<x:int,y:int,w:int,h:int>")
+    got = {r.title_id: r for r in pixels.measure_background(table, stats, 30, 20).collect()}
+    part = np.pad(grey[4:12, 6:18], 1, mode="reflect")  # the ring: 2 more on every side
+    gx = sum(k * (part[i : i + 8, 2:] - part[i : i + 8, :-2]) for i, k in enumerate((1, 2, 1)))
+    gy = sum(k * (part[2:, i : i + 12] - part[:-2, i : i + 12]) for i, k in enumerate((1, 2, 1)))
+    keep = np.ones((8, 12), bool)
+    keep[2:6, 2:10] = False
+    detail, motion = np.hypot(gx, gy)[keep].mean(), var[4:12, 6:18][keep].mean()
+    hard = 0.6 * min(1, max(0, (detail - 12) / 24)) + 0.4 * min(1, max(0, (motion - 8) / 52))
+    assert (got[1].detail, got[1].motion, got[1].difficulty) == pytest.approx((detail, motion, hard))
+    assert all((got[t].detail, got[t].motion, got[t].difficulty) == (0.0, 0.0, 0.5) for t in (2, 3))
+
+
+def scene(spark):
+    """Title 1: a still large person, a signer who moves in place, somebody passing; title 2: nobody; title 3: the large person only."""
+    boxes, frames = [], []
+    for f in range(40):
+        frames += [(t, f, None if f == 0 else 3.0) for t in (1, 2, 3)]
+        boxes += [(t, f, 0, 150.0, 40.0, 450.0, 350.0, 1.5) for t in (1, 3)]
+        jitter = f % 3
+        boxes.append((1, f, 1, 480.0 + jitter, 220.0, 600.0 + jitter, 350.0, 12.0))
+        if 10 <= f <= 15:
+            boxes.append((1, f, 2, 20.0 + 20 * f, 100.0, 90.0 + 20 * f, 340.0, 6.0))
+    videos = [(t, 1280, 720) for t in (1, 2, 3)]
+    return (
+        spark.createDataFrame(frames, "title_id long, frame_idx long, frame_motion double"),
+        spark.createDataFrame(boxes, "title_id long, frame_idx long, box_no long, x1 double, y1 double, x2 double, y2 double, motion double"),
+        spark.createDataFrame(videos, "title_id long, width int, height int"),
+    )
+
+
+def test_decisions_from_detections(spark):
+    frames, boxes, videos = scene(spark)
+    y, x = np.mgrid[0:360, 0:640]
+    still = (x >= 470) & (x < 632) & (y >= 210)  # an inset of one grey round the signer
+    px = pd.DataFrame({"title_id": 1, "y": y.ravel(), "x": x.ravel(), "mean_grey": np.where(still, 80.0, 200.0).ravel(), "temporal_var": np.where(still, 1.0, 500.0).ravel()})
+    stats = spark.createDataFrame(px)
+    got = {r.title_id: r for r in decide.decide(frames, boxes, stats, videos, 640, 360).collect()}
+    plain = {r.title_id: r for r in decide.decide(frames, boxes, stats, videos, 640, 360, grow=False).collect()}
+    assert got[2].error == "no person" and got[3].error == "no eligible person" and got[2].rect is None and got[3].kind is None
+    a, b = plain[1].rect_sample, got[1].rect_sample
+    assert a.x <= 480 and a.x + a.w >= 601 and a.y <= 220 and a.y + a.h >= 350
+    assert b.x <= a.x and b.y <= a.y and b.x + b.w >= a.x + a.w and b.y + b.h >= a.y + a.h and b.w * b.h > a.w * a.h
+    assert b.x >= 470 - 2 - 0.03 * b.w - 2 and got[1].method == "detected-crop" and got[1].confidence > 0.7
+    assert all(abs(got[1].rect[c] - 2 * b[c]) <= 2 for c in "xywh") and got[1].kind == "corner-inset" and got[1].edge is None
+
+
+def test_measured_windows(spark):
+    rows = [(1, (0, 10, 100, 50), "side-panel"), (2, (500, 0, 140, 360), "side-panel"), (3, (500, 0, 10, 10), None), (4, (200, 0, 240, 360), "side-panel")]
+    entries = spark.createDataFrame([(t, dict(zip("xywh", r, strict=True)), k, 640, 360) for t, r, k in rows], "title_id long, rect struct<x:int,y:int,w:int,h:int>, layout string, width int, height int")
+    got = {r.title_id: r for r in decide.manual_decisions(entries).collect()}
+    assert [(got[t].kind, got[t].edge, got[t].panel and tuple(got[t].panel)) for t in (1, 2, 3, 4)] == [
+        ("side-panel", "left", (0, 0, 100, 360)), ("side-panel", "right", (500, 0, 140, 360)), ("corner-inset", None, None), ("side-panel", "left", (0, 0, 440, 360)),
+    ]
+    assert got[1].confidence == 1.0 and got[1].method == "manual-crop"
+    none, size = F.lit(None).cast("struct<x:int,y:int,w:int,h:int>"), (F.lit(640), F.lit(360))
+    main = lambda measured: one(spark, decide.main_picture(measured, rect(100, 0, 540, 360), rect(0, 0, 100, 360), *size))
+    assert tuple(main(none).rect) == (100, 0, 540, 360) and tuple(main(rect(120, 0, 400, 300)).rect) == (120, 0, 400, 300)
+    assert "outside" in main(rect(120, 0, 521, 300)).error and "overlaps" in main(rect(99, 0, 100, 300)).error and main(rect(99, 0, 1, 1)).rect is None
+    grey = spark.createDataFrame([(1, f, y, x, (f * (10 if y < 2 else 90)) if x < 4 else 0) for f in range(3) for y in range(6) for x in range(8)], "title_id long, frame_idx long, y int, x int, v int")
+    window = spark.createDataFrame([(1, {"x": 0, "y": 0, "w": 16, "h": 8})], "title_id long, rect struct<x:int,y:int,w:int,h:int>")
+    motion = [r.motion for r in decide.crop_motion(grey, window, 0.5, 0.5).orderBy("frame_idx").collect()]
+    assert motion == [None, 5.0, 5.0]  # half of the window's upper half moves by 10
+
+
+def test_manifests_from_decisions(spark):
+    import json
+
+    frames, boxes, videos = scene(spark)
+    stats = spark.createDataFrame([(1, 0, 0, 1.0, 999.0)], "title_id long, y int, x int, mean_grey double, temporal_var double")
+    decided = decide.decide(frames, boxes, stats, videos, 640, 360).where("error is null")
+    track = decide.signed_track(F.lit("ase"), F.lit("Sign"), F.lit("sign.mp4"), F.lit("none"))
+    tracks = decided.select("title_id", F.lit(0).alias("nth"), track.alias("track"))
+    named = {"publisher": "p", "url": "u", "licence": "l", "attribution": "a"}
+    source = F.struct(*(F.lit(v).alias(k) for k, v in named.items()))
+    asset = F.struct(F.lit("m.mp4").alias("url"), F.col("width"), F.col("height"), F.lit("h264").alias("codec"))
+    titles = videos.select("title_id", F.concat(F.lit("title-"), "title_id").alias("id"), F.lit("T").alias("title"), F.lit(5).alias("durationMs"), source.alias("source"), F.struct(asset.alias("main"), F.lit("p.jpg").alias("poster")).alias("video"))
+    caption = manifests.generated_caption(F.lit("verbatim"), F.lit("en"), F.lit("c.vtt"), F.lit("m"))
+    made = manifests.build_manifests(titles, tracks, titles.select("title_id", F.lit(0).alias("nth"), caption.alias("caption")))
+    rows = {r.title_id: json.loads(r.json) for r in made.collect()}
+    assert list(rows[1]) == ["stmVersion", "id", "title", "durationMs", "source", "video", "signLanguage", "captions"]
+    assert rows[1]["signLanguage"][0]["extraction"]["method"] == "detected-crop" and rows[2]["signLanguage"] == []
+    assert "reviewedBy" not in rows[1]["captions"][0]
+    assert manifests.validate(made.withColumnRenamed("title_id", "doc_id")).count() == 0
+
+
 def test_sources(spark):
     s = spark.createDataFrame([("ok-id", " T ", "https://a.spam.org/x", "p", "l", "a"), ("Bad", "", "u", "p", "l", "a")], "id string, title string, url string, publisher string, licence string, attribution string")
     rows = {r.id: r for r in listing.with_defaults(s).collect()}
