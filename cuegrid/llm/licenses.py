@@ -69,17 +69,97 @@ RULES = [
     ("BSD", ["bsd-redistribute"]),
 ]
 
-#: Beyond the SQL: sentences that other known ones are parts of, and their rules.
+#: Licenses by SPDX identifier (of the public SPDX license list) and the names that notices give them, as normalised.
+NAMES = {
+    "MIT": ["mit license"],
+    "Apache-2.0": ["apache license version 2 0", "apache license 2 0", "apache 2 0 license"],
+    "GPL-2.0": ["gnu general public license version 2", "gnu gpl version 2", "gpl version 2", "gplv2"],
+    "GPL-3.0": ["gnu general public license version 3", "gnu gpl version 3", "gpl version 3", "gplv3"],
+    "LGPL-2.1": ["gnu lesser general public license version 2 1", "gnu lgpl version 2 1", "lgpl version 2 1"],
+    "LGPL-3.0": ["gnu lesser general public license version 3", "gnu lgpl version 3", "lgpl version 3"],
+    "AGPL-3.0": ["gnu affero general public license version 3", "gnu agpl version 3", "agpl version 3"],
+    "MPL-2.0": ["mozilla public license version 2 0", "mozilla public license 2 0", "mpl 2 0"],
+    "EPL-2.0": ["eclipse public license version 2 0", "eclipse public license 2 0", "epl 2 0"],
+    "BSD-2-Clause": ["bsd 2 clause license", "2 clause bsd license", "simplified bsd license"],
+    "BSD-3-Clause": ["bsd 3 clause license", "3 clause bsd license", "new bsd license"],
+    "ISC": ["isc license"],
+    "Zlib": ["zlib license"],
+    "BSL-1.0": ["boost software license version 1 0", "boost software license"],
+    "Unlicense": ["unlicense"],
+    "CC0-1.0": ["cc0 1 0", "cc0 1 0 universal"],
+    "CC-BY-4.0": ["cc by 4 0", "creative commons attribution 4 0 international license"],
+    "CC-BY-SA-4.0": ["cc by sa 4 0", "creative commons attribution sharealike 4 0 international license"],
+    "CC-BY-NC-4.0": ["cc by nc 4 0", "creative commons attribution noncommercial 4 0 international license"],
+}
+#: How a notice leads up to a name, with and without an article.
+LEADS = ["licensed under", "released under", "distributed under", *(f"this {x} is licensed under" for x in ("work", "project", "software", "file", "program"))]
+
+
+def _named() -> tuple[dict[str, str], list[tuple[str, list[str]]]]:
+    """Sentences of all leads and names and of SPDX tags, an identifier a license, and their rules."""
+    texts = {}
+    for license_, names in NAMES.items():
+        for name in names:
+            for lead in LEADS:
+                texts |= {f"{lead} {name}": license_, f"{lead} the {name}": license_}
+        bare = license_.lower().replace("-", " ").replace(".", " ")
+        for tail in ("", " only", " or later"):
+            texts[f"spdx license identifier {bare}{tail}"] = license_
+    known = set(SENTENCES.values())
+    made = {f"named-{license_.lower()}-{n}": text for n, (text, license_) in enumerate(texts.items()) if text not in known}
+    return made, [(texts[text], [name]) for name, text in made.items()]
+
+
+NAMED, NAMED_RULES = _named()
+
+#: Sentences that other known ones are parts of, and of whole license texts, as published; not in the SQL.
 JOINED = {
     "apache-notice": (
         "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"
     ),
+    "gpl2-free": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+        "license as published by the free software foundation either version 2 of the license or at your option any later version"
+    ),
+    "lgpl3-free": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public "
+        "license as published by the free software foundation either version 3 of the license or at your option any later version"
+    ),
+    "lgpl21-free": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public "
+        "license as published by the free software foundation either version 2 1 of the license or at your option any later version"
+    ),
+    "agpl3-free": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public "
+        "license as published by the free software foundation either version 3 of the license or at your option any later version"
+    ),
+    "mpl2-subject": "this source code form is subject to the terms of the mozilla public license v",  # its full stop ends a sentence
+    "isc-grant": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies"
+    ),
+    "zlib-warranty": "this software is provided as is without any express or implied warranty",
+    "zlib-grant": (
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it "
+        "and redistribute it freely subject to the following restrictions"
+    ),
+    "unlicense-domain": "this is free and unencumbered software released into the public domain",
 }
-JOINED_RULES = [("Apache-2.0", ["apache-notice"])]
+JOINED_RULES = [
+    ("Apache-2.0", ["apache-notice"]),
+    ("GPL-2.0", ["gpl2-free"]),
+    ("LGPL-3.0", ["lgpl3-free"]),
+    ("LGPL-2.1", ["lgpl21-free"]),
+    ("AGPL-3.0", ["agpl3-free"]),
+    ("MPL-2.0", ["mpl2-subject"]),
+    ("ISC", ["isc-grant"]),
+    ("Zlib", ["zlib-warranty", "zlib-grant"]),
+    ("Unlicense", ["unlicense-domain"]),
+]
 
 #: Every known sentence but gpl-hope holds one of these (a cheap test before normalising).
-CUE = "(?i)licen[cs]e|permission|copyright|redistribut|cc0"
-_CUE = CUE + "|warranty"
+CUE = "(?i)licen[cs]e|permission|copyright|redistribut|cc0|released under|distributed under"
+_CUE = CUE + "|warranty|public domain"
 _END = r"[.!?:]+(\s|$)"
 #: A colon ends a sentence only where the whole one is unknown.
 _FULL_END = r"[.!?]+(\s|$)"
@@ -113,7 +193,7 @@ def sentence_identifiers(text: Column, known: dict[str, str]) -> tuple[Column, C
 
 
 def scan_licenses(
-    docs: DataFrame, known: dict[str, str] = SENTENCES | JOINED, rules: list[tuple[str, list[str]]] = RULES + JOINED_RULES
+    docs: DataFrame, known: dict[str, str] = SENTENCES | NAMED | JOINED, rules: list[tuple[str, list[str]]] = RULES + NAMED_RULES + JOINED_RULES
 ) -> DataFrame:
     """doc_id, n_sentences, sentence_ids and licenses of every row of ``docs(doc_id, text)``.
 
@@ -130,12 +210,17 @@ def scan_licenses(
     rows = docs.select(
         "doc_id", F.when(has, lines).otherwise(none).alias("lines"), F.when(has, paragraphs).otherwise(none).alias("paragraphs")
     )
+    alone = {ids[0]: name for name, ids in rules if len(ids) == 1}
+    table = F.create_map(*[F.lit(x) for pair in alone.items() for x in pair]) if alone else F.lit(None).cast("map<string,string>")
+    single = F.transform(F.concat("lines", "paragraphs"), lambda i: F.try_element_at(table, i))
     chained = lambda c: F.concat(F.lit(","), F.array_join(c, ","), F.lit(","))
     found = [
         F.when(F.contains(chained("lines"), F.lit(f",{','.join(ids)},")) | F.contains(chained("paragraphs"), F.lit(f",{','.join(ids)},")), name)
         for name, ids in rules
+        if len(ids) > 1
     ]
-    licenses = F.array_sort(F.array_distinct(F.filter(F.array(*found), lambda x: x.isNotNull())))
+    found = F.concat(single, F.array(*found)) if found else single
+    licenses = F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull())))
     return rows.select(
         "doc_id",
         F.size("lines").cast("long").alias("n_sentences"),
@@ -144,7 +229,7 @@ def scan_licenses(
     )
 
 
-def oracle_sql(known: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> str:
+def oracle_sql(known: dict[str, str] = SENTENCES | NAMED, rules: list[tuple[str, list[str]]] = RULES + NAMED_RULES) -> str:
     """The same in DuckDB SQL."""
     table = f"MAP {{{', '.join(f"'{text}': '{name}'" for name, text in known.items())}}}"
     ids = lambda parts: (
@@ -155,12 +240,13 @@ def oracle_sql(known: dict[str, str] = SENTENCES, rules: list[tuple[str, list[st
     flat = r"replace(regexp_replace(t, '\n[ \t\r]*\n', chr(1), 'g'), chr(10), ' ')"
     paragraphs = f"string_split(regexp_replace({flat}, '{_END}', chr(1), 'g'), chr(1))"
     matched = ", ".join(
-        f"case when contains(l, ',{','.join(i)},') or contains(p, ',{','.join(i)},') then '{name}' end" for name, i in rules
+        f"case when contains(l, ',{','.join(i)},') or contains(p, ',{','.join(i)},') then '{name}' end" for name, i in rules if len(i) > 1
     )
+    single = f"MAP {{{', '.join(f"'{i[0]}': '{name}'" for name, i in rules if len(i) == 1)}}}"
     return f"""
-    with d as (select doc_id, regexp_replace(coalesce(text, ''), '{_TAG}', '\\1', 'g') as t, {table} as known from documents),
-    e as (select doc_id, {ids(lines)} as a, {ids(paragraphs)} as b from d),
-    f as (select doc_id, a, ',' || array_to_string(a, ',') || ',' as l, ',' || array_to_string(b, ',') || ',' as p from e)
+    with d as (select doc_id, regexp_replace(coalesce(text, ''), '{_TAG}', '\\1', 'g') as t, {table} as known, {single} as singles from documents),
+    e as (select doc_id, singles, {ids(lines)} as a, {ids(paragraphs)} as b from d),
+    f as (select doc_id, a, list_transform(list_concat(a, b), lambda i: singles[i]) as s, ',' || array_to_string(a, ',') || ',' as l, ',' || array_to_string(b, ',') || ',' as p from e)
     select doc_id, cast(len(a) as bigint) as n_sentences, array_to_string(a, ',') as sentence_ids,
-           array_to_string(list_sort(list_distinct(list_filter([{matched}], lambda x: x is not null))), ',') as licenses
+           array_to_string(list_sort(list_distinct(list_filter(list_concat(s, [{matched}]), lambda x: x is not null))), ',') as licenses
     from f"""

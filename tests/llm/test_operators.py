@@ -453,6 +453,22 @@ def test_published_license_headers(spark):
     assert {r.doc_id: r.licenses for r in licenses.scan_licenses(docs(spark, texts)).collect()} == names
 
 
+def test_license_names_and_texts(spark):
+    texts = {
+        1: ("// SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"),
+        2: ("This project is licensed under the BSD 3-Clause License.", "BSD-3-Clause"),
+        3: ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+        4: ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "MPL-2.0"),
+        5: ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+        6: ("This software is provided 'as-is', without any express or implied warranty. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:", "Zlib"),
+        7: ("Released under the ISC licence. Licensed under GPLv2", "GPL-2.0,ISC"),
+        8: ("we released under the bridge a license of sorts", ""),
+    }
+    data = docs(spark, [(i, t) for i, (t, _) in texts.items()] + [(8, texts[8][0])] * 2)
+    rows = licenses.scan_licenses(data).collect()
+    assert len(rows) == 10 and {r.doc_id: r.licenses for r in rows} == {i: x for i, (_, x) in texts.items()}
+
+
 # Operator 6
 
 
