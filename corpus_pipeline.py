@@ -44,11 +44,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keyed = with_row_keys(docs, row)
     found = ngram_jaccard_join(keyed.select(F.col(row).alias("doc_id"), "text"), n=5, percent=80)
     groups = stash(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("part")))
-    parts = groups.where("part <> row").select("part").distinct()
-    members = groups.join(parts, "part").join(keyed.select(F.col(row).alias("row"), F.col("doc_id").alias("id")), "row")
-    members = stash(members.select("row", "part", F.struct(F.col("id").isNull(), "id", "row").alias("place")))
-    kept = members.groupBy("part").agg(F.min("place")["row"].alias("row"))
-    losers = stash(members.join(kept, "row", "left_anti").select(F.col("row").alias(row)))
+    ids = keyed.select(F.col(row).alias("row"), F.col("doc_id").alias("id"))
+    places = groups.join(ids, "row").select("part", F.struct(F.col("id").isNull(), "id", "row").alias("place"))
+    kept = places.groupBy("part").agg(F.min("place")["row"].alias("row"))  # partial minima: no group meets in one task
+    losers = stash(groups.select("row").join(kept, "row", "left_anti").select(F.col("row").alias(row)))
     return drop_rows(keyed, losers, row).select(*columns(docs))
 
 
