@@ -34,46 +34,57 @@ def below(at: Column, key: str | Column) -> Column:
 
 
 def kind(node: Column) -> Column:
-    """STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, VOID, OBJECT or ARRAY."""
-    return F.regexp_extract(F.schema_of_variant(node), "^[A-Z]+", 0)
+    """STRING, BIGINT, DECIMAL(...), DOUBLE, BOOLEAN, VOID, OBJECT<...> or ARRAY<...>."""
+    return F.schema_of_variant(node)
 
 
 def is_object(node: Column) -> Column:
-    return kind(node) == "OBJECT"
+    return F.startswith(kind(node), F.lit("OBJECT"))
 
 
 def as_(node: Column, type_: str) -> Column:
     return F.try_variant_get(node, "$", type_)
 
 
-def text(least: int = 0, among: list[str] | None = None, like: str | None = None) -> Check:
+def _scalar(type_: str, right: Callable[[Column], Column], wanted: str, rules: list[tuple[Callable[[Column], Column], str]]) -> Check:
+    """A value of one kind; ``rules`` are what must hold of it.  Kind and value are read once, and what is sound costs no more."""
+
     def check(node: Column, at: Column) -> Column:
-        value, right = as_(node, "string"), kind(node) == "STRING"
-        parts = [issue_if(~right, at, "a text is wanted")]
-        if least:
-            parts.append(issue_if(right & (F.length(value) < least), at, "too short"))
-        if among:
-            parts.append(issue_if(~right | ~value.isin(among), at, "none of the known values"))
-        if like:
-            parts.append(issue_if(right & ~value.rlike(like), at, "not of the form wanted"))
-        return F.concat(*parts)
+        def of(t: Column) -> Column:
+            sound = right(t)
+            for rule, _ in rules:
+                sound = sound & rule(t)
+            parts = [issue_if(~right(t), at, wanted), *(issue_if(~rule(t), at, message) for rule, message in rules)]
+            return F.when(F.coalesce(sound, F.lit(False)), none()).otherwise(F.concat(*parts))
+
+        return let(F.struct(kind(node).alias("kind"), as_(node, type_).alias("value")), of)
 
     return check
 
 
-def number(least: float | None = None, most: float | None = None, whole: bool = True) -> Check:
-    def check(node: Column, at: Column) -> Column:
-        value = as_(node, "double")
-        numeric = kind(node).isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT")
-        right = numeric & (value == F.floor(value)) if whole else numeric
-        parts = [issue_if(~right, at, "a whole number is wanted" if whole else "a number is wanted")]
-        if least is not None:
-            parts.append(issue_if(numeric & (value < least), at, f"less than {least}"))
-        if most is not None:
-            parts.append(issue_if(numeric & (value > most), at, f"more than {most}"))
-        return F.concat(*parts)
+def text(least: int = 0, among: list[str] | None = None, like: str | None = None) -> Check:
+    """A text; length and form are asked of texts only, and what is no text is none of the known values."""
+    is_text = lambda t: t["kind"] == "STRING"
+    rules = []
+    if least:
+        rules.append((lambda t: ~is_text(t) | (F.length(t["value"]) >= least), "too short"))
+    if among:
+        rules.append((lambda t: is_text(t) & t["value"].isin(among), "none of the known values"))
+    if like:
+        rules.append((lambda t: ~is_text(t) | t["value"].rlike(like), "not of the form wanted"))
+    return _scalar("string", is_text, "a text is wanted", rules)
 
-    return check
+
+def number(least: float | None = None, most: float | None = None, whole: bool = True) -> Check:
+    """A number; 5.0 is whole, and bounds are asked of numbers only."""
+    numeric = lambda t: t["kind"].isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(t["kind"], F.lit("DECIMAL"))
+    right = (lambda t: numeric(t) & (t["value"] == F.floor(t["value"]))) if whole else numeric
+    rules = []
+    if least is not None:
+        rules.append((lambda t: ~numeric(t) | (t["value"] >= least), f"less than {least}"))
+    if most is not None:
+        rules.append((lambda t: ~numeric(t) | (t["value"] <= most), f"more than {most}"))
+    return _scalar("double", right, "a whole number is wanted" if whole else "a number is wanted", rules)
 
 
 def flag() -> Check:
