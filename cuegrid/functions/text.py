@@ -152,3 +152,14 @@ def absolute_url(url: Column, base: str) -> Column:
     return F.when((F.coalesce(url, F.lit("")) == "") | F.contains(url, F.lit("://")), url).otherwise(
         F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(url, "^/+", ""))
     )
+
+
+def split_s3(url: Column) -> Column:
+    """struct(bucket, key) of ``s3://bucket/key`` (the key may be empty); null for what is no such address or has no bucket."""
+    parts = lambda i: F.regexp_extract(url, "(?s)^s3://([^/?#]+)/*([^?#]*)", i)
+    return F.when(parts(1) != "", F.struct(parts(1).alias("bucket"), parts(2).alias("key")))
+
+
+def duration_ms(seconds: Column) -> Column:
+    """Whole milliseconds, halves to even."""
+    return F.bround(seconds * 1000).cast("long")

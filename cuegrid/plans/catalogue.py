@@ -169,6 +169,47 @@ def rect_pad_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("k", *(F.col(f"{c}.{d}").alias(c + d) for c in made for d in "xywh"))
 
 
+@register(
+    f"""with {_PART}, a as (select *, x + 5 as ox, y + 2 as oy, w + 1 as ow, h as oh, greatest(2, w // 4) as dx, greatest(2, h // 4) as dy from r),
+    b as (select *, greatest(0, least(x + w, ox + ow) - greatest(x, ox)) * greatest(0, least(y + h, oy + oh) - greatest(y, oy)) as common from a)
+    select k, x + w as far, y + h as low, w * h as area, common as shared, round(common / (w * h + ow * oh - common), 6) as iou,
+    greatest(0, x - dx) as rx, greatest(0, y - dy) as ry, greatest(1, least({W}, x + w + dx) - greatest(0, x - dx)) as rw, greatest(1, least({H}, y + h + dy) - greatest(0, y - dy)) as rh,
+    case when k % 2 = 0 then x + w else 0 end as mx, case when k % 2 = 0 then {W} - x - w else x end as mw,
+    cast(round_even((x + 0.25) * 1.5, 0) as int) as bx, greatest(1, cast(round_even(w * 1.5, 0) as int)) as bw from b"""
+)
+def rect_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges, areas, overlap with a shifted rectangle, surroundings, what a panel leaves, and boxes as rectangles."""
+    r, w, h = F.col("r"), F.lit(W), F.lit(H)
+    other = g.rect(r["x"] + 5, r["y"] + 2, r["w"] + 1, r["h"])
+    box = F.struct(*((r[a] + 0.25 + (r[b] if b else 0)).alias(n) for n, a, b in (("x1", "x", None), ("y1", "y", None), ("x2", "x", "w"), ("y2", "y", "h"))))
+    rows = _part_rects(spark, sf_dir).withColumns(
+        {"ring": g.ring(r, w, h), "main": g.panel_complement(r, F.when(F.col("k") % 2 == 0, "left").otherwise("right"), w, h), "box": g.box_to_rect(box, 1.5)}
+    )
+    return rows.select(
+        "k", g.right(r).alias("far"), g.bottom(r).alias("low"), g.area(r).alias("area"), g.overlap(r, other).alias("shared"), F.round(g.iou(r, other), 6).alias("iou"),
+        *(F.col(f"ring.{c}").alias(f"r{c}") for c in "xywh"), F.col("main.x").alias("mx"), F.col("main.w").alias("mw"), F.col("box.x").alias("bx"), F.col("box.w").alias("bw"),
+    )
+
+
+# Anchors over the grids of a 64-pixel image: 8x8 cells of 8, 4x4 of 16, 2x2 of 32.
+_ANCHORS = """a as (select cast(label as bigint) as title_id, vec_id as frame_idx, vec_id % 90 as anchor, list_transform(embedding[1:6], lambda v: cast(v as double)) as p from embeddings),
+cells as (select *, case when anchor < 64 then 8 when anchor < 80 then 16 else 32 end as stride, case when anchor < 64 then anchor when anchor < 80 then anchor - 64 else anchor - 80 end as cell from a where anchor < 84),
+centres as (select title_id, frame_idx, anchor, (p[1] + cell % (64 // stride)) * stride as cx, (p[2] + cell // (64 // stride)) * stride as cy, exp(p[3]) * stride as w, exp(p[4]) * stride as h, p[5] * p[6] as score from cells),
+found as (select title_id, frame_idx, anchor as box_no, least(greatest((cx - w / 2) / 0.5, 0), 120) as x1, least(greatest((cy - h / 2) / 0.5, 0), 100) as y1,
+  least(greatest((cx + w / 2) / 0.5, 0), 120) as x2, least(greatest((cy + h / 2) / 0.5, 0), 100) as y2, score from centres where score > 0.01)"""
+
+
+@register(
+    f"with {_ANCHORS} select title_id, frame_idx, box_no, round(x1, 4) as x1, round(y1, 4) as y1, round(x2, 4) as x2, round(y2, 4) as y2, round(score, 6) as score from found where x2 - x1 >= 2 and y2 - y1 >= 2"
+)
+def anchor_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw predictions (an embedding's first six numbers each) to boxes of a 120 by 100 frame at half size."""
+    e = ad.table(spark, sf_dir, "embeddings")
+    anchors = e.select(F.col("label").cast("long").alias("title_id"), F.col("vec_id").alias("frame_idx"), (F.col("vec_id") % 90).alias("anchor"), F.slice("embedding", 1, 6).alias("p"))
+    boxes = detections.boxes_of(detections.decode_anchors(anchors, 64), 0.5, 120, 100, 0.01)
+    return boxes.select("title_id", "frame_idx", "box_no", *(F.round(c, 4).alias(c) for c in ("x1", "y1", "x2", "y2")), F.round("score", 6).alias("score"))
+
+
 _IOU = "greatest(least(a.x2, b.x2) - greatest(a.x1, b.x1), 0) * greatest(least(a.y2, b.y2) - greatest(a.y1, b.y1), 0)"
 
 
@@ -505,6 +546,33 @@ def html_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.groupBy("page_id").agg(F.count("*").alias("paragraphs"), F.sum(F.length(tx.clean_html(F.col("inner")))).alias("chars"))
 
 
+_PLAIN = r"regexp_replace(regexp_replace(translate(line, '<>&©', '    '), '^[: ]+', ''), '^\s+|\s+$', '', 'g')"
+
+
+@register(
+    f"""with t as (select conv_id, turn, min(role) as role, min(coalesce(text, '')) as text from conversations group by 1, 2),
+    n as (select *, row_number() over (partition by conv_id order by turn) as ci from t),
+    p as (select conv_id, ci, min(role) as role, min(turn) as turn, list(line order by i) as lines from (select conv_id, ci, role, turn, i, {_PLAIN} as line from
+      (select conv_id, ci, role, turn, generate_subscripts(string_split(text, chr(10)), 1) as i, unnest(string_split(text, chr(10))) as line from n)) where line <> '' group by 1, 2)
+    select conv_id as page_id, ci, role as speaker, case when turn % 3 = 0 then '14:0' || (turn % 10) end as clock, cast(len(lines) as int) as n, sha256(array_to_string(lines, chr(10))) as said from p"""
+)
+def page_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report pages made of conversations, with clocks, headings and page furniture, back to contributions."""
+    t = ad.table(spark, sf_dir, "conversations").groupBy("conv_id", "turn").agg(F.min("role").alias("role"), F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    turn = F.col("turn").cast("string")
+    plain = F.translate("text", "<>&©", "    ")
+    clock = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("<p> 14:0"), (F.col("turn") % 10).cast("string"), F.lit("</p>"))).otherwise("")
+    body = F.concat(F.lit("<p>"), F.array_join(F.split(plain, "\n"), "</p><p>"), F.lit("</p><p class=\"x lead\">Heading</p>"))
+    one = F.concat(clock, F.lit('<p id="orscontributions_'), turn, F.lit('"><strong>'), "role", F.lit("</strong>share</p>"), body)
+    ordered = F.array_sort(F.collect_list(F.struct("turn", one.alias("h"))))
+    html = F.concat(F.lit("<p>menu</p>"), F.array_join(F.transform(ordered, lambda x: x["h"]), "\n"), F.lit("<!-- Previous/Next navigation --><p>next</p>"))
+    # the page begins at its first opener, so a clock in front of all openers is lost: an opener without a speaker goes first
+    html = F.concat(F.lit('<p id="orscontributions_"></p>'), html)
+    pages = t.groupBy(F.col("conv_id").alias("page_id")).agg(html.alias("html"))
+    c = transcript.contributions(pages)
+    return c.select("page_id", (F.col("ci") - 1).alias("ci"), "speaker", "clock", F.size("paragraphs").alias("n"), F.sha2(F.array_join("paragraphs", "\n"), 256).alias("said"))
+
+
 def _recognised(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One recogniser result a conversation: a word a turn, a full stop after every third."""
     t = ad.table(spark, sf_dir, "conversations").groupBy("conv_id", "turn").agg(F.min("role").alias("role"))

@@ -28,6 +28,13 @@ def repeated(rows: DataFrame, key: str, order: str) -> DataFrame:
     return rows.withColumn("nth", nth).where("nth > 1")
 
 
+def with_repeat_faults(sources: DataFrame) -> DataFrame:
+    """``sources(id, faults)`` with a fault at every entry whose id another one has too."""
+    n = F.count("*").over(Window.partitionBy("id"))
+    twice = F.when((n > 1) & F.col("id").isNotNull(), F.array(F.lit("id occurs twice"))).otherwise(F.array().cast("array<string>"))
+    return sources.withColumn("faults", F.concat("faults", twice))
+
+
 def with_defaults(sources: DataFrame) -> DataFrame:
     """Trimmed source entries with defaults, and their faults as an array of strings."""
     clean = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) if c in sources.columns else F.lit(None).cast("string")
@@ -38,6 +45,7 @@ def with_defaults(sources: DataFrame) -> DataFrame:
         {
             "caption_language": F.coalesce(clean("caption_language"), F.lit("en")),
             "sign_language": F.coalesce(clean("sign_language"), F.lit("ase")),
+            "language_label": F.coalesce(clean("language_label"), F.lit("American Sign Language")),
             "media": F.coalesce("media", "url"),
         }
     )

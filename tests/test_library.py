@@ -451,6 +451,16 @@ def test_sources(spark):
     assert [r.b for r in s.select(listing.is_blocked(F.col("url"), ("spam.org",)).alias("b")).collect()] == [True, False]
 
 
+def test_addresses_durations_and_repeated_ids(spark):
+    urls = ["s3://bucket/some/key.mp4", "s3://bucket", "s3://bucket//k", "s3:///key", "https://x.org/a", None]
+    got = [r.v and tuple(r.v) for r in spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string").select("i", tx.split_s3(F.col("u")).alias("v")).orderBy("i").collect()]
+    assert got == [("bucket", "some/key.mp4"), ("bucket", ""), ("bucket", "k"), None, None, None]
+    assert one(spark, tx.duration_ms(F.lit(1.0005))) == 1000 and one(spark, tx.duration_ms(F.lit(2.0))) == 2000
+    entries = spark.createDataFrame([("a", []), ("b", ["x"]), ("a", ["y"]), (None, []), (None, [])], "id string, faults array<string>")
+    rows = sorted((r.id or "", r.faults) for r in listing.with_repeat_faults(entries).collect())
+    assert rows == [("", []), ("", []), ("a", ["id occurs twice"]), ("a", ["y", "id occurs twice"]), ("b", ["x"])]
+
+
 def test_manifest_rules(spark):
     import json
 
