@@ -163,3 +163,8 @@ def split_s3(url: Column) -> Column:
 def duration_ms(seconds: Column) -> Column:
     """Whole milliseconds, halves to even."""
     return F.bround(seconds * 1000).cast("long")
+
+
+def content_sha256(content: Column) -> Column:
+    """The digest that stands beside a stored file: lower-case hexadecimal SHA-256 of its bytes (of a text, in UTF-8)."""
+    return F.sha2(content, 256)

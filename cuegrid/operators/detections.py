@@ -18,6 +18,13 @@ CLUSTERED = (
 )
 
 
+def sample_frames(frames: DataFrame, every: int, number: str = "frame_idx") -> DataFrame:
+    """Every ``every``-th frame by its number, from 0."""
+    if every < 1:
+        raise ValueError("every must be at least 1")
+    return frames.where(F.col(number) % every == 0)
+
+
 def cluster_detections(detections: DataFrame, min_iou: float = 0.3, smoothing: float = 0.2) -> DataFrame:
     """Greedy tracking: adds cluster_id, in order of creation within a title.
 

@@ -75,7 +75,7 @@ def activity_sparkline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("select event_id, user_id from events where event_id % 5 = 0")
 def frame_stride_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad.table(spark, sf_dir, "events").where("event_id % 5 = 0").select("event_id", "user_id")
+    return detections.sample_frames(ad.table(spark, sf_dir, "events"), 5, "event_id").select("event_id", "user_id")
 
 
 # Detections ---------------------------------------------------------------------------------------
@@ -795,4 +795,4 @@ def harness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("select doc_id, sha256(text) as sha256 from documents")
 def content_sha256(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    return ad.table(spark, sf_dir, "documents").select("doc_id", tx.content_sha256(F.col("text")).alias("sha256"))
