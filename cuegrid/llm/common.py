@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _MEMO_WORDS = 100_000
+_SCRATCH: list[list[str]] = []
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _S32 = np.uint64(32)
@@ -38,10 +40,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; within :func:`scratch` it is deleted at the end."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _SCRATCH:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was written to scratch paths within: nothing used later may read from it."""
+    paths: list[str] = []
+    _SCRATCH.append(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH[:] = [p for p in _SCRATCH if p is not paths]
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+
 def stash(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet into the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/stash-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "stash")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
