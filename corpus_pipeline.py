@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuegrid.llm.common import checkpoint_dir, columns, drop_rows, fresh, read_table, stash, with_row_keys
+from cuegrid.llm.common import checkpoint_dir, columns, drop_rows, fresh, read_table, scratch, scratch_path, stash, with_row_keys
 from cuegrid.llm.decontaminate import find_contamination
 from cuegrid.llm.jaccard_join import ngram_jaccard_join
 from cuegrid.llm.pieces import encode_pieces
@@ -85,13 +85,15 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written into the shared folder and read again.
 
-    One row a document kept: its piece ids.  The files of the stages stay in the shared folder of the job.
+    One row a document kept: its piece ids.  What the stages wrote on the way is deleted once the
+    last one's result is written; that stays in the shared folder.
     """
-    docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = f"{checkpoint_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    docs, result = read_table(spark, sf_dir, "documents"), f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    with scratch(spark):
+        for name, stage in STAGES:
+            path = result if stage is STAGES[-1][1] else scratch_path(spark, f"pipeline-{name}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs
 
 
