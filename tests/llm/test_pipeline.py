@@ -1,9 +1,10 @@
 """The corpus pipeline: each stage against brute force on its own input."""
 
 import re
+from pathlib import Path
 
 import corpus_pipeline
-from cuegrid.llm.common import read_table
+from cuegrid.llm.common import checkpoint_dir, read_table
 from tests.llm.test_operators import base_secrets, brute_components, shingles
 
 SF = "/root/testdata/sf0.001"
@@ -37,7 +38,11 @@ def test_stages(spark):
             break
         assert docs.columns == columns
         before = {i: r.text for i, r in rows.items()}
+    where = Path(checkpoint_dir(spark))
+    before = set(where.iterdir())
     assert corpus_pipeline.run(spark, SF).count() == len(rows)
+    left = set(where.iterdir()) - before
+    assert len(left) == 1 and left.pop().name.startswith("pipeline-")
 
 
 ODD = "doc_id long, text string, row string, __length int, found string, __base int, part int, length_bucket int, _metadata string"
