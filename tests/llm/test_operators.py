@@ -694,6 +694,14 @@ def test_pieces_equal_the_public_library(spark):
     assert machine.decode([3 + 0xE2, 3 + 0x28]) == "\ufffd(" and encode_pieces(docs(spark, {}), PIECE_MODEL).count() == 0
 
 
+def test_pieces_of_repeated_rows_and_clashing_names(spark):
+    data = spark.createDataFrame([(1, "a b", 5, "x"), (1, "a b", 5, "x"), (None, None, 6, "y")], "doc_id long, text string, ids int, n_pieces string")
+    got = encode_pieces(data, PIECE_MODEL).collect()
+    assert sorted((r.doc_id or 0, r.n_pieces) for r in got)[0] == (0, 0) and got[0].__fields__ == ["doc_id", "n_pieces", "ids", "round_trip"] and len(got) == 3
+    back = decode_pieces(encode_pieces(data, PIECE_MODEL).withColumn("text", F.lit("clash")), PIECE_MODEL)
+    assert sorted(r.text for r in back.collect()) == ["", "a b", "a b"]
+
+
 # Operator 9
 
 
@@ -800,6 +808,15 @@ def test_decontamination(spark):
     assert find_contamination(docs(spark, {}), table).count() == 0
 
 
+def test_decontamination_of_repeated_rows_and_clashing_names(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    rows = [(1, f"x {item} y"), (1, f"x {item} y"), (None, item), (2, "alpha beta gamma delta"), (3, None)]
+    data = docs(spark, rows).withColumn("item_id", F.lit(7)).withColumn("n_shared", F.lit("s"))
+    items = spark.createDataFrame([(5, item), (5, item), (6, "alpha beta gamma delta"), (None, item)], "item_id long, text string").withColumn("containment", F.lit(1))
+    got = sorted(((r.doc_id or 0, r.item_id, r.n_shared) for r in find_contamination(data, items).collect()))
+    assert got == [(0, 5, 4), (0, 5, 4), (1, 5, 4), (1, 5, 4), (1, 5, 4), (1, 5, 4), (2, 6, 1)]
+
+
 def test_items_in_several_blocks(spark, monkeypatch):
     monkeypatch.setattr("cuegrid.llm.decontaminate.BLOCK_CHARS", 10)
     items = spark.createDataFrame([(i, f"one two three four five n{i}") for i in range(5)], "item_id long, text string")
