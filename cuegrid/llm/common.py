@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import xxhash
@@ -18,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _MEMO_WORDS = 100_000
-_SCRATCH: list[list[str]] = []
+#: The folder of the open :func:`scratch` block of this thread or context.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _S32 = np.uint64(32)
@@ -41,26 +43,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; within :func:`scratch` it is deleted at the end."""
-    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    for paths in _SCRATCH:
-        paths.append(path)
-    return path
+    """A new path in the shared folder; within :func:`scratch` in that block's folder, which is deleted at the end."""
+    return f"{_SCRATCH.get() or checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Deletes at its end what was written to scratch paths within: nothing used later may read from it."""
-    paths: list[str] = []
-    _SCRATCH.append(paths)
+    """Deletes at its end what was written to scratch paths within: nothing used later may read from it.
+
+    Each block has a folder of its own, known to its own thread (or task of an event loop) only, so that blocks that run
+    at the same time don't meet.  What an inner block makes goes with the inner block.
+    """
+    folder = f"{_SCRATCH.get() or checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _SCRATCH.set(folder)
     try:
         yield
     finally:
-        _SCRATCH[:] = [p for p in _SCRATCH if p is not paths]
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in paths:
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
+        _SCRATCH.reset(token)
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stash(df: DataFrame) -> DataFrame:
@@ -202,11 +203,22 @@ def words_for_bitmap(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return word[first].astype(np.int64), np.bitwise_or.reduceat(bits, first).view(np.int64)
 
 
-def small_batches(batches: Iterator, rows: int = 500) -> Iterator:
-    """The batches in slices, so that few texts are Python objects at a time."""
+def small_batches(batches: Iterator, rows: int = 500, size: int = 16 << 20) -> Iterator:
+    """The batches in slices of at most ``rows`` rows and ``size`` bytes of texts (or one longer text)."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        lengths = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                lengths += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(lengths), 0
+        while at < batch.num_rows:
+            fits = int(np.searchsorted(ends, size + (ends[at - 1] if at else 0), "right"))
+            to = max(at + 1, min(at + rows, fits))
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def texts(batch, column: str = "text") -> list[bytes | None]:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cuegrid.llm.alignment import align_tokenizers
 from cuegrid.llm.common import read_table
 from cuegrid.llm.decontaminate import find_contamination
 from cuegrid.llm.fingerprints import fingerprint_documents
@@ -14,13 +15,18 @@ from cuegrid.llm.lattice_lm import score_texts
 from cuegrid.llm.licenses import oracle_sql as license_sql
 from cuegrid.llm.licenses import scan_licenses
 from cuegrid.llm.pii import find_personal_data
+from cuegrid.llm.line_dedup import line_dedup_digests
+from cuegrid.llm.line_dedup import oracle_sql as line_sql
 from cuegrid.llm.pieces import encode_pieces
 from cuegrid.llm.quality import quality_classifier
 from cuegrid.llm.secrets import scan_secrets
+from cuegrid.llm.source_audit import audit_sources
+from cuegrid.llm.source_audit import oracle_sql as audit_sql
 from cuegrid.llm.url_filter import filter_urls
 
 #: Where the public vocabulary files lie; the model's file is a parameter of its operators.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 #: Hosts whose pages, and those of their subdomains, are blocked unless a rule says otherwise.
@@ -83,6 +89,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup_digests(read_table(spark, sf_dir, "documents"), min_chars=1, min_docs=10)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(read_table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)[0]
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
@@ -104,4 +122,4 @@ def _url_sql() -> str:
 
 def oracle_sql() -> dict[str, str]:
     """SQL where it can say all of a query; the other queries are tested against brute force."""
-    return {"op1_url_filters": _url_sql(), "op5_license_scans": license_sql()}
+    return {"op1_url_filters": _url_sql(), "op5_license_scans": license_sql(), "op11_line_dedup": line_sql(), "op13_source_divergence": audit_sql()}
