@@ -6,9 +6,9 @@ a text's fingerprint is the sum of its paragraphs' vectors, component by compone
 * ``WIDE`` components modulo 2**32, all of them random for every paragraph: equal multisets, in
   whatever order, have equal sums, and others do not but by chance;
 * ``NARROW`` signed counters: every sentence of the paragraph adds 1 or -1 (by its hash) to one of them.  Sums of
-  texts with common sentences point the same way, so likeness can be read off.  Four counters share a
-  number modulo 2**64, which adds up like the others; they are told apart while each is below 2**15 either way, that is up to
-  about two million sentences.
+  texts with common sentences point the same way, so likeness can be read off.  Two counters share a
+  number modulo 2**64, which adds up like the others; they are told apart while each is below 2**31 either way.  Equal sentences
+  all add to one counter, and a text (at most 2**31 bytes) has fewer than 2**30 sentences, so no text's counter wraps.
 
 Sums can be updated by adding an inserted paragraph's vector or subtracting a deleted one's.
 """
@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDE, NARROW = 16, 64
-PACKED = 4  # counters in one number
-MASK32, MASK16 = (1 << 32) - 1, (1 << 16) - 1
+PACKED = 2  # counters in one number
+MASK32 = (1 << 32) - 1
 #: Rows in one range of ids (each the business of one task), most ranges, and ranges in a bundle.
 RANGE_ROWS, MOST_RANGES, BUNDLE = 1_000, 65_536, 256
 
@@ -34,7 +34,7 @@ def paragraph_sums(text: Column) -> Column:
     def placed(h: Column) -> Column:
         """The sentence's number and what it adds to it."""
         counter = F.shiftrightunsigned(h, 1).bitwiseAND(NARROW - 1).cast("int")
-        one = F.try_element_at(F.lit(np.array([1 << 16 * i for i in range(PACKED)], np.int64)), counter % PACKED + 1)
+        one = F.try_element_at(F.lit(np.array([1 << 32 * i for i in range(PACKED)], np.int64)), counter % PACKED + 1)
         return F.struct(
             F.floor(counter / PACKED).cast("int").alias("at"), F.when(h.bitwiseAND(1) == 0, one).otherwise(-one).alias("by")
         )
@@ -81,11 +81,12 @@ def as_string(sums: Column) -> Column:
 def counters(sums: Column) -> Column:
     """array<bigint>: the NARROW signed counters of the packed sums."""
     start = F.transform(F.slice(sums, WIDE + 1, NARROW), lambda v: F.struct(v.alias("rest"), F.array().cast("array<bigint>").alias("out")))
+    low = lambda s: s["rest"].bitwiseAND(MASK32)
     for _ in range(PACKED):
         start = F.transform(
-            F.transform(start, lambda s: F.struct(s["rest"].alias("rest"), s["out"].alias("out"), F.when(s["rest"].bitwiseAND(MASK16) > MASK16 // 2, s["rest"].bitwiseAND(MASK16) - MASK16 - 1).otherwise(s["rest"].bitwiseAND(MASK16)).alias("c"))),
+            F.transform(start, lambda s: F.struct(s["rest"], s["out"], F.when(low(s) > MASK32 // 2, low(s) - MASK32 - 1).otherwise(low(s)).alias("c"))),
             # the rest has what this counter borrowed given back
-            lambda s: F.struct(F.shiftright(F.shiftright(s["rest"], 15) + F.when(s["c"] < 0, F.lit(1)).otherwise(F.lit(0)), 1).alias("rest"), F.array_append(s["out"], s["c"]).alias("out")),
+            lambda s: F.struct(F.shiftright(F.shiftright(s["rest"], 31) + F.when(s["c"] < 0, F.lit(1)).otherwise(F.lit(0)), 1).alias("rest"), F.array_append(s["out"], s["c"]).alias("out")),
         )
     return F.flatten(F.transform(start, lambda s: s["out"]))
 
@@ -96,12 +97,12 @@ def likeness(x: Column, y: Column) -> Column:
     The product of two signed sums is that of the sentences' counts but for chance, whose share
     falls with NARROW and not with the length of the texts.
     """
-    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda a, b: a * b), F.lit(0).cast("long"), lambda a, v: a + v)
+    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, v: a + v)
 
     def near(v: Column) -> Column:
         common = dot(v["x"], v["y"])
         either = dot(v["x"], v["x"]) + dot(v["y"], v["y"]) - common
-        return F.coalesce(F.try_divide(common.cast("double"), either), F.lit(0.0))
+        return F.coalesce(F.try_divide(common, either), F.lit(0.0))
 
     both = F.struct(counters(x).alias("x"), counters(y).alias("y"))
     near_ = F.element_at(F.transform(F.array(both), near), 1)

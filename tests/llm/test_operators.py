@@ -672,6 +672,19 @@ def test_fingerprints_add_up(spark):
     assert [r[0] for r in big.select(fingerprints._plus(F.col("a"), F.col("b"))).collect()] == [-(2**63), -2, 2**63 - 1, -2]
 
 
+def test_fingerprints_of_many_equal_lines_and_clashing_names(spark):
+    """Equal sentences all add to one counter, which must not wrap."""
+    table = spark.createDataFrame([(1, "same line.\n" * 70_000), (2, "same line.\n" * 69_000), (3, "other.\n" * 40_000)], "doc_id long, text string")
+    made = table.select("doc_id", fingerprints.counters(fingerprints.paragraph_sums(F.col("text"))).alias("c")).collect()
+    assert {r.doc_id: sum(abs(x) for x in r.c) for r in made} == {1: 70_000, 2: 69_000, 3: 40_000}
+    clashing = table.withColumn("next_text", F.lit("clash")).withColumn("edited", F.lit(1)).withColumn("part", F.lit(2))
+    got = {r.doc_id: r for r in fingerprints.fingerprint_documents(clashing).collect()}
+    assert got[1].near_next > 0.95 and got[2].near_next < 0.1
+    one, other = (table.where(f"doc_id = {i}").select(fingerprints.paragraph_sums(F.col("text")).alias(n)) for i, n in ((1, "x"), (2, "y")))
+    less = one.crossJoin(other).select(fingerprints.counters(fingerprints.add(F.col("x"), F.col("y"), -1)).alias("c")).first().c
+    assert sum(abs(x) for x in less) == 1000
+
+
 # Operator 8
 
 
