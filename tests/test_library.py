@@ -625,3 +625,73 @@ def test_cues_of_whole_turns(spark, tmp_path):
     assert {k: r.text for k, r in got("whole_rewrite_merge").items() if not r.rewritten} == {k: x for k, x in whole.items() if k[1] % 4 == 0}
     files = {r.title_id: r.text for r in catalogue.queries()["whole_vtt_build"](spark, str(tmp_path)).collect()}
     assert all(x in files[k[0]] for k, x in whole.items())
+
+
+def said_of(words, rng, loss=0.15):
+    """What a recogniser makes of words: some lost, some other words, some repeated."""
+    out = []
+    for w in words:
+        x = rng.random()
+        out += [] if x < loss / 2 else [rng.choice("abcdefgh")] if x < loss else [w, w] if x < loss * 1.2 else [w]
+    return out
+
+
+def word_tables(spark, titles):
+    report = [(t, i, e, n) for t, (a, _) in titles.items() for i, (e, n) in enumerate(a)]
+    heard = [(t, i, n, i * 0.5, i * 0.5 + 0.4, n) for t, (_, b) in titles.items() for i, n in enumerate(b)]
+    return (
+        spark.createDataFrame(report, "title_id long, pos long, is_event boolean, norm string"),
+        spark.createDataFrame(heard, "title_id long, pos long, text string, start double, end double, norm string"),
+    )
+
+
+def test_increasing_chain():
+    rng = random.Random(3)
+    for _ in range(200):
+        xs, ys = rng.sample(range(12), 6), rng.sample(range(12), 6)
+        points = list(zip(xs, ys, strict=True))
+        best = {}
+        for x, y in sorted(points):
+            best[x, y] = 1 + max((n for (a, b), n in best.items() if a < x and b < y), default=0)
+        got = align.increasing_chain(points)
+        assert len(got) == max(best.values()) and all(p in points for p in got)
+        assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(got, got[1:], strict=False))
+    assert align.increasing_chain([]) == []
+
+
+def test_long_titles_are_matched_in_segments(spark):
+    rng = random.Random(12)
+    titles = {}
+    for t in range(4):
+        words = [f"w{min(rng.randint(0, 300), rng.randint(0, 300))}" for _ in range(rng.randint(400, 900))]
+        report = [(rng.random() < 0.02, "" if rng.random() < 0.03 else w) for w in words]
+        titles[t] = (report, said_of(words, rng))
+    titles[7] = ([(False, "only")] * 700, ["only"] * 500)  # nothing stands alone: one segment
+    titles[8] = ([(False, f"u{i}") for i in range(300)], [])
+    report, heard = word_tables(spark, titles)
+    whole = align.match_words(report, heard)
+    cut = align.match_words(report, heard, 40)
+    places = align.cuts(report, heard.selectExpr("title_id said_title", "pos at", "norm said_norm"), 40).where("cut is not null and side = 0")
+    per_title = {r.title_id: r.n for r in places.groupBy("title_id").agg(F.count("*").alias("n")).collect()}
+    assert set(per_title) == {0, 1, 2, 3} and min(per_title.values()) >= 4
+    count = lambda df: {r.title_id: r.n for r in df.groupBy("title_id").agg(F.count("*").alias("n")).collect()}
+    best, got = count(whole), count(cut)
+    assert set(best) == {0, 1, 2, 3, 7} and best[7] == 500 == got[7]
+    assert all(0.99 * best[t] <= got[t] <= best[t] for t in best)
+    for t, (mine, theirs) in titles.items():
+        pairs = sorted((r.pos, round(r.said_start / 0.5)) for r in cut.where(F.col("title_id") == t).collect())
+        assert all(not mine[i][0] and mine[i][1] == theirs[j] != "" for i, j in pairs)
+        assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(pairs, pairs[1:], strict=False))
+
+
+def test_a_title_of_many_words(spark):
+    """200,000 words, of which one task meets a segment at a time."""
+    n = 200_000
+    word = lambda k: F.concat(F.lit("w"), F.pmod(F.xxhash64(k), F.lit(5000)).cast("string"))
+    report = spark.range(n).select(F.lit(1).cast("long").alias("title_id"), F.col("id").alias("pos"), F.lit(False).alias("is_event"), word(F.col("id")).alias("norm"))
+    heard = spark.range(n).where("id % 10 <> 3").select("id", word(F.col("id")).alias("norm"))
+    at = F.col("id") - F.floor((F.col("id") + 6) / 10)
+    heard = heard.select(F.lit(1).cast("long").alias("title_id"), at.alias("pos"), F.col("norm").alias("text"), F.col("id").cast("double").alias("start"), (F.col("id") + 0.5).alias("end"), "norm")
+    found = align.match_words(report, heard)
+    assert found.count() == n * 9 // 10
+    assert found.where("pos = said_start").count() > 0.998 * n * 9 // 10
