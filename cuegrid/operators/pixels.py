@@ -44,22 +44,49 @@ def box_motion(grey: DataFrame, boxes: DataFrame, upper: float = 0.6) -> DataFra
     return hit.groupBy("title_id", "frame_idx", "box_no").agg(F.avg(F.when(inside, F.col("diff"))).alias("motion"))
 
 
+def region_sums(stats: DataFrame) -> DataFrame:
+    """(title_id, y, x, var_sum, grey_sum): sums over all pixels up to x and y, so that any region is four look-ups.
+
+    A title's pixels fill an image from (0, 0).  Two running sums, along rows and then down columns.
+    """
+    row, column = Window.partitionBy("title_id", "y").orderBy("x"), Window.partitionBy("title_id", "x").orderBy("y")
+    rows = stats.select("title_id", "y", "x", F.sum("temporal_var").over(row).alias("v"), F.sum("mean_grey").over(row).alias("g"))
+    return rows.select("title_id", "y", "x", F.sum("v").over(column).alias("var_sum"), F.sum("g").over(column).alias("grey_sum"))
+
+
 def band_stats(stats: DataFrame, bands: DataFrame) -> DataFrame:
-    """Mean variance and grey over ``bands(title_id, band, x, y, w, h)``; nulls for an empty band."""
-    columns = F.when(F.col("w") > 0, F.sequence(F.col("x"), F.col("x") + F.col("w") - 1))
-    spread = bands.select("title_id", "band", "y", "h", F.explode_outer(columns).alias("x"))
-    px = stats.select("title_id", "x", F.col("y").alias("y_"), "mean_grey", "temporal_var")
-    inside = (F.col("y_") >= F.col("y")) & (F.col("y_") < F.col("y") + F.col("h"))
-    return (
-        spread.join(px, ["title_id", "x"], "left")
-        .groupBy("title_id", "band")
-        .agg(F.avg(F.when(inside, F.col("temporal_var"))).alias("variance"), F.avg(F.when(inside, F.col("mean_grey"))).alias("grey"))
-    )
+    """Mean variance and grey over ``bands(title_id, band, x, y, w, h)``; nulls for an empty band.
+
+    Each band looks up the four corners of :func:`region_sums`; what lies outside the image doesn't count.
+    """
+    size = stats.groupBy("title_id").agg((F.max("x") + 1).alias("fw"), (F.max("y") + 1).alias("fh"))
+    clip = lambda v, most: F.least(F.greatest(v, F.lit(0)), F.coalesce(most, F.lit(0)))
+    rows = bands.join(size, "title_id", "left").select(
+        "title_id", "band", clip(F.col("x"), F.col("fw")).alias("x1"), clip(F.col("y"), F.col("fh")).alias("y1"),
+        clip(F.col("x") + F.greatest("w", F.lit(0)), F.col("fw")).alias("x2"), clip(F.col("y") + F.greatest("h", F.lit(0)), F.col("fh")).alias("y2"),
+    )
+    corner = lambda x, y, sign: F.struct((F.col(x) - 1).alias("x"), (F.col(y) - 1).alias("y"), F.lit(sign).alias("sign"))
+    corners = rows.select(
+        "title_id", "band", ((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))).alias("area"),
+        F.inline(F.array(corner("x2", "y2", 1), corner("x1", "y2", -1), corner("x2", "y1", -1), corner("x1", "y1", 1))),
+    )
+    total = lambda c: F.try_divide(F.coalesce(F.sum(F.col("sign") * F.col(c)), F.lit(0.0)), F.max("area"))
+    found = corners.join(region_sums(stats), ["title_id", "x", "y"], "left")
+    return found.groupBy("title_id", "band").agg(total("var_sum").alias("variance"), total("grey_sum").alias("grey"))
+
+
+#: How far a window's edges may go.
+ENDS = ("left", "right", "top", "under")
+
+
+def _accepts(variance, grey, reference, max_var: float, max_step: float):
+    """The rule of growth, of columns or of numbers alike."""
+    return (variance <= max_var) & (grey - reference <= max_step) & (reference - grey <= max_step)
 
 
 def accepts_band(variance: Column, grey: Column, reference: Column, max_var: float = 40.0, max_step: float = 6.0) -> Column:
-    still = variance.isNotNull() & (variance <= max_var)
-    return still & (reference.isNull() | (F.abs(grey - reference) <= max_step))
+    """Whether a band is still and goes on from what its edge took last (null: nothing yet); a band without pixels is not."""
+    return F.coalesce(_accepts(variance, grey, F.coalesce(reference, grey), max_var, max_step), F.lit(False))
 
 
 def grow_windows(
@@ -67,49 +94,69 @@ def grow_windows(
 ) -> DataFrame:
     """``rects(title_id, x, y, w, h)`` grown over still, even background, edge by edge to a fixpoint.
 
-    The frame's ``size`` (width, height) is that of the pixels found unless it is given.
+    The frame's ``size`` (width, height) is that of the pixels found unless it is given; a title's pixels fill an image
+    from (0, 0), and beyond them nothing is accepted.
 
     Edges are tried left, right, top, bottom with the extents of the moment; each remembers the
-    grey it took last.  A title's statistics form one dense image in one task.
+    grey it took last.  An edge stands at its first place or whole bands from it, so all that growth can ask for are
+    :func:`region_sums` where these lines cross: one point in band x band pixels of the reach, and a window's alone are a task's group.
     """
 
-    def grow(key: tuple, found: pd.DataFrame, px: pd.DataFrame) -> pd.DataFrame:
-        if not len(found):
-            return found[["title_id", "x", "y", "w", "h"]]
-        fw, fh = size or ((int(px.x.max()) + 1, int(px.y.max()) + 1) if len(px) else (0, 0))
-        var, grey = np.full((fh, fw), np.inf), np.zeros((fh, fw))
-        var[px.y, px.x], grey[px.y, px.x] = px.temporal_var, px.mean_grey
-        out = []
-        for x, y, w, h in found[["x", "y", "w", "h"]].itertuples(index=False):
-            edges = [x, x + w, y, y + h]
-            reach_x, reach_y = min(int(w * 1.5), int(max(0.0, 0.6 * fw - w) / 2)), int(h * 1.5)
-            ends = [max(0, x - reach_x), min(fw, x + w + reach_x), max(0, y - reach_y), min(fh, y + h + reach_y)]
-            last: list[float | None] = [None] * 4
-            moved = True
-            while moved:
-                moved = False
-                for e in range(4):
-                    way = -1 if e % 2 == 0 else 1
-                    to = edges[e] + way * band
-                    if (to < ends[e]) if way < 0 else (to > ends[e]):
-                        continue
-                    lo, hi = sorted((edges[e], to))
-                    part = (slice(edges[2], edges[3]), slice(lo, hi)) if e < 2 else (slice(lo, hi), slice(edges[0], edges[1]))
-                    v, g = var[part], grey[part]
-                    if not v.size or v.mean() > max_var or (last[e] is not None and abs(g.mean() - last[e]) > max_step):
-                        continue
-                    last[e], edges[e], moved = float(g.mean()), to, True
-            x0, y0 = edges[0] - edges[0] % 2, edges[2] - edges[2] % 2
-            w0, h0 = edges[1] - x0, edges[3] - y0
-            out.append((key[0], x0, y0, max(2, w0 - w0 % 2), max(2, h0 - h0 % 2)))
-        return pd.DataFrame(out, columns=["title_id", "x", "y", "w", "h"])
-
-    return (
-        rects.select("title_id", "x", "y", "w", "h")
-        .groupBy("title_id")
-        .cogroup(stats.select("title_id", "y", "x", "mean_grey", "temporal_var").groupBy("title_id"))
-        .applyInPandas(grow, "title_id long, x int, y int, w int, h int")
-    )
+    def grow(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
+        x, y, w, h, *ends = (int(points[c].iloc[0]) for c in ("x", "y", "w", "h", *ENDS))
+        sums = {(px, py): (v, g) for px, py, v, g in points[["px", "py", "var_sum", "grey_sum"]].itertuples(index=False)}
+        edges, last = [x, x + w, y, y + h], [None] * 4
+
+        def means(x1: int, x2: int, y1: int, y2: int) -> tuple[float, float]:
+            area, out = (x2 - x1) * (y2 - y1), [0.0, 0.0]
+            if area <= 0:
+                return np.inf, 0.0
+            for px, py, sign in ((x2, y2, 1), (x1, y2, -1), (x2, y1, -1), (x1, y1, 1)):
+                if px and py:
+                    at = sums.get((px, py))
+                    if at is None:  # beyond the pixels
+                        return np.inf, 0.0
+                    out = [o + sign * a for o, a in zip(out, at, strict=True)]
+            return out[0] / area, out[1] / area
+
+        moved = True
+        while moved:
+            moved = False
+            for e in range(4):
+                way = -1 if e % 2 == 0 else 1
+                to = edges[e] + way * band
+                if (to < ends[e]) if way < 0 else (to > ends[e]):
+                    continue
+                lo, hi = sorted((edges[e], to))
+                variance, grey = means(lo, hi, edges[2], edges[3]) if e < 2 else means(edges[0], edges[1], lo, hi)
+                if _accepts(variance, grey, grey if last[e] is None else last[e], max_var, max_step):
+                    last[e], edges[e], moved = grey, to, True
+        x0, y0 = edges[0] - edges[0] % 2, edges[2] - edges[2] % 2
+        w0, h0 = edges[1] - x0, edges[3] - y0
+        return pd.DataFrame([(key[0], x0, y0, max(2, w0 - w0 % 2), max(2, h0 - h0 % 2))], columns=["title_id", "x", "y", "w", "h"])
+
+    found = rects.select("title_id", *(F.col(c).cast("int").alias(c) for c in "xywh"))
+    if size:
+        sized = found.withColumns({"fw": F.lit(size[0]), "fh": F.lit(size[1])})
+    else:
+        of = stats.groupBy("title_id").agg((F.max("x") + 1).alias("fw"), (F.max("y") + 1).alias("fh"))
+        sized = found.join(of, "title_id", "left").na.fill(0, ["fw", "fh"])
+    x, y, w, h, fw, fh = (F.col(c) for c in ("x", "y", "w", "h", "fw", "fh"))
+    far_x = F.least(F.floor(w * 1.5), F.floor(F.greatest(F.lit(0.0), 0.6 * fw - w) / 2)).cast("int")
+    far_y = F.floor(h * 1.5).cast("int")
+    reach = (F.greatest(F.lit(0), x - far_x), F.least(fw, x + w + far_x), F.greatest(F.lit(0), y - far_y), F.least(fh, y + h + far_y))
+    reached = sized.withColumns(dict(zip(ENDS, reach, strict=True)))
+
+    def lines(start: Column, end: Column, least: Column, most: Column) -> Column:
+        """The places of both edges: from each outward in whole bands."""
+        back = F.when(least <= start, F.sequence(start, least, F.lit(-band))).otherwise(F.array(start))
+        return F.array_union(back, F.when(most >= end, F.sequence(end, most, F.lit(band))).otherwise(F.array(end)))
+
+    lined = reached.select("*", lines(y, y + h, F.col("top"), F.col("under")).alias("down"), F.explode(lines(x, x + w, F.col("left"), F.col("right"))).alias("px"))
+    sums = region_sums(stats).select("title_id", (F.col("x") + 1).alias("px"), (F.col("y") + 1).alias("py"), "var_sum", "grey_sum")
+    points = lined.join(sums, ["title_id", "px"], "left").where(F.col("py").isNull() | F.array_contains("down", F.col("py")))
+    need = points.select("title_id", "x", "y", "w", "h", *ENDS, "px", "py", "var_sum", "grey_sum")
+    return need.groupBy("title_id", "x", "y", "w", "h").applyInPandas(grow, "title_id long, x int, y int, w int, h int")
 
 
 def classify_layout(rects: DataFrame, stats: DataFrame | None, frame_w: int, frame_h: int) -> DataFrame:

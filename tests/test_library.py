@@ -695,3 +695,112 @@ def test_a_title_of_many_words(spark):
     found = align.match_words(report, heard)
     assert found.count() == n * 9 // 10
     assert found.where("pos = said_start").count() > 0.998 * n * 9 // 10
+
+
+def grown_on_a_dense_image(rect, px, size, band=2, max_var=40.0, max_step=6.0):
+    """The plain twin of window growth: means over the pixels of each band."""
+    fw, fh = size
+    var, grey = np.full((fh, fw), np.inf), np.zeros((fh, fw))
+    for yy, xx, v, m in px:
+        var[yy, xx], grey[yy, xx] = v, m
+    x, y, w, h = rect
+    edges = [x, x + w, y, y + h]
+    reach_x, reach_y = min(int(w * 1.5), int(max(0.0, 0.6 * fw - w) / 2)), int(h * 1.5)
+    ends = [max(0, x - reach_x), min(fw, x + w + reach_x), max(0, y - reach_y), min(fh, y + h + reach_y)]
+    last, moved = [None] * 4, True
+    while moved:
+        moved = False
+        for e in range(4):
+            way = -1 if e % 2 == 0 else 1
+            to = edges[e] + way * band
+            if (to < ends[e]) if way < 0 else (to > ends[e]):
+                continue
+            lo, hi = sorted((edges[e], to))
+            part = (slice(edges[2], edges[3]), slice(lo, hi)) if e < 2 else (slice(lo, hi), slice(edges[0], edges[1]))
+            v, g_ = var[part], grey[part]
+            if not v.size or v.mean() > max_var or (last[e] is not None and abs(g_.mean() - last[e]) > max_step):
+                continue
+            last[e], edges[e], moved = float(g_.mean()), to, True
+    x0, y0 = edges[0] - edges[0] % 2, edges[2] - edges[2] % 2
+    w0, h0 = edges[1] - x0, edges[3] - y0
+    return (x0, y0, max(2, w0 - w0 % 2), max(2, h0 - h0 % 2))
+
+
+@pytest.mark.parametrize("band,sized", [(2, False), (3, True)])
+def test_window_growth_equals_a_dense_image(spark, band, sized):
+    rng = random.Random(band)
+    rects, px, want = [], [], {}
+    for t in range(40):
+        fw, fh = rng.randint(12, 40), rng.randint(10, 30)
+        noisy = [(rng.randint(0, fw), rng.randint(0, fh), rng.randint(1, 8), rng.randint(1, 8)) for _ in range(3)]
+        own = []
+        for yy in range(fh):
+            for xx in range(fw):
+                loud = any(a <= xx < a + c and b <= yy < b + d for a, b, c, d in noisy)
+                own.append((yy, xx, 300.0 if loud else float(rng.randint(0, 30)), float(80 + xx // 9 * 4 + (yy > fh - 4) * 30)))
+        w, h = rng.randint(1, 10), rng.randint(1, 8)
+        r = (rng.randint(0, fw - w), rng.randint(0, fh - h), w, h)
+        size = (44, 32) if sized else (fw, fh)
+        want[t] = grown_on_a_dense_image(r, own, size, band)
+        rects.append((t, *r))
+        px += [(t, *p) for p in own]
+    rects.append((99, 1, 2, 4, 4))  # no pixels
+    want[99] = grown_on_a_dense_image((1, 2, 4, 4), [], (44, 32) if sized else (0, 0), band)
+    found = pixels.grow_windows(
+        spark.createDataFrame(rects, "title_id long, x int, y int, w int, h int"),
+        spark.createDataFrame(px, "title_id long, y int, x int, temporal_var double, mean_grey double"), band, size=(44, 32) if sized else None,
+    )
+    assert {r.title_id: (r.x, r.y, r.w, r.h) for r in found.collect()} == want
+    assert len({(w[2], w[3]) for w in want.values()}) > 5
+
+
+def test_bands_by_corner_sums(spark):
+    rng = np.random.default_rng(4)
+    v, m = rng.integers(0, 50, (6, 9)).astype(float), rng.integers(0, 255, (6, 9)).astype(float)
+    px = [(1, y, x, float(v[y, x]), float(m[y, x])) for y in range(6) for x in range(9)]
+    stats = spark.createDataFrame(px, "title_id long, y int, x int, temporal_var double, mean_grey double")
+    bands = [(1, 0, 0, 0, 2, 6), (1, 1, 3, 2, 4, 3), (1, 2, -2, -3, 5, 5), (1, 3, 7, 4, 9, 9), (1, 4, 2, 2, 0, 3), (1, 5, 20, 20, 3, 3), (2, 6, 0, 0, 2, 2)]
+    got = {r.band: (r.variance, r.grey) for r in pixels.band_stats(stats, spark.createDataFrame(bands, "title_id long, band int, x int, y int, w int, h int")).collect()}
+    for t, b, x, y, w, h in bands:
+        part = (slice(max(0, y), max(0, y + h)), slice(max(0, x), max(0, x + w)))
+        if t == 2 or not v[part].size:
+            assert got[b] == (None, None)
+        else:
+            assert got[b] == pytest.approx((v[part].mean(), m[part].mean()))
+    accepts = lambda a, b, c: one(spark, pixels.accepts_band(*(F.lit(x).cast("double") for x in (a, b, c))))
+    assert accepts(40, 5, None) and accepts(1, 5, 11) and not accepts(41, 5, 5) and not accepts(1, 5, 11.5) and not accepts(None, 5, 5)
+
+
+def test_one_pass_analysis(spark):
+    from cuegrid.operators import analysis
+
+    rng = np.random.default_rng(8)
+    images = {(t, f * 3): rng.integers(0, 255, (6, 8)) for t in (1, 2) for f in range(5)}
+    images[3, 7] = rng.integers(0, 255, (6, 8))
+    frames = spark.createDataFrame([(t, f, 8, i.ravel().tolist()) for (t, f), i in images.items()], "title_id long, frame_idx long, width int, pixels array<int>")
+    listed = [(1, f * 3, b, 1.2 + b, 0.5, 5.5 + b, 5.0) for f in range(5) for b in range(2)] + [(2, 3, 0, -3.0, -2.0, 2.5, 3.0), (2, 3, 1, 4.0, 4.0, 4.0, 9.0), (3, 7, 0, 0.0, 0.0, 4.0, 4.0), (9, 0, 0, 0.0, 0.0, 1.0, 1.0)]
+    boxes = spark.createDataFrame(listed, "title_id long, frame_idx long, box_no long, x1 double, y1 double, x2 double, y2 double")
+    made = analysis.analyse(frames, boxes)
+    got = {(r.title_id, r.y, r.x): (r.mean_grey, r.temporal_var, r.frames) for r in analysis.pixel_table(made).collect()}
+    assert len(got) == 3 * 48
+    for t in (1, 2):
+        stack = np.array([images[t, f * 3] for f in range(5)])
+        for y in range(6):
+            for x in range(8):
+                assert got[t, y, x] == pytest.approx((stack[:, y, x].mean(), stack[:, y, x].var(ddof=1), 5))
+    assert got[3, 0, 0] == (images[3, 7][0, 0], 0.0, 1)
+    moved = {(t, f): np.abs(i - images[t, f - 3]) for (t, f), i in images.items() if (t, f - 3) in images}
+    motion = {(r.title_id, r.frame_idx): r.frame_motion for r in analysis.frame_table(made).collect()}
+    assert set(motion) == set(images) and all(motion[k] == (pytest.approx(moved[k].mean()) if k in moved else None) for k in images)
+    rows = analysis.with_box_motion(boxes, made).collect()
+    assert len(rows) == len(listed)
+    for r in rows:
+        d = moved.get((r.title_id, r.frame_idx))
+        y1, y2, x1, x2 = int(np.floor(r.y1)), int(np.ceil(r.y1 + 0.6 * (r.y2 - r.y1))), int(np.floor(r.x1)), int(np.ceil(r.x2))
+        part = d[max(y1, 0) : max(y2, 0), max(x1, 0) : max(x2, 0)] if d is not None else np.empty(0)
+        assert r.motion == (pytest.approx(part.mean()) if part.size else None)
+    # states of parts merge to those of the whole
+    early, late = (analysis.analyse(frames.where(c), boxes).where("kind = 'pixel'") for c in ("frame_idx < 6", "frame_idx >= 6"))
+    both = {tuple(r[:3]): r[3:] for r in analysis.merge_states(early.union(late), ["title_id", "y", "x"]).collect()}
+    assert all(both[r.title_id, r.y, r.x] == pytest.approx((r.n, r["mean"], r.m2), abs=1e-6) for r in made.where("kind = 'pixel'").collect())
+    assert analysis.analyse(frames.limit(0), boxes).count() == 0
