@@ -1,140 +1,192 @@
-"""Checks of parsed JSON against a declared shape, as column expressions over variants.
+"""Checks of JSON documents against a declared shape: the shape is a table of rules, one for each place of a document.
 
-A check takes a variant and the place it was found at (an array of keys) and gives an array of
-issues, so a document of any shape is judged in one projection: parsed once, no join, no shuffle.
+A document is taken apart into its nodes (where, what kind, which value), level by level down to the deepest place that
+has a rule.  Each node meets the rule of its place by a broadcast join, and one expression judges any node by the columns of
+its rule; so the plan stays the same whatever the shape, and issues are few rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuegrid.functions.text import let
-
 ISSUE = "struct<at:array<string>,message:string,severity:string>"
-Check = Callable[[Column, Column], Column]
-
-
-def none() -> Column:
-    return F.array().cast(f"array<{ISSUE}>")
-
-
-def issue(at: Column, message: str, severity: str = "error") -> Column:
-    return F.struct(at.alias("at"), F.lit(message).alias("message"), F.lit(severity).alias("severity"))
-
-
-def issue_if(broken: Column, at: Column, message: str, severity: str = "error") -> Column:
-    return F.when(F.coalesce(broken, F.lit(False)), F.array(issue(at, message, severity))).otherwise(none())
-
-
-def below(at: Column, key: str | Column) -> Column:
-    return F.array_append(at, F.lit(key) if isinstance(key, str) else key.cast("string"))
-
-
-def kind(node: Column) -> Column:
-    """STRING, BIGINT, DECIMAL(...), DOUBLE, BOOLEAN, VOID, OBJECT<...> or ARRAY<...>."""
-    return F.schema_of_variant(node)
-
-
-def is_object(node: Column) -> Column:
-    return F.startswith(kind(node), F.lit("OBJECT"))
-
-
-def as_(node: Column, type_: str) -> Column:
-    return F.try_variant_get(node, "$", type_)
-
-
-def _scalar(type_: str, right: Callable[[Column], Column], wanted: str, rules: list[tuple[Callable[[Column], Column], str]]) -> Check:
-    """A value of one kind; ``rules`` are what must hold of it.  Kind and value are read once, and what is sound costs no more."""
-
-    def check(node: Column, at: Column) -> Column:
-        def of(t: Column) -> Column:
-            sound = right(t)
-            for rule, _ in rules:
-                sound = sound & rule(t)
-            parts = [issue_if(~right(t), at, wanted), *(issue_if(~rule(t), at, message) for rule, message in rules)]
-            return F.when(F.coalesce(sound, F.lit(False)), none()).otherwise(F.concat(*parts))
-
-        return let(F.struct(kind(node).alias("kind"), as_(node, type_).alias("value")), of)
-
-    return check
-
-
-def text(least: int = 0, among: list[str] | None = None, like: str | None = None) -> Check:
+_NODE = "array<struct<at:array<string>,place:string,v:variant>>"
+_RULE = (
+    "place string, kind string, least double, most double, among array<string>, form string, known array<string>, needed array<string>, "
+    "conditions array<struct<when:string,key:string,value:string,then:string,target:string,message:string>>"
+)
+
+
+@dataclass(frozen=True)
+class Condition:
+    """Of an object: if ``key`` is as ``when`` says, then ``target`` is as ``then`` says.
+
+    when: ``equals`` (it is ``value``, or missing; what is no object counts as equal), ``has`` (it is there), ``true`` (it is true).
+    then: ``needs`` (target is there), ``forbids`` (it is not; what is no object has it), ``true`` (it is true if it is there),
+    ``forbids each`` (with the target ``list/member``: no item of the list has the member; what is no object has it).
+    """
+
+    when: str
+    key: str
+    value: str | None
+    then: str
+    target: str
+    message: str
+
+
+@dataclass(frozen=True)
+class Shape:
+    """What a place of a document holds."""
+
+    kind: str
+    least: float | None = None
+    most: float | None = None
+    among: list[str] | None = None
+    form: str | None = None
+    fields: dict[str, Shape] = field(default_factory=dict)
+    needed: list[str] = field(default_factory=list)
+    conditions: list[Condition] = field(default_factory=list)
+    item: Shape | None = None
+
+    def rules(self, place: str = "") -> list[tuple]:
+        bounds = (None if x is None else float(x) for x in (self.least, self.most))
+        own = (place, self.kind, *bounds, self.among, self.form, list(self.fields), self.needed, [(c.when, c.key, c.value, c.then, c.target, c.message) for c in self.conditions])
+        below = [r for k, s in self.fields.items() for r in s.rules(f"{place}.{k}")]
+        return [own, *below, *(self.item.rules(f"{place}[]") if self.item else [])]
+
+    def depth(self) -> int:
+        below = [*self.fields.values(), *([self.item] if self.item else [])]
+        return 1 + max((s.depth() for s in below), default=-1)
+
+
+def text(least: int = 0, among: list[str] | None = None, like: str | None = None) -> Shape:
     """A text; length and form are asked of texts only, and what is no text is none of the known values."""
-    is_text = lambda t: t["kind"] == "STRING"
-    rules = []
-    if least:
-        rules.append((lambda t: ~is_text(t) | (F.length(t["value"]) >= least), "too short"))
-    if among:
-        rules.append((lambda t: is_text(t) & t["value"].isin(among), "none of the known values"))
-    if like:
-        rules.append((lambda t: ~is_text(t) | t["value"].rlike(like), "not of the form wanted"))
-    return _scalar("string", is_text, "a text is wanted", rules)
-
-
-def number(least: float | None = None, most: float | None = None, whole: bool = True) -> Check:
-    """A number; 5.0 is whole, and bounds are asked of numbers only."""
-    numeric = lambda t: t["kind"].isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(t["kind"], F.lit("DECIMAL"))
-    right = (lambda t: numeric(t) & (t["value"] == F.floor(t["value"]))) if whole else numeric
-    rules = []
-    if least is not None:
-        rules.append((lambda t: ~numeric(t) | (t["value"] >= least), f"less than {least}"))
-    if most is not None:
-        rules.append((lambda t: ~numeric(t) | (t["value"] <= most), f"more than {most}"))
-    return _scalar("double", right, "a whole number is wanted" if whole else "a number is wanted", rules)
+    return Shape("text", least=least or None, among=among, form=like)
 
 
-def flag() -> Check:
-    return lambda node, at: issue_if(kind(node) != "BOOLEAN", at, "true or false is wanted")
+def number(least: float | None = None, most: float | None = None, whole: bool = True) -> Shape:
+    """A number; 5.0 is whole, and bounds are asked of numbers only."""
+    return Shape("whole" if whole else "number", least=least, most=most)
 
 
-def listing(item: Check, least: int = 0) -> Check:
-    def check(node: Column, at: Column) -> Column:
-        def of(items: Column) -> Column:
-            found = F.flatten(F.transform(items, lambda x, i: let(x, lambda y: item(y, below(at, i)))))
-            few = issue_if(F.size(items) < least, at, "too few items") if least else none()
-            return F.when(items.isNull(), F.array(issue(at, "a list is wanted"))).otherwise(F.concat(few, found))
+def flag() -> Shape:
+    return Shape("flag")
 
-        return let(as_(node, "array<variant>"), of)
 
-    return check
+def listing(item: Shape, least: int = 0) -> Shape:
+    return Shape("list", least=least or None, item=item)
 
 
-def record(fields: dict[str, Check], needed: list[str], more: Callable[[Column, Column, Column], Column] | None = None) -> Check:
-    """An object with no other keys; ``more(node, members, at)`` adds rules (members are null for what is no object)."""
+def record(fields: dict[str, Shape], needed: list[str], conditions: list[Condition] | None = None) -> Shape:
+    """An object with no other keys."""
+    return Shape("object", fields=fields, needed=needed, conditions=conditions or [])
 
-    def member(members: Column, at: Column, name: str, rule: Check) -> Column:
-        inner = let(F.try_element_at(members, F.lit(name)), lambda x: rule(x, below(at, name)))
-        return F.when(F.map_contains_key(members, name), inner).otherwise(none())
 
-    def check(node: Column, at: Column) -> Column:
-        def of(members: Column) -> Column:
-            parts = [issue_if(F.size(F.array_except(F.map_keys(members), F.array(*map(F.lit, fields)))) > 0, at, "unknown keys")]
-            parts += [issue_if(~F.map_contains_key(members, k), at, f"{k} is missing") for k in needed]
-            parts += [member(members, at, name, rule) for name, rule in fields.items()]
-            wrong = F.array(issue(at, "an object is wanted"))
-            own = F.when(members.isNull(), wrong).otherwise(F.concat(*parts))
-            return own if more is None else F.concat(own, more(node, members, at))
+def none() -> Column:
+    return F.array().cast(f"array<{ISSUE}>")
 
-        return let(F.when(is_object(node), as_(node, "map<string,variant>")), of)
 
-    return check
+def issue(at: Column, message: str | Column, severity: str = "error") -> Column:
+    return F.struct(at.alias("at"), (F.lit(message) if isinstance(message, str) else message).alias("message"), F.lit(severity).alias("severity"))
 
 
-def has(members: Column, key: str) -> Column:
-    """Whether an object has the key; what is no object counts as having it."""
-    return F.coalesce(F.map_contains_key(members, key), F.lit(True))
+def issue_if(broken: Column, at: Column, message: str | Column, severity: str = "error") -> Column:
+    return F.when(F.coalesce(broken, F.lit(False)), F.array(issue(at, message, severity))).otherwise(none())
 
 
-def lacks(members: Column, key: str) -> Column:
-    """Whether an object lacks the key; what is no object lacks none."""
-    return F.coalesce(~F.map_contains_key(members, key), F.lit(False))
+def as_(node: Column, type_: str) -> Column:
+    return F.try_variant_get(node, "$", type_)
 
 
-def equals(members: Column, key: str, value: str) -> Column:
-    """Whether the member is this text; a missing one (and what is no object) counts as equal."""
-    node = F.try_element_at(members, F.lit(key))
-    return F.coalesce(lacks(members, key) | members.isNull() | ((kind(node) == "STRING") & (as_(node, "string") == value)), F.lit(False))
+def nodes(rows: DataFrame, depth: int) -> DataFrame:
+    """The rows' column v (a variant) as rows (at, place, v) beside all other columns, one for each node down to ``depth``.
+
+    A place is a node's keys, each behind a dot, with [] for any index; at has its keys and indices.
+    """
+    root = F.array(F.struct(F.array().cast("array<string>").alias("at"), F.lit("").alias("place"), F.col("v").alias("v"))).cast(_NODE)
+
+    def below(n: Column) -> Column:
+        node = lambda key, place, v: F.struct(F.array_append(n["at"], key).alias("at"), F.concat(n["place"], place).alias("place"), v.alias("v"))
+        members = F.transform(F.map_entries(as_(n["v"], "map<string,variant>")), lambda e: node(e["key"], F.concat(F.lit("."), e["key"]), e["value"]))
+        items = F.transform(as_(n["v"], "array<variant>"), lambda x, i: node(i.cast("string"), F.lit("[]"), x))
+        return F.coalesce(members, items, F.array().cast(_NODE))
+
+    others = [c for c in rows.columns if c != "v"]
+    rows = rows.withColumn("level0", root)
+    for k in range(depth):
+        rows = rows.withColumn(f"level{k + 1}", F.flatten(F.transform(f"level{k}", below)))
+    return rows.select(*others, F.inline(F.concat(*(F.col(f"level{k}") for k in range(depth + 1)))))
+
+
+def _broken(c: Column, members: Column, at: Column) -> Column:
+    """The issues of one condition."""
+    member = lambda key: F.try_element_at(members, key)
+    has = lambda key: F.coalesce(F.map_contains_key(members, key), F.lit(False))
+    thing = members.isNotNull()
+    said = lambda key: as_(member(key), "string")
+    true = lambda key: F.coalesce((F.schema_of_variant(member(key)) == "BOOLEAN") & as_(member(key), "boolean"), F.lit(False))
+    equal = ~thing | ~has(c["key"]) | F.coalesce((F.schema_of_variant(member(c["key"])) == "STRING") & (said(c["key"]) == c["value"]), F.lit(False))
+    holds = F.when(c["when"] == "equals", equal).when(c["when"] == "has", has(c["key"])).otherwise(true(c["key"]))
+    wrong = F.when(c["then"] == "needs", thing & ~has(c["target"])).when(c["then"] == "forbids", ~thing | has(c["target"]))
+    below = F.array_append(at, c["target"])
+    parts = F.split(c["target"], "/")
+    items = as_(member(parts[0]), "array<variant>")
+    each = F.transform(items, lambda x, i: F.struct(as_(x, "map<string,variant>").alias("m"), F.concat(at, F.array(parts[0], i.cast("string"))).alias("at")))
+    bad = F.filter(each, lambda x: x["m"].isNull() | F.map_contains_key(x["m"], parts[1]))
+    return (
+        F.when(~holds, none())
+        .when(c["then"] == "true", issue_if(has(c["target"]) & ~true(c["target"]), below, c["message"]))
+        .when(c["then"] == "forbids each", F.coalesce(F.transform(bad, lambda x: issue(x["at"], c["message"])), none()))
+        .otherwise(issue_if(wrong, at, c["message"]))
+    )
+
+
+def _judged() -> Column:
+    """The issues of a node (at, v, as the columns kind_, said, size, count, members say) by its rule's columns."""
+    at, rule = F.col("at"), F.col("kind")
+    is_text, numeric = F.col("kind_") == "STRING", F.col("kind_").isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith("kind_", F.lit("DECIMAL"))
+    right = F.when(rule == "whole", numeric & (F.col("size") == F.floor("size"))).otherwise(numeric)
+    shown = lambda c: F.when(c == F.floor(c), c.cast("long").cast("string")).otherwise(c.cast("string"))
+    of_text = F.concat(
+        issue_if(~is_text, at, "a text is wanted"),
+        issue_if(is_text & (F.length("said") < F.col("least")), at, "too short"),
+        issue_if(F.col("among").isNotNull() & ~(is_text & F.array_contains("among", F.col("said"))), at, "none of the known values"),
+        issue_if(is_text & ~F.rlike("said", F.col("form")), at, "not of the form wanted"),
+    )
+    of_number = F.concat(
+        issue_if(~F.coalesce(right, F.lit(False)), at, F.when(rule == "whole", "a whole number is wanted").otherwise("a number is wanted")),
+        issue_if(numeric & (F.col("size") < F.col("least")), at, F.concat(F.lit("less than "), shown(F.col("least")))),
+        issue_if(numeric & (F.col("size") > F.col("most")), at, F.concat(F.lit("more than "), shown(F.col("most")))),
+    )
+    of_list = F.when(F.col("count").isNull(), F.array(issue(at, "a list is wanted"))).otherwise(issue_if(F.col("count") < F.col("least"), at, "too few items"))
+    keys = F.map_keys("members")
+    missing = F.transform(F.array_except("needed", keys), lambda k: issue(at, F.concat(k, F.lit(" is missing"))))
+    own = F.concat(issue_if(F.size(F.array_except(keys, "known")) > 0, at, "unknown keys"), missing)
+    conditions = F.flatten(F.transform("conditions", lambda c: _broken(c, F.col("members"), at)))
+    of_object = F.concat(F.when(F.col("members").isNull(), F.array(issue(at, "an object is wanted"))).otherwise(own), conditions)
+    return (
+        F.when(rule == "text", of_text).when(rule.isin("whole", "number"), of_number)
+        .when(rule == "flag", issue_if(F.col("kind_") != "BOOLEAN", at, "true or false is wanted")).when(rule == "list", of_list).otherwise(of_object)
+    )
+
+
+def broken_rules(rows: DataFrame, shape: Shape) -> DataFrame:
+    """Issues (at, message, severity) of the rows' column v (a variant, never null) beside all other columns."""
+    others = [c for c in rows.columns if c != "v"]
+    rules = rows.sparkSession.createDataFrame(shape.rules(), _RULE)
+    found = nodes(rows, shape.depth()).join(F.broadcast(rules), "place")
+    # of objects and lists no schema is asked, which would read them whole
+    open_ = F.col("kind").isin("object", "list")
+    found = found.withColumns(
+        {
+            "members": F.when(F.col("kind") == "object", as_(F.col("v"), "map<string,variant>")),
+            "count": F.when(F.col("kind") == "list", F.size(as_(F.col("v"), "array<variant>"))),
+            "kind_": F.when(~open_, F.schema_of_variant("v")),
+            "said": F.when(F.col("kind") == "text", as_(F.col("v"), "string")),
+            "size": F.when(F.col("kind").isin("whole", "number"), as_(F.col("v"), "double")),
+        }
+    )
+    return found.select(*others, F.inline(_judged()))

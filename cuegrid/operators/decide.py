@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cuegrid.functions import geometry as g
-from cuegrid.operators import detections, pixels
+from cuegrid.operators import analysis, detections, manifests, pixels
 
 MARGIN = 0.03
 
@@ -40,6 +40,26 @@ def decide(frames: DataFrame, boxes: DataFrame, stats: DataFrame, videos: DataFr
     )
 
 
+def analyse_and_decide(frames: DataFrame, boxes: DataFrame, videos: DataFrame, frame_w: int, frame_h: int, grow: bool = True) -> DataFrame:
+    """Decisions straight from sampled frames and the boxes found in them: one pass over the frames, then :func:`decide`.
+
+    ``frames(title_id, frame_idx, width, pixels)``, ``boxes(title_id, frame_idx, box_no, x1, y1, x2, y2)``.
+    """
+    found = analysis.analyse(frames, boxes)
+    return decide(analysis.frame_table(found), analysis.with_box_motion(boxes, found), analysis.pixel_table(found), videos, frame_w, frame_h, grow)
+
+
+def publish(decisions: DataFrame, titles: DataFrame, language: str, label: str, track_url: Column, captions: DataFrame | None = None) -> DataFrame:
+    """(title_id, json): the manifests of the titles that have a window.
+
+    ``titles(title_id, id, title, durationMs, source, video)`` as :func:`manifests.build_manifests` takes them.
+    """
+    good = decisions.where("error is null and rect is not null")
+    track = signed_track(F.lit(language), F.lit(label), track_url, F.lit("none"))
+    tracks = good.select("title_id", F.lit(0).alias("nth"), track.alias("track"))
+    return manifests.build_manifests(titles.join(good.select("title_id"), "title_id", "left_semi"), tracks, captions)
+
+
 def manual_decisions(entries: DataFrame) -> DataFrame:
     """Decisions of ``entries(title_id, rect, layout, width, height)`` that people measured: certain, corner-inset unless said otherwise.
 

@@ -41,37 +41,22 @@ def parse_manifests(documents: DataFrame) -> DataFrame:
     return documents.withColumn("m", F.from_json("json", TITLE))
 
 
-def _track_rules(node: Column, members: Column, at: Column) -> Column:
-    """Who signs decides what else a track has; without a provenance both rules hold."""
-    human, made = (c.equals(members, "provenance", p) for p in PROVENANCES)
-    return F.concat(
-        c.issue_if(human & c.lacks(members, "extraction"), at, "an interpreter's track has an extraction"),
-        c.issue_if(human & c.has(members, "generatedBy"), at, "an interpreter's track has no generator"),
-        c.issue_if(made & c.lacks(members, "generatedBy"), at, "a synthesised track has a generator"),
-        c.issue_if(made & c.has(members, "extraction"), at, "a synthesised track has no extraction"),
-    )
-
-
-def _caption_rules(node: Column, members: Column, at: Column) -> Column:
-    reviewed = F.try_element_at(members, F.lit("reviewed"))
-    yes = F.coalesce((c.kind(reviewed) == "BOOLEAN") & c.as_(reviewed, "boolean"), F.lit(False))
-    by = F.coalesce(F.map_contains_key(members, "reviewedBy"), F.lit(False))
-    return F.concat(
-        c.issue_if(F.map_contains_key(members, "generatedBy") & c.lacks(members, "reviewed"), at, "generated captions say whether they are reviewed"),
-        c.issue_if(yes & ~by, at, "a review has a reviewer"),
-        c.issue_if(by & c.lacks(members, "reviewed"), at, "a reviewer has reviewed"),
-        c.issue_if(by & F.map_contains_key(members, "reviewed") & ~yes, c.below(at, "reviewed"), "a reviewer has reviewed"),
-    )
-
-
-def _title_rules(node: Column, members: Column, at: Column) -> Column:
-    """Activity belongs to version 0.2; a missing version counts as the old one."""
-    old = c.equals(members, "stmVersion", "0.1")
-    tracks = c.as_(F.try_element_at(members, F.lit("signLanguage")), "array<variant>")
-    active = lambda t: c.has(F.when(c.is_object(t), c.as_(t, "map<string,variant>")), "activity")
-    place = lambda i: c.below(c.below(at, "signLanguage"), i)
-    found = F.flatten(F.transform(tracks, lambda t, i: c.issue_if(active(t), place(i), "activity needs version 0.2")))
-    return F.when(old & tracks.isNotNull(), found).otherwise(c.none())
+_HUMAN, _MADE = (("equals", "provenance", p) for p in PROVENANCES)
+#: Who signs decides what else a track has; without a provenance both rules hold.
+_TRACK_RULES = [
+    c.Condition(*_HUMAN, "needs", "extraction", "an interpreter's track has an extraction"),
+    c.Condition(*_HUMAN, "forbids", "generatedBy", "an interpreter's track has no generator"),
+    c.Condition(*_MADE, "needs", "generatedBy", "a synthesised track has a generator"),
+    c.Condition(*_MADE, "forbids", "extraction", "a synthesised track has no extraction"),
+]
+_CAPTION_RULES = [
+    c.Condition("has", "generatedBy", None, "needs", "reviewed", "generated captions say whether they are reviewed"),
+    c.Condition("true", "reviewed", None, "needs", "reviewedBy", "a review has a reviewer"),
+    c.Condition("has", "reviewedBy", None, "needs", "reviewed", "a reviewer has reviewed"),
+    c.Condition("has", "reviewedBy", None, "true", "reviewed", "a reviewer has reviewed"),
+]
+#: Activity belongs to version 0.2; a missing version counts as the old one.
+_TITLE_RULES = [c.Condition("equals", "stmVersion", "0.1", "forbids each", "signLanguage/activity", "activity needs version 0.2")]
 
 
 URL = c.text(least=1)
@@ -111,11 +96,11 @@ _TITLE = {
     "durationMs": c.number(0),
     "source": c.record(_SOURCE, ["publisher", "url", "licence", "attribution"]),
     "video": c.record({"main": c.record(_ASSET, list(_ASSET)), "poster": URL}, ["main", "poster"]),
-    "signLanguage": c.listing(c.record(_TRACK, ["language", "languageLabel", "provenance", "track"], _track_rules)),
-    "captions": c.listing(c.record(_CAPTION, ["kind", "language", "url", "format"], _caption_rules)),
+    "signLanguage": c.listing(c.record(_TRACK, ["language", "languageLabel", "provenance", "track"], _TRACK_RULES)),
+    "captions": c.listing(c.record(_CAPTION, ["kind", "language", "url", "format"], _CAPTION_RULES)),
 }
 #: The shape of a title's manifest and of a catalogue.
-TITLE_SHAPE = c.record(_TITLE, list(_TITLE), _title_rules)
+TITLE_SHAPE = c.record(_TITLE, list(_TITLE), _TITLE_RULES)
 _ENTRY = {
     "id": c.text(like=ID),
     "title": c.text(least=1),
@@ -177,13 +162,20 @@ def catalogue_semantics(v: Column) -> Column:
     return let(ids, judged)
 
 
-def _validated(documents: DataFrame, shape: c.Check, semantics: Callable[[Column], Column]) -> DataFrame:
+def _validated(documents: DataFrame, shape: c.Shape, semantics: Callable[[Column], Column]) -> DataFrame:
+    """Issues of the shape, and of documents without any those of ``semantics``; rows are told apart by a number of their own."""
     root = F.array().cast("array<string>")
-    rows = documents.select("doc_id", F.try_parse_json("json").alias("v"))
-    found = let(F.col("v"), lambda v: F.array_sort(shape(v, root)))
-    rows = rows.select("doc_id", "v", F.when(F.col("v").isNull(), F.array(c.issue(root, "not JSON"))).otherwise(found).alias("found"))
-    found = F.when(F.size("found") == 0, semantics(F.col("v"))).otherwise(F.col("found"))
-    rows = rows.select("doc_id", F.posexplode(found).alias("nth", "i"))
+    rows = documents.select("doc_id", F.monotonically_increasing_id().alias("row"), F.try_parse_json("json").alias("v"))
+    whole = rows.select("doc_id", "row", F.inline(F.when(F.col("v").isNull(), F.array(c.issue(root, "not JSON"))).otherwise(semantics(F.col("v")))))
+    late = (F.size("at") > 0).alias("late")
+    shaped = c.broken_rules(rows.where("v is not null"), shape).select("doc_id", "row", "at", "message", "severity", F.lit(False).alias("late"))
+    issues = shaped.union(whole.select("doc_id", "row", "at", "message", "severity", late))
+    item = F.struct("at", "message", "severity")
+    by_row = issues.groupBy("row", "doc_id").agg(
+        F.array_sort(F.collect_list(F.when(~F.col("late"), item))).alias("early"), F.collect_list(F.when(F.col("late"), item)).alias("then")
+    )
+    found = F.when(F.size("early") > 0, F.col("early")).otherwise(F.array_sort("then"))
+    rows = by_row.select("doc_id", F.posexplode(found).alias("nth", "i"))
     path = F.when(F.size("i.at") == 0, "$").otherwise(F.array_join("i.at", "/"))
     return rows.select("doc_id", "nth", path.alias("path"), "i.message", "i.severity")
 
