@@ -17,6 +17,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from cuegrid.llm.common import small_batches, stash
 
 SPACE = "▁"
 _MEMO_CHUNKS, _MEMO_CHARS, _KNOWN_GROUPS = 200_000, 64, 500_000
+#: Set in an id of B within a group's key.
+OF_B = 1 << 31
 #: A key is hot if it holds more than this share of all rows: so at most 1 / HOT keys are.
 HOT = 1 / 100_000
 
@@ -45,6 +48,7 @@ class Aligner:
 
     #: Never within a token of either vocabulary: the place before a space or line feed behind another character.
     _CHUNK = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
+    _OTHER = re.compile(r"[^\S \n]")
 
     def __init__(self, a_json: str, b_model: bytes) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,65 +70,105 @@ class Aligner:
         self.lead = b.encode("\n")
         if b"".join(self.b_bytes[i] for i in self.lead) != b" \n" or b.encode("\n  x")[: len(self.lead)] != self.lead:
             raise ValueError("B must put a space in front and keep all spaces and line feeds")
+        widest = max(self.a_bytes) + 1
+        self.a_sizes = np.array([len(self.a_bytes.get(i, b"")) for i in range(widest)], np.int64)
+        self.b_sizes = np.array([len(p) for p in self.b_bytes], np.int64)
+        # an id as text and what follows it: in its list a comma, behind the list a bar (A) or semicolon (B)
+        ids = [[f"{i}{end}" for i in range(n)] for n, ends in ((widest, ",|"), (len(pieces), ",;")) for end in ends]
+        self.said = np.array([x for part in ids for x in part], object)
+        self.said_from = np.cumsum([0, widest, widest, len(pieces)])
         self.forget()
 
     def forget(self) -> None:
         self.chunks: dict[str, tuple[bytes, str, int, int] | None] = {}
+        self.older: dict[str, tuple[bytes, str, int, int] | None] = {}
         self.groups: dict[bytes, int] = {}
         self.keys: list[bytes] = []
 
-    def groups_of(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]]:
-        """Cut the two lists where both end at the same byte."""
-        out, i, j, at_a, at_b, from_i, from_j = [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if at_a <= at_b:
-                at_a += len(self.a_bytes[a[i]])
-                i += 1
-            else:
-                at_b += len(self.b_bytes[b[j]])
-                j += 1
-            if at_a == at_b:
-                out.append((a[from_i:i], b[from_j:j]))
-                from_i, from_j = i, j
-        return out
+    def split(self, text: str) -> list[str]:
+        """The chunks of a text behind a space."""
+        text = " " + text
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\0" in text or self._OTHER.search(text):
+            return self._CHUNK.findall(text)
+        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")[1:]  # each space and line feed begins a chunk
 
     def _learn(self, chunks: list[str]) -> dict[str, tuple[bytes, str, int, int] | None]:
         """Of each chunk: its groups' numbers (int32 bytes), their ids as text, and how many tokens; None if bytes are lost."""
-        made = {}
-        for chunk, a, b in zip(chunks, self.a.encode_batch(chunks, add_special_tokens=False), self.b.encode(["\n" + c for c in chunks], num_threads=1), strict=True):
-            a, b, data = a.ids, b[len(self.lead) :], chunk.encode()
-            if b"".join([self.a_bytes[i] for i in a]) != data or b"".join([self.b_bytes[i] for i in b]) != data:
-                made[chunk] = None
-                continue
-            groups, numbers = self.groups_of(a, b), []
-            for x, y in groups:
-                key = np.array([len(x), *x, *y], "<u4").tobytes()
-                number = self.groups.get(key)
-                if number is None:
-                    number = self.groups[key] = len(self.keys)
-                    self.keys.append(key)
-                numbers.append(number)
-            said = ";".join([",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups])
-            made[chunk] = (np.array(numbers, np.int32).tobytes(), said, len(a), len(b))
+        if not chunks:
+            return {}
+        a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
+        lead = len(self.lead)
+        b = [ids[lead:] for ids in self.b.encode(["\n" + c for c in chunks], num_threads=1)]
+        data = [c.encode() for c in chunks]
+        good = range(len(chunks))
+        if not self._whole(a, b, data):
+            good = [i for i in good if self._whole(a[i : i + 1], b[i : i + 1], data[i : i + 1])]
+        made = dict.fromkeys(chunks)
+        if good:
+            made |= self._grouped([chunks[i] for i in good], [a[i] for i in good], [b[i] for i in good])
         return made
 
+    def _whole(self, a: list[list[int]], b: list[list[int]], data: list[bytes]) -> bool:
+        """Whether the tokens of all chunks, each on its own, give back the chunks' bytes."""
+        for table, lists in ((self.a_bytes, a), (self.b_bytes, b)):
+            parts = [b"".join([table[i] for i in ids]) for ids in lists]
+            if parts != data:
+                return False
+        return True
+
+    def _grouped(self, chunks: list[str], a: list[list[int]], b: list[list[int]]) -> dict[str, tuple[bytes, str, int, int]]:
+        """Cut all chunks at once where tokens of both end at the same byte; a chunk's end is such a place."""
+        n_a, n_b = (np.array([len(x) for x in lists]) for lists in (a, b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(lists), np.int64, n.sum()) for lists, n in ((a, n_a), (b, n_b)))
+        ends_a, ends_b = np.cumsum(self.a_sizes[flat_a]), np.cumsum(self.b_sizes[flat_b])
+        last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+        # all tokens by group, those of A first
+        group = np.r_[np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b]
+        order = np.argsort(group, kind="stable")
+        codes = np.r_[flat_a, flat_b + OF_B].astype("<u4")[order].tobytes()
+        words = self.said[np.r_[flat_a + self.said_from[last_a.astype(int)], flat_b + self.said_from[2 + last_b]][order]].tolist()
+        sizes = np.bincount(group)
+        at = np.r_[0, np.cumsum(sizes)]
+        numbers = np.empty(len(sizes), np.int32)
+        known, keys = self.groups, self.keys
+        bounds = (at * 4).tolist()
+        for g in range(len(sizes)):
+            key = codes[bounds[g] : bounds[g + 1]]
+            number = known.get(key)
+            if number is None:
+                number = known[key] = len(keys)
+                keys.append(key)
+            numbers[g] = number
+        held = numbers.tobytes()
+        # groups up to each chunk's end
+        upto = np.r_[0, np.cumsum(last_a)[np.cumsum(n_a) - 1]]
+        of_words, of_groups = at[upto].tolist(), (upto * 4).tolist()
+        return {
+            c: (held[of_groups[i] : of_groups[i + 1]], "".join(words[of_words[i] : of_words[i + 1]]), x, y)
+            for i, (c, x, y) in enumerate(zip(chunks, n_a.tolist(), n_b.tolist(), strict=True))
+        }
+
     def align(self, texts: list[str | None]) -> list[tuple | None]:
         """For each text n_a, n_b, n_groups, groups_sha256, its distinct groups' numbers and counts; None without tokens."""
-        if len(self.chunks) > _MEMO_CHUNKS or len(self.keys) > _KNOWN_GROUPS:
+        if len(self.keys) > _KNOWN_GROUPS:
             self.forget()
-        split = [self._CHUNK.findall(" " + t) if t else [] for t in texts]
-        new = list({c for chunks in split for c in chunks}.difference(self.chunks))
-        learnt = self._learn(new)
-        self.chunks.update(learnt)
+        if len(self.chunks) > _MEMO_CHUNKS:
+            self.chunks, self.older = {}, self.chunks
+        split = [self.split(t) if t else [] for t in texts]
+        new = set().union(*split).difference(self.chunks)
+        self.chunks.update({c: self.older[c] for c in new if c in self.older})
+        new = [c for c in new if c not in self.older]
+        self.chunks.update(self._learn(new))
         out = []
         for chunks in split:
-            parts = [self.chunks[c] for c in chunks]
+            parts = list(map(self.chunks.__getitem__, chunks))
             if not parts or None in parts:
                 out.append(None)
                 continue
-            numbers, counts = np.unique(np.frombuffer(b"".join([p[0] for p in parts]), np.int32), return_counts=True)
-            digest = hashlib.sha256(";".join([p[1] for p in parts]).encode()).hexdigest()
-            out.append((sum([p[2] for p in parts]), sum([p[3] for p in parts]), int(counts.sum()), digest, numbers, counts))
+            held, said, n_a, n_b = zip(*parts, strict=True)
+            numbers, counts = np.unique(np.frombuffer(b"".join(held), np.int32), return_counts=True)
+            digest = hashlib.sha256("".join(said)[:-1].encode()).hexdigest()
+            out.append((sum(n_a), sum(n_b), int(counts.sum()), digest, numbers, counts))
         for c in new:
             if len(c) > _MEMO_CHARS:
                 del self.chunks[c]
@@ -143,6 +187,13 @@ def _aligner(files: tuple[str, bytes]) -> Aligner:
     return _MADE[name]
 
 
+def ids_of(key: bytes) -> tuple[list[int], list[int]]:
+    """The ids of A and of B of a group's key."""
+    codes = np.frombuffer(key, "<u4")
+    n = int(np.count_nonzero(codes < OF_B))
+    return codes[:n].tolist(), (codes[n:] - np.uint32(OF_B)).tolist()
+
+
 def read_vocabularies(a_path: str, b_path: str) -> tuple[str, bytes]:
     """The contents of the two vocabulary files, read on the driver (a few MB, whatever the data)."""
     with open(a_path, encoding="utf-8") as a, open(b_path, "rb") as b:
@@ -185,8 +236,7 @@ def expand_links(dictionary: DataFrame, a_path: str, b_path: str) -> DataFrame:
         for batch in small_batches(batches, rows=20_000):
             links, sizes = [], []
             for key in batch.column("key").to_pylist():
-                ids = np.frombuffer(key, "<u4").tolist()
-                a, b = ids[1 : 1 + ids[0]], ids[1 + ids[0] :]
+                a, b = ids_of(key)
                 found: dict[tuple[int, int], int] = {}
                 j, start, end_b = 0, 0, len(aligner.b_bytes[b[0]])
                 for x in a:

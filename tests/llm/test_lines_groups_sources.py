@@ -239,8 +239,8 @@ def test_chunks_end_where_both_vocabularies_end():
             assert made is None
             return
         assert made[:2] == (len(x), len(y))
-        ids = [(np.frombuffer(aligner.keys[n], "<u4"), c) for n, c in zip(made[4].tolist(), made[5].tolist(), strict=True)]
-        assert sum((k[0]) * c for k, c in ids) == len(x) and sum((len(k) - 1 - k[0]) * c for k, c in ids) == len(y)
+        ids = [(alignment.ids_of(aligner.keys[n]), c) for n, c in zip(made[4].tolist(), made[5].tolist(), strict=True)]
+        assert sum(len(p) * c for (p, _), c in ids) == len(x) and sum(len(q) * c for (_, q), c in ids) == len(y)
 
     check()
 
@@ -259,6 +259,24 @@ def test_alignment_of_odd_tables(spark, monkeypatch):
     assert next(r for r in got if r.doc_id == 3).n_groups == 50_001
 
 
+def test_what_is_remembered_changes_nothing(monkeypatch):
+    rng = random.Random(9)
+    files = alignment.read_vocabularies(BYTE_VOCABULARY, PIECE_MODEL)
+    words = ["x▁y", *("".join(rng.choices("abcdeéß日", k=rng.randint(1, 8))) for _ in range(300))]
+    texts = [rng.choice([" ", "\n", "  "]).join(rng.choices(words, k=20)) for _ in range(60)] + ["a x▁y"]
+    show = lambda aligner, made: made and (*made[:4], Counter({aligner.keys[n]: c for n, c in zip(made[4].tolist(), made[5].tolist(), strict=True)}))
+    plain = alignment.Aligner(*files)
+    want = [show(plain, plain.align([t])[0]) for t in texts]
+    for chunks, groups, chars in ((1, 500_000, 64), (50, 40, 64), (200_000, 500_000, 3)):
+        for name, value in (("_MEMO_CHUNKS", chunks), ("_KNOWN_GROUPS", groups), ("_MEMO_CHARS", chars)):
+            monkeypatch.setattr(alignment, name, value)
+        aligner = alignment.Aligner(*files)
+        got = []
+        for i in range(0, 61, 7):
+            got += [show(aligner, m) for m in aligner.align(texts[i : i + 7])]
+        assert got == want and None in want and any(want)
+
+
 def test_alignment_by_documents(spark):
     table = spark.createDataFrame([(1, "red red red"), (2, "red blue")], "doc_id long, text string")
     most = lambda by: alignment.align_tokenizers(table, BYTE_VOCABULARY, PIECE_MODEL, by)[1].agg(F.max("count")).first()[0]
