@@ -34,7 +34,8 @@ def merge_states(states: DataFrame, keys: list[str]) -> DataFrame:
     squares = F.sum(F.col("m2") + F.col("n") * F.col("mean") * F.col("mean"))
     merged = states.groupBy(*keys).agg(n.alias("n"), s.alias("s"), squares.alias("q"))
     mean = F.try_divide(F.col("s"), F.col("n"))
-    return merged.select(*keys, "n", mean.alias("mean"), F.greatest(F.lit(0.0), F.col("q") - F.col("s") * mean).alias("m2"))
+    m2 = F.when(F.col("n") > 0, F.greatest(F.lit(0.0), F.col("q") - F.col("s") * mean))
+    return merged.select(*keys, "n", mean.alias("mean"), m2.alias("m2"))
 
 
 def variance(n: Column, m2: Column) -> Column:

@@ -82,6 +82,53 @@ grey as (select title_id, frame_idx, cast(p // 8 as int) as y, cast(p % 8 as int
          cast(round_even((cast(e as double) + 1) * 127.5, 0) as bigint) as v from px)"""
 
 
+#: Side of the scenes' square frames, and titles.
+SIDE, SCENES = 32, 40
+
+
+def scenes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """embeddings -> (frames with pixels, boxes): forty titles, frames of 32x32 greys enlarged from 8x8 numbers.
+
+    By the title's number modulo 8: 0 has no person, 1 a person as large as half the frame, 2 and 3 a signer at the right edge,
+    others one in the frame; from 5 on a large presenter stands on the left.  The signer moves a pixel in every other frame.
+    Left of 14 and behind the signer pixels change, elsewhere they are still.
+    """
+    e = table(spark, sf_dir, "embeddings").select(
+        (F.col("vec_id") % SCENES).alias("title_id"), F.floor(F.col("vec_id") / SCENES).cast("long").alias("frame_idx"), "embedding"
+    )
+    kind = F.col("title_id") % 8
+    at_edge = kind.isin(2, 3)
+
+    def pixel(p: Column) -> Column:
+        x, y = p % SIDE, F.floor(p / SIDE)
+        number = F.get("embedding", (F.floor(p / 128) * 8 + F.floor(x / 4)).cast("int")).cast("double")
+        loud = (x < 14) | F.when(at_edge, (x >= 24) & (y >= 10) & (y < 30)).otherwise((x >= 20) & (x < 27) & (y >= 18) & (y < 29))
+        return F.when(loud, F.bround((number + 1) * 127.5)).otherwise(F.bround(number) + 80).cast("int")
+
+    frames_ = e.select("title_id", "frame_idx", F.lit(SIDE).alias("width"), F.transform(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1)), pixel).alias("pixels"))
+    step = (F.col("frame_idx") % 2).cast("double")
+    box = lambda no, x1, y1, x2, y2: F.struct(F.lit(no).cast("long").alias("box_no"), *((v if isinstance(v, Column) else F.lit(float(v))).alias(c) for c, v in zip(("x1", "y1", "x2", "y2"), (x1, y1, x2, y2), strict=True)))
+    signer = F.when(at_edge, box(0, 24, 10, 31, 30)).otherwise(box(0, step + 20, 18, step + 26, 28))
+    large = box(1, 0, 2, 16, 30)
+    found = F.when(kind == 1, F.array(large)).when(kind >= 5, F.array(signer, large)).when(kind > 1, F.array(signer))
+    return frames_, e.select("title_id", "frame_idx", F.inline(found))
+
+
+SCENES_SQL = f"""e as (select vec_id % {SCENES} as title_id, vec_id // {SCENES} as frame_idx, embedding from embeddings),
+cells as (select title_id, frame_idx, embedding, title_id % 8 in (2, 3) as edge, cast(p % {SIDE} as int) as x, cast(p // {SIDE} as int) as y from e, (select unnest(range({SIDE * SIDE})) as p)),
+grey as (select title_id, frame_idx, y, x, case when x < 14 or case when edge then x >= 24 and y >= 10 and y < 30 else x >= 20 and x < 27 and y >= 18 and y < 29 end
+  then cast(round_even((cast(n as double) + 1) * 127.5, 0) as int) else cast(round_even(cast(n as double), 0) as int) + 80 end as v
+  from (select *, embedding[(y // 4) * 8 + x // 4 + 1] as n from cells)),
+boxes as (select title_id, frame_idx, cast(0 as bigint) as box_no, case when title_id % 8 < 4 then 24.0 else 20.0 + frame_idx % 2 end as x1, case when title_id % 8 < 4 then 10.0 else 18.0 end as y1,
+    case when title_id % 8 < 4 then 31.0 else 26.0 + frame_idx % 2 end as x2, case when title_id % 8 < 4 then 30.0 else 28.0 end as y2 from e where title_id % 8 > 1
+  union all select title_id, frame_idx, 1, 0.0, 2.0, 16.0, 30.0 from e where title_id % 8 = 1 or title_id % 8 >= 5),
+moves as (select *, abs(v - lag(v) over (partition by title_id, y, x order by frame_idx)) as diff from grey),
+frames as (select title_id, frame_idx, avg(diff) as frame_motion from moves group by 1, 2),
+box_moves as (select b.title_id, b.frame_idx, box_no, count(diff) as n, avg(diff) as motion, var_pop(diff) * count(diff) as m2 from boxes b join moves m
+  on m.title_id = b.title_id and m.frame_idx = b.frame_idx and x >= floor(x1) and x < ceil(x2) and y >= floor(y1) and y < ceil(y1 + 0.6 * (y2 - y1)) group by 1, 2, 3),
+detections as (select b.title_id, b.frame_idx, case when title_id % 8 = 1 then 0 else box_no end as box_no, x1, y1, x2, y2, motion from boxes b left join box_moves using (title_id, frame_idx, box_no))"""
+
+
 def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conversations -> (title_id, ci, speaker, clock, paragraphs); every fifth turn opens with an event."""
     event = F.when(F.col("turn") % 5 == 0, "[Applause and noise.] ").otherwise("")
@@ -137,43 +184,31 @@ BREAK = r"""case when length(text) <= 42 then text else coalesce((select regexp_
       instr(substr(text, (length(text) - 1) // 2 + 2), ' ') as r)) b where b.at is not null), text) end"""
 
 
-#: Faults of manifests planted by text, in order: of orders whose number has this remainder.
-PLANTED = [
-    (29, 8, '"title":"[^"]*"', '"title":7'),
-    (31, 9, '"syncOffsetMs":0', '"syncOffsetMs":0.5'),
-    (37, 10, '"width":4,', '"width":-4,'),
-    (41, 11, '"codec":"h264","syncOffsetMs"', '"codec":"nope","syncOffsetMs"'),
-    (43, 12, '"format":"webvtt"', '"format":"webvtt","more":1'),
-    (47, 13, '"kind":"verbatim"', '"kind":"verbatim","reviewedBy":"Ann"'),
-    (53, 14, '"fillMethod":"none"', '"fillMethod":"none","x":[]'),
-    (59, 15, '"syncOffsetMs":0}', '"syncOffsetMs":6000}'),
-]
-
-
 def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders -> (doc_id, json): manifests, some with a fault by the order's number."""
     o = table(spark, sf_dir, "orders").groupBy("o_orderkey").agg(F.min("o_custkey").alias("c"), F.min("o_orderpriority").alias("p"), F.min(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
     k = F.col("o_orderkey")
-    id_ = F.concat(F.lit("title-"), k.cast("string"))
-    track = F.struct(
-        F.when(k % 11 == 3, "xx").otherwise("ase").alias("language"), F.lit("Sign").alias("languageLabel"),
-        F.when(k % 13 != 5, "human-interpreter").alias("provenance"),
-        F.struct(F.lit("detected-crop").alias("method"), F.lit("corner-inset").alias("sourceLayout"), ((F.col("cents") % 100) / 100).alias("confidence"),
-                 F.struct(F.lit(0).alias("x"), F.lit(2).alias("y"), F.lit(4).alias("w"), F.lit(6).alias("h")).alias("cropRect"), F.lit("none").alias("fillMethod")).alias("extraction"),
-        F.struct(F.lit("sign.mp4").alias("url"), F.lit(4).alias("width"), F.lit(6).alias("height"), F.lit("h264").alias("codec"), F.lit(0).alias("syncOffsetMs")).alias("track"),
+
+    def by(modulus: int, rest: int, fault: str, right: str | Column = "") -> Column:
+        """The fault in orders whose number has this remainder."""
+        return F.when(k % modulus == rest, F.lit(fault)).otherwise(F.lit(right) if isinstance(right, str) else right)
+
+    def text(*parts: str | Column) -> Column:
+        return F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+
+    codec = by(41, 11, '"codec":"nope",', '"codec":"h264",')
+    offset = by(31, 9, '"syncOffsetMs":0.5', by(59, 15, '"syncOffsetMs":6000', '"syncOffsetMs":0'))
+    track = text(
+        '{"language":"', by(11, 3, "xx", "ase"), '","languageLabel":"Sign",', by(13, 5, "", '"provenance":"human-interpreter",'),
+        '"extraction":{"method":"detected-crop","sourceLayout":"corner-inset","confidence":', (F.col("cents") % 100) / 100,
+        ',"cropRect":{"x":0,"y":2,"w":4,"h":6},"fillMethod":"none"', by(53, 14, ',"x":[]'), '},"track":{"url":"sign.mp4",', by(37, 10, '"width":-4,', '"width":4,'),
+        '"height":6,', codec, offset, "}}",
     )
-    caption = F.struct(F.lit("verbatim").alias("kind"), F.lit("en").alias("language"), F.lit("/cap/en.vtt").alias("url"), F.lit("webvtt").alias("format"))
-    doc = F.struct(
-        F.when(k % 17 == 4, "0.9").otherwise("0.2").alias("stmVersion"), id_.alias("id"), F.concat(F.lit("Title "), F.col("p")).alias("title"),
-        (F.col("cents") % 100_000).alias("durationMs"),
-        F.struct(F.concat(F.lit("c"), F.col("c").cast("string")).alias("publisher"), F.lit("https://example.org/x").alias("url"), F.lit("CC").alias("licence"),
-                 F.when(k % 7 != 2, "them").alias("attribution")).alias("source"),
-        F.struct(F.struct(F.lit("main.mp4").alias("url"), F.lit(640).alias("width"), F.lit(360).alias("height"), F.lit("h264").alias("codec")).alias("main"), F.lit("poster.jpg").alias("poster")).alias("video"),
-        F.when(k % 5 == 1, F.array(track, track)).otherwise(F.array(track)).alias("signLanguage"), F.array(caption).alias("captions"),
-        F.when(k % 19 == 6, F.lit(1)).alias("extraKey"),
+    json = text(
+        '{"stmVersion":"', by(17, 4, "0.9", "0.2"), '","id":"title-', k, '","title":', by(29, 8, "7", text('"Title ', F.col("p"), '"')), ',"durationMs":', F.col("cents") % 100_000,
+        ',"source":{"publisher":"c', F.col("c"), '","url":"https://example.org/x","licence":"CC"', by(7, 2, "", ',"attribution":"them"'),
+        '},"video":{"main":{"url":"main.mp4","width":640,"height":360,"codec":"h264"},"poster":"poster.jpg"},"signLanguage":[', by(5, 1, "", track),
+        F.when(k % 5 == 1, text(track, ",", track)).otherwise(""), '],"captions":[{"kind":"verbatim"', by(47, 13, ',"reviewedBy":"Ann"'),
+        ',"language":"en","url":"/cap/en.vtt","format":"webvtt"', by(43, 12, ',"more":1'), "}]", by(19, 6, ',"extraKey":1'), "}",
     )
-    json = F.to_json(doc)
-    for modulus, rest, pattern, by in PLANTED:
-        json = F.regexp_replace(json, F.when(k % modulus == rest, pattern).otherwise("(?!)"), F.lit(by))
-    json = F.when(k % 23 == 7, F.lit("{broken")).otherwise(json)
-    return o.select(k.alias("doc_id"), json.alias("json"))
+    return o.select(k.alias("doc_id"), by(23, 7, "{broken", json).alias("json"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cuegrid.functions import geometry as g
 from cuegrid.functions import text as tx
-from cuegrid.operators import activity, align, captions, decide, detections, harness, manifests, media_plan, pixels, transcript
+from cuegrid.operators import activity, align, analysis, captions, decide, detections, harness, manifests, media_plan, pixels, transcript
 from cuegrid.plans import adapters as ad
 from cuegrid.sources import listing
 
@@ -81,12 +81,14 @@ def frame_stride_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Detections ---------------------------------------------------------------------------------------
 
 W, H = ad.FRAME
-_FEATURES = f"""{ad.DETECTIONS},
+def _features_sql(tables: str, w: int, h: int) -> str:
+    """Features of clusters named by box_no, of the tables detections and frames."""
+    return f"""{tables},
 n as (select title_id, count(*) as n_frames from frames group by 1),
 b as (select d.title_id, box_no as cluster_id, count(*) as n_boxes, stddev_pop((x1 + x2) / 2) as sx, stddev_pop((y1 + y2) / 2) as sy,
   median(x2 - x1) as w, avg(d.motion) as bm, avg(f.frame_motion) as fm from detections d join frames f using (title_id, frame_idx) group by 1, 2),
 f0 as (select b.title_id, cluster_id, n_boxes, n_boxes / n_frames as persistence,
-  case when n_boxes > 1 then sqrt(sx * sx + sy * sy) / sqrt({W}.0 * {W} + {H}.0 * {H}) else 0.0 end as centre_std, w / {W} as size_frac,
+  case when n_boxes > 1 then sqrt(sx * sx + sy * sy) / sqrt({w}.0 * {w} + {h}.0 * {h}) else 0.0 end as centre_std, w / {w} as size_frac,
   bm / greatest(fm, 0.001) as motion_ratio from b join n using (title_id)),
 f1 as (select *, least(greatest(1 - (centre_std - 0.01) / 0.05, 0), 1) as stability, least(greatest(1 - size_frac / 0.45, 0), 1) as size_score,
   coalesce(least(greatest(motion_ratio / 3, 0), 1), 0) as motion_score from f0),
@@ -95,6 +97,9 @@ features as (select *, 0.4 * motion_score + 0.25 * persistence + 0.25 * stabilit
   persistence >= 0.5 and size_frac <= 0.45 as eligible from f1)"""
 
 
+_FEATURES = _features_sql(ad.DETECTIONS, W, H)
+
+
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = ad.detections(spark, sf_dir)
     clustered = d.drop("frame_motion").withColumn("cluster_id", F.col("box_no"))
@@ -120,14 +125,18 @@ def signer_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detections.choose_signer(f).withColumn("confidence", F.round("confidence", 6))
 
 
-_RECT = f"""{ad.DETECTIONS},
-e as (select title_id, quantile_cont(x1, 0.05) as x1, quantile_cont(y1, 0.05) as y1, quantile_cont(x2, 0.95) as x2, quantile_cont(y2, 0.95) as y2 from detections group by 1),
+def _rect_sql(w: int, h: int) -> str:
+    """The constant rectangle of the table detections."""
+    return f"""edges as (select title_id, quantile_cont(x1, 0.05) as x1, quantile_cont(y1, 0.05) as y1, quantile_cont(x2, 0.95) as x2, quantile_cont(y2, 0.95) as y2 from detections group by 1),
 p as (select title_id, cast(floor(x1 - greatest(x2 - x1, 1) * 0.08) as int) as xa, cast(floor(y1 - greatest(y2 - y1, 1) * 0.08) as int) as ya,
-  least({W}, cast(ceil(x2 + greatest(x2 - x1, 1) * 0.08) as int)) as xb, least({H}, cast(ceil(y2 + greatest(y2 - y1, 1) * 0.08) as int)) as yb from e),
+  least({w}, cast(ceil(x2 + greatest(x2 - x1, 1) * 0.08) as int)) as xb, least({h}, cast(ceil(y2 + greatest(y2 - y1, 1) * 0.08) as int)) as yb from edges),
 q as (select title_id, greatest(xa - ((xa % 2) + 2) % 2, 0) as x, greatest(ya - ((ya % 2) + 2) % 2, 0) as y, xb, yb from p),
 s as (select title_id, x, y, greatest((xb - x) - (((xb - x) % 2) + 2) % 2, 2) as w, greatest((yb - y) - (((yb - y) % 2) + 2) % 2, 2) as h from q),
-rects as (select title_id, x, y, greatest(case when x + w > {W} then ({W} - x) - (({W} - x) % 2) else w end, 2) as w,
-  greatest(case when y + h > {H} then ({H} - y) - (({H} - y) % 2) else h end, 2) as h from s)"""
+rects as (select title_id, x, y, greatest(case when x + w > {w} then ({w} - x) - (({w} - x) % 2) else w end, 2) as w,
+  greatest(case when y + h > {h} then ({h} - y) - (({h} - y) % 2) else h end, 2) as h from s)"""
+
+
+_RECT = f"{ad.DETECTIONS}, {_rect_sql(W, H)}"
 
 
 def _rects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,14 +374,74 @@ def triage_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harness.triage(clips).select(F.col("clip").alias("title_id"), "verdict", F.round("difficulty", 4).alias("difficulty"), "rank")
 
 
+def _videos(frames: DataFrame) -> DataFrame:
+    return frames.select("title_id").distinct().select("title_id", F.lit(ad.SIDE * 20).alias("width"), F.lit(ad.SIDE * 20).alias("height"))
+
+
+_DECIDED = f"""{_features_sql(ad.SCENES_SQL, ad.SIDE, ad.SIDE)},
+best as (select *, row_number() over (partition by title_id order by eligible desc, round(score, 9) desc, cluster_id) as rank from features),
+chosen as (select t.title_id, case when eligible then cluster_id end as cluster_id, case when eligible then confidence end as confidence,
+  case when cluster_id is null then 'no person' when not eligible then 'no eligible person' end as error
+  from (select distinct title_id from e) t left join best on best.title_id = t.title_id and rank = 1),
+own as (select d.* from detections d join chosen c on c.title_id = d.title_id and c.cluster_id = d.box_no)"""
+_STILL_RECT = f"""{_DECIDED}, {_rect_sql(ad.SIDE, ad.SIDE).replace('from detections', 'from own')},
+stats as (select title_id, y, x, avg(v) as mean_grey, coalesce(var_samp(v), 0) as temporal_var from grey group by 1, 2, 3),
+places as (select *, case when x <= 1 then 'left' when x + w >= {ad.SIDE - 1} then 'right' end as edge from rects),
+strips as (select p.title_id, avg(temporal_var) as variance, stddev_pop(mean_grey) as spread from places p join stats s on s.title_id = p.title_id
+  and s.x >= (case when edge = 'left' then 0 else p.x end) and s.x < (case when edge = 'left' then p.x + p.w else {ad.SIDE} end) and (s.y < p.y or s.y >= p.y + p.h) where edge is not null group by 1),
+layouts as (select p.*, edge is not null and (h >= 0.85 * {ad.SIDE} or ({ad.SIDE} - h >= 0.05 * {ad.SIDE} and coalesce(variance <= 40 and spread <= 12, false))) as side from places p left join strips using (title_id))"""
+
+
 @register()
 def decide_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detections to decisions (tracking has no SQL): held against a known scene in the tests."""
-    d = ad.detections(spark, sf_dir)
-    videos = d.select("title_id").distinct().select("title_id", F.lit(W * 2).alias("width"), F.lit(H * 2).alias("height"))
-    stats = videos.limit(0).select("title_id", F.lit(0).alias("y"), F.lit(0).alias("x"), F.lit(0.0).alias("mean_grey"), F.lit(0.0).alias("temporal_var"))
-    out = decide.decide(ad.frames(d), d.drop("frame_motion"), stats, videos, W, H)
-    return out.select("title_id", "rect", "kind", "edge", "method", F.round("confidence", 6).alias("confidence"), "error")
+    """Frames and boxes to decisions, windows grown: held against plain twins of each step and known scenes in the tests."""
+    frames, boxes = ad.scenes(spark, sf_dir)
+    out = decide.analyse_and_decide(frames, boxes, _videos(frames), ad.SIDE, ad.SIDE)
+    return out.select("title_id", "rect", "kind", "edge", "panel", "method", F.round("confidence", 6).alias("confidence"), "error")
+
+
+@register(
+    f"with {_STILL_RECT} select c.title_id, x, y, w, h, case when side then 'side-panel' when x is not null then 'corner-inset' end as kind, "
+    "case when side then edge end as edge, round(confidence, 6) as confidence, error from chosen c left join layouts l using (title_id)"
+)
+def decide_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without growth: tracks, features, choice, constant rectangle and layout."""
+    frames, boxes = ad.scenes(spark, sf_dir)
+    out = decide.analyse_and_decide(frames, boxes, _videos(frames), ad.SIDE, ad.SIDE, grow=False)
+    r = F.col("rect_sample")
+    return out.select("title_id", *(r[c].alias(c) for c in "xywh"), "kind", "edge", F.round("confidence", 6).alias("confidence"), "error")
+
+
+@register(
+    f"with {ad.SCENES_SQL} select title_id, 'pixel' as kind, null::bigint as frame_idx, null::bigint as box_no, y, x, count(*) as n, round(avg(v), 6) as mean, round(sqrt(var_pop(v) * count(*)), 5) as deviation from grey group by all "
+    "union all select title_id, 'frame', frame_idx, null, null, null, count(diff), round(avg(diff), 6), round(sqrt(var_pop(diff) * count(diff)), 5) from moves group by title_id, frame_idx "
+    "union all select title_id, 'box', frame_idx, box_no, null, null, n, round(motion, 6), round(sqrt(m2), 5) from box_moves"
+)
+def one_pass_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixel statistics, motion of frames and in boxes from one aggregate over the frames."""
+    found = analysis.analyse(*ad.scenes(spark, sf_dir))
+    return found.withColumns({"mean": F.round("mean", 6), "deviation": F.round(F.sqrt("m2"), 5)}).drop("m2")
+
+
+@register(
+    f"with {_DECIDED} select count(*) as titles, count(cluster_id) as published, count(cluster_id) filter (round(confidence, 4) < 0.7) as warned, cast(0 as bigint) as errors from chosen"
+)
+def publish_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From frames to manifests: decisions with growth, manifests of the titles that have a window, and what validation says of them."""
+    frames, boxes = ad.scenes(spark, sf_dir)
+    videos = _videos(frames)
+    decided = decide.analyse_and_decide(frames, boxes, videos, ad.SIDE, ad.SIDE)
+    source = F.struct(*(F.lit(v).alias(k) for k, v in (("publisher", "p"), ("url", "https://example.org/"), ("licence", "CC"), ("attribution", "them"))))
+    asset = F.struct(F.lit("main.mp4").alias("url"), F.col("width"), F.col("height"), F.lit("h264").alias("codec"))
+    titles = videos.select(
+        "title_id", F.concat(F.lit("title-"), "title_id").alias("id"), F.lit("Title").alias("title"), F.lit(60_000).alias("durationMs"), source.alias("source"),
+        F.struct(asset.alias("main"), F.lit("poster.jpg").alias("poster")).alias("video"),
+    )
+    made = decide.publish(decided, titles, "ase", "Sign", F.lit("sign.mp4")).withColumnRenamed("title_id", "doc_id")
+    judged = manifests.validity(made, manifests.validate(made)).select(F.col("doc_id").alias("title_id"), "errors", "warnings")
+    rows = videos.select("title_id").join(judged, "title_id", "left")
+    total = lambda c, n: F.coalesce(F.sum(c), F.lit(0)).alias(n)
+    return rows.agg(F.count("*").alias("titles"), F.count("errors").alias("published"), total("warnings", "warned"), total("errors", "errors"))
 
 
 @register()

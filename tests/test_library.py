@@ -804,3 +804,30 @@ def test_one_pass_analysis(spark):
     both = {tuple(r[:3]): r[3:] for r in analysis.merge_states(early.union(late), ["title_id", "y", "x"]).collect()}
     assert all(both[r.title_id, r.y, r.x] == pytest.approx((r.n, r["mean"], r.m2), abs=1e-6) for r in made.where("kind = 'pixel'").collect())
     assert analysis.analyse(frames.limit(0), boxes).count() == 0
+
+
+def test_scenes_are_decided_and_published(spark, tmp_path):
+    """Titles from frames to manifests, on scenes of known kinds."""
+    from cuegrid.plans import adapters as ad
+
+    rng = np.random.default_rng(3)
+    rows = [(i, int(i % 10), rng.uniform(-1, 1, 64).astype(float).tolist()) for i in range(40 * 9)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    run = lambda name: catalogue.queries()[name](spark, str(tmp_path))
+    fixed = {r.title_id: r for r in run("decide_fixed").collect()}
+    grown = {r.title_id: r for r in run("decide_titles").collect()}
+    assert set(fixed) == set(grown) == set(range(40))
+    larger = 0
+    for t in range(40):
+        a, b = fixed[t], grown[t]
+        assert a.error == b.error == {0: "no person", 1: "no eligible person"}.get(t % 8)
+        if a.error:
+            assert a.x is None and b.rect is None and b.kind is None
+            continue
+        assert (a.kind, a.edge) == (("side-panel", "right") if t % 8 in (2, 3) else ("corner-inset", None))
+        assert b.rect.x <= 20 * a.x and b.rect.x + b.rect.w >= 20 * (a.x + a.w) and b.rect.y <= 20 * a.y
+        larger += b.rect.w * b.rect.h > 1.2 * 400 * a.w * a.h
+        assert b.kind != "side-panel" or b.panel.h == 20 * ad.SIDE
+    assert larger >= 25
+    made = run("publish_titles").first()
+    assert (made.titles, made.published, made.errors) == (40, 30, 0)
