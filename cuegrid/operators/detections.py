@@ -25,49 +25,69 @@ def sample_frames(frames: DataFrame, every: int, number: str = "frame_idx") -> D
     return frames.where(F.col(number) % every == 0)
 
 
+class OpenClusters:
+    """The open clusters of one title: their boxes in order of creation, in a buffer that doubles."""
+
+    def __init__(self, boxes: np.ndarray | None = None) -> None:
+        self.n = 0 if boxes is None else len(boxes)
+        self.held = np.empty((max(64, self.n), 4))
+        if self.n:
+            self.held[: self.n] = boxes
+
+    @property
+    def boxes(self) -> np.ndarray:
+        return self.held[: self.n]
+
+    def take(self, own: np.ndarray, min_iou: float, smoothing: float) -> np.ndarray:
+        """The clusters that a frame's boxes (in the order of their numbers) go to, best overlap first; the rest open new ones."""
+        means, found = self.boxes, np.full(len(own), -1, np.int32)
+        if self.n:
+            low = np.maximum(own[:, None, :2], means[None, :, :2])
+            high = np.minimum(own[:, None, 2:], means[None, :, 2:])
+            common = np.prod(np.maximum(high - low, 0), axis=2)
+            size = lambda b: np.prod(np.maximum(b[:, 2:] - b[:, :2], 0), axis=1)
+            union = size(own)[:, None] + size(means)[None, :] - common
+            overlap = np.divide(common, union, out=np.zeros_like(common), where=union > 0)
+            taken: set[int] = set()
+            for _, b, c in sorted(((overlap[b, c], b, c) for b, c in np.argwhere(overlap >= min_iou)), reverse=True):
+                if found[b] < 0 and c not in taken:
+                    taken.add(c)
+                    found[b] = c
+                    means[c] += smoothing * (own[b] - means[c])
+        for b in np.flatnonzero(found < 0):
+            if self.n == len(self.held):
+                self.held = np.concatenate([self.held, np.empty_like(self.held)])
+            self.held[self.n], found[b] = own[b], self.n
+            self.n += 1
+        return found
+
+
+def track_frames(pdf: pd.DataFrame, clusters: OpenClusters, min_iou: float, smoothing: float) -> pd.DataFrame:
+    """One title's boxes, frame by frame in order, with the clusters they go to."""
+    pdf = pdf.sort_values(["frame_idx", "box_no"], kind="stable").reset_index(drop=True)
+    boxes, found = pdf[["x1", "y1", "x2", "y2"]].to_numpy(float), np.empty(len(pdf), np.int32)
+    for at in pdf.groupby("frame_idx", sort=True).indices.values():
+        found[at] = clusters.take(boxes[at], min_iou, smoothing)
+    return pdf.assign(cluster_id=found)
+
+
+def detection_rows(detections: DataFrame) -> DataFrame:
+    columns = ["title_id", "frame_idx", "box_no", "x1", "y1", "x2", "y2", "motion"]
+    kinds = {"title_id": "long", "frame_idx": "long", "box_no": "long"}
+    return detections.select(*(F.col(c).cast(kinds.get(c, "double")).alias(c) for c in columns))
+
+
 def cluster_detections(detections: DataFrame, min_iou: float = 0.3, smoothing: float = 0.2) -> DataFrame:
     """Greedy tracking: adds cluster_id, in order of creation within a title.
 
     Frames in order; every box and open cluster with an IoU of at least ``min_iou`` is a candidate,
     taken best first (ties: higher box, then higher cluster) if both are free; a cluster's box moves
     towards what it takes; boxes left over open clusters.  The order makes a title sequential;
-    titles are parallel.  A title's detections must fit in one task's memory.
+    titles are parallel.  A title's detections must fit in one task's memory; cuegrid.streaming.tracking
+    tracks titles that grow, frame by frame, with the open clusters as its only state.
     """
-
-    def track(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame_idx", "box_no"], kind="stable").reset_index(drop=True)
-        boxes = pdf[["x1", "y1", "x2", "y2"]].to_numpy(float)
-        held, n = np.empty((64, 4)), 0  # open clusters' boxes, in a buffer that doubles
-        found = np.empty(len(pdf), np.int32)
-        for at in pdf.groupby("frame_idx", sort=True).indices.values():
-            own = boxes[at]
-            taken_box, taken_cluster, means = set(), set(), held[:n]
-            if n:
-                low = np.maximum(own[:, None, :2], means[None, :, :2])
-                high = np.minimum(own[:, None, 2:], means[None, :, 2:])
-                common = np.prod(np.maximum(high - low, 0), axis=2)
-                size = lambda b: np.prod(np.maximum(b[:, 2:] - b[:, :2], 0), axis=1)
-                union = size(own)[:, None] + size(means)[None, :] - common
-                overlap = np.divide(common, union, out=np.zeros_like(common), where=union > 0)
-                pairs = sorted(((overlap[b, c], b, c) for b, c in np.argwhere(overlap >= min_iou)), reverse=True)
-                for _, b, c in pairs:
-                    if b in taken_box or c in taken_cluster:
-                        continue
-                    taken_box.add(b)
-                    taken_cluster.add(c)
-                    found[at[b]] = c
-                    means[c] += smoothing * (own[b] - means[c])
-            for b in range(len(at)):
-                if b not in taken_box:
-                    if n == len(held):
-                        held = np.concatenate([held, np.empty_like(held)])
-                    held[n], found[at[b]], n = own[b], n, n + 1
-        return pdf.assign(cluster_id=found)
-
-    columns = ["title_id", "frame_idx", "box_no", "x1", "y1", "x2", "y2", "motion"]
-    kinds = {"title_id": "long", "frame_idx": "long", "box_no": "long"}
-    rows = detections.select(*(F.col(c).cast(kinds.get(c, "double")).alias(c) for c in columns))
-    return rows.groupBy("title_id").applyInPandas(track, CLUSTERED)
+    track = lambda pdf: track_frames(pdf, OpenClusters(), min_iou, smoothing)
+    return detection_rows(detections).groupBy("title_id").applyInPandas(track, CLUSTERED)
 
 
 def cluster_features(clustered: DataFrame, frames: DataFrame, frame_w: int, frame_h: int) -> DataFrame:
