@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html.entities
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -118,26 +120,53 @@ def as_vtt(path: Column, text: Column) -> Column:
     return F.when(F.lower(path).rlike(r"\.srt$"), srt_to_vtt(plain)).when(plain.rlike(r"(?U)\A\s*WEBVTT"), plain)
 
 
-ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&copy;": "©", "&mdash;": "—",
-    "&ndash;": "–", "&rsquo;": "’", "&lsquo;": "‘", "&rdquo;": "”", "&ldquo;": "“", "&hellip;": "…", "&pound;": "£",
-}
-
-
-def clean_html(html: Column) -> Column:
-    """Tags dropped, entities (common names, numbers) as characters, no-break spaces as spaces, trimmed."""
-    text = F.regexp_replace(html, "<[^>]+>", "")
-    for name, char in ENTITIES.items():
-        text = F.replace(text, F.lit(name), F.lit(char))
-    # numeric entities: cut at them and turn each number into its character
-    pattern = "&#(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});"
-    hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.split(text, pattern, -1)
-    code = lambda h: F.when(F.startswith(h, F.lit("x")), F.conv(F.substring(h, 2, 6), 16, 10)).otherwise(h).cast("int")
-    utf32 = lambda h: F.decode(F.unhex(F.lpad(F.hex(code(h)), 8, "0")), "UTF-32")
-    joined = F.array_join(F.zip_with(gaps, hits, lambda g, h: F.concat(g, F.when(h.isNull(), "").otherwise(utf32(h)))), "")
-    text = F.when(text.rlike(pattern), joined).otherwise(text)
-    text = F.replace(text, F.lit("&amp;"), F.lit("&"))
-    return F.regexp_replace(F.replace(text, F.lit(" "), F.lit(" ")), r"^\s+|\s+$", "")
+_REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+def _text_map(pairs: dict[str, str]) -> Column:
+    """A literal map (folded into one constant by the optimizer)."""
+    return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
+
+
+def _numbered() -> dict[str, str]:
+    """Numbers that don't stand for their own character: 0, carriage return, and 128 to 159 as Windows reads them; and those that stand for none."""
+    windows = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    none = [*range(1, 9), 0xB, *range(0xE, 0x20), 0x7F, *range(0xFDD0, 0xFDF0), *(p << 16 | e for p in range(17) for e in (0xFFFE, 0xFFFF))]
+    return {str(n): c for n, c in ({n: "" for n in none} | windows | {0: "\ufffd", 0xD: "\r"}).items()}
+
+
+def unescape(text: Column) -> Column:
+    """HTML character references as characters: all names, with or without the semicolon where HTML lets it go, and numbers.
+
+    The table of names is that of the standard library.  Of a run that is no name the longest beginning that is one counts.
+    """
+    names = _text_map({k: v for k, v in html.entities.html5.items()})
+    short = sorted((k for k in html.entities.html5 if not k.endswith(";")), key=len, reverse=True)
+    numbered = _text_map(_numbered())
+
+    def number(hit: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_replace(hit, "^#[xX]?0*|;$", ""), "^$", "0")
+        base = F.when(hit.rlike("^#[xX]"), 16).otherwise(10)
+        code = F.when(F.length(digits) <= 9, F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).cast("long")).otherwise(1 << 40)
+        utf32 = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        wrong = (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        return let(code, lambda n: F.coalesce(F.try_element_at(numbered, n.cast("string")), F.when(wrong, "\ufffd").otherwise(utf32(F.when(wrong, 0).otherwise(n)))))
+
+    def name(hit: Column) -> Column:
+        head = F.regexp_extract(hit, f"^(?:{'|'.join(short)})", 0)
+        by_head = F.concat(F.try_element_at(names, head), F.substring(hit, F.length(head) + 1, F.length(hit)))
+        return F.coalesce(F.try_element_at(names, hit), F.when(head != "", by_head), F.concat(F.lit("&"), hit))
+
+    hits, gaps = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(1)), F.split(text, _REFERENCE, -1)
+    made = F.transform(hits, lambda h: F.when(F.startswith(h, F.lit("#")), number(h)).otherwise(name(h)))
+    joined = F.array_join(F.zip_with(gaps, made, lambda g, h: F.concat(g, F.coalesce(h, F.lit("")))), "")
+    return F.when(text.rlike(_REFERENCE), joined).otherwise(text)
+
+
+def clean_html(fragment: Column) -> Column:
+    """Tags dropped, character references as characters, no-break spaces as spaces, trimmed."""
+    text = unescape(F.regexp_replace(fragment, "<[^>]+>", ""))
+    return stripped(F.replace(text, F.lit("\u00a0"), F.lit(" ")))
 
 
 def display_name(speaker: Column) -> Column:

@@ -103,12 +103,14 @@ def cluster_features(clustered: DataFrame, frames: DataFrame, frame_w: int, fram
         F.median(width).alias("w"),
         F.avg("motion").alias("box_motion"),
         F.avg("frame_motion").alias("all_motion"),
+        F.array(*map(F.avg, ("x1", "y1", "x2", "y2"))).alias("mean_box"),
     )
     diagonal = float(np.hypot(frame_w, frame_h))
     f = grouped.join(sampled, "title_id").select(
         "title_id",
         "cluster_id",
         "n_boxes",
+        "mean_box",
         F.coalesce(F.try_divide(F.col("n_boxes"), F.col("n_frames")), F.lit(0.0)).alias("persistence"),
         F.when(F.col("n_boxes") > 1, F.hypot("sx", "sy") / diagonal).otherwise(0.0).alias("centre_std"),
         (F.col("w") / frame_w if frame_w else F.lit(1.0)).alias("size_frac"),

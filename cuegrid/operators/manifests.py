@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cuegrid.functions.json_text import json_document
 from cuegrid.functions.text import absolute_url, let
 from cuegrid.operators import checks as c
 
@@ -229,6 +231,30 @@ def catalogue_entries(manifests: DataFrame, base: str = "") -> DataFrame:
     )
 
 
+ENTRY = "struct<id:string,title:string,durationMs:int,poster:string,manifestUrl:string,signLanguages:array<string>,confidence:double>"
+
+
+def manifest_text(m: Column) -> Column:
+    """The file of a typed manifest."""
+    return json_document(m, _type(TITLE))
+
+
+def catalogue_documents(entries: DataFrame, key: str, version: str = VERSIONS[-1]) -> DataFrame:
+    """(key, json): the file of each catalogue, its ``entries`` (see :func:`catalogue_entries`) in the order of their ids."""
+    entry = F.struct(
+        "id", "title", F.col("duration_ms").alias("durationMs"), "poster", F.col("manifest_url").alias("manifestUrl"),
+        F.col("sign_languages").alias("signLanguages"), "confidence",
+    ).cast(ENTRY)
+    titles = F.array_sort(F.collect_list(entry))
+    whole = F.struct(F.lit(version).alias("stmVersion"), titles.alias("titles"))
+    kind = _type(f"struct<stmVersion:string,titles:array<{ENTRY}>>")
+    return entries.groupBy(key).agg(whole.alias("c")).select(key, json_document(F.col("c"), kind).alias("json"))
+
+
+def _type(ddl: str) -> T.DataType:
+    return T.DataType.fromDDL(ddl)
+
+
 def absolutise(manifests: DataFrame, base: str) -> DataFrame:
     """Manifests with their media, poster, track and caption URLs under ``base``."""
     m = F.col("m")

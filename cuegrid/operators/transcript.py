@@ -49,7 +49,7 @@ def contributions(pages: DataFrame, opener: str = OPENER, footers: tuple[str, ..
 
     A paragraph with an opener id opens one; ``H:MM`` alone is a clock for the next; class ``lead``
     is left out; an end marker ends the page, and so does a paragraph (not an opener) whose text has a footer; a
-    contribution needs a speaker and a paragraph.
+    contribution needs a speaker and a paragraph.  The speaker is what the opener has as strong (none, if that is empty), or else all of it.
     """
     rows = paragraphs(pages, opener, ends)
     opens = F.contains("attributes", F.lit(f'id="{opener}'))
@@ -61,13 +61,14 @@ def contributions(pages: DataFrame, opener: str = OPENER, footers: tuple[str, ..
     rows = rows.withColumn("ci", F.sum(F.col("opens").cast("int")).over(upto))
     clock = F.when(~F.col("opens") & F.col("text").rlike(r"^\d{1,2}:\d{2}$"), F.col("text"))
     rows = rows.withColumn("clock", clock)
-    strong = clean_html(F.regexp_extract("inner", r"(?is)<strong[^>]*>(.*?)</strong>", 1))
+    element = r"(?is)<strong[^>]*>(.*?)</strong>"
+    strong = F.when(F.col("inner").rlike(element), clean_html(F.regexp_extract("inner", element, 1)))
     before = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     # a clock belongs to the next opener: the last clock since the opener before it
     rows = rows.withColumn("pending", F.last(F.when(F.col("opens"), "").otherwise(F.col("clock")), ignorenulls=True).over(before))
     body = ~F.col("opens") & F.col("clock").isNull() & (F.col("text") != "") & ~F.col("attributes").rlike(r'class="[^"]*\blead\b')
     found = rows.where("ci > 0").groupBy("page_id", "ci").agg(
-        F.max(F.when(F.col("opens"), F.when(strong != "", strong).otherwise(F.col("text")))).alias("speaker"),
+        F.max(F.when(F.col("opens"), F.coalesce(strong, F.col("text")))).alias("speaker"),
         F.max(F.when(F.col("opens") & (F.col("pending") != ""), F.col("pending"))).alias("clock"),
         F.transform(F.array_sort(F.collect_list(F.when(body, F.struct("pos", "text")))), lambda x: x["text"]).alias("paragraphs"),
     )

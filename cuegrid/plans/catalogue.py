@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cuegrid.functions import geometry as g
 from cuegrid.functions import text as tx
-from cuegrid.operators import activity, align, analysis, captions, decide, detections, harness, manifests, media_plan, pixels, transcript
+from cuegrid.operators import activity, align, analysis, captions, decide, detections, harness, manifests, media_plan, pixels, reports, transcript
 from cuegrid.plans import adapters as ad
 from cuegrid.sources import listing
 
@@ -615,7 +615,7 @@ def html_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.groupBy("page_id").agg(F.count("*").alias("paragraphs"), F.sum(F.length(tx.clean_html(F.col("inner")))).alias("chars"))
 
 
-_PLAIN = r"regexp_replace(regexp_replace(translate(line, '<>&©', '    '), '^[: ]+', ''), '^\s+|\s+$', '', 'g')"
+_PLAIN = r"regexp_replace(regexp_replace(regexp_replace(translate(line, '©' || chr(160), '  '), '^\s+|\s+$', '', 'g'), '^[: ]+', ''), '^\s+|\s+$', '', 'g')"
 
 
 @register(
@@ -629,7 +629,9 @@ def page_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report pages made of conversations, with clocks, headings and page furniture, back to contributions."""
     t = ad.table(spark, sf_dir, "conversations").groupBy("conv_id", "turn").agg(F.min("role").alias("role"), F.min(F.coalesce("text", F.lit(""))).alias("text"))
     turn = F.col("turn").cast("string")
-    plain = F.translate("text", "<>&©", "    ")
+    plain = F.translate("text", "©", " ")  # a footer's mark
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;"), ("'", "&apos;")):
+        plain = F.replace(plain, F.lit(char), F.lit(name))
     clock = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("<p> 14:0"), (F.col("turn") % 10).cast("string"), F.lit("</p>"))).otherwise("")
     body = F.concat(F.lit("<p>"), F.array_join(F.split(plain, "\n"), "</p><p>"), F.lit("</p><p class=\"x lead\">Heading</p>"))
     one = F.concat(clock, F.lit('<p id="orscontributions_'), turn, F.lit('"><strong>'), "role", F.lit("</strong>share</p>"), body)
@@ -711,6 +713,34 @@ def machine_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.machine_cues(_alignment(spark, sf_dir)[2]).drop("identifier", "settings")
 
 
+_ROWS = ", ".join(f"round_even({c}, {d}) as \"{n}\"" for c, (n, d) in reports.CLUSTER.items())
+
+
+@register(
+    f"with {_FEATURES}, mb as (select title_id, box_no as cluster_id, round_even(avg(x1), 1) as x1, round_even(avg(y1), 1) as y1 from detections group by 1, 2) "
+    f"select title_id, cluster_id as \"clusterId\", n_boxes as frames, {_ROWS}, eligible, case when persistence < 0.5 and size_frac > 0.45 then 'too brief; too large' when persistence < 0.5 then 'too brief' when size_frac > 0.45 then 'too large' else 'ok' end as reason, "
+    "mb.x1 as x1, mb.y1 as y1 from features join mb using (title_id, cluster_id)"
+)
+def cluster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = reports.cluster_rows(_features(spark, sf_dir))
+    return rows.withColumns({"x1": F.get("meanBox", F.lit(0)), "y1": F.get("meanBox", F.lit(1))}).drop("meanBox")
+
+
+def _cell(value: str, digits: int, width: int) -> str:
+    return f"lpad(round_even({value}, {digits})::decimal(18,{digits})::varchar, {width}, ' ')"
+
+
+@register(
+    f"with {_FEATURES}, ranked as (select *, cast(row_number() over (partition by title_id order by eligible desc, round(score, 9) desc, cluster_id) as int) as rank from features) "
+    "select title_id, rank, case when rank = 1 and eligible then '* ' else '  ' end || lpad(cluster_id::varchar, 3, ' ') || ' ' || lpad(n_boxes::varchar, 6, ' ') || ' ' || "
+    f"{_cell('persistence', 2, 7)} || ' ' || {_cell('stability', 2, 6)} || ' ' || {_cell('size_frac', 2, 5)} || ' ' || {_cell('motion_ratio', 2, 7)} || ' ' || {_cell('score', 2, 5)} || '  ' || "
+    "case when persistence < 0.5 and size_frac > 0.45 then 'too brief; too large' when persistence < 0.5 then 'too brief' when size_frac > 0.45 then 'too large' else 'ok' end as line from ranked"
+)
+def cluster_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _features(spark, sf_dir).withColumn("score", F.round("score", 9))
+    return reports.cluster_lines(detections.rank_clusters(f), detections.choose_signer(f))
+
+
 # Sources, manifests, reports ----------------------------------------------------------------------
 
 BLOCKED = ("spam-farm.example.org", "casino-win.example.net", "example.com")
@@ -807,6 +837,47 @@ def absolutise_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _catalogues(spark: SparkSession, sf_dir: str, same: int | None = None) -> DataFrame:
+    """A catalogue a customer of the manifests that are JSON; ``same`` leaves that many different ids."""
+    made = ad.manifests(spark, sf_dir).join(ad.table(spark, sf_dir, "orders").groupBy(F.col("o_orderkey").alias("doc_id")).agg(F.min("o_custkey").alias("customer")), "doc_id")
+    m = manifests.parse_manifests(made).where("m.id is not null").withColumn("manifest_url", F.concat(F.col("doc_id").cast("string"), F.lit("/manifest.json")))
+    entries = manifests.catalogue_entries(m.select("m", "manifest_url")).select("*", F.substring("id", 7, 20).cast("long").alias("k"))
+    owners = made.select(F.col("doc_id").alias("k"), "customer")
+    entries = entries.join(owners, "k")
+    if same:
+        entries = entries.withColumn("id", F.concat(F.lit("title-"), (F.col("k") % same).cast("string")))
+    return manifests.catalogue_documents(entries.drop("k"), "customer")
+
+
+_ENTRY_SQL = r"""'    {' || n || '      "id": "title-' || k || '",' || n || '      "title": "' || case when k % 29 = 8 then '7' else 'Title ' || p end || '",' || n || '      "durationMs": ' || (cents % 100000) || ',' || n ||
+  '      "poster": "poster.jpg",' || n || '      "manifestUrl": "' || k || '/manifest.json",' || n || '      "signLanguages": [' || n || '        "' || case when k % 11 = 3 then 'xx' else 'ase' end || '"' || n || '      ],' || n ||
+  '      "confidence": ' || case when cents % 10 = 0 then '0.' || (cents % 100 // 10) else '0.' || lpad((cents % 100)::varchar, 2, '0') end || n || '    }'"""
+
+
+@register(
+    f"with {_DOCS}, x as (select *, chr(10) as n from o where k % 23 <> 7) select c as customer, count(*) as titles, "
+    f"sha256('{{' || chr(10) || '  \"stmVersion\": \"0.2\",' || chr(10) || '  \"titles\": [' || chr(10) || string_agg({_ENTRY_SQL}, ',' || chr(10) order by 'title-' || k) || chr(10) || '  ]' || chr(10) || '}}' || chr(10)) as digest from x group by 1"
+)
+def catalogue_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of catalogue files, by their digest."""
+    c = _catalogues(spark, sf_dir)
+    titles = F.size(F.from_json("json", "titles array<string>")["titles"]).cast("long")
+    return c.select("customer", titles.alias("titles"), tx.content_sha256(F.col("json")).alias("digest"))
+
+
+@register(
+    f"with {_DOCS}, x as (select *, 'title-' || (k % 40) as id, case when k % 29 = 8 then '7' else 'Title ' || p end as title from o where k % 23 <> 7), "
+    "e as (select *, row_number() over (partition by c order by id, title, cents % 100000, k || '/manifest.json') - 1 as i from x), "
+    "shape as (select c, 'titles/' || i || '/signLanguages/0' as path from e where k % 11 = 3), "
+    "twice as (select c, 'titles/' || i || '/id' as path from (select *, row_number() over (partition by c, id order by i) as nth from e) where nth > 1 and c not in (select c from shape)) "
+    "select c as doc_id, path, 'error' as severity from shape union all select c, path, 'error' from twice"
+)
+def catalogue_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What validation says of catalogues in which ids occur twice and languages have two letters."""
+    c = _catalogues(spark, sf_dir, same=40).withColumnRenamed("customer", "doc_id")
+    return manifests.validate_catalogues(c).select("doc_id", "path", "severity")
+
+
 _FILES = ["main.mp4", "poster.JPG", "captions/verbatim.en.vtt", "analysis.json", "manifest.json", "notes.bin", "clip.m4v", "still.jpeg", "logo.png", "captions/verbatim.en.srt", "play/list.m3u8"]
 
 
@@ -851,6 +922,10 @@ def media_plan_argv(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def harness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ground truth of the labelled documents against decisions: a missing or failed one scores 0."""
+    return harness.summary(_scored(spark, sf_dir)).withColumn("mean_iou", F.round("mean_iou", 6))
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id").cast("int")
     wide = lambda x: g.rect(x, k % 30, 20 + k % 7, F.lit(40))
     truth = ad.table(spark, sf_dir, "labels").select(
@@ -859,7 +934,20 @@ def harness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = ad.table(spark, sf_dir, "documents").where("lang <> 'de'")
     found = wide(k % 50 + (F.col("n_chars") % 5).cast("int")).alias("found")
     decisions = d.select(k.alias("clip"), found, F.lit(0.9).alias("confidence"), F.when(F.col("n_chars") % 11 == 0, "no signer").alias("error"))
-    return harness.summary(harness.score_clips(truth, decisions)).withColumn("mean_iou", F.round("mean_iou", 6))
+    return harness.score_clips(truth, decisions)
+
+
+@register(
+    "with t as (select doc_id as clip, doc_id % 50 as x, doc_id % 30 as y, 20 + doc_id % 7 as w, doc_id % 3 = 0 as faced from labels), "
+    "d as (select doc_id as clip, doc_id % 50 + n_chars % 5 as x, doc_id % 30 as y, 20 + doc_id % 7 as w, n_chars % 11 = 0 as broken from documents where lang <> 'de'), "
+    "j as (select t.clip, t.faced, d.clip is not null as there, coalesce(d.broken, false) as broken, d.clip is not null and not d.broken as ok, greatest(0, least(t.x + t.w, d.x + d.w) - greatest(t.x, d.x)) * 40 as common, t.w * 40 * 2 as total, d.x <= t.x + 2 as inside from t left join d using (clip)), "
+    "s as (select *, case when ok then common / (total - common) else 0.0 end as iou, case when ok and faced then inside end as face from j) "
+    f"select clip, rpad(clip::varchar, 40, ' ') || ' ' || {_cell('iou', 3, 6)} || ' ' || lpad(case when iou >= 0.85 and coalesce(face, true) then 'ok' else 'FAIL' end, 5, ' ') || ' ' || lpad(case when face is null then '-' when face then 'yes' else 'NO' end, 5, ' ') "
+    "|| ' ' || case when there then ' 0.90' else '    -' end || ' ' || rpad('-', 13, ' ') || ' ' || lpad(((clip % 40) / 5)::decimal(18,1)::varchar, 6, ' ') || case when broken then '  no signer' else '' end as line from s"
+)
+def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = {"layout": F.lit(None).cast("string"), "seconds": F.col("clip") % 40 / 5}
+    return reports.score_lines(_scored(spark, sf_dir).withColumns(extra))
 
 
 @register("select doc_id, sha256(text) as sha256 from documents")

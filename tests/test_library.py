@@ -831,3 +831,102 @@ def test_scenes_are_decided_and_published(spark, tmp_path):
     assert larger >= 25
     made = run("publish_titles").first()
     assert (made.titles, made.published, made.errors) == (40, 30, 0)
+
+
+def test_character_references(spark):
+    import html
+    import html.entities
+
+    rng = random.Random(1)
+    bits = ["&", "&#", "&#x", ";", "amp", "lt", "&notit;", "&amp;lt;", "&#x2019;", "&#233;", "&#128;", "&#0;", "&#xD800;", "&#99999999999;", "&#x110000;", "&#13;", "&#1;", "&#xFFFE;", " ", "a", "é", "#", "&copy", "&COPY;x", "&#x1F600;", "\n", "&#000065;"]
+    names = list(html.entities.html5)
+    texts = ["".join(rng.choice(bits) if rng.random() < 0.7 else "&" + rng.choice(names) for _ in range(rng.randint(0, 8))) for _ in range(1500)] + ["&" + n + "x" for n in names]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.unescape(F.col("t")).alias("u")).collect()
+    assert all(r.u == html.unescape(r.t) for r in got)
+    assert one(spark, tx.unescape(F.lit(None).cast("string"))) is None
+    assert one(spark, tx.clean_html(F.lit("<p>a &lt;b&gt;&nbsp;&rarr;&Eacute;&nbsp;</p>"))) == "a <b> →É"
+
+
+def test_json_files(spark):
+    import json
+
+    from pyspark.sql import types as T
+
+    from cuegrid.functions.json_text import json_document
+
+    schema = "id string, n int, f double, ok boolean, empty array<int>, list array<string>, inner struct<a: string, b: struct<c: bigint>>, rows array<struct<x: int, y: double>>"
+    rows = [
+        {"id": 'q"\\/\n\t\x01\x1f\x7fé日😀 ', "n": -3, "f": 0.12346, "ok": True, "empty": [], "list": ["a", None, ""], "inner": {"a": None, "b": {"c": 2**40}}, "rows": [{"x": 1, "y": 1.0}, {"x": None, "y": 0.0001}]},
+        {"id": None, "n": None, "f": 100.0, "ok": False, "empty": None, "list": None, "inner": {"a": None, "b": None}, "rows": [{"x": None, "y": None}]},
+    ]
+
+    def plain(v):
+        if isinstance(v, dict):
+            return {k: plain(x) for k, x in v.items() if x is not None}
+        return [plain(x) for x in v] if isinstance(v, list) else round(v, 4) if isinstance(v, float) else v
+
+    table = spark.createDataFrame(rows, schema)
+    kind = T.DataType.fromDDL(schema)
+    got = [r.j for r in table.select(json_document(F.struct("*"), kind).alias("j")).collect()]
+    assert got == [json.dumps(plain(r), indent=2, ensure_ascii=False) + "\n" for r in rows]
+
+
+def test_manifest_files(spark):
+    import json
+
+    doc = {
+        "stmVersion": "0.2", "id": "a-title", "title": "Ä \"quoted\"", "durationMs": 5,
+        "source": {"publisher": "p", "url": "u", "licence": "l", "attribution": "a"},
+        "video": {"main": {"url": "m.mp4", "width": 4, "height": 2, "codec": "h264"}, "poster": "p.jpg"},
+        "signLanguage": [{"language": "ase", "languageLabel": "A", "provenance": "human-interpreter",
+                          "extraction": {"method": "detected-crop", "sourceLayout": "corner-inset", "confidence": 0.87654321, "cropRect": {"x": 0, "y": 0, "w": 2, "h": 2}, "fillMethod": "none"},
+                          "track": {"url": "t", "width": 1, "height": 1, "codec": "h264", "syncOffsetMs": 0}, "activity": {"intervalMs": 200, "scale": "title-p95", "values": [0, 100]}}],
+        "captions": [],
+    }
+    parsed = manifests.parse_manifests(spark.createDataFrame([(1, json.dumps(doc))], "doc_id long, json string"))
+    text = parsed.select(manifests.manifest_text(F.col("m")).alias("t")).first().t
+    doc["signLanguage"][0]["extraction"]["confidence"] = 0.8765
+    assert text == json.dumps(doc, indent=2, ensure_ascii=False) + "\n"
+    again = manifests.validate(spark.createDataFrame([(1, text)], "doc_id long, json string"))
+    assert again.count() == 0
+
+
+def test_written_rows_and_tables(spark):
+    from cuegrid.operators import reports
+
+    rect_ = {"x": 0, "y": 0, "w": 2, "h": 4}
+    clips = spark.createDataFrame(
+        [("a/very/long/" + "n" * 40 + ".mp4", None, "side-panel", "right", 0.75, 15.26, 3592.46, 0.0, "excellent", 1, 640, 360, 61.5, 0.2, rect_), ("b.mp4", "OSError: no", None, None, None, None, None, None, "unusable", 5, 0, 0, None, None, None), ("c.mp4", None, "corner-inset", None, 0.125, 1.0, 2.0, 0.12345, "good", 2, 64, 36, 5.0, 0.25, rect_)],
+        "clip string, error string, layout string, edge string, confidence double, detail double, motion double, difficulty double, verdict string, rank int, width int, height int, duration_s double, size_frac double, rect struct<x:int,y:int,w:int,h:int>",
+    )
+    lines = [r.line for r in reports.triage_lines(clips).orderBy("place").collect()]
+    want = [
+        f"{'n' * 30:30} {'excellent':10} {'side-panel/right':13} {0.0:5.2f} {0.75:5.2f} {0.2:5.2f} {15.26:7.1f} {3592.46:7.1f} {61.5:6.0f}s",
+        f"{'c.mp4':30} {'good':10} {'corner-inset':13} {0.12345:5.2f} {0.125:5.2f} {0.25:5.2f} {1:7.1f} {2:7.1f} {5:6.0f}s",
+        f"{'b.mp4':30} {'unusable':10} OSError: no",
+    ]
+    assert lines == want
+    rows = {r.clip: r for r in reports.triage_rows(clips).collect()}
+    assert rows["c.mp4"].fillDifficulty == 0.123 and rows["c.mp4"].resolution == "64x36" and rows["b.mp4"].resolution is None
+    scores = spark.createDataFrame([("x" * 45, 0.98765, True, None, None, None, 2.06, None), ("y", 0.0, False, False, 0.9, "side-panel", 1.0, "gone")], "clip string, iou double, passed boolean, face_contained boolean, confidence double, layout string, seconds double, error string")
+    got = {r.clip[0]: r.line for r in reports.score_lines(scores).collect()}
+    assert got["x"] == f"{'…' + 'x' * 39:40} {0.98765:6.3f} {'ok':>5} {'-':>5} {'-':>5} {'-':13} {2.06:6.1f}"
+    assert got["y"] == f"{'y':40} {0.0:6.3f} {'FAIL':>5} {'NO':>5} 0.90 {'side-panel':13} {1.0:6.1f}  gone".replace(" 0.90", f" {'0.90':>5}")
+    assert {r.iou for r in reports.score_rows(scores).collect()} == {0.9876, 0.0} or {r.iou for r in reports.score_rows(scores).collect()} == {0.9877, 0.0}
+    features = spark.createDataFrame(
+        [(1, 0, 7, [1.25, 2.0, 3.04, 4.0], 0.56789, 0.012345, 0.5, 0.1, None, 0.0, 0.61, True, "ok"), (1, 1, 2, [0.0] * 4, 0.1, 0.0, 1.0, 0.6, 12.3456, 1.0, 0.3, False, "too brief; too large")],
+        "title_id long, cluster_id int, n_boxes long, mean_box array<double>, persistence double, centre_std double, stability double, size_frac double, motion_ratio double, motion_score double, score double, eligible boolean, reason string",
+    )
+    ranked = detections.rank_clusters(features)
+    lines = [r.line for r in reports.cluster_lines(ranked, detections.choose_signer(features.withColumn("confidence", F.lit(1.0)))).orderBy("rank").collect()]
+    assert lines == [f"{'*':2}{0:>3} {7:>6} {0.56789:7.2f} {0.5:6.2f} {0.1:5.2f}    n/a {0.61:5.2f}  ok", f"{' ':2}{1:>3} {2:>6} {0.1:7.2f} {1.0:6.2f} {0.6:5.2f} {12.3456:7.2f} {0.3:5.2f}  too brief; too large"]
+    assert reports.cluster_rows(features).orderBy("clusterId").first().meanBox == [1.2, 2.0, 3.0, 4.0]
+    track = spark.createDataFrame([(1, b, 10 * b, 1.23456) for b in range(4)], "title_id long, bucket int, level int, top double")
+    assert tuple(reports.activity_rows(track, 500).first()) == (1, 500, "title-p95", 4, 1.235, 0.5)
+    assert one(spark, reports.generated_by("speech", F.lit("small"))) == "faster-whisper-small" and one(spark, reports.generated_by("rewrite", F.lit("m"))) == "amazon-bedrock:m"
+
+
+def test_an_empty_strong_element_is_no_speaker(spark):
+    page = '<p id="orscontributions_1"><strong> </strong>Not a name</p><p>lost</p><p id="orscontributions_2"><strong>Ann</strong></p><p>kept</p><p id="orscontributions_3">Bob</p><p>too</p>'
+    got = transcript.contributions(spark.createDataFrame([(1, page)], "page_id long, html string")).collect()
+    assert sorted((r.speaker, tuple(r.paragraphs)) for r in got) == [("Ann", ("kept",)), ("Bob", ("too",))]
