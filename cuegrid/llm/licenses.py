@@ -1,10 +1,10 @@
 """License scans by sentence rules (operator 5), in DataFrame functions only.
 
-A text is cut into sentences, twice: at line ends too (short notices), and at blank lines only
-(wrapped license texts).  A sentence is normalised (lower case, everything but a-z and 0-9 to one
-space, ``licence`` to ``license``) and looked up among known license sentences.  The identifiers
-found, in order, are matched against ordered rules: a license is found where a rule's identifiers
-follow each other in the sequence.  Known sentences and rules are parameters.
+Comment marks at the beginnings of lines go, blank lines (also those of comments) end paragraphs, and paragraphs are cut into sentences.
+A sentence is normalised (lower case, everything but a-z and 0-9 to one space, ``licence`` to ``license``) and read for known
+license sentences, as a whole or as words within it, longest first.  The identifiers
+found, in order, are matched against ordered rules, longest first: a license is found where a rule's identifiers
+follow each other, and what a rule has matched is not matched again by a shorter one.  Known sentences and rules are parameters.
 """
 
 from __future__ import annotations
@@ -67,6 +67,8 @@ RULES = [
     ("CC-BY-SA-4.0", ["cc-by-sa-4"]),
     ("CC0-1.0", ["cc0"]),
     ("BSD", ["bsd-redistribute"]),
+    ("BSD-2-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary"]),
+    ("BSD-3-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary", "bsd-names"]),
 ]
 
 #: Licenses by SPDX identifier (of the public SPDX license list) and the names that notices give them, as normalised.
@@ -92,7 +94,7 @@ NAMES = {
     "CC-BY-NC-4.0": ["cc by nc 4 0", "creative commons attribution noncommercial 4 0 international license"],
 }
 #: How a notice leads up to a name, with and without an article.
-LEADS = ["licensed under", "released under", "distributed under", *(f"this {x} is licensed under" for x in ("work", "project", "software", "file", "program"))]
+LEADS = ["licensed under", "released under", "distributed under", "available under", *(f"this {x} is licensed under" for x in ("work", "project", "software", "file", "program"))]
 
 
 def _named() -> tuple[dict[str, str], list[tuple[str, list[str]]]]:
@@ -112,8 +114,21 @@ def _named() -> tuple[dict[str, str], list[tuple[str, list[str]]]]:
 
 NAMED, NAMED_RULES = _named()
 
-#: Sentences that other known ones are parts of, and of whole license texts, as published; not in the SQL.
+#: Sentences that other known ones are parts of, and of whole license texts, as published.
 JOINED = {
+    "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+    "bsd-binary": (
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+        "disclaimer in the documentation and or other materials provided with the distribution"
+    ),
+    "bsd-names": "may be used to endorse or promote products derived from this software without specific prior written permission",
+    "gpl2-only": (
+        "under the terms of the gnu general public license version 2 as published by the free software foundation"
+    ),
+    "gpl3-only": (
+        "under the terms of the gnu general public license version 3 as published by the free software foundation"
+    ),
+    "0bsd-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
     "apache-notice": (
         "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"
     ),
@@ -148,6 +163,9 @@ JOINED = {
 JOINED_RULES = [
     ("Apache-2.0", ["apache-notice"]),
     ("GPL-2.0", ["gpl2-free"]),
+    ("GPL-2.0", ["gpl2-only"]),
+    ("GPL-3.0", ["gpl3-only"]),
+    ("0BSD", ["0bsd-grant"]),
     ("LGPL-3.0", ["lgpl3-free"]),
     ("LGPL-2.1", ["lgpl21-free"]),
     ("AGPL-3.0", ["agpl3-free"]),
@@ -157,13 +175,13 @@ JOINED_RULES = [
     ("Unlicense", ["unlicense-domain"]),
 ]
 
-#: Every known sentence but gpl-hope holds one of these (a cheap test before normalising).
-CUE = "(?i)licen[cs]e|permission|copyright|redistribut|cc0|released under|distributed under"
-_CUE = CUE + "|warranty|public domain"
-_END = r"[.!?:]+(\s|$)"
-#: A colon ends a sentence only where the whole one is unknown.
-_FULL_END = r"[.!?]+(\s|$)"
-#: A tag whose colon doesn't end a sentence.
+#: Every known sentence holds one of these (a cheap test before normalising).
+CUE = "(?i)licen[cs]e|permission|copyright|redistribut|cc0|released under|distributed under|available under|warranty|public domain"
+_END = r"[.!?]+(\s|$)"
+_BLANK = r"\n[ \t\r]*\n"
+#: Marks in front of a comment's lines.
+_MARK = r"(^|\n)[ \t]*(//+!?|#+|/\*+|\*+/?|--+|;+|%+|<!--+|'''|dnl|REM)[ \t]?"
+#: A tag whose colon or hyphens don't matter.
 _TAG = "(?i)(spdx-licen[cs]e-identifier):"
 
 
@@ -172,24 +190,27 @@ def normalised(sentence: Column) -> Column:
     return F.replace(plain, F.lit("licence"), F.lit("license"))
 
 
-def _identifiers(sentences: Column, known: dict[str, str]) -> Column:
-    table = F.create_map(*[F.lit(x) for name, text in known.items() for x in (text, name)])
-    found = lambda parts: F.filter(F.transform(parts, lambda s: F.try_element_at(table, normalised(s))), lambda x: x.isNotNull())
-    cued = F.filter(sentences, lambda s: s.rlike(_CUE))
+def _pattern(known: dict[str, str]) -> str:
+    """Any known sentence as whole words, longer ones first."""
+    return rf"\b(?:{'|'.join(sorted(known.values(), key=lambda t: (-len(t), t)))})\b"
+
 
-    def read(s: Column) -> Column:
-        whole = found(F.array(s))
-        return F.when(s.rlike(_END) & (F.size(whole) == 0), found(F.split(s, _END))).otherwise(whole)
+def sentence_identifiers(text: Column, known: dict[str, str]) -> Column:
+    """The identifiers of the known sentences of a text, in order."""
+    plain = F.regexp_replace(F.regexp_replace(text, _TAG, "$1"), _MARK, "$1")
+    paragraphs = F.regexp_replace(F.regexp_replace(plain, _BLANK, "\u0001"), "\n", " ")
+    cued = F.filter(F.split(F.regexp_replace(paragraphs, _END, "\u0001"), "\u0001"), lambda s: s.rlike(CUE))
+    hits = F.flatten(F.transform(cued, lambda s: F.regexp_extract_all(normalised(s), F.lit(_pattern(known)), F.lit(0))))
+    table = F.create_map(*[F.lit(x) for name, text_ in known.items() for x in (text_, name)])
+    return F.transform(hits, lambda h: F.element_at(table, h))
 
-    return F.flatten(F.transform(cued, read))
 
+def _longest_first(rules: list[tuple[str, list[str]]]) -> list[tuple[str, list[str]]]:
+    return sorted((r for r in rules if len(r[1]) > 1), key=lambda r: -len(r[1]))
 
-def sentence_identifiers(text: Column, known: dict[str, str]) -> tuple[Column, Column]:
-    """Identifiers in order, of lines' sentences and of paragraphs' sentences."""
-    text = F.regexp_replace(text, _TAG, "$1")
-    lines = F.split(F.regexp_replace(text, _FULL_END, "\n"), "\n")
-    paragraphs = F.split(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\n[ \t\r]*\n", "\u0001"), "\n", " "), _FULL_END, "\u0001"), "\u0001")
-    return _identifiers(lines, known), _identifiers(paragraphs, known)
+
+def _chain(ids: list[str]) -> str:
+    return "".join(f"<{i}>" for i in ids)
 
 
 def scan_licenses(
@@ -197,56 +218,51 @@ def scan_licenses(
 ) -> DataFrame:
     """doc_id, n_sentences, sentence_ids and licenses of every row of ``docs(doc_id, text)``.
 
-    sentence_ids are the identifiers of the lines' sentences, comma-joined in order; n_sentences
-    is their number; licenses are the names of the rules that match either sequence, sorted,
+    sentence_ids are the identifiers of known sentences, comma-joined in order; n_sentences
+    is their number; licenses are the names of the rules that match them, sorted,
     each once, comma-joined.  Null, empty and blank texts and texts without known sentences have 0
     and empty strings.  Repeated rows are answered each; a null doc_id stays null; an empty table
     gives an empty result; other columns are ignored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast("array<string>")
-    lines, paragraphs = sentence_identifiers(text, known)
-    has = text.rlike(_CUE)
-    rows = docs.select(
-        "doc_id", F.when(has, lines).otherwise(none).alias("lines"), F.when(has, paragraphs).otherwise(none).alias("paragraphs")
-    )
+    rows = docs.select("doc_id", F.when(text.rlike(CUE), sentence_identifiers(text, known)).otherwise(none).alias("ids"))
+    chain = F.when(F.size("ids") > 0, F.concat(F.lit("<"), F.array_join("ids", "><"), F.lit(">"))).otherwise("")
+    found = []
+    for name, ids in _longest_first(rules):
+        found.append(F.when(F.contains(chain, F.lit(_chain(ids))), name))
+        chain = F.replace(chain, F.lit(_chain(ids)), F.lit("|"))
     alone = {ids[0]: name for name, ids in rules if len(ids) == 1}
     table = F.create_map(*[F.lit(x) for pair in alone.items() for x in pair]) if alone else F.lit(None).cast("map<string,string>")
-    single = F.transform(F.concat("lines", "paragraphs"), lambda i: F.try_element_at(table, i))
-    chained = lambda c: F.concat(F.lit(","), F.array_join(c, ","), F.lit(","))
-    found = [
-        F.when(F.contains(chained("lines"), F.lit(f",{','.join(ids)},")) | F.contains(chained("paragraphs"), F.lit(f",{','.join(ids)},")), name)
-        for name, ids in rules
-        if len(ids) > 1
-    ]
-    found = F.concat(single, F.array(*found)) if found else single
-    licenses = F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull())))
+    rest = F.regexp_extract_all(chain, F.lit("<([^>]+)>"), F.lit(1))
+    all_ = F.concat(F.array(*found).cast("array<string>"), F.transform(rest, lambda i: F.try_element_at(table, i)))
+    licenses = F.array_sort(F.array_distinct(F.filter(all_, lambda x: x.isNotNull())))
     return rows.select(
         "doc_id",
-        F.size("lines").cast("long").alias("n_sentences"),
-        F.array_join("lines", ",").alias("sentence_ids"),
-        F.array_join(licenses, ",").alias("licenses"),
+        F.size("ids").cast("long").alias("n_sentences"),
+        F.array_join("ids", ",").alias("sentence_ids"),
+        F.when(F.size("ids") > 0, F.array_join(licenses, ",")).otherwise("").alias("licenses"),
     )
 
 
-def oracle_sql(known: dict[str, str] = SENTENCES | NAMED, rules: list[tuple[str, list[str]]] = RULES + NAMED_RULES) -> str:
+def oracle_sql(known: dict[str, str] = SENTENCES | NAMED | JOINED, rules: list[tuple[str, list[str]]] = RULES + NAMED_RULES + JOINED_RULES) -> str:
     """The same in DuckDB SQL."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
     table = f"MAP {{{', '.join(f"'{text}': '{name}'" for name, text in known.items())}}}"
-    ids = lambda parts: (
-        f"list_filter(list_transform(list_filter({parts}, lambda s: regexp_matches(s, '{CUE}')), lambda s: "
-        f"known[replace(trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')), 'licence', 'license')]), lambda x: x is not null)"
-    )
-    lines = f"string_split(regexp_replace(t, '{_END}', chr(10), 'g'), chr(10))"
-    flat = r"replace(regexp_replace(t, '\n[ \t\r]*\n', chr(1), 'g'), chr(10), ' ')"
-    paragraphs = f"string_split(regexp_replace({flat}, '{_END}', chr(1), 'g'), chr(1))"
-    matched = ", ".join(
-        f"case when contains(l, ',{','.join(i)},') or contains(p, ',{','.join(i)},') then '{name}' end" for name, i in rules if len(i) > 1
-    )
     single = f"MAP {{{', '.join(f"'{i[0]}': '{name}'" for name, i in rules if len(i) == 1)}}}"
+    norm = "replace(trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')), 'licence', 'license')"
+    flat = f"replace(regexp_replace(t, '{_BLANK}', chr(1), 'g'), chr(10), ' ')"
+    cued = f"list_filter(string_split(regexp_replace({flat}, '{_END}', chr(1), 'g'), chr(1)), lambda s: regexp_matches(s, '{CUE}'))"
+    hits = f"flatten(list_transform({cued}, lambda s: regexp_extract_all({norm}, '{_pattern(known)}')))"
+    chain, found = "c", []
+    for name, ids in _longest_first(rules):
+        found.append(f"case when contains({chain}, '{_chain(ids)}') then '{name}' end")
+        chain = f"replace({chain}, '{_chain(ids)}', '|')"
     return f"""
-    with d as (select doc_id, regexp_replace(coalesce(text, ''), '{_TAG}', '\\1', 'g') as t, {table} as known, {single} as singles from documents),
-    e as (select doc_id, singles, {ids(lines)} as a, {ids(paragraphs)} as b from d),
-    f as (select doc_id, a, list_transform(list_concat(a, b), lambda i: singles[i]) as s, ',' || array_to_string(a, ',') || ',' as l, ',' || array_to_string(b, ',') || ',' as p from e)
-    select doc_id, cast(len(a) as bigint) as n_sentences, array_to_string(a, ',') as sentence_ids,
-           array_to_string(list_sort(list_distinct(list_filter(list_concat(s, [{matched}]), lambda x: x is not null))), ',') as licenses
-    from f"""
+    with d as (select doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '{_TAG}', '\\1', 'g'), {quoted(_MARK)}, '\\1', 'g') as t, {table} as known, {single} as singles from documents),
+    e as (select doc_id, singles, list_transform({hits}, lambda h: known[h]) as ids from d),
+    f as (select *, array_to_string(list_transform(ids, lambda i: '<' || i || '>'), '') as c from e),
+    g as (select *, list_concat([{', '.join(found)}], list_transform(regexp_extract_all({chain}, '<([^>]+)>', 1), lambda i: singles[i])) as names from f)
+    select doc_id, cast(len(ids) as bigint) as n_sentences, array_to_string(ids, ',') as sentence_ids,
+           array_to_string(list_sort(list_distinct(list_filter(names, lambda x: x is not null))), ',') as licenses
+    from g"""

@@ -469,6 +469,39 @@ def test_license_names_and_texts(spark):
     assert len(rows) == 10 and {r.doc_id: r.licenses for r in rows} == {i: x for i, (_, x) in texts.items()}
 
 
+def test_standard_notices_in_comments(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details."
+    mit = 'Copyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n'
+    bsd = "Copyright 2021 The Authors. All rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n"
+    three = bsd + "\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n"
+    lead = lambda mark, text: "\n".join((mark + " " + x).rstrip() for x in text.split("\n"))
+    cases = {
+        lead("#", "Copyright (C) 2019 A\n\n" + gpl): "GPL-3.0", lead("//", mit): "MIT", "/*\n" + lead(" *", mit) + " */": "MIT", lead("--", gpl): "GPL-3.0",
+        "The code is licensed under the MIT License.": "MIT", "Available under the Apache License, Version 2.0": "Apache-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.": "GPL-2.0",
+        lead("#", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."): "0BSD",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.": "ISC",
+        bsd: "BSD-2-Clause", three: "BSD-3-Clause", lead("//", three): "BSD-3-Clause", three + "\n\n" + bsd: "BSD-2-Clause,BSD-3-Clause", "A permission slip and a copyright": "",
+        "word " * 400_000 + "\n\n// Licensed under the MIT License": "MIT",
+    }
+    texts = dict(enumerate(cases))
+    table = docs(spark, texts).withColumn("ids", F.lit("clash")).withColumn("licenses", F.lit("clash"))
+    assert {r.doc_id: r.licenses for r in licenses.scan_licenses(table).collect()} == dict(enumerate(cases.values()))
+
+
+def test_license_sql_says_the_same(spark):
+    import duckdb
+
+    rng = random.Random(4)
+    known = list((licenses.SENTENCES | licenses.NAMED | licenses.JOINED).values())
+    bits = ["// ", "# ", " * ", "\n", "\n\n", ". ", ": ", ", ", "The Licence.", "SPDX-License-Identifier: MIT", " and ", "(c) 2020", "É", "--- "]
+    texts = ["".join(rng.choice(known).title() if rng.random() < 0.4 else rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").toPandas()  # noqa: F841
+    want = sorted(duckdb.sql(licenses.oracle_sql()).fetchall())
+    assert sorted(map(tuple, licenses.scan_licenses(docs(spark, dict(enumerate(texts)))).collect())) == want
+    assert sum(bool(r[3]) for r in want) > 200
+
+
 # Operator 6
 
 
