@@ -2,7 +2,7 @@
 
 Base rules find assignments, access keys and long hexadecimal strings.  The method adds strings
 that no rule names.  Candidates are runs of 20 and more characters of ``[A-Za-z0-9+/_=-]``.  Each
-gets an encoding from its characters (hexadecimal, base 32, 36 or 64, or letters) and, over that
+gets an encoding from its characters (hexadecimal, base 32, 36, 62 or 64, letters of both cases, or letters) and, over that
 alphabet,
 
 * a chi-squared test of uniformity,
@@ -52,6 +52,8 @@ ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "base52": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "letters": "abcdefghijklmnopqrstuvwxyz",
 }
@@ -84,9 +86,11 @@ def _encoding(token: Column) -> Column:
     bare = F.regexp_replace(token, "[=_+/-]", "")
     return (
         F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
-        .when(bare.rlike("^([a-z]+|[A-Z]+|[A-Z][a-z]+|[A-Za-z]*[a-z]{8}[A-Za-z]*)$"), "letters")
+        .when(bare.rlike("^([a-z]+|[A-Z]+|[A-Z][a-z]+|(?=.{1,39}$)[A-Za-z]*[a-z]{8}[A-Za-z]*)$"), "letters")
         .when(token.rlike("^[A-Z2-7]+=*$"), "base32")
-        .when(bare.rlike("^[0-9a-z]+$"), "base36")
+        .when(bare.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), "base36")
+        .when(token.rlike("^[A-Za-z]+$"), "base52")
+        .when(token.rlike("^[A-Za-z0-9]+$"), "base62")
         .otherwise("base64")
     )
 
@@ -98,7 +102,7 @@ def token_tests(token: Column) -> Column:
         F.when(encoding == "hex", F.lower(token))
         .when(encoding == "letters", F.lower(F.regexp_replace(token, "[^A-Za-z]", "")))
         .when(encoding == "base32", F.regexp_replace(token, "=", ""))
-        .when(encoding == "base36", F.regexp_replace(token, "[^0-9a-z]", ""))
+        .when(encoding == "base36", F.lower(F.regexp_replace(token, "[^0-9A-Za-z]", "")))
         .otherwise(F.translate(F.regexp_replace(token, "=+$", ""), "-_=", "+/"))
     )
     table = F.create_map(*[F.lit(x) for pair in ALPHABETS.items() for x in pair])

@@ -137,12 +137,16 @@ def encoding(token):
     bare = re.sub("[=_+/-]", "", token)
     if re.fullmatch("[0-9a-f]+|[0-9A-F]+", token):
         return "hex", token.lower()
-    if re.fullmatch("[a-z]+|[A-Z]+|[A-Z][a-z]+|[A-Za-z]*[a-z]{8}[A-Za-z]*", bare):
+    if re.fullmatch("[a-z]+|[A-Z]+|[A-Z][a-z]+|(?=.{1,39}$)[A-Za-z]*[a-z]{8}[A-Za-z]*", bare):
         return "letters", re.sub("[^A-Za-z]", "", token).lower()
     if re.fullmatch("[A-Z2-7]+=*", token):
         return "base32", token.replace("=", "")
-    if re.fullmatch("[0-9a-z]+", bare):
-        return "base36", re.sub("[^0-9a-z]", "", token)
+    if re.fullmatch("[0-9a-z]+|[0-9A-Z]+", bare):
+        return "base36", re.sub("[^0-9A-Za-z]", "", token).lower()
+    if re.fullmatch("[A-Za-z]+", token):
+        return "base52", token
+    if re.fullmatch("[A-Za-z0-9]+", token):
+        return "base62", token
     return "base64", token.rstrip("=").translate(str.maketrans("-_=", "+/ ")).replace(" ", "")
 
 
@@ -231,6 +235,25 @@ def test_randomness_battery(spark):
     assert len(found - set(planted)) <= 0.02 * len(found)
 
 
+def test_power_by_encoding(spark):
+    """What is found of planted strings in encodings of letters and digits, and that letters alone are never declared."""
+    rng = random.Random(21)
+    upper, lower_ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    planted = {}
+    for name, alphabet in {"BASE36": "0123456789" + upper, "base62": "0123456789" + upper + lower_, "base52": upper + lower_, "letters": lower_}.items():
+        for size in (20, 22, 32, 40, 64, 128):
+            for _ in range(40):
+                planted["".join(rng.choice(alphabet) for _ in range(size))] = name, size
+    texts = dict(enumerate([f"see {t} there" for t in [*planted, *ordinary_names(rng, 600)]]))
+    found = {t for i in {r.doc_id for r in secrets.scan_secrets(docs(spark, texts)).where("n_random > 0").collect()} for t in re.findall("[A-Za-z0-9+/_=-]{20,}", texts[i])}
+    power = Counter(planted[t] for t in found if t in planted)
+    print(sorted(power.items()), len(found - set(planted)))
+    least = {"BASE36": 36, "base62": 30}
+    assert all(power[k] >= least[k[0]] for k in set(planted.values()) if k[0] in least), power
+    assert all(power["base52", n] >= 36 for n in (40, 64, 128)) and not any(power["letters", n] for n in (20, 128)), power
+    assert len(found - set(planted)) <= 0.02 * len(found)
+
+
 def test_redaction_keeps_columns_of_any_name(spark):
     rows = [(1, 'x token = "abcdef0123" y', 7, "k", 3), (2, None, 8, "l", 4), (2, None, 8, "l", 4), (None, "", 9, "m", 5)]
     data = spark.createDataFrame(rows, "doc_id long, text string, __base int, found string, `a.b` int")
