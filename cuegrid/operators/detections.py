@@ -77,17 +77,41 @@ def detection_rows(detections: DataFrame) -> DataFrame:
     return detections.select(*(F.col(c).cast(kinds.get(c, "double")).alias(c) for c in columns))
 
 
+def overlap_groups(boxes: DataFrame, rounds: int = 1) -> DataFrame:
+    """Adds ``part``: boxes of a title in different parts are apart, and so is all that lies between boxes of one part.
+
+    Each round cuts a part where no box covers a place, from left to right and then from top to bottom (running
+    ends over a window), so the parts' bounding boxes don't overlap.
+    """
+    rows = boxes.withColumn("part", F.array().cast("array<long>"))
+    for low, high in [("x1", "x2"), ("y1", "y2")] * rounds:
+        order = Window.partitionBy("title_id", "part").orderBy(F.col(low).asc_nulls_first())
+        reached = F.max(high).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        rows = rows.withColumn("free", F.coalesce(F.col(low) >= reached, F.lit(False)).cast("long"))
+        island = F.sum("free").over(order.rowsBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumn("island", island).withColumn("part", F.array_append("part", F.col("island")))
+    return rows.drop("free", "island")
+
+
 def cluster_detections(detections: DataFrame, min_iou: float = 0.3, smoothing: float = 0.2) -> DataFrame:
     """Greedy tracking: adds cluster_id, in order of creation within a title.
 
-    Frames in order; every box and open cluster with an IoU of at least ``min_iou`` is a candidate,
+    Frames in order; every box and open cluster with an IoU of at least ``min_iou`` (above 0) is a candidate,
     taken best first (ties: higher box, then higher cluster) if both are free; a cluster's box moves
-    towards what it takes; boxes left over open clusters.  The order makes a title sequential;
-    titles are parallel.  A title's detections must fit in one task's memory; cuegrid.streaming.tracking
-    tracks titles that grow, frame by frame, with the open clusters as its only state.
+    towards what it takes; boxes left over open clusters.
+
+    A cluster's box stays within its boxes' bounds, so parts of the picture that no box joins (:func:`overlap_groups`) don't touch each
+    other: each part of a title is a task's group of its own, sequential in itself, and clusters are numbered by their
+    first boxes afterwards.  cuegrid.streaming.tracking tracks titles that grow, with the open clusters as its only state.
     """
     track = lambda pdf: track_frames(pdf, OpenClusters(), min_iou, smoothing)
-    return detection_rows(detections).groupBy("title_id").applyInPandas(track, CLUSTERED)
+    found = overlap_groups(detection_rows(detections)).groupBy("title_id", "part").applyInPandas(track, f"{CLUSTERED}, part array<long>")
+    found = found.withColumnRenamed("cluster_id", "own")
+    clusters = found.groupBy("title_id", "part", "own").agg(F.min(F.struct("frame_idx", "box_no")).alias("first"))
+    number = F.row_number().over(Window.partitionBy("title_id").orderBy("first")) - 1
+    named = clusters.select("title_id", "part", "own", number.alias("cluster_id"))
+    columns = [c.split()[0] for c in CLUSTERED.split(", ")]
+    return found.join(named, ["title_id", "part", "own"]).select(*columns)
 
 
 def cluster_features(clustered: DataFrame, frames: DataFrame, frame_w: int, frame_h: int) -> DataFrame:

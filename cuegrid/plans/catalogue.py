@@ -11,7 +11,7 @@ from cuegrid.functions import geometry as g
 from cuegrid.functions import text as tx
 from cuegrid.operators import activity, align, analysis, captions, decide, detections, harness, manifests, media_plan, pixels, reports, transcript
 from cuegrid.plans import adapters as ad
-from cuegrid.sources import listing
+from cuegrid.sources import listing, lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -774,6 +774,25 @@ def source_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.substring("id", 3, 20).alias("id"), "caption_language", "media", F.size("faults").alias("faults"))
 
 
+@register(
+    "select 'lists/' || n_nationkey || '.yaml' as file, cast(row_number() over (partition by s_nationkey order by s_suppkey) - 1 as int) as pos, 's-' || s_suppkey as id, s_name as title, "
+    "case when s_suppkey % 3 = 0 then 'de' else 'en' end as caption_language, case when s_suppkey % 2 = 0 then s_suppkey % 100 end as x, cast(len(case when s_suppkey % 4 = 0 then ['a'] else [] end) as int) as faults "
+    "from supplier join nation on s_nationkey = n_nationkey"
+)
+def source_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source lists in YAML, one a nation, with defaults and faults."""
+    k = F.col("s_suppkey")
+    text = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+    entry = text(
+        "- id: s-", k, "\n  title: ", F.col("s_name"), "\n  url: https://x.org/", k, "\n  publisher: p\n  licence: CC", F.when(k % 4 != 0, "\n  attribution: them").otherwise(""),
+        F.when(k % 3 == 0, "\n  caption_language: de").otherwise(""), F.when(k % 2 == 0, text("\n  layout: corner-inset\n  crop_rect: {x: ", k % 100, ", y: 0, w: 4, h: 4}")).otherwise(""), "\n",
+    )
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", entry.alias("e")))), lambda x: x["e"])
+    lists_ = ad.table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.concat(F.lit("sources:\n"), F.array_join(ordered, "")).alias("text"))
+    out = listing.with_defaults(lists.parse_lists(lists_.select(text("lists/", F.col("s_nationkey"), ".yaml").alias("file"), "text")))
+    return out.select("file", "pos", "id", "title", "caption_language", F.col("crop_rect.x").alias("x"), F.size("faults").alias("faults"))
+
+
 _DOCS = """o as (select o_orderkey as k, min(round(o_totalprice * 100)::bigint) as cents, min(o_orderpriority) as p, min(o_custkey) as c from orders group by 1)"""
 _EACH = "(select unnest([0, 1]) as i) where k % 23 <> 7 and (i = 0 or k % 5 = 1)"
 _ISSUES = f"""{_DOCS}, shape as (

@@ -930,3 +930,67 @@ def test_an_empty_strong_element_is_no_speaker(spark):
     page = '<p id="orscontributions_1"><strong> </strong>Not a name</p><p>lost</p><p id="orscontributions_2"><strong>Ann</strong></p><p>kept</p><p id="orscontributions_3">Bob</p><p>too</p>'
     got = transcript.contributions(spark.createDataFrame([(1, page)], "page_id long, html string")).collect()
     assert sorted((r.speaker, tuple(r.paragraphs)) for r in got) == [("Ann", ("kept",)), ("Bob", ("too",))]
+
+
+def test_list_files(spark, tmp_path):
+    from cuegrid.sources.lists import ListFiles
+
+    spark.dataSource.register(ListFiles)
+    entry = "- {id: %s, title: T, url: u, publisher: p, licence: l, attribution: a, crop_rect: {x: 1, y: 2, w: 3, h: 4}, layout: side-panel}\n"
+    (tmp_path / "a.yaml").write_text("sources:\n" + entry % "one" + entry % "two")
+    (tmp_path / "b.yaml").write_text("sources:\n" + entry % "one")
+    read = lambda name, kind="sources": spark.read.format("cue-lists").option("kind", kind).load(str(tmp_path / name))
+    both = read("*.yaml")
+    assert both.rdd.getNumPartitions() == 2
+    rows = sorted((r.file[-6:], r.pos, r.id, r.title, tuple(r.crop_rect), r.main_rect) for r in both.collect())
+    assert rows == [("a.yaml", 0, "one", "T", (1, 2, 3, 4), None), ("a.yaml", 1, "two", "T", (1, 2, 3, 4), None), ("b.yaml", 0, "one", "T", (1, 2, 3, 4), None)]
+    assert all(not r.faults for r in listing.with_defaults(both).collect())
+    (tmp_path / "c.yml").write_text("sources:\n" + entry % "two" + entry % "two")
+    (tmp_path / "d.yml").write_text("sources: {id: x}")
+    (tmp_path / "e.yml").write_text("clips:\n- {clip: sub/x.mp4, rect: {x: 0, y: 0, w: 2, h: 2}, face: {x: 0, y: 0, w: 1, h: 1}, notes: 7}\n- {clip: /abs/y.mp4, rect: {x: 0, y: 0, w: 2, h: 2}}")
+    (tmp_path / "f.yml").write_text("other: 1")
+    for name, message in (("c.yml", "two occurs twice"), ("d.yml", "must be a list"), ("f.yml", "must be a list")):
+        with pytest.raises(Exception, match=message):
+            read(name).collect()
+    clips = read("e.yml", "clips").orderBy("pos").collect()
+    assert [(r.clip, r.face and tuple(r.face), r.notes) for r in clips] == [(f"{tmp_path}/sub/x.mp4", (0, 0, 1, 1), "7"), ("/abs/y.mp4", None, None)]
+    assert read("f.yml", "clips").count() == 0
+
+
+def test_results_are_computed_once(spark, tmp_path):
+    from cuegrid.operators.incremental import outdated, update_results
+
+    path, computed = str(tmp_path / "results"), []
+
+    def compute(rows):
+        computed.append(sorted(r.id for r in rows.collect()))
+        return rows.select("id", F.upper("text").alias("made"))
+
+    table = lambda rows: spark.createDataFrame(rows, "id long, text string")
+    run = lambda rows: update_results(table(rows), compute, "id", F.sha2("text", 256), path, buckets=4)
+    held = lambda: {r.id: r.made for r in spark.read.parquet(path).collect()}
+    first = [(i, f"t{i}") for i in range(20)]
+    assert run(first) == 20 and held() == {i: f"T{i}" for i in range(20)}
+    files = set((tmp_path / "results").rglob("*.parquet"))
+    assert run(first) == 0 and set((tmp_path / "results").rglob("*.parquet")) == files
+    assert outdated(table(first), "id", F.sha2("text", 256), path).count() == 0
+    assert run([(3, "new"), (4, "t4"), (99, "more")]) == 2 and computed[-1] == [3, 99]
+    assert held() == {i: f"T{i}" for i in range(20)} | {3: "NEW", 99: "MORE"}
+    kept = files & set((tmp_path / "results").rglob("*.parquet"))
+    assert kept and len({f.parent for f in kept}) >= 2  # untouched buckets stay as they are
+    assert [p.name for p in tmp_path.iterdir()] == ["results"]
+
+
+def test_parts_are_tracked_apart(spark):
+    rng, rows = random.Random(14), []
+    spots = [(x, y) for x in (0, 100, 200) for y in (0, 150)] + [(230, 170)]
+    for f in range(30):
+        for b, (x, y) in enumerate(rng.sample(spots, rng.randint(0, len(spots)))):
+            x, y = x + rng.uniform(0, 30), y + rng.uniform(0, 30)
+            rows.append((f, b, (x, y, x + rng.uniform(20, 40), y + rng.uniform(20, 50))))
+    df = spark.createDataFrame([(t, f, b, *box, 1.0) for t in (7, 8) for f, b, box in rows], "title_id long, frame_idx long, box_no long, x1 double, y1 double, x2 double, y2 double, motion double")
+    parts = detections.overlap_groups(df)
+    assert parts.select("title_id", "part").distinct().count() == 2 * 6
+    want = naive_tracks(rows)
+    for t in (7, 8):
+        assert {(r.frame_idx, r.box_no): r.cluster_id for r in detections.cluster_detections(df).where(F.col("title_id") == t).collect()} == want
