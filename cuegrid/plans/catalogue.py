@@ -243,13 +243,20 @@ def rect_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, F.col("inner_k") == F.col("outer_k") + 1).where(g.contains(F.col("o"), F.col("i"))).select("outer_k", "inner_k")
 
 
+_SHAPES = f"""shapes as (select p_partkey as title_id, (p_partkey * 37) % {W - 20} as x, least(20 + p_partkey % 77, {W} - (p_partkey * 37) % {W - 20}) as w, p_size * 8 as h from part)"""
+
+
 @register(
-    f"with {_RECT}, c as (select title_id, x <= 16 as l, x + w >= {W - 16} as r, h >= 0.85 * {H} as tall from rects) "
+    f"with {_SHAPES}, c as (select title_id, x, w, x <= 16 as l, x + w >= {W - 16} as r, h >= 0.85 * {H} as tall from shapes) "
     "select title_id, case when (l or r) and tall then 'side-panel' else 'corner-inset' end as kind, "
-    "case when (l or r) and tall then case when l then 'left' else 'right' end end as edge from c"
+    f"case when (l or r) and tall then case when l then 'left' else 'right' end end as edge, case when (l or r) and tall then case when l then x + w else {W} - x end end as panel_w from c"
 )
 def layout_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pixels.classify_layout(_rects(spark, sf_dir), None, W, H).select("title_id", "kind", "edge")
+    """Rectangles of many places and heights; what is above and below them isn't known."""
+    k, s = F.col("p_partkey"), F.col("p_size")
+    x = (k * 37 % (W - 20)).cast("int")
+    shapes = ad.table(spark, sf_dir, "part").select(k.alias("title_id"), g.rect(x, F.lit(0), F.least((k % 77 + 20).cast("int"), W - x), s * 8).alias("rect"))
+    return pixels.classify_layout(shapes, None, W, H).select("title_id", "kind", "edge", F.col("panel.w").alias("panel_w"))
 
 
 @register()
@@ -572,7 +579,7 @@ def rewrite_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return captions.missing(ad.cues(spark, sf_dir), _parsed(spark, sf_dir)).select("title_id", "index")
 
 
-# The same on cues as they come from the adapter, by name.
+# Whole turns with notes, other line ends, replies of several lines and chunks of the usual size.
 
 
 @register()
@@ -583,25 +590,37 @@ def whole_cue_line_break(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    f"with {ad.WHOLE_CUES} select title_id, 'WEBVTT' || chr(10) || chr(10) || string_agg(case when identifier is null then '' else identifier || chr(10) end || {_TIMING} || chr(10) || text || chr(10), chr(10) order by index) as text from cues group by 1"
+    f"with {ad.CUES} select title_id, 'WEBVTT' || chr(10) || chr(10) || 'NOTE Written by a machine' || chr(10) || chr(10) || string_agg(case when identifier is null then '' else identifier || chr(10) end || {_TIMING} || chr(10) || text || chr(10), chr(10) order by index) as text from cues group by 1"
 )
 def whole_vtt_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captions.build_vtt(ad.whole_cues(spark, sf_dir))
+    """Files with a note in front."""
+    return captions.build_vtt(ad.cues(spark, sf_dir), "Written by a machine")
 
 
-@register(f"with {ad.WHOLE_CUES} select title_id, cast(row_number() over (partition by title_id order by index) as int) as index, start_s, end_s, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as text, identifier, settings from cues")
+@register(f"with {ad.CUES} select title_id, cast(row_number() over (partition by title_id order by index) as int) as index, start_s, end_s, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as text, identifier, settings from cues")
 def whole_vtt_parse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captions.parse_vtt(captions.build_vtt(ad.whole_cues(spark, sf_dir)))
+    """Files with a note and carriage returns."""
+    made = captions.build_vtt(ad.cues(spark, sf_dir), "Written by a machine")
+    return captions.parse_vtt(made.withColumn("text", F.replace("text", F.lit("\n"), F.lit("\r\n"))))
 
 
-@register(f"with {ad.WHOLE_CUES} select title_id, index, cast(floor((index - 1) / 3) as int) as chunk, '[' || index || '] (<=' || greatest(3, cast(floor((end_s - start_s) * 2) as int)) || ' words) ' || trim(regexp_replace(text, '\\s+', ' ', 'g')) as line from cues")
+@register(f"with {ad.CUES} select title_id, index, cast(floor((index - 1) / 40) as int) as chunk, '[' || index || '] (<=' || greatest(3, cast(floor((end_s - start_s) * 2) as int)) || ' words) ' || trim(regexp_replace(text, '\\s+', ' ', 'g')) as line from cues")
 def whole_word_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captions.chunks(ad.whole_cues(spark, sf_dir), 3).select("title_id", "index", "chunk", "line")
+    """What is asked of a rewriter, at most forty cues a request."""
+    return captions.chunks(ad.cues(spark, sf_dir)).select("title_id", "index", "chunk", "line")
+
+
+_SAID = r"array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda l: regexp_replace(l, '^\s+|\s+$', '', 'g')), lambda l: l <> ''), ' ')"
 
 
-@register(f"with {ad.WHOLE_CUES} select title_id, index, start_s, end_s, case when index % 4 <> 0 then {_PARSED} else text end as text, index % 4 <> 0 as rewritten from cues")
+@register(f"with {ad.CUES}, s as (select *, {_SAID} as said from cues) select title_id, index, start_s, end_s, case when index % 4 <> 0 then case when said = '' then '-' else said end else text end as text, index % 4 <> 0 as rewritten from s")
 def whole_rewrite_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = captions.merge_rewrites(ad.whole_cues(spark, sf_dir), _parsed(spark, sf_dir))
+    """Replies that give cues back whole, in as many lines as they have (a dash for a blank one)."""
+    cues = captions.chunks(ad.cues(spark, sf_dir))
+    line = F.concat(F.lit("["), F.col("index").cast("string"), F.lit("] "), F.when(tx.stripped(F.col("text")) == "", "-").otherwise(F.col("text")))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("index", line.alias("l")))), lambda x: x["l"])
+    replies = cues.where("index % 4 <> 0").groupBy("title_id", "chunk").agg(F.array_join(ordered, "\n").alias("reply"))
+    merged = captions.merge_rewrites(cues, captions.parse_replies(replies, cues))
     return merged.select("title_id", "index", "start_s", "end_s", "text", "rewritten")
 
 
