@@ -3,8 +3,12 @@
 import re
 from pathlib import Path
 
+from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
+
 import corpus_pipeline
 from cuegrid.llm.common import checkpoint_dir, read_table
+from cuegrid.llm.queries import PIECE_MODEL
 from tests.llm.test_operators import base_secrets, brute_components, shingles
 
 SF = "/root/testdata/sf0.001"
@@ -35,12 +39,15 @@ def test_stages(spark):
             assert all(r.n_chars == len(r.text) for r in rows.values() if r.text != before[r.doc_id])
         else:
             assert set(rows) == set(before) and all(r.round_trip for r in rows.values())
+            before_last = before
             break
         assert docs.columns == columns
         before = {i: r.text for i, r in rows.items()}
     where = Path(checkpoint_dir(spark))
     before = set(where.iterdir())
-    assert corpus_pipeline.run(spark, SF).count() == len(rows)
+    library = SentencePieceProcessor(model_file=PIECE_MODEL)
+    # run() gives what the stages gave one by one, each of which brute force has confirmed
+    assert {r.doc_id: list(r.ids) for r in corpus_pipeline.run(spark, SF).collect()} == {i: library.encode(t or "") for i, t in before_last.items()}
     left = set(where.iterdir()) - before
     assert len(left) == 1 and left.pop().name.startswith("pipeline-")
 
@@ -91,3 +98,13 @@ def test_stages_on_odd_and_empty_tables(spark):
             assert got.columns == docs.columns and 0 < count <= len(rows)
         if name == "secrets":
             assert sorted(r.text or "" for r in got.collect())[-1] == rows[2][1] and sum("[secret]" in (r.text or "") for r in got.collect()) == 2
+
+
+def test_quality_of_very_long_texts(spark):
+    """Batches are bounded by bytes, so long texts come one by one."""
+    docs = read_table(spark, SF, "documents")
+    long = docs.where("doc_id < 3").withColumn("text", F.repeat(F.concat("text", F.lit(" ")), F.ceil(F.lit(6_000_000) / F.length("text")).cast("int")))
+    long = long.withColumn("doc_id", F.col("doc_id") + 10_000_000)
+    got = corpus_pipeline.quality(spark, docs.unionByName(long), SF)
+    assert got.columns == docs.columns and got.count() > 0.5 * docs.count()
+    assert all(r.n >= 6_000_000 for r in got.where("doc_id >= 10000000").select(F.length("text").alias("n")).collect())
