@@ -903,6 +903,46 @@ def catalogue_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("customer", titles.alias("titles"), tx.content_sha256(F.col("json")).alias("digest"))
 
 
+def _lines_sql(*lines: str) -> str:
+    """Lines of a file; each is an SQL expression, null where it is left out."""
+    return f"array_to_string(list_filter([{', '.join(lines)}], lambda l: l is not null), chr(10))"
+
+
+def _member_sql(indent: int, name: str, value: str, last: bool = False) -> str:
+    return f"""'{' ' * indent}"{name}": ' || {value}{'' if last else " || ','"}"""
+
+
+_CONFIDENCE = "case when cents % 10 = 0 then '0.' || (cents % 100 // 10) else '0.' || lpad((cents % 100)::varchar, 2, '0') end"
+_TRACK_SQL = _lines_sql(
+    "'    {'", _member_sql(6, "language", "case when k % 11 = 3 then '\"xx\"' else '\"ase\"' end"), _member_sql(6, "languageLabel", "'\"Sign\"'"),
+    "case when k % 13 <> 5 then " + _member_sql(6, "provenance", "'\"human-interpreter\"'") + " end", "'      \"extraction\": {'", _member_sql(8, "method", "'\"detected-crop\"'"),
+    _member_sql(8, "sourceLayout", "'\"corner-inset\"'"), _member_sql(8, "confidence", _CONFIDENCE), "'        \"cropRect\": {'",
+    *(_member_sql(10, c, f"'{v}'", c == "h") for c, v in (("x", 0), ("y", 2), ("w", 4), ("h", 6))), "'        },'", _member_sql(8, "fillMethod", "'\"none\"'", True), "'      },'",
+    "'      \"track\": {'", _member_sql(8, "url", "'\"sign.mp4\"'"), _member_sql(8, "width", "case when k % 37 = 10 then '-4' else '4' end"), _member_sql(8, "height", "'6'"),
+    "'        \"codec\": ' || case when k % 41 = 11 then '\"nope\"' else '\"h264\"' end || case when k % 31 = 9 then '' else ',' end",
+    "case when k % 31 <> 9 then " + _member_sql(8, "syncOffsetMs", "case when k % 59 = 15 then '6000' else '0' end", True) + " end", "'      }'", "'    }'",
+)
+_MANIFEST_SQL = _lines_sql(
+    "'{'", _member_sql(2, "stmVersion", "case when k % 17 = 4 then '\"0.9\"' else '\"0.2\"' end"), _member_sql(2, "id", "'\"title-' || k || '\"'"),
+    _member_sql(2, "title", "case when k % 29 = 8 then '\"7\"' else '\"Title ' || p || '\"' end"), _member_sql(2, "durationMs", "(cents % 100000)"), "'  \"source\": {'",
+    _member_sql(4, "publisher", "'\"c' || c || '\"'"), _member_sql(4, "url", "'\"https://example.org/x\"'"), "'    \"licence\": \"CC\"' || case when k % 7 = 2 then '' else ',' end",
+    "case when k % 7 <> 2 then " + _member_sql(4, "attribution", "'\"them\"'", True) + " end", "'  },'", "'  \"video\": {'", "'    \"main\": {'", _member_sql(6, "url", "'\"main.mp4\"'"),
+    _member_sql(6, "width", "'640'"), _member_sql(6, "height", "'360'"), _member_sql(6, "codec", "'\"h264\"'", True), "'    },'", _member_sql(4, "poster", "'\"poster.jpg\"'", True), "'  },'",
+    "'  \"signLanguage\": ['", "track || case when k % 5 = 1 then ',' || chr(10) || track else '' end", "'  ],'", "'  \"captions\": ['", "'    {'", _member_sql(6, "kind", "'\"verbatim\"'"),
+    _member_sql(6, "language", "'\"en\"'"), _member_sql(6, "url", "'\"/cap/en.vtt\"'"), "'      \"format\": \"webvtt\"' || case when k % 47 = 13 then ',' else '' end",
+    "case when k % 47 = 13 then " + _member_sql(6, "reviewedBy", "'\"Ann\"'", True) + " end", "'    }'", "'  ]'", "'}'",
+)
+
+
+@register(
+    f"with {_DOCS}, t as (select *, {_TRACK_SQL} as track from o) select k as doc_id, sha256(case when k % 23 = 7 then '{{}}' else {_MANIFEST_SQL} end || chr(10)) as digest from t"
+)
+def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of manifests' files, by their digest; what isn't JSON is an empty manifest."""
+    m = manifests.parse_manifests(ad.manifests(spark, sf_dir))
+    return m.select("doc_id", tx.content_sha256(manifests.manifest_text(F.col("m"))).alias("digest"))
+
+
 @register(
     f"with {_DOCS}, x as (select *, 'title-' || (k % 40) as id, case when k % 29 = 8 then '7' else 'Title ' || p end as title from o where k % 23 <> 7), "
     "e as (select *, row_number() over (partition by c order by id, title, cents % 100000, k || '/manifest.json') - 1 as i from x), "
