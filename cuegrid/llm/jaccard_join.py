@@ -54,6 +54,8 @@ SMALL_SET = 32
 #: Up to so many members, a hub's members are compared key by key (their sketches, within the join);
 #: beyond, by their differences, which takes whole token sets.
 FEW, USUAL = 1_000, 32
+#: Further members of a hub that are compared with all others, and how many a hub must have left out for it.
+STARS, OPEN = 3, 50
 #: Tokens of a block whose links are counted at once, what a member adds to them, and the tokens of one matrix.
 LINK_BLOCK, MEMBER_TOKENS, COLUMNS = 200_000, 200, 4096
 
@@ -295,12 +297,16 @@ def similar_pairs(docs: DataFrame, labels: DataFrame, n: int, percent: int, coun
 
 def _edges(docs: DataFrame, classes: DataFrame, shared: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) that connect all linked classes of ``shared(key, id, hub)``."""
-    stars = _possible(shared.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")), classes, percent)
-    found = stash(_verified(docs, stars, n, percent))
-    labels = connected_components(found)
-    part = F.coalesce("component", "id")
-    placed = stash(shared.where("id <> hub").join(labels, "id", "left").select("key", "id", "hub", part.alias("part")))
-    members = placed.select("hub", "id", "part").distinct()
+    rows = shared.where("id <> hub")
+    found = stash(_verified(docs, _possible(rows.select(F.col("hub").alias("a"), F.col("id").alias("b")), classes, percent), n, percent))
+    for stars in range(STARS, -1, -1):
+        labels = connected_components(found)
+        placed = stash(rows.join(labels, "id", "left").select("key", "id", "hub", F.coalesce("component", "id").alias("part")))
+        members = placed.select("hub", "id", "part").distinct()
+        more = _possible(_further_stars(members, labels), classes, percent) if stars else None
+        if more is None or more.isEmpty():
+            break
+        found = stash(found.union(_verified(docs, more, n, percent)))
     open_ = stash(
         members.groupBy("hub")
         .agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"))
@@ -312,6 +318,20 @@ def _edges(docs: DataFrame, classes: DataFrame, shared: DataFrame, n: int, perce
     return found if rest.isEmpty() else found.union(_verified(docs, rest, n, percent))
 
 
+def _further_stars(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a hub's first member that the hub's component has left out with the members of other components.
+
+    A hub may be far from the middle of its copies.  Of hubs with over ``OPEN`` members left out another member is
+    compared with all, so that few components are left whose members are compared pair by pair.
+    """
+    own = labels.select(F.col("id").alias("hub"), F.col("component").alias("own"))
+    out = members.join(own, "hub", "left").where(F.col("part") != F.coalesce("own", "hub"))
+    centre = stash(
+        out.groupBy("hub").agg(F.count("*").alias("left"), F.min(F.struct("id", "part")).alias("c")).where(F.col("left") > OPEN).select("hub", "c")
+    )
+    return members.join(centre, "hub").where(F.col("part") != F.col("c.part")).select(F.col("c.id").alias("a"), F.col("id").alias("b"))
+
+
 def _pairs_of_keys(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs under one key in different components, for hubs of few members.
 

@@ -395,6 +395,27 @@ def near_copies(seed):
     return texts | {1: None, 2: "", 3: " \n", 4: "x y", 5: "X\ty", 6: "x", 7: "a b c", 8: "A  B C"}
 
 
+@pytest.mark.parametrize(("stars", "open_"), [(3, 0), (1, 2), (5, 1)])
+def test_jaccard_join_by_further_stars(spark, stars, open_, monkeypatch):
+    """Copies of one text, each with edits of its own, of which many are too far from the first one."""
+    monkeypatch.setattr("cuegrid.llm.jaccard_join.STARS", stars)
+    monkeypatch.setattr("cuegrid.llm.jaccard_join.OPEN", open_)
+    rng = random.Random(stars)
+    base = [f"w{i}" for i in range(120)]
+
+    def copy(edits):
+        text = list(base)
+        for at in rng.sample(range(120), edits):
+            text[at] = f"x{rng.randrange(10**6)}"
+        return " ".join(text)
+
+    texts = {i: copy(rng.randint(0, 4) if i else 5) for i in range(70)} | {200 + i: copy(9) for i in range(5)} | {300: "", 301: None}
+    expected = brute_components(texts, 5, 80)
+    assert len({c for _, c in expected.values()}) > 4
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard_join(docs(spark, texts), n=5, percent=80).collect()}
+    assert got == expected
+
+
 @pytest.mark.parametrize(("n", "percent", "few"), [(3, 90, 1000), (5, 80, 2)])
 def test_jaccard_join(spark, n, percent, few, monkeypatch):
     monkeypatch.setattr("cuegrid.llm.jaccard_join.FEW", few)
