@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cuegrid.llm.common import small_batches
+
 SPACE = "▁"
 _MEMO_CHUNKS, _MEMO_PAIRS = 200_000, 1_000_000
 _INFINITE = float("inf")
@@ -196,25 +198,23 @@ def encode_pieces(docs: DataFrame, model_path: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                sizes, held, same = [], [], []
-                for text in part.column("text").to_pylist():
-                    ids = machine.encode(text or "")
-                    sizes.append(len(ids))
-                    held.append(ids)
-                    same.append(machine.decode(ids.tolist()) == (text or ""))
-                flat = np.concatenate([np.empty(0, np.int32), *held])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id").cast(pa.int64()),
-                        pa.array(sizes, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat, pa.int32())),
-                        pa.array(same, pa.bool_()),
-                    ],
-                    ["doc_id", "n_pieces", "ids", "round_trip"],
-                )
+        for part in small_batches(batches):
+            sizes, held, same = [], [], []
+            for text in part.column("text").to_pylist():
+                ids = machine.encode(text or "")
+                sizes.append(len(ids))
+                held.append(ids)
+                same.append(machine.decode(ids.tolist()) == (text or ""))
+            flat = np.concatenate([np.empty(0, np.int32), *held])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id").cast(pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat, pa.int32())),
+                    pa.array(same, pa.bool_()),
+                ],
+                ["doc_id", "n_pieces", "ids", "round_trip"],
+            )
 
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, n_pieces long, ids array<int>, round_trip boolean")
 
