@@ -219,6 +219,7 @@ def small_batches(batches: Iterator, rows: int = 500, size: int = 16 << 20) -> I
             to = max(at + 1, min(at + rows, fits))
             yield batch.slice(at, to - at)
             at = to
+        pa.default_memory_pool().release_unused()
 
 
 def texts(batch, column: str = "text") -> list[bytes | None]:

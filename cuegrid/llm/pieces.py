@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from cuegrid.llm.common import small_batches
 
 SPACE = "▁"
-_MEMO_CHUNKS, _MEMO_PAIRS = 200_000, 1_000_000
+_MEMO_CHUNKS, _MEMO_PAIRS, _DECODED = 100_000, 300_000, 100_000
 _INFINITE = float("inf")
 
 
@@ -82,7 +82,7 @@ class PieceTransducer:
             raise ValueError(f"pieces hold characters that aren't pieces: {sorted(alone)[:5]}")
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece holds a space behind another character")
-        self._pairs: dict[tuple[int, int], float] = {}
+        self._pairs: dict[int, float] = {}
         self._chunks = _Chunks(self)
         self._split = re.compile(r" *[^ \n]+| +|\n" if "\n" not in self.ids else r" *[^ ]+| +")
 
@@ -125,12 +125,13 @@ class PieceTransducer:
 
     def pair_weight(self, last: int, piece: int) -> float:
         """0 if ``piece`` may follow ``last``, else infinity."""
-        weight = self._pairs.get((last, piece))
+        pair = last * len(self.pieces) + piece
+        weight = self._pairs.get(pair)
         if weight is None:
             if len(self._pairs) >= _MEMO_PAIRS:
                 self._pairs.clear()
             a, b = self.pieces[last], self.pieces[piece]
-            weight = self._pairs[last, piece] = 0.0 if self._merged(a + b) == [a, b] else _INFINITE
+            weight = self._pairs[pair] = 0.0 if self._merged(a + b) == [a, b] else _INFINITE
         return weight
 
     def path(self, chunk: str) -> list[int]:
@@ -163,14 +164,18 @@ class PieceTransducer:
         """Ids of a whole text (int32)."""
         if not text:
             return np.empty(0, np.int32)
-        chunks = self._split.findall(" " + text.replace(SPACE, " "))
-        return np.frombuffer(b"".join(map(self._chunks.__getitem__, chunks)), np.int32)
+        found, out = self._split.finditer(" " + text.replace(SPACE, " ")), bytearray()
+        for chunk in found:  # one chunk at a time: a long text's chunks are many times its size
+            out += self._chunks[chunk[0]]
+        return np.frombuffer(out, np.int32)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of ids: bytes join across pieces, wrong UTF-8 is replaced, one leading space goes."""
-        out = self.out
-        text = b"".join([out[i] for i in ids]).decode("utf-8", "replace")
-        return text.removeprefix(" ")
+        out, data = self.out, bytearray()
+        for at in range(0, len(ids), _DECODED):
+            part = ids[at : at + _DECODED]
+            data += b"".join([out[i] for i in (part.tolist() if isinstance(part, np.ndarray) else part)])
+        return data.decode("utf-8", "replace").removeprefix(" ")
 
 
 class _Chunks(dict):
@@ -204,7 +209,7 @@ def encode_pieces(docs: DataFrame, model_path: str) -> DataFrame:
                 ids = machine.encode(text or "")
                 sizes.append(len(ids))
                 held.append(ids)
-                same.append(machine.decode(ids.tolist()) == (text or ""))
+                same.append(machine.decode(ids) == (text or ""))
             flat = np.concatenate([np.empty(0, np.int32), *held])
             yield pa.RecordBatch.from_arrays(
                 [
