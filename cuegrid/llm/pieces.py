@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from cuegrid.llm.common import small_batches
 
 SPACE = "▁"
-_MEMO_CHUNKS, _MEMO_PAIRS, _DECODED = 100_000, 300_000, 100_000
+#: Chunks of one generation of the memo, pairs remembered, characters and ids worked on at a time.
+_MEMO_CHUNKS, _MEMO_PAIRS, _BLOCK = 100_000, 500_000, 100_000
 _INFINITE = float("inf")
 
 
@@ -70,20 +71,22 @@ class PieceTransducer:
         special = silent | set(byte_ids.values()) | {unknown}
         self.ids = {p: i for i, p in enumerate(pieces) if i not in special}
         self.scores = scores
-        self.trie: dict = {}
+        self.trie: dict[str, list] = {}  # by character: the nodes that follow, and the piece that ends here or -1
         for piece, i in self.ids.items():
-            node = self.trie
+            below = self.trie
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = i
+                node = below.setdefault(c, [{}, -1])
+                below = node[0]
+            node[1] = i
         self.pieces = pieces
         alone = {c for p in self.ids for c in p if c not in self.ids}
         if alone:
             raise ValueError(f"pieces hold characters that aren't pieces: {sorted(alone)[:5]}")
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece holds a space behind another character")
-        self._pairs: dict[int, float] = {}
+        self._pairs: dict[int, bool] = {}
         self._chunks = _Chunks(self)
+        self._apart = re.compile("(?<=[^ ]) ")
         self._split = re.compile(r" *[^ \n]+| +|\n" if "\n" not in self.ids else r" *[^ ]+| +")
 
     def __reduce__(self):
@@ -123,39 +126,47 @@ class PieceTransducer:
             parts[where : where + 2] = [parts[where] + parts[where + 1]]
         return parts
 
-    def pair_weight(self, last: int, piece: int) -> float:
-        """0 if ``piece`` may follow ``last``, else infinity."""
-        pair = last * len(self.pieces) + piece
-        weight = self._pairs.get(pair)
-        if weight is None:
-            if len(self._pairs) >= _MEMO_PAIRS:
-                self._pairs.clear()
-            a, b = self.pieces[last], self.pieces[piece]
-            weight = self._pairs[pair] = 0.0 if self._merged(a + b) == [a, b] else _INFINITE
-        return weight
+    def _follows(self, last: int, piece: int) -> bool:
+        """Whether ``piece`` may follow ``last``: the arc weighs 0, otherwise infinity."""
+        if len(self._pairs) >= _MEMO_PAIRS:
+            self._pairs.clear()
+        a, b = self.pieces[last], self.pieces[piece]
+        may = self._pairs[last * len(self.pieces) + piece] = self._merged(a + b) == [a, b]
+        return may
 
     def path(self, chunk: str) -> list[int]:
-        """The shortest path over one normalised chunk, as ids."""
-        size = len(chunk)
-        cost: list[float] = [0.0] + [_INFINITE] * size
-        back: list[tuple[int, int]] = [(-1, -1)] * (size + 1)  # start and last piece; -1: bytes
-        trie, weigh = self.trie, self.pair_weight
+        """The shortest path over one normalised chunk, as ids.
+
+        All weights are 0 or infinity, so a position's cost is known once a finite arc reaches it.
+        """
+        size, n = len(chunk), len(self.pieces)
+        came, wrote = [-1] * (size + 1), [-1] * (size + 1)  # the arc's start (-1: not reached) and its piece (-1: bytes)
+        came[0] = 0
+        trie, known = self.trie, self._pairs
         for i in range(size):
-            if cost[i] == _INFINITE:
+            if came[i] < 0:
                 continue
-            last, node, j = back[i][1], trie, i
-            if chunk[i] not in trie:  # no piece holds it
-                cost[i + 1], back[i + 1] = 0.0, (i, -1)
+            node = trie.get(chunk[i])
+            if node is None:  # no piece holds it
+                came[i + 1], wrote[i + 1] = i, -1
                 continue
-            while j < size and (node := node.get(chunk[j])) is not None:
+            last, j = wrote[i], i
+            while node is not None:
                 j += 1
-                piece = node.get("")
-                if piece is not None and cost[j] and (last < 0 or not weigh(last, piece)):
-                    cost[j], back[j] = 0.0, (i, piece)
+                below, piece = node
+                if piece >= 0 and came[j] < 0:
+                    may = last < 0 or known.get(last * n + piece)
+                    if may is None:
+                        may = self._follows(last, piece)
+                    if may:
+                        came[j], wrote[j] = i, piece
+                if j == size:
+                    break
+                node = below.get(chunk[j])
         out: list[int] = []
         at = size
         while at > 0:
-            start, piece = back[at]
+            start, piece = came[at], wrote[at]
             out += [piece] if piece >= 0 else [self.byte_ids[b] for b in reversed(chunk[start:at].encode("utf-8", "replace"))]
             at = start
         return out[::-1]
@@ -164,29 +175,37 @@ class PieceTransducer:
         """Ids of a whole text (int32)."""
         if not text:
             return np.empty(0, np.int32)
-        found, out = self._split.finditer(" " + text.replace(SPACE, " ")), bytearray()
-        for chunk in found:  # one chunk at a time: a long text's chunks are many times its size
-            out += self._chunks[chunk[0]]
-        return np.frombuffer(out, np.int32)
+        spaced, at, out = " " + text.replace(SPACE, " "), 0, []
+        while at < len(spaced):  # a long text's chunks take many times its size
+            cut = self._apart.search(spaced, at + _BLOCK)
+            to = cut.start() if cut else len(spaced)
+            out.append(b"".join(map(self._chunks.__getitem__, self._split.findall(spaced, at, to))))
+            at = to
+        return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of ids: bytes join across pieces, wrong UTF-8 is replaced, one leading space goes."""
         out, data = self.out, bytearray()
-        for at in range(0, len(ids), _DECODED):
-            part = ids[at : at + _DECODED]
+        for at in range(0, len(ids), _BLOCK):
+            part = ids[at : at + _BLOCK]
             data += b"".join([out[i] for i in (part.tolist() if isinstance(part, np.ndarray) else part)])
         return data.decode("utf-8", "replace").removeprefix(" ")
 
 
 class _Chunks(dict):
+    """Ids of chunks; what wasn't asked for over a whole generation goes, so common chunks stay."""
+
     def __init__(self, owner: PieceTransducer) -> None:
-        self.owner = owner
+        self.owner, self.before = owner, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= _MEMO_CHUNKS:
-            self.clear()
-        ids = np.array(self.owner.path(chunk.replace(" ", SPACE)), np.int32).tobytes()
+        ids = self.before.get(chunk)
+        if ids is None:
+            ids = np.array(self.owner.path(chunk.replace(" ", SPACE)), np.int32).tobytes()
         if len(chunk) <= 64:
+            if len(self) >= _MEMO_CHUNKS:
+                self.before = dict(self)
+                self.clear()
             self[chunk] = ids
         return ids
 
