@@ -1031,3 +1031,67 @@ def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("select doc_id, sha256(text) as sha256 from documents")
 def content_sha256(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad.table(spark, sf_dir, "documents").select("doc_id", tx.content_sha256(F.col("text")).alias("sha256"))
+
+
+# Written rows of triage and activity, labels replaced, entries for the source list.
+
+_EASE = "0.6 * least(greatest((detail - 12) / 24, 0), 1) + 0.4 * least(greatest((motion - 8) / 52, 0), 1)"
+_CLIPS = (
+    "clips as (select doc_id as clip, case when n_chars % 9 = 0 then 'unreadable' end as error, case doc_id % 3 when 0 then 'side-panel' else 'corner-inset' end as layout, "
+    "case when doc_id % 3 = 0 then 'left' end as edge, (n_chars % 101) / 100 as confidence, n_chars % 23 / 0.7 as detail, n_chars % 31 / 1.7 as motion, doc_id % 5 as width, n_chars / 24.0 as duration_s, (doc_id % 47) / 90 as size_frac from documents), "
+    f"eased as (select *, case when error is null then case when layout = 'side-panel' then 0.0 else {_EASE} end end as difficulty from clips), "
+    "judged as (select *, case when error is not null then 'unusable' when layout = 'side-panel' then 'excellent' when confidence < 0.7 then 'marginal' when difficulty < 0.35 then 'good' when difficulty < 0.65 then 'marginal' else 'poor' end as verdict from eased)"
+)
+
+
+def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, n = F.col("doc_id"), F.col("n_chars")
+    clips = ad.table(spark, sf_dir, "documents").select(
+        k.alias("clip"), F.when(n % 9 == 0, "unreadable").alias("error"), F.when(k % 3 == 0, "side-panel").otherwise("corner-inset").alias("layout"), F.when(k % 3 == 0, "left").alias("edge"),
+        (n % 101 / 100).alias("confidence"), (n % 23 / F.lit(0.7)).alias("detail"), (n % 31 / F.lit(1.7)).alias("motion"), (k % 5).alias("width"), F.lit(360).alias("height"),
+        (n / F.lit(24.0)).alias("duration_s"), (k % 47 / 90).alias("size_frac"), F.lit(None).cast("string").alias("rect"),
+    )
+    return harness.triage(clips)
+
+
+@register(
+    f"with {_CLIPS} select clip, verdict, layout, edge, case when width > 0 then width || 'x360' end as resolution, round_even(duration_s, 1) as \"durationS\", round_even(confidence, 3) as confidence, "
+    "round_even(size_frac, 3) as \"sizeFrac\", round_even(detail, 1) as \"backgroundDetail\", round_even(motion, 1) as \"backgroundMotion\", round_even(difficulty, 3) as \"fillDifficulty\", error from judged"
+)
+def triage_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written row of each clip; a failed one has no difficulty, one without a width no resolution."""
+    return reports.triage_rows(_clips(spark, sf_dir)).drop("rect")
+
+
+@register(f"with {_CLIPS} select count(*) filter (verdict in ('excellent', 'good')) as useful, count(*) as clips from judged")
+def triage_useful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harness.useful(_clips(spark, sf_dir))
+
+
+@register(
+    f"with {ad.TRACK} select title_id, cast({ad.DAY * 1000} as int) as \"intervalMs\", 'title-p95' as scale, count(*) as length, round_even(round(max(top), 6), 3) as p95, "
+    "round_even(avg(case when level < 20 then 1.0 else 0.0 end), 3) as \"idleFraction\" from track group by 1"
+)
+def activity_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engines' percentiles differ in the last bits, which decides where a half is; six decimals don't."""
+    return reports.activity_rows(_track(spark, sf_dir).withColumn("top", F.round("top", 6)), ad.DAY * 1000)
+
+
+@register(
+    "select doc_id, 'old' as origin from labels where doc_id not in (select doc_id from documents where n_chars % 4 = 0) "
+    "union all select doc_id, coalesce(source, 'none') from documents where n_chars % 4 = 0"
+)
+def label_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels replaced or added by the newer ones of a quarter of the documents."""
+    old = ad.table(spark, sf_dir, "labels").select("doc_id", F.lit("old").alias("origin"))
+    new = ad.table(spark, sf_dir, "documents").where("n_chars % 4 = 0").select("doc_id", F.coalesce("source", F.lit("none")).alias("origin"))
+    return harness.upsert(old, new, "doc_id")
+
+
+@register(
+    r"select page_id, '- id: ' || substr(regexp_replace(lower(regexp_extract(url, '([^/]+?)(\.[^./]*)?$', 1)), '[ _]', '-', 'g'), 1, 60) || chr(10) || '  title: ' || chr(10) || '  url: ' || chr(10) || '  publisher: ' || chr(10) || "
+    r"'  licence: ' || chr(10) || '  attribution: ' || chr(10) || '  notes: ' || case when page_id % 100 < 35 then 'easy' when page_id % 100 < 65 then 'medium' else 'hard' end as entry from pages"
+)
+def source_skeletons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An entry for the source list a page, named by the last part of its address."""
+    return ad.table(spark, sf_dir, "pages").select("page_id", harness.source_skeleton(F.col("url"), F.col("page_id") % 100 / 100).alias("entry"))
