@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cuegrid.functions.numbers import with_quantile
+
 GLYPHS = " ▁▂▃▄▅▆▇█"
 
 
@@ -40,11 +42,10 @@ def bucket_values(samples: DataFrame, media: DataFrame, interval_s: float) -> Da
 
 def normalise(values: DataFrame, percentile: float = 0.95) -> DataFrame:
     """Adds level (0 to 100, halves to even) and top, the title's percentile; a flat title is all 0."""
-    title = Window.partitionBy("title_id")
-    top = F.percentile("value", F.lit(percentile)).over(title)
+    top = F.col("top")
     usable = (top > 1e-9) & ~F.isnan(top)
-    share = F.least(F.greatest(F.col("value") / F.col("top"), F.lit(0.0)), F.lit(1.0))
-    return values.withColumn("top", F.when(usable, top).otherwise(0.0)).withColumn(
+    share = F.least(F.greatest(F.col("value") / top, F.lit(0.0)), F.lit(1.0))
+    return with_quantile(values, "title_id", "value", percentile, "top").withColumn("top", F.when(usable, top).otherwise(0.0)).withColumn(
         "level", F.when(F.col("top") > 0, F.bround(share * 100)).otherwise(0.0).cast("int")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cuegrid.functions import geometry as g
 from cuegrid.functions import text as tx
+from cuegrid.functions.numbers import half_up
 from cuegrid.operators import activity, align, analysis, captions, decide, detections, harness, manifests, media_plan, pixels, reports, transcript
 from cuegrid.plans import adapters as ad
 from cuegrid.sources import listing, lists
@@ -46,7 +47,7 @@ def _track(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"with {ad.TRACK} select title_id, bucket, round(value, 6) as value, round(top, 6) as top, level from track")
 def activity_track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _track(spark, sf_dir).select("title_id", "bucket", F.round("value", 6).alias("value"), F.round("top", 6).alias("top"), "level")
+    return _track(spark, sf_dir).select("title_id", "bucket", half_up("value", 6).alias("value"), half_up("top", 6).alias("top"), "level")
 
 
 @register(f"with {ad.TRACK} select title_id, round(avg(case when level < 20 then 1.0 else 0.0 end), 6) as idle from track group by 1")

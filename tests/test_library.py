@@ -44,6 +44,21 @@ def test_flat_activity_is_zero(spark):
     assert {(r.level, r.top) for r in activity.normalise(v).collect()} == {(0, 0.0)}
 
 
+def test_tops_and_written_values_are_those_of_sql(spark):
+    import duckdb
+
+    from cuegrid.functions.numbers import half_up
+
+    rng = random.Random(5)
+    rows = [(t, b, rng.choice([rng.randrange(10_000) / 100, rng.randrange(10**9) / 1e7, 12.5])) for t in range(300) for b in range(30)]
+    values = spark.createDataFrame(rows, "title_id long, bucket int, value double")
+    got = activity.normalise(values).select("title_id", "bucket", "value", "top", half_up("value", 6).alias("written")).toPandas()
+    with duckdb.connect() as db:
+        db.register("got", got)
+        wrong = "select count(*) from got join (select title_id, quantile_cont(value, 0.95) as q from got group by 1) using (title_id) where q <> top or written <> round(value, 6)"
+        assert db.execute(wrong).fetchone()[0] == 0
+
+
 def naive_tracks(rows, min_iou=0.3, a=0.2):
     """rows: (frame, box, (x1, y1, x2, y2)) -> cluster of each row."""
 
