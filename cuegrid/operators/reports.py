@@ -1,6 +1,6 @@
 """Rows as they are written out, and lines of fixed-width tables.
 
-Numbers are rounded by their shortest decimal form, halves to even; what isn't known stays null in rows and is a dash in lines.
+Numbers are scaled, rounded (halves to even) and scaled back; what isn't known stays null in rows and is a dash in lines.
 """
 
 from __future__ import annotations
@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cuegrid.functions.numbers import half_even
+
 # The decimals of written numbers by their names in the engine and on the wire.
 CLUSTER = {
     "persistence": ("persistence", 4), "centre_std": ("centreStdNorm", 5), "stability": ("stability", 4), "size_frac": ("sizeFrac", 4),
@@ -21,14 +23,14 @@ SCORE = {"iou": ("iou", 4), "confidence": ("confidence", 4), "seconds": ("second
 
 
 def _rounded(names: dict[str, tuple[str, int]]) -> list[Column]:
-    return [F.bround(c, digits).alias(name) for c, (name, digits) in names.items()]
+    return [half_even(c, digits).alias(name) for c, (name, digits) in names.items()]
 
 
 def cluster_rows(features: DataFrame) -> DataFrame:
     """title_id and the written members of each cluster's features."""
     return features.select(
         "title_id", F.col("cluster_id").alias("clusterId"), F.col("n_boxes").alias("frames"), *_rounded(CLUSTER), "eligible", "reason",
-        F.transform("mean_box", lambda v: F.bround(v, 1)).alias("meanBox"),
+        F.transform("mean_box", lambda v: half_even(v, 1)).alias("meanBox"),
     )
 
 
@@ -48,7 +50,7 @@ def activity_rows(track: DataFrame, interval_ms: int) -> DataFrame:
     idle = F.avg(F.when(F.col("level") < 20, 1.0).otherwise(0.0))
     return track.groupBy("title_id").agg(
         F.lit(interval_ms).alias("intervalMs"), F.lit("title-p95").alias("scale"), F.count("*").alias("length"),
-        F.bround(F.max("top"), 3).alias("p95"), F.bround(idle, 3).alias("idleFraction"),
+        half_even(F.max("top"), 3).alias("p95"), half_even(idle, 3).alias("idleFraction"),
     )
 
 
@@ -68,7 +70,7 @@ def right(text: Column, width: int) -> Column:
 
 def fixed(value: Column, digits: int, width: int) -> Column:
     """A number with so many decimals at the right of a field; a dash for null."""
-    text = F.bround(value.cast("double"), digits).cast(f"decimal(38,{digits})").cast("string")
+    text = half_even(value.cast("double"), digits).cast(f"decimal(38,{digits})").cast("string")
     return right(F.coalesce(text, F.lit("-")), width)
 
 

@@ -113,7 +113,7 @@ _NUMBERS = ("persistence", "centre_std", "size_frac", "motion_ratio", "stability
 @register(f"with {_FEATURES} select title_id, cluster_id, n_boxes, {', '.join(f'round({c}, 6) as {c}' for c in _NUMBERS)}, eligible from features")
 def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _features(spark, sf_dir)
-    return f.select("title_id", "cluster_id", "n_boxes", *(F.round(c, 6).alias(c) for c in _NUMBERS), "eligible")
+    return f.select("title_id", "cluster_id", "n_boxes", *(half_up(c, 6).alias(c) for c in _NUMBERS), "eligible")
 
 
 @register(
@@ -122,8 +122,8 @@ def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     "order by eligible desc, round(score, 9) desc, cluster_id) as rank from features) where rank = 1"
 )
 def signer_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _features(spark, sf_dir).withColumn("score", F.round("score", 9))
-    return detections.choose_signer(f).withColumn("confidence", F.round("confidence", 6))
+    f = _features(spark, sf_dir).withColumn("score", half_up("score", 9))
+    return detections.choose_signer(f).withColumn("confidence", half_up("confidence", 6))
 
 
 def _rect_sql(w: int, h: int) -> str:
@@ -757,7 +757,7 @@ def _cell(value: str, digits: int, width: int) -> str:
     "case when persistence < 0.5 and size_frac > 0.45 then 'too brief; too large' when persistence < 0.5 then 'too brief' when size_frac > 0.45 then 'too large' else 'ok' end as line from ranked"
 )
 def cluster_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _features(spark, sf_dir).withColumn("score", F.round("score", 9))
+    f = _features(spark, sf_dir).withColumn("score", half_up("score", 9))
     return reports.cluster_lines(detections.rank_clusters(f), detections.choose_signer(f))
 
 
@@ -1075,7 +1075,7 @@ def triage_useful(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def activity_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Engines' percentiles differ in the last bits, which decides where a half is; six decimals don't."""
-    return reports.activity_rows(_track(spark, sf_dir).withColumn("top", F.round("top", 6)), ad.DAY * 1000)
+    return reports.activity_rows(_track(spark, sf_dir).withColumn("top", half_up("top", 6)), ad.DAY * 1000)
 
 
 @register(

@@ -59,6 +59,14 @@ def test_tops_and_written_values_are_those_of_sql(spark):
         assert db.execute(wrong).fetchone()[0] == 0
 
 
+def test_numbers_of_lines_next_to_a_half(spark):
+    from cuegrid.operators import reports
+
+    # 0.935 less one bit: a hundred times it is 93.5, which goes to the even 94
+    assert one(spark, reports.fixed(F.lit(0.9349999999999999), 2, 7)) == "   0.94"
+    assert one(spark, reports.fixed(F.lit(None).cast("double"), 2, 3)) == "  -"
+
+
 def naive_tracks(rows, min_iou=0.3, a=0.2):
     """rows: (frame, box, (x1, y1, x2, y2)) -> cluster of each row."""
 
