@@ -248,11 +248,21 @@ _SHAPES = f"""shapes as (select p_partkey as title_id, (p_partkey * 37) % {W - 2
 
 
 @register(
-    f"with {_SHAPES}, c as (select title_id, x, w, x <= 16 as l, x + w >= {W - 16} as r, h >= 0.85 * {H} as tall from shapes) "
+    f"with {_RECT}, c as (select title_id, x, w, x <= 16 as l, x + w >= {W - 16} as r, h >= 0.85 * {H} as tall from rects) "
     "select title_id, case when (l or r) and tall then 'side-panel' else 'corner-inset' end as kind, "
     f"case when (l or r) and tall then case when l then 'left' else 'right' end end as edge, case when (l or r) and tall then case when l then x + w else {W} - x end end as panel_w from c"
 )
 def layout_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layouts of the titles' constant rectangles, from all their detections."""
+    return pixels.classify_layout(_rects(spark, sf_dir), None, W, H).select("title_id", "kind", "edge", F.col("panel.w").alias("panel_w"))
+
+
+@register(
+    f"with {_SHAPES}, c as (select title_id, x, w, x <= 16 as l, x + w >= {W - 16} as r, h >= 0.85 * {H} as tall from shapes) "
+    "select title_id, case when (l or r) and tall then 'side-panel' else 'corner-inset' end as kind, "
+    f"case when (l or r) and tall then case when l then 'left' else 'right' end end as edge, case when (l or r) and tall then case when l then x + w else {W} - x end end as panel_w from c"
+)
+def layout_of_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rectangles of many places and heights; what is above and below them isn't known."""
     k, s = F.col("p_partkey"), F.col("p_size")
     x = (k * 37 % (W - 20)).cast("int")

@@ -67,6 +67,14 @@ def test_numbers_of_lines_next_to_a_half(spark):
     assert one(spark, reports.fixed(F.lit(None).cast("double"), 2, 3)) == "  -"
 
 
+def test_layouts_are_those_of_detected_rectangles(spark, tmp_path):
+    rows = [(title, k, 1, 1, (title * 90 + k) % 400, 10.0, 0.02, 0.01) for title in (1, 4) for k in range(200)]
+    columns = "l_suppkey long, l_orderkey long, l_linenumber int, n int, l_partkey long, l_quantity double, l_discount double, l_tax double"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r.title_id: (r.kind, r.edge) for r in catalogue.queries()["layout_classify"](spark, str(tmp_path)).collect()}
+    assert got.keys() == {1, 4}
+
+
 def naive_tracks(rows, min_iou=0.3, a=0.2):
     """rows: (frame, box, (x1, y1, x2, y2)) -> cluster of each row."""
 
