@@ -75,6 +75,14 @@ def test_layouts_are_those_of_detected_rectangles(spark, tmp_path):
     assert got.keys() == {1, 4}
 
 
+def test_a_text_of_a_document_is_escaped_by_one_small_expression(spark):
+    from cuegrid.functions import json_text
+
+    odd = 'a"b\\c\n\x01\u00e9'
+    assert one(spark, json_text.quoted(F.lit(odd))) == '"a\\"b\\\\c\\n\\u0001\u00e9"'
+    assert str(json_text.quoted(F.col("x"))).lower().count("replace(") <= 1
+
+
 def naive_tracks(rows, min_iou=0.3, a=0.2):
     """rows: (frame, box, (x1, y1, x2, y2)) -> cluster of each row."""
 
