@@ -16,7 +16,7 @@ Tokens are the 64-bit hashes of a text's distinct word shingles.  Two sets link
 4. *Verification.*  Every class has a parity sketch: each token flips one of at least 4E bits, so
    two sets differ in no fewer tokens than their sketches in bits; pairs with too many are out.
    The others are verified on the whole sets.  Under every key each class is compared with the
-   key's first class only.  The links found are merged into components; then classes of one key
+   key's first class only; a key's classes by size are cut before where sizes allow no link.  The links found are merged into components; then classes of one key
    that are still in different components are compared.  Links inside one component can't change the components, so
    no link between components is lost.
 5. *Links* (``similar_pairs``, only where asked for).  Linked classes are in one component, so each component is
@@ -225,9 +225,7 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, links: bo
         .groupBy("sign")
         .agg(F.min("doc_id").alias("id"), *(F.first(c).alias(to) for c, to in (("n_shingles", "size"), ("keys", "keys"), ("sketch", "sketch"))))
     )
-    postings = classes.select("id", F.explode("keys").alias("key"))
-    first = postings.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
-    shared = stash(postings.join(first.select("key", "hub"), "key"))
+    shared = stash(_shared(classes.select("id", "size", F.explode("keys").alias("key")), percent))
     labels = connected_components(_edges(docs, classes.select("id", "size", "sketch"), shared, n, percent))
     member = classes.join(labels, "id", "left").select(
         "sign", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id")
@@ -242,6 +240,22 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, links: bo
     return keyed.join(member, "sign", "left").select(*found)
 
 
+def _shared(postings: DataFrame, percent: int) -> DataFrame:
+    """(key, id, hub, n): the members of every key that more than one class has, its first one and their number.
+
+    A key's members by size are cut wherever the next one is too large for a link with the one before it, and so with any
+    before it; each run is a key of its own.  A token that texts of many sizes share by chance thus joins few of them.
+    """
+    first = postings.groupBy("key").agg(F.min("id").alias("one"), F.max("id").alias("other")).where("one < other")
+    by_size = Window.partitionBy("key").orderBy("size", "id")
+    apart = F.coalesce(F.lag("size").over(by_size) * 100 < F.col("size") * percent, F.lit(False)).cast("int")
+    rows = postings.join(first.select("key"), "key").withColumn("apart", apart)
+    rows = rows.withColumn("run", F.sum("apart").over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy("key", "run")
+    rows = rows.withColumns({"hub": F.min("id").over(run), "n": F.count("*").over(run)}).where("n > 1")
+    return rows.select(F.struct("key", "run").alias("key"), "id", "hub", "n")
+
+
 def similar_pairs(docs: DataFrame, labels: DataFrame, n: int, percent: int, counted: bool = False) -> DataFrame:
     """Every link (a, b), a < b, between the classes of ``labels(id, component)``, once.
 
@@ -296,12 +310,18 @@ def similar_pairs(docs: DataFrame, labels: DataFrame, n: int, percent: int, coun
 
 
 def _edges(docs: DataFrame, classes: DataFrame, shared: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) that connect all linked classes of ``shared(key, id, hub)``."""
+    """Links (a, b) that connect all linked classes of ``shared(key, id, hub, n)``.
+
+    A key of two members is done with its hub's comparison, and one whose other members are in one component with theirs.
+    """
     rows = shared.where("id <> hub")
     found = stash(_verified(docs, _possible(rows.select(F.col("hub").alias("a"), F.col("id").alias("b")), classes, percent), n, percent))
     for stars in range(STARS, -1, -1):
         labels = connected_components(found)
-        placed = stash(rows.join(labels, "id", "left").select("key", "id", "hub", F.coalesce("component", "id").alias("part")))
+        part, of_key = F.coalesce("component", "id"), Window.partitionBy("key")
+        placed = rows.where("n > 2").join(labels, "id", "left").select("key", "id", "hub", part.alias("part"))
+        placed = placed.withColumns({"lo": F.min("part").over(of_key), "hi": F.max("part").over(of_key)})
+        placed = stash(placed.where("lo < hi").drop("lo", "hi"))
         members = placed.select("hub", "id", "part").distinct()
         more = _possible(_further_stars(members, labels), classes, percent) if stars else None
         if more is None or more.isEmpty():

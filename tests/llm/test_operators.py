@@ -912,3 +912,13 @@ def test_items_in_several_blocks(spark, monkeypatch):
     items = spark.createDataFrame([(i, f"one two three four five n{i}") for i in range(5)], "item_id long, text string")
     got = find_contamination(docs(spark, {1: "zero one two three four five n3 six"}), items).collect()
     assert [(r.doc_id, r.item_id) for r in got] == [(1, 3)]
+
+
+def test_keys_are_cut_where_sizes_allow_no_link(spark):
+    from cuegrid.llm.jaccard_join import _shared
+
+    # at 90 % sizes 10, 11 and 12 chain, 112 and 120 may link, 100 and 5000 with none
+    sizes = {1: 100, 2: 11, 3: 10, 4: 12, 5: 112, 6: 120, 7: 5000}
+    rows = [(i, size, 7) for i, size in sizes.items()] + [(1, 100, 8), (7, 5000, 8), (9, 50, 9)]
+    got = {(r.key.key, r.id, r.hub, r.n) for r in _shared(spark.createDataFrame(rows, "id long, size long, key long"), 90).collect()}
+    assert got == {(7, 2, 2, 3), (7, 3, 2, 3), (7, 4, 2, 3), (7, 5, 5, 2), (7, 6, 5, 2)}
