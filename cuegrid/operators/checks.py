@@ -1,23 +1,18 @@
-"""Checks of JSON documents against a declared shape: the shape is a table of rules, one for each place of a document.
+"""Checks of JSON documents against a declared shape, as one expression over a document (a variant).
 
-A document is taken apart into its nodes (where, what kind, which value), level by level down to the deepest place that
-has a rule.  Each node meets the rule of its place by a broadcast join, and one expression judges any node by the columns of
-its rule; so the plan stays the same whatever the shape, and issues are few rows.
+The shape says which places a document may have, so the expression (SQL text) follows it: each object's members are taken apart
+once, each item of a list is judged by a function of the item, and only what is wrong makes an issue.  No row is made for a node
+and nothing is shuffled; the time of a document follows the number of its nodes.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ISSUE = "struct<at:array<string>,message:string,severity:string>"
-_NODE = "array<struct<at:array<string>,place:string,v:variant>>"
-_RULE = (
-    "place string, kind string, least double, most double, among array<string>, form string, known array<string>, needed array<string>, "
-    "conditions array<struct<when:string,key:string,value:string,then:string,target:string,message:string>>"
-)
 
 
 @dataclass(frozen=True)
@@ -51,16 +46,6 @@ class Shape:
     conditions: list[Condition] = field(default_factory=list)
     item: Shape | None = None
 
-    def rules(self, place: str = "") -> list[tuple]:
-        bounds = (None if x is None else float(x) for x in (self.least, self.most))
-        own = (place, self.kind, *bounds, self.among, self.form, list(self.fields), self.needed, [(c.when, c.key, c.value, c.then, c.target, c.message) for c in self.conditions])
-        below = [r for k, s in self.fields.items() for r in s.rules(f"{place}.{k}")]
-        return [own, *below, *(self.item.rules(f"{place}[]") if self.item else [])]
-
-    def depth(self) -> int:
-        below = [*self.fields.values(), *([self.item] if self.item else [])]
-        return 1 + max((s.depth() for s in below), default=-1)
-
 
 def text(least: int = 0, among: list[str] | None = None, like: str | None = None) -> Shape:
     """A text; length and form are asked of texts only, and what is no text is none of the known values."""
@@ -97,96 +82,123 @@ def issue_if(broken: Column, at: Column, message: str | Column, severity: str =
     return F.when(F.coalesce(broken, F.lit(False)), F.array(issue(at, message, severity))).otherwise(none())
 
 
-def as_(node: Column, type_: str) -> Column:
-    return F.try_variant_get(node, "$", type_)
-
-
-def nodes(rows: DataFrame, depth: int) -> DataFrame:
-    """The rows' column v (a variant) as rows (at, place, v) beside all other columns, one for each node down to ``depth``.
-
-    A place is a node's keys, each behind a dot, with [] for any index; at has its keys and indices.
-    """
-    root = F.array(F.struct(F.array().cast("array<string>").alias("at"), F.lit("").alias("place"), F.col("v").alias("v"))).cast(_NODE)
-
-    def below(n: Column) -> Column:
-        node = lambda key, place, v: F.struct(F.array_append(n["at"], key).alias("at"), F.concat(n["place"], place).alias("place"), v.alias("v"))
-        members = F.transform(F.map_entries(as_(n["v"], "map<string,variant>")), lambda e: node(e["key"], F.concat(F.lit("."), e["key"]), e["value"]))
-        items = F.transform(as_(n["v"], "array<variant>"), lambda x, i: node(i.cast("string"), F.lit("[]"), x))
-        return F.coalesce(members, items, F.array().cast(_NODE))
-
-    others = [c for c in rows.columns if c != "v"]
-    rows = rows.withColumn("level0", root)
-    for k in range(depth):
-        rows = rows.withColumn(f"level{k + 1}", F.flatten(F.transform(f"level{k}", below)))
-    return rows.select(*others, F.inline(F.concat(*(F.col(f"level{k}") for k in range(depth + 1)))))
-
-
-def _broken(c: Column, members: Column, at: Column) -> Column:
-    """The issues of one condition."""
-    member = lambda key: F.try_element_at(members, key)
-    has = lambda key: F.coalesce(F.map_contains_key(members, key), F.lit(False))
-    thing = members.isNotNull()
-    said = lambda key: as_(member(key), "string")
-    true = lambda key: F.coalesce((F.schema_of_variant(member(key)) == "BOOLEAN") & as_(member(key), "boolean"), F.lit(False))
-    equal = ~thing | ~has(c["key"]) | F.coalesce((F.schema_of_variant(member(c["key"])) == "STRING") & (said(c["key"]) == c["value"]), F.lit(False))
-    holds = F.when(c["when"] == "equals", equal).when(c["when"] == "has", has(c["key"])).otherwise(true(c["key"]))
-    wrong = F.when(c["then"] == "needs", thing & ~has(c["target"])).when(c["then"] == "forbids", ~thing | has(c["target"]))
-    below = F.array_append(at, c["target"])
-    parts = F.split(c["target"], "/")
-    items = as_(member(parts[0]), "array<variant>")
-    each = F.transform(items, lambda x, i: F.struct(as_(x, "map<string,variant>").alias("m"), F.concat(at, F.array(parts[0], i.cast("string"))).alias("at")))
-    bad = F.filter(each, lambda x: x["m"].isNull() | F.map_contains_key(x["m"], parts[1]))
-    return (
-        F.when(~holds, none())
-        .when(c["then"] == "true", issue_if(has(c["target"]) & ~true(c["target"]), below, c["message"]))
-        .when(c["then"] == "forbids each", F.coalesce(F.transform(bad, lambda x: issue(x["at"], c["message"])), none()))
-        .otherwise(issue_if(wrong, at, c["message"]))
-    )
-
-
-def _judged() -> Column:
-    """The issues of a node (at, v, as the columns kind_, said, size, count, members say) by its rule's columns."""
-    at, rule = F.col("at"), F.col("kind")
-    is_text, numeric = F.col("kind_") == "STRING", F.col("kind_").isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith("kind_", F.lit("DECIMAL"))
-    right = F.when(rule == "whole", numeric & (F.col("size") == F.floor("size"))).otherwise(numeric)
-    shown = lambda c: F.when(c == F.floor(c), c.cast("long").cast("string")).otherwise(c.cast("string"))
-    of_text = F.concat(
-        issue_if(~is_text, at, "a text is wanted"),
-        issue_if(is_text & (F.length("said") < F.col("least")), at, "too short"),
-        issue_if(F.col("among").isNotNull() & ~(is_text & F.array_contains("among", F.col("said"))), at, "none of the known values"),
-        issue_if(is_text & ~F.rlike("said", F.col("form")), at, "not of the form wanted"),
-    )
-    of_number = F.concat(
-        issue_if(~F.coalesce(right, F.lit(False)), at, F.when(rule == "whole", "a whole number is wanted").otherwise("a number is wanted")),
-        issue_if(numeric & (F.col("size") < F.col("least")), at, F.concat(F.lit("less than "), shown(F.col("least")))),
-        issue_if(numeric & (F.col("size") > F.col("most")), at, F.concat(F.lit("more than "), shown(F.col("most")))),
-    )
-    of_list = F.when(F.col("count").isNull(), F.array(issue(at, "a list is wanted"))).otherwise(issue_if(F.col("count") < F.col("least"), at, "too few items"))
-    keys = F.map_keys("members")
-    missing = F.transform(F.array_except("needed", keys), lambda k: issue(at, F.concat(k, F.lit(" is missing"))))
-    own = F.concat(issue_if(F.size(F.array_except(keys, "known")) > 0, at, "unknown keys"), missing)
-    conditions = F.flatten(F.transform("conditions", lambda c: _broken(c, F.col("members"), at)))
-    of_object = F.concat(F.when(F.col("members").isNull(), F.array(issue(at, "an object is wanted"))).otherwise(own), conditions)
-    return (
-        F.when(rule == "text", of_text).when(rule.isin("whole", "number"), of_number)
-        .when(rule == "flag", issue_if(F.col("kind_") != "BOOLEAN", at, "true or false is wanted")).when(rule == "list", of_list).otherwise(of_object)
-    )
-
-
-def broken_rules(rows: DataFrame, shape: Shape) -> DataFrame:
-    """Issues (at, message, severity) of the rows' column v (a variant, never null) beside all other columns."""
-    others = [c for c in rows.columns if c != "v"]
-    rules = rows.sparkSession.createDataFrame(shape.rules(), _RULE)
-    found = nodes(rows, shape.depth()).join(F.broadcast(rules), "place")
-    # of objects and lists no schema is asked, which would read them whole
-    open_ = F.col("kind").isin("object", "list")
-    found = found.withColumns(
-        {
-            "members": F.when(F.col("kind") == "object", as_(F.col("v"), "map<string,variant>")),
-            "count": F.when(F.col("kind") == "list", F.size(as_(F.col("v"), "array<variant>"))),
-            "kind_": F.when(~open_, F.schema_of_variant("v")),
-            "said": F.when(F.col("kind") == "text", as_(F.col("v"), "string")),
-            "size": F.when(F.col("kind").isin("whole", "number"), as_(F.col("v"), "double")),
-        }
-    )
-    return found.select(*others, F.inline(_judged()))
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _issue(at: list[str], message: str) -> str:
+    place = f"array({', '.join(at)})" if at else "cast(array() as array<string>)"
+    return f"named_struct('at', {place}, 'message', {_text(message)}, 'severity', 'error')"
+
+
+def _if(broken: str, at: list[str], message: str) -> str:
+    return f"case when {broken} then {_issue(at, message)} end"
+
+
+def _unless(right: str, *found: str) -> str:
+    """Null if ``right`` holds, else the issues found; so right documents cost the tests only."""
+    return f"case when {right} then null else filter(array({', '.join(found)}), x -> x is not null) end"
+
+
+def _get(node: str, type_: str) -> str:
+    return f"try_variant_get({node}, '$', '{type_}')"
+
+
+class _Judge:
+    """The SQL of a shape's issues: an array, or null for none; ``at`` holds the SQL of a place's keys."""
+
+    def __init__(self) -> None:
+        self.names = 0
+
+    def _named(self, letter: str) -> str:
+        self.names += 1
+        return f"{letter}{self.names}_"
+
+    def node(self, v: str, at: list[str], shape: Shape) -> str:
+        if shape.kind == "flag":
+            broken = f"schema_of_variant({v}) <> 'BOOLEAN'"
+            return f"case when {broken} then array({_issue(at, 'true or false is wanted')}) end"
+        of = {"text": self._of_text, "whole": self._of_number, "number": self._of_number, "list": self._of_list, "object": self._of_object}
+        return of[shape.kind](v, at, shape)
+
+    def _of_text(self, v: str, at: list[str], shape: Shape) -> str:
+        is_text, said = f"schema_of_variant({v}) = 'STRING'", _get(v, "string")
+        right, found = [is_text], [_if(f"not {is_text}", at, "a text is wanted")]
+        if shape.least:
+            right.append(f"length({said}) >= {shape.least}")
+            found.append(_if(f"{is_text} and length({said}) < {shape.least}", at, "too short"))
+        if shape.among is not None:
+            among = f"{said} in ({', '.join(map(_text, shape.among))})"
+            right.append(among)
+            found.append(_if(f"not ({is_text} and {among})", at, "none of the known values"))
+        if shape.form is not None:
+            form = f"{said} rlike {_text(shape.form)}"
+            right.append(form)
+            found.append(_if(f"{is_text} and not {form}", at, "not of the form wanted"))
+        return _unless(" and ".join(right), *found)
+
+    def _of_number(self, v: str, at: list[str], shape: Shape) -> str:
+        shown = lambda x: str(int(x)) if x == int(x) else str(float(x))
+        kind, size, whole = f"schema_of_variant({v})", self._named("n"), shape.kind == "whole"
+        numeric = f"({kind} in ('BIGINT', 'DOUBLE', 'FLOAT') or startswith({kind}, 'DECIMAL'))"
+        right = [numeric, *([f"{size} = floor({size})"] if whole else [])]
+        found = [_if(f"not coalesce({' and '.join(right)}, false)", at, "a whole number is wanted" if whole else "a number is wanted")]
+        for bound, sign, within, words in ((shape.least, "<", ">=", "less than"), (shape.most, ">", "<=", "more than")):
+            if bound is not None:
+                right.append(f"{size} {within} {float(bound)!r}D")
+                found.append(_if(f"{numeric} and {size} {sign} {float(bound)!r}D", at, f"{words} {shown(bound)}"))
+        return f"element_at(transform(array({_get(v, 'double')}), {size} -> {_unless(' and '.join(right), *found)}), 1)"
+
+    def _of_list(self, v: str, at: list[str], shape: Shape) -> str:
+        items, x, i = self._named("l"), self._named("x"), self._named("i")
+        each = self.node(x, [*at, f"cast({i} as string)"], shape.item)
+        found = f"flatten(filter(transform({items}, ({x}, {i}) -> {each}), f -> f is not null))"
+        few = f"when size({items}) < {int(shape.least)} then array({_issue(at, 'too few items')}) " if shape.least else ""
+        found = f"case when {items} is null then array({_issue(at, 'a list is wanted')}) {few}else {found} end"
+        return f"element_at(transform(array({_get(v, 'array<variant>')}), {items} -> {found}), 1)"
+
+    def _of_object(self, v: str, at: list[str], shape: Shape) -> str:
+        o = self._named("o")
+        used = [k for c in shape.conditions for k in (c.key, c.target.split("/")[0])]
+        struct = ", ".join(f"`{k}`: variant" for k in dict.fromkeys([*shape.fields, *used]))
+        keys = f"map_keys({_get(v, 'map<string,variant>')})"
+        known = ", ".join(map(_text, shape.fields))
+        member = lambda k: f"{o}.`{k}`"
+        missing = [f"{member(k)} is null" for k in shape.needed]
+        own = _unless(
+            f"{o} is not null and size({keys}) = " + " + ".join(f"int({member(k)} is not null)" for k in shape.fields) + "".join(f" and not {m}" for m in missing),
+            _if(f"{o} is null", at, "an object is wanted"),
+            _if(f"exists({keys}, k -> k not in ({known}))", at, "unknown keys"),
+            *(_if(f"{o} is not null and {m}", at, f"{k} is missing") for k, m in zip(shape.needed, missing, strict=True)),
+        )
+        below = [f"case when {member(k)} is not null then {self.node(member(k), [*at, _text(k)], its)} end" for k, its in shape.fields.items()]
+        found = ", ".join([own, *(self._of_condition(c, o, at) for c in shape.conditions), *below])
+        found = f"flatten(filter(array({found}), f -> f is not null))"
+        return f"element_at(transform(array({_get(v, f'struct<{struct}>')}), {o} -> {found}), 1)"
+
+    def _of_condition(self, c: Condition, o: str, at: list[str]) -> str:
+        member = lambda k: f"{o}.`{k}`"
+        has = lambda k: f"({member(k)} is not null)"
+        true = lambda k: f"coalesce(schema_of_variant({member(k)}) = 'BOOLEAN' and {_get(member(k), 'boolean')}, false)"
+        if c.when == "equals":
+            said = f"schema_of_variant({member(c.key)}) = 'STRING' and {_get(member(c.key), 'string')} = {_text(c.value)}"
+            holds = f"(not {has(c.key)} or coalesce({said}, false))"
+        else:
+            holds = has(c.key) if c.when == "has" else true(c.key)
+        if c.then == "forbids each":
+            head, last = c.target.split("/")
+            x, i = self._named("x"), self._named("i")
+            item = _get(x, f"struct<`{last}`: variant>")
+            bad = _if(f"{item} is null or {item}.`{last}` is not null", [*at, _text(head), f"cast({i} as string)"], c.message)
+            items = f"transform({_get(member(head), 'array<variant>')}, ({x}, {i}) -> {bad})"
+            return f"case when {holds} then filter({items}, f -> f is not null) end"
+        if c.then == "true":
+            wrong, at = f"{has(c.target)} and not {true(c.target)}", [*at, _text(c.target)]
+        else:
+            wrong = f"{o} is not null and not {has(c.target)}" if c.then == "needs" else f"({o} is null or {has(c.target)})"
+        return f"case when {holds} and {wrong} then array({_issue(at, c.message)}) end"
+
+
+def issues(v: str, shape: Shape) -> Column:
+    """The issues (an array, in no order, or null for none) of a document, the column ``v`` (a variant)."""
+    return F.expr(_Judge().node(v, [], shape))

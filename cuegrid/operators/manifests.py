@@ -165,19 +165,12 @@ def catalogue_semantics(v: Column) -> Column:
 
 
 def _validated(documents: DataFrame, shape: c.Shape, semantics: Callable[[Column], Column]) -> DataFrame:
-    """Issues of the shape, and of documents without any those of ``semantics``; rows are told apart by a number of their own."""
-    root = F.array().cast("array<string>")
-    rows = documents.select("doc_id", F.monotonically_increasing_id().alias("row"), F.try_parse_json("json").alias("v"))
-    whole = rows.select("doc_id", "row", F.inline(F.when(F.col("v").isNull(), F.array(c.issue(root, "not JSON"))).otherwise(semantics(F.col("v")))))
-    late = (F.size("at") > 0).alias("late")
-    shaped = c.broken_rules(rows.where("v is not null"), shape).select("doc_id", "row", "at", "message", "severity", F.lit(False).alias("late"))
-    issues = shaped.union(whole.select("doc_id", "row", "at", "message", "severity", late))
-    item = F.struct("at", "message", "severity")
-    by_row = issues.groupBy("row", "doc_id").agg(
-        F.array_sort(F.collect_list(F.when(~F.col("late"), item))).alias("early"), F.collect_list(F.when(F.col("late"), item)).alias("then")
-    )
-    found = F.when(F.size("early") > 0, F.col("early")).otherwise(F.array_sort("then"))
-    rows = by_row.select("doc_id", F.posexplode(found).alias("nth", "i"))
+    """Issues of the shape, and of documents without any those of ``semantics``."""
+    root, v = F.array().cast("array<string>"), F.col("v")
+    rows = documents.select("doc_id", F.try_parse_json("json").alias("v"))
+    early = F.when(v.isNull(), F.array(c.issue(root, "not JSON"))).otherwise(F.coalesce(c.issues("v", shape), c.none()))
+    found = let(early, lambda x: F.array_sort(F.when(F.size(x) > 0, x).otherwise(semantics(v))))
+    rows = rows.select("doc_id", F.posexplode(found).alias("nth", "i"))
     path = F.when(F.size("i.at") == 0, "$").otherwise(F.array_join("i.at", "/"))
     return rows.select("doc_id", "nth", path.alias("path"), "i.message", "i.severity")
 

@@ -584,6 +584,15 @@ def test_manifest_rules(spark):
     assert manifests.validate(table.limit(0)).count() == 0
 
 
+def test_manifests_are_judged_in_their_rows(spark):
+    """No row a node, nothing shuffled or joined; a key with a dot is not another place's."""
+    table = spark.createDataFrame([(1, '{"titles": [], "stmVersion": "0.2", "titles[]": 5}'), (2, '{"stmVersion": "0.2", "titles": [], "it\'s": 1}')], "doc_id long, json string")
+    found = manifests.validate_catalogues(table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert sorted((r.doc_id, r.path, r.message) for r in found.collect()) == [(1, "$", "unknown keys"), (2, "$", "unknown keys")]
+
+
 def test_catalogue_rules(spark):
     import json
 
