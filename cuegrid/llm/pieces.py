@@ -19,6 +19,7 @@ piece itself, so the composition falls apart at these places and each part's pat
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,6 +86,7 @@ class PieceTransducer:
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece holds a space behind another character")
         self._pairs: dict[int, bool] = {}
+        self._grown: dict[int, list] = {}  # at most one row a character of the pieces
         self._chunks = _Chunks(self)
         self._apart = re.compile("(?<=[^ ]) ")
         self._split = re.compile(r" *[^ \n]+| +|\n" if "\n" not in self.ids else r" *[^ ]+| +")
@@ -112,64 +114,98 @@ class PieceTransducer:
         silent = {i for i in range(size) if model.is_control(i)}
         return cls(pieces, [model.get_score(i) for i in range(size)], byte_ids, silent, model.unk_id())
 
-    def _merged(self, text: str) -> list[str]:
-        """Merge the characters of a text: best score first, leftmost among equals."""
-        parts, ids, scores = list(text), self.ids, self.scores
-        while len(parts) > 1:
-            best, where = -_INFINITE, -1
-            for k in range(len(parts) - 1):
-                i = ids.get(parts[k] + parts[k + 1])
-                if i is not None and scores[i] > best:
-                    best, where = scores[i], k
-            if where < 0:
-                break
-            parts[where : where + 2] = [parts[where] + parts[where + 1]]
-        return parts
+    def _grows(self, piece: int) -> list[tuple[float, str, str]]:
+        """(score, first part, last part) after each merge of a piece's characters: best score first, leftmost among equals.
+
+        The last row has no score; there is none at all for a piece that its characters don't merge to.
+        """
+        score = lambda x: self.scores[self.ids[x]] if x in self.ids else -_INFINITE
+        parts = list(self.pieces[piece])
+        links = [score(x + y) for x, y in zip(parts, parts[1:])]
+        rows, ends = [], (parts[0], parts[-1])
+        while links and (best := max(links)) > -_INFINITE:
+            rows.append((best, *ends))
+            k = links.index(best)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del links[k]
+            if k:
+                links[k - 1] = score(parts[k - 1] + parts[k])
+            if k < len(links):
+                links[k] = score(parts[k] + parts[k + 1])
+            ends = (parts[0], parts[-1])
+        self._grown[piece] = found = [] if links else [*rows, (-_INFINITE, *ends)]
+        return found
 
     def _follows(self, last: int, piece: int) -> bool:
-        """Whether ``piece`` may follow ``last``: the arc weighs 0, otherwise infinity."""
+        """Whether ``piece`` may follow ``last``: the arc weighs 0, otherwise infinity.
+
+        Merging their joint string does what merging either does, best score first, unless parts on both sides of the joint merge.
+        """
         if len(self._pairs) >= _MEMO_PAIRS:
             self._pairs.clear()
-        a, b = self.pieces[last], self.pieces[piece]
-        may = self._pairs[last * len(self.pieces) + piece] = self._merged(a + b) == [a, b]
+        left, right = (self._grown.get(x) or self._grows(x) for x in (last, piece))
+        may = bool(left and right)
+        i = j = 0
+        while may:
+            (mine, _, before), (theirs, after, _) = left[i], right[j]
+            joint = self.ids.get(before + after)
+            if joint is not None and self.scores[joint] > mine and self.scores[joint] >= theirs:
+                may = False
+            elif mine == theirs == -_INFINITE:
+                break
+            elif mine >= theirs:
+                i += 1
+            else:
+                j += 1
+        self._pairs[last * len(self.pieces) + piece] = may
         return may
 
     def path(self, chunk: str) -> list[int]:
         """The shortest path over one normalised chunk, as ids.
 
-        All weights are 0 or infinity, so a position's cost is known once a finite arc reaches it.
+        All weights are 0 or infinity, so the search goes depth first, longest pieces first.  A prefix has one path of
+        finite weight, so a position from which no piece goes on is left for good.
         """
         size, n = len(chunk), len(self.pieces)
-        came, wrote = [-1] * (size + 1), [-1] * (size + 1)  # the arc's start (-1: not reached) and its piece (-1: bytes)
-        came[0] = 0
-        trie, known = self.trie, self._pairs
-        for i in range(size):
-            if came[i] < 0:
+        trie, known, dead = self.trie, self._pairs, set()
+        starts: list[int] = []
+        wrote: list[int] = []  # the pieces (-1: bytes) and where they start
+        i, last = 0, -1
+        while i < size:
+            node, ends, j = trie.get(chunk[i]), [], i
+            if node is None and i + 1 not in dead:  # no piece holds it
+                starts.append(i)
+                wrote.append(-1)
+                i, last = i + 1, -1
                 continue
-            node = trie.get(chunk[i])
-            if node is None:  # no piece holds it
-                came[i + 1], wrote[i + 1] = i, -1
-                continue
-            last, j = wrote[i], i
             while node is not None:
                 j += 1
                 below, piece = node
-                if piece >= 0 and came[j] < 0:
-                    may = last < 0 or known.get(last * n + piece)
-                    if may is None:
-                        may = self._follows(last, piece)
-                    if may:
-                        came[j], wrote[j] = i, piece
+                if piece >= 0 and j not in dead:
+                    ends.append((j, piece))
                 if j == size:
                     break
                 node = below.get(chunk[j])
+            for j, piece in reversed(ends):
+                may = last < 0 or known.get(last * n + piece)
+                if may is None:
+                    may = self._follows(last, piece)
+                if may:
+                    starts.append(i)
+                    wrote.append(piece)
+                    i, last = j, piece
+                    break
+            else:
+                dead.add(i)
+                i = starts.pop()
+                wrote.pop()
+                last = wrote[-1] if wrote else -1
+        if -1 not in wrote:
+            return wrote
         out: list[int] = []
-        at = size
-        while at > 0:
-            start, piece = came[at], wrote[at]
-            out += [piece] if piece >= 0 else [self.byte_ids[b] for b in reversed(chunk[start:at].encode("utf-8", "replace"))]
-            at = start
-        return out[::-1]
+        for start, piece in zip(starts, wrote, strict=True):
+            out += [piece] if piece >= 0 else [self.byte_ids[b] for b in chunk[start].encode("utf-8", "replace")]
+        return out
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text (int32)."""
@@ -201,7 +237,7 @@ class _Chunks(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.before.get(chunk)
         if ids is None:
-            ids = np.array(self.owner.path(chunk.replace(" ", SPACE)), np.int32).tobytes()
+            ids = array("i", self.owner.path(chunk.replace(" ", SPACE))).tobytes()
         if len(chunk) <= 64:
             if len(self) >= _MEMO_CHUNKS:
                 self.before = dict(self)

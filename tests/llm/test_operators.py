@@ -784,6 +784,28 @@ def test_pieces_equal_the_public_library(spark):
     assert machine.decode([3 + 0xE2, 3 + 0x28]) == "\ufffd(" and encode_pieces(docs(spark, {}), PIECE_MODEL).count() == 0
 
 
+def test_pieces_are_searched_from_the_longest():
+    """A word that is one piece asks for no pair; pairs and paths are those of plain merging."""
+    machine = PieceTransducer.from_file(PIECE_MODEL)
+    assert machine.path("▁information") == [machine.ids["▁information"]] and not machine._pairs
+
+    def merged(text: str) -> list[str]:
+        parts = list(text)
+        while True:
+            found = [(-machine.scores[machine.ids[x + y]], k) for k, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in machine.ids]
+            if not found:
+                return parts
+            k = min(found)[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+    rng = random.Random(12)
+    for _ in range(2000):
+        a, b = rng.sample(list(machine.ids), 2)
+        assert machine._follows(machine.ids[a], machine.ids[b]) == (merged(a + b) == [a, b])
+        word = "▁" + "".join(rng.choice("aeinorstthd") for _ in range(rng.randrange(1, 20)))
+        assert [machine.pieces[i] for i in machine.path(word)] == merged(word)
+
+
 def test_pieces_of_repeated_rows_and_clashing_names(spark):
     data = spark.createDataFrame([(1, "a b", 5, "x"), (1, "a b", 5, "x"), (None, None, 6, "y")], "doc_id long, text string, ids int, n_pieces string")
     got = encode_pieces(data, PIECE_MODEL).collect()
