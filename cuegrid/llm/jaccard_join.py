@@ -313,20 +313,24 @@ def _edges(docs: DataFrame, classes: DataFrame, shared: DataFrame, n: int, perce
     """Links (a, b) that connect all linked classes of ``shared(key, id, hub, n)``.
 
     A key of two members is done with its hub's comparison, and one whose other members are in one component with theirs.
+    The rounds of further stars take a hub's members, which are fewer than its keys' rows, and end when one links nothing.
     """
     rows = shared.where("id <> hub")
     found = stash(_verified(docs, _possible(rows.select(F.col("hub").alias("a"), F.col("id").alias("b")), classes, percent), n, percent))
-    for stars in range(STARS, -1, -1):
+    labels, moved = connected_components(found), False
+    placed = stash(_unsettled(rows.where("n > 2"), labels))
+    members = stash(placed.select("hub", "id", "part").distinct())
+    for _ in range(STARS):
+        more = _possible(_further_stars(members, labels), classes, percent)
+        new = more if more.isEmpty() else stash(_verified(docs, more, n, percent))
+        if new.isEmpty():  # a further round would compare the same pairs
+            break
+        found, moved = found.union(new), True
         labels = connected_components(found)
-        part, of_key = F.coalesce("component", "id"), Window.partitionBy("key")
-        placed = rows.where("n > 2").join(labels, "id", "left").select("key", "id", "hub", part.alias("part"))
-        placed = placed.withColumns({"lo": F.min("part").over(of_key), "hi": F.max("part").over(of_key)})
-        placed = stash(placed.where("lo < hi").drop("lo", "hi"))
+        members = stash(members.drop("part").join(labels, "id", "left").select("hub", "id", F.coalesce("component", "id").alias("part")))
+    if moved:
+        placed = stash(_unsettled(placed, labels))
         members = placed.select("hub", "id", "part").distinct()
-        more = _possible(_further_stars(members, labels), classes, percent) if stars else None
-        if more is None or more.isEmpty():
-            break
-        found = stash(found.union(_verified(docs, more, n, percent)))
     open_ = stash(
         members.groupBy("hub")
         .agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"))
@@ -338,6 +342,14 @@ def _edges(docs: DataFrame, classes: DataFrame, shared: DataFrame, n: int, perce
     return found if rest.isEmpty() else found.union(_verified(docs, rest, n, percent))
 
 
+def _unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, id, hub, part): ``rows(key, id, hub)`` with their components, of keys whose members are in several."""
+    of_key = Window.partitionBy("key")
+    placed = rows.join(labels, "id", "left").select("key", "id", "hub", F.coalesce("component", "id").alias("part"))
+    placed = placed.withColumns({"lo": F.min("part").over(of_key), "hi": F.max("part").over(of_key)})
+    return placed.where("lo < hi").drop("lo", "hi")
+
+
 def _further_stars(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs (a, b) of a hub's first member that the hub's component has left out with the members of other components.
 
