@@ -38,6 +38,35 @@ class OpenClusters:
     def boxes(self) -> np.ndarray:
         return self.held[: self.n]
 
+    def take_one(self, own: np.ndarray, min_iou: float, smoothing: float) -> int:
+        """:meth:`take` for a frame of one box, as most are: the same numbers, by columns."""
+        best = -1
+        if self.n:
+            means = self.boxes
+            x1, y1, x2, y2 = own.tolist()
+            low_x, low_y, high_x, high_y = means.T
+            size = (high_x - low_x).clip(0) * (high_y - low_y).clip(0)
+            common = (np.minimum(high_x, x2) - np.maximum(low_x, x1)).clip(0)
+            common *= (np.minimum(high_y, y2) - np.maximum(low_y, y1)).clip(0)
+            wide, high = x2 - x1, y2 - y1
+            union = (0.0 if wide < 0 else wide) * (0.0 if high < 0 else high) + size - common
+            overlap = np.divide(common, union, out=np.zeros(self.n), where=union > 0)
+            last = self.n - 1 - int(overlap[::-1].argmax())
+            if overlap[last] >= min_iou:
+                best = last
+                means[best] += smoothing * (own - means[best])
+        if best < 0:
+            best = self.add(own)
+        return best
+
+    def add(self, box: np.ndarray) -> int:
+        """The number of the new cluster that the box opens."""
+        if self.n == len(self.held):
+            self.held = np.concatenate([self.held, np.empty_like(self.held)])
+        self.held[self.n] = box
+        self.n += 1
+        return self.n - 1
+
     def take(self, own: np.ndarray, min_iou: float, smoothing: float) -> np.ndarray:
         """The clusters that a frame's boxes (in the order of their numbers) go to, best overlap first; the rest open new ones."""
         means, found = self.boxes, np.full(len(own), -1, np.int32)
@@ -55,10 +84,7 @@ class OpenClusters:
                     found[b] = c
                     means[c] += smoothing * (own[b] - means[c])
         for b in np.flatnonzero(found < 0):
-            if self.n == len(self.held):
-                self.held = np.concatenate([self.held, np.empty_like(self.held)])
-            self.held[self.n], found[b] = own[b], self.n
-            self.n += 1
+            found[b] = self.add(own[b])
         return found
 
 
@@ -66,8 +92,13 @@ def track_frames(pdf: pd.DataFrame, clusters: OpenClusters, min_iou: float, smoo
     """One title's boxes, frame by frame in order, with the clusters they go to."""
     pdf = pdf.sort_values(["frame_idx", "box_no"], kind="stable").reset_index(drop=True)
     boxes, found = pdf[["x1", "y1", "x2", "y2"]].to_numpy(float), np.empty(len(pdf), np.int32)
-    for at in pdf.groupby("frame_idx", sort=True).indices.values():
-        found[at] = clusters.take(boxes[at], min_iou, smoothing)
+    frame = pdf["frame_idx"].to_numpy()
+    edges = np.flatnonzero(np.r_[True, frame[1:] != frame[:-1], True]).tolist() if len(pdf) else []
+    for at, to in zip(edges, edges[1:]):
+        if to - at == 1:
+            found[at] = clusters.take_one(boxes[at], min_iou, smoothing)
+        else:
+            found[at:to] = clusters.take(boxes[at:to], min_iou, smoothing)
     return pdf.assign(cluster_id=found)
 
 

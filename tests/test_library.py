@@ -1042,3 +1042,14 @@ def test_parts_are_tracked_apart(spark):
     want = naive_tracks(rows)
     for t in (7, 8):
         assert {(r.frame_idx, r.box_no): r.cluster_id for r in detections.cluster_detections(df).where(F.col("title_id") == t).collect()} == want
+
+
+def test_a_frame_of_one_box_is_taken_like_any_frame():
+    rng = np.random.default_rng(5)
+    boxes = rng.integers(0, 30, (400, 4)) / 4  # ties, empty and turned boxes
+    boxes[:, 2:] += boxes[:, :2] * (rng.random((400, 1)) < 0.9)
+    boxes[7, 0], boxes[30] = np.nan, boxes[29]
+    whole, one = detections.OpenClusters(), detections.OpenClusters()
+    for box in boxes:
+        assert whole.take(box[None], 0.3, 0.2)[0] == one.take_one(box, 0.3, 0.2)
+    assert 64 < one.n < 400 and np.array_equal(whole.boxes, one.boxes, equal_nan=True)
