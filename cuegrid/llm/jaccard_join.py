@@ -17,7 +17,8 @@ Tokens are the 64-bit hashes of a text's distinct word shingles.  Two sets link
    two sets differ in no fewer tokens than their sketches in bits; pairs with too many are out.
    The others are verified on the whole sets.  Under every key each class is compared with the
    key's first class only; a key's classes by size are cut before where sizes allow no link.  The links found are merged into components; then classes of one key
-   that are still in different components are compared.  Links inside one component can't change the components, so
+   that are still in different components are compared, in crowds by their differences from the crowd's common tokens, after the
+   most central ones were.  Links inside one component can't change the components, so
    no link between components is lost.
 5. *Links* (``similar_pairs``, only where asked for).  Linked classes are in one component, so each component is
    compared in full: its sets, by size, in blocks of bounded size, every two blocks in a task of their own, by counts
@@ -56,6 +57,8 @@ SMALL_SET = 32
 FEW, USUAL = 1_000, 32
 #: Further members of a hub that are compared with all others, and how many a hub must have left out for it.
 STARS, OPEN = 3, 50
+#: Differences of up to so many tokens go along with a pair's keys, so that it is decided where it is made.
+CARRIED = 256
 #: Tokens of a block whose links are counted at once, what a member adds to them, and the tokens of one matrix.
 LINK_BLOCK, MEMBER_TOKENS, COLUMNS = 200_000, 200, 4096
 
@@ -190,6 +193,14 @@ def _near(size_x: str, size_y: str, sketch_x: str, sketch_y: str, percent: int)
     return F.when(fits, _differing_bits(F.col(sketch_x), F.col(sketch_y)) <= most).otherwise(F.lit(False))
 
 
+def _linked(size_x: str, size_y: str, tokens_x: str, tokens_y: str, percent: int) -> Column:
+    """Whether sets, held by their differences from one set, link; true where either isn't known."""
+    total, common = F.col(size_x) + F.col(size_y), F.size(F.array_intersect(tokens_x, tokens_y))
+    apart = F.size(tokens_x) + F.size(tokens_y) - 2 * common
+    unknown = F.col(tokens_x).isNull() | F.col(tokens_y).isNull()
+    return unknown | (apart * (100 + percent) <= total * (100 - percent))
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole token sets are similar enough."""
     sets = _sets(docs, n, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
@@ -331,17 +342,37 @@ def _edges(docs: DataFrame, classes: DataFrame, shared: DataFrame, n: int, perce
     if moved:
         placed = stash(_unsettled(placed, labels))
         members = placed.select("hub", "id", "part").distinct()
-    open_ = stash(
-        members.groupBy("hub")
-        .agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"))
-        .where("lo < hi")  # the hub has been compared with all
-    )
-    few = _pairs_of_keys(placed.join(open_.where(F.col("n") <= FEW).select("hub"), "hub"), classes, percent)
-    many = _pairs_of_differences(docs, members.join(open_.where(F.col("n") > FEW).select("hub"), "hub"), classes, n, percent)
-    rest = _possible(few.union(many), classes, percent)
+    crowds = stash(_crowds(members, min(FEW, OPEN)))
+    differing = None if crowds.isEmpty() else _differences(docs, crowds, n, percent)
+    if differing is not None:
+        stars, labels = _central_stars(differing, found, labels, percent)
+        found = found.union(stars)
+        placed = stash(_unsettled(placed, labels))
+        members = placed.select("hub", "id", "part").distinct()
+    open_ = stash(_open_hubs(members))
+    few = placed.join(open_.where(F.col("n") <= FEW).select("hub"), "hub")
+    if differing is None:
+        rest = _pairs_of_keys(few.withColumn("tokens", F.lit(None).cast("array<bigint>")), classes, percent)
+    else:
+        carried = differing.select("hub", "id", F.when(F.size("tokens") <= CARRIED, F.col("tokens")).alias("tokens"))
+        rest = _pairs_of_keys(few.join(carried, ["hub", "id"], "left"), classes, percent)
+        many = members.join(open_.where(F.col("n") > FEW).select("hub"), "hub").join(carried, ["hub", "id"])
+        rest = rest.union(_pairs_of_differences(many.join(differing.select("hub", "id", "first"), ["hub", "id"]), classes, percent))
+    rest = _possible(rest, classes, percent)
     return found if rest.isEmpty() else found.union(_verified(docs, rest, n, percent))
 
 
+def _open_hubs(members: DataFrame) -> DataFrame:
+    """(hub, n): the hubs of ``members(hub, id, part)`` in several components; the hub has been compared with all."""
+    parts = members.groupBy("hub").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+    return parts.where("lo < hi").select("hub", "n")
+
+
+def _crowds(members: DataFrame, least: int) -> DataFrame:
+    """The members of open hubs with over ``least`` of them."""
+    return members.join(_open_hubs(members).where(F.col("n") > least).select("hub"), "hub")
+
+
 def _unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, id, hub, part): ``rows(key, id, hub)`` with their components, of keys whose members are in several."""
     of_key = Window.partitionBy("key")
@@ -365,7 +396,7 @@ def _further_stars(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _pairs_of_keys(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs under one key in different components, for hubs of few members.
+    """Pairs of ``placed(key, id, hub, part, tokens)`` under one key in different components, for hubs of few members.
 
     A pair is made at a key only if the keys before it (in order) differ: that holds for the
     pair's first shared key, and spares most of its repeats.
@@ -381,17 +412,17 @@ def _pairs_of_keys(placed: DataFrame, classes: DataFrame, percent: int) -> DataF
         & (F.col("x.part") != F.col("y.part"))
         & (F.col("x.before").isNull() | ~F.col("x.before").eqNullSafe(F.col("y.before")))
         & _near("x.size", "y.size", "x.sketch", "y.sketch", percent)
+        & _linked("x.size", "y.size", "x.tokens", "y.tokens", percent)
     )
     return x.join(y, apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
-def _pairs_of_differences(docs: DataFrame, members: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs of ``members(hub, id, part)`` of one hub in different components, for hubs of many members.
+def _differences(docs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
+    """(hub, id, size, tokens, excess, first) of ``members(hub, id, part)``, written.
 
-    Sets are held by their differences D from what most of the hub's members hold, which keeps
-    distances: |A ^ B| = |D(A) ^ D(B)|.  A link is |A ^ B| <= c * (|A| + |B|), c = (1-t)/(1+t).  Two
-    linked members whose differences have nothing in common are both linked to the member r of
-    the least |D| - c * size, so all are paired with r.  Others share a token; before the first one
+    Sets are held by their differences D from what most of the hub's members hold (tokens), which keeps
+    distances: |A ^ B| = |D(A) ^ D(B)|.  A link is |A ^ B| <= c * (|A| + |B|), c = (1-t)/(1+t); excess is |D| - c * size,
+    scaled.  Two linked members whose differences share a token: before the first one
     (in any common order) come only tokens in which the two differ, E at most, so it is among the
     first E + 1 of either.  The order puts last what more than one in USUAL of the members have.
     """
@@ -399,7 +430,7 @@ def _pairs_of_differences(docs: DataFrame, members: DataFrame, classes: DataFram
     sets = stash(_sets(docs, n, ids))
     rows = members.join(sets, "id").join(sets.select(F.col("id").alias("hub"), F.col("tokens").alias("base")), "hub")
     differing = F.concat(F.array_except("tokens", "base"), F.array_except("base", "tokens"))
-    rows = stash(rows.select("hub", "id", "part", F.size("tokens").alias("size"), differing.alias("tokens")))
+    rows = stash(rows.select("hub", "id", F.size("tokens").alias("size"), differing.alias("tokens")))
     counted = rows.select("hub", F.explode("tokens").alias("token")).groupBy("hub", "token").agg(F.count("*").alias("c"))
     counted = counted.where("c > 1").join(members.groupBy("hub").agg(F.count("*").alias("total")), "hub")
     # at most 2 and USUAL times a member's differences
@@ -415,12 +446,49 @@ def _pairs_of_differences(docs: DataFrame, members: DataFrame, classes: DataFram
     ordered = F.concat(F.array_except("tokens", usual), F.array_intersect("tokens", usual))
     reach = F.floor(F.col("size") * (100 - percent) / percent).cast("int") + 1
     excess = F.size("tokens") * (100 + percent) - F.col("size") * (100 - percent)
-    rows = stash(rows.select("hub", "id", "part", "size", excess.alias("excess"), F.slice(ordered, F.lit(1), reach).alias("first")))
-    centre = rows.groupBy("hub").agg(F.min(F.struct("excess", "id", "part")).alias("r"))
-    spokes = rows.join(centre, "hub").where("id <> r.id and part <> r.part").select(F.col("r.id").alias("a"), F.col("id").alias("b"))
-    rows = rows.select("hub", "id", "part", "size", F.explode("first").alias("token"))
+    return stash(rows.select("hub", "id", "size", "tokens", excess.alias("excess"), F.slice(ordered, F.lit(1), reach).alias("first")))
+
+
+def _central_stars(rows: DataFrame, found: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of hubs' most central members, and the components of these and ``found``.
+
+    Two linked members whose differences have nothing in common are both linked to the member of
+    the least excess, so that one is compared with all.  Most copies link to one text in their middle but few to each other; where it
+    is found no pairs are left.  Further rounds take the most central member of the components that had none yet, while
+    over ``OPEN`` members are in such and a round links something.
+    """
+    new, centres = None, None
+    for _ in range(1 + STARS):
+        placed = rows.join(labels, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component", "first")
+        left = placed
+        if centres is not None:
+            done = centres.join(placed.select("hub", "id", "part"), ["hub", "id"]).select("hub", "part").distinct()
+            left = placed.join(done, ["hub", "part"], "left_anti")
+        picked = left.groupBy("hub").agg(F.count("*").alias("n"), F.min(F.struct("excess", "id", "part")).alias("r"))
+        if centres is not None:
+            picked = picked.where(F.col("n") > OPEN)
+        picked = stash(picked.select("hub", F.col("r.id").alias("id"), F.col("r.part").alias("own")))
+        if picked.isEmpty():
+            break
+        centres = picked.select("hub", "id") if centres is None else centres.union(picked.select("hub", "id"))
+        middle = stash(picked.join(rows, ["hub", "id"]).select("hub", F.col("id").alias("a"), "own", F.col("size").alias("sa"), F.col("tokens").alias("ta")))
+        both = placed.join(middle, "hub").where("part <> own")
+        links = stash(both.where(_linked("size", "sa", "tokens", "ta", percent)).select("a", F.col("id").alias("b")).distinct())
+        if links.isEmpty():
+            break
+        new = links if new is None else new.union(links)
+        labels = connected_components(found.union(new))
+    return (found.limit(0) if new is None else new), labels
+
+
+def _pairs_of_differences(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``rows(hub, id, part, tokens, first)`` in different components whose differences share a token.
+
+    For hubs of many members, whose most central one has been compared with all.
+    """
+    rows = rows.select("hub", "id", "part", "tokens", F.explode("first").alias("token"))
     split = rows.groupBy("hub", "token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    left = stash(rows.join(split.select("hub", "token"), ["hub", "token"]).join(classes.select("id", "sketch"), "id"))
+    left = stash(rows.join(split.select("hub", "token"), ["hub", "token"]).join(classes, "id"))
     x, y = left.alias("x"), left.alias("y")
     apart = (
         (F.col("x.hub") == F.col("y.hub"))
@@ -428,5 +496,6 @@ def _pairs_of_differences(docs: DataFrame, members: DataFrame, classes: DataFram
         & (F.col("x.id") < F.col("y.id"))
         & (F.col("x.part") != F.col("y.part"))
         & _near("x.size", "y.size", "x.sketch", "y.sketch", percent)
+        & _linked("x.size", "y.size", "x.tokens", "y.tokens", percent)
     )
-    return spokes.union(x.join(y, apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+    return x.join(y, apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))

@@ -27,3 +27,14 @@ def test_stars_link_what_the_hub_leaves_out(spark, monkeypatch):
             part = {k: lo if v == hi else v for k, v in part.items()}
     got = j.ngram_jaccard_join(spark.createDataFrame(docs, "doc_id long, text string"), 1, 70).collect()
     assert {r.doc_id: r.component_id for r in got} == part and len(set(part.values())) == 2 and calls
+
+
+def test_differences_decide_pairs_where_they_are_made(spark, monkeypatch):
+    """Near copies that don't link go no further than the join that makes their pairs."""
+    monkeypatch.setattr(j, "OPEN", 3)
+    made, real = [], j._pairs_of_keys
+    monkeypatch.setattr(j, "_pairs_of_keys", lambda *a: made.append(real(*a)) or made[0])
+    shared = " ".join(f"w{i}" for i in range(8))
+    docs = [(i, f"{shared} x{i} y{i}") for i in range(60)]  # 8 of 12 words: sketches allow 70 %, the sets don't
+    got = j.ngram_jaccard_join(spark.createDataFrame(docs, "doc_id long, text string"), 1, 70).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i for i in range(60)} and made[0].count() == 0
