@@ -64,7 +64,7 @@ def break_line(text: Column) -> Column:
 def fits(text: Column) -> Column:
     """Whether the broken text has at most two lines of at most 42 characters."""
     lines = F.split(break_line(text), "\n")
-    return (F.size(lines) <= LINES) & F.forall(lines, lambda x: F.length(x) <= LINE)
+    return let(lines, lambda x: (F.size(x) <= LINES) & F.forall(x, lambda line: F.length(line) <= LINE))
 
 
 def parse_timestamp(value: Column) -> Column:

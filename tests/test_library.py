@@ -1053,3 +1053,11 @@ def test_a_frame_of_one_box_is_taken_like_any_frame():
     for box in boxes:
         assert whole.take(box[None], 0.3, 0.2)[0] == one.take_one(box, 0.3, 0.2)
     assert 64 < one.n < 400 and np.array_equal(whole.boxes, one.boxes, equal_nan=True)
+
+
+def test_cuts_are_folded_once(spark):
+    """A filter that Spark makes from the rows' array would fold the words again."""
+    rows = [(1, i, "word", i * 0.4, i * 0.4 + 0.35) for i in range(60)]
+    cues = align.machine_cues(spark.createDataFrame(rows, "title_id long, pos long, text string, start double, end double"))
+    plan = cues._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("struct(held") == 1 and sum(r.text.count("word") for r in cues.collect()) == 60
