@@ -767,8 +767,9 @@ def _cell(value: str, digits: int, width: int) -> str:
     "case when persistence < 0.5 and size_frac > 0.45 then 'too brief; too large' when persistence < 0.5 then 'too brief' when size_frac > 0.45 then 'too large' else 'ok' end as line from ranked"
 )
 def cluster_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _features(spark, sf_dir).withColumn("score", half_up("score", 9))
-    return reports.cluster_lines(detections.rank_clusters(f), detections.choose_signer(f))
+    """Clusters rank by their scores to nine decimals; lines have the scores themselves."""
+    f = _features(spark, sf_dir).withColumns({"written": F.col("score"), "score": half_up("score", 9)})
+    return reports.cluster_lines(detections.rank_clusters(f).withColumn("score", F.col("written")), detections.choose_signer(f))
 
 
 # Sources, manifests, reports ----------------------------------------------------------------------

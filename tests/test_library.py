@@ -67,6 +67,21 @@ def test_numbers_of_lines_next_to_a_half(spark):
     assert one(spark, reports.fixed(F.lit(None).cast("double"), 2, 3)) == "  -"
 
 
+def test_lines_have_scores_that_are_rounded_once(spark, tmp_path):
+    import duckdb
+
+    # a score of 0.245 and one bit: 0.25, but 0.24 if it is rounded to nine decimals before
+    rows = [(1, k, 1, k % 2 * 300, 23.0, 0.05 if k < 42 else 0.04, 0.04 if k < 64 else 0.03) for k in range(80)]
+    rows += [(1, k, 2, k % 2 * 300, 30.0, 0.05, 0.04) for k in range(80, 640)]
+    columns = "l_suppkey long, l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_discount double, l_tax double"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = sorted(tuple(r) for r in catalogue.queries()["cluster_table"](spark, str(tmp_path)).collect())
+    with duckdb.connect() as db:
+        db.execute(f"create view lineitem as select * from read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+        assert got == sorted(db.execute(catalogue.oracle_sql()["cluster_table"]).fetchall())
+    assert any(" 0.25  too brief" in line for *_, line in got)
+
+
 def test_layouts_are_those_of_detected_rectangles(spark, tmp_path):
     rows = [(title, k, 1, 1, (title * 90 + k) % 400, 10.0, 0.02, 0.01) for title in (1, 4) for k in range(200)]
     columns = "l_suppkey long, l_orderkey long, l_linenumber int, n int, l_partkey long, l_quantity double, l_discount double, l_tax double"
