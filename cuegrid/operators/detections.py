@@ -6,8 +6,11 @@ x1, y1, x2, y2, motion)``; null motion means "no measurement".
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +37,13 @@ class OpenClusters:
         if self.n:
             self.held[: self.n] = boxes
 
+    @classmethod
+    def within(cls, held: np.ndarray, n: int) -> OpenClusters:
+        """The first ``n`` boxes of a buffer, which is filled further."""
+        made = cls.__new__(cls)
+        made.held, made.n = held, n
+        return made
+
     @property
     def boxes(self) -> np.ndarray:
         return self.held[: self.n]
@@ -88,18 +98,157 @@ class OpenClusters:
         return found
 
 
+def track_rows(boxes: np.ndarray, edges: list[int], clusters: OpenClusters, min_iou: float, smoothing: float) -> np.ndarray:
+    """The clusters that one title's boxes go to; frames begin at ``edges`` (the last one ends them)."""
+    found = np.empty(len(boxes), np.int32)
+    for at, to in zip(edges, edges[1:]):
+        if to - at == 1:
+            found[at] = clusters.take_one(boxes[at], min_iou, smoothing)
+        else:
+            found[at:to] = clusters.take(boxes[at:to], min_iou, smoothing)
+    return found
+
+
 def track_frames(pdf: pd.DataFrame, clusters: OpenClusters, min_iou: float, smoothing: float) -> pd.DataFrame:
     """One title's boxes, frame by frame in order, with the clusters they go to."""
     pdf = pdf.sort_values(["frame_idx", "box_no"], kind="stable").reset_index(drop=True)
-    boxes, found = pdf[["x1", "y1", "x2", "y2"]].to_numpy(float), np.empty(len(pdf), np.int32)
     frame = pdf["frame_idx"].to_numpy()
     edges = np.flatnonzero(np.r_[True, frame[1:] != frame[:-1], True]).tolist() if len(pdf) else []
-    for at, to in zip(edges, edges[1:]):
-        if to - at == 1:
-            found[at] = clusters.take_one(boxes[at], min_iou, smoothing)
+    return pdf.assign(cluster_id=track_rows(pdf[["x1", "y1", "x2", "y2"]].to_numpy(float), edges, clusters, min_iou, smoothing))
+
+
+# Rows that are tracked at a time, tracks that are followed side by side, and the most boxes of their frames.
+BLOCK, ABREAST, CROWD = 1 << 17, 512, 8
+
+
+def track_abreast(boxes: np.ndarray, edges: np.ndarray, first: np.ndarray, count: np.ndarray, found: np.ndarray, min_iou: float, smoothing: float) -> None:
+    """Fills ``found`` as :func:`track_rows` does it, for tracks side by side: a step takes the next frame of each.
+
+    A track's frames are ``count`` from ``first`` on (places in ``edges``), the longest track comes first, so tracks that go on are
+    the first ones.  Clusters fill their rows from the right: of equal overlaps the first is the last cluster's.
+    Places without a cluster hold an empty box, which overlaps nothing.
+    """
+    n, held, areas = np.zeros(len(first), np.int64), np.zeros((4, len(first), 0)), np.zeros((len(first), 0))
+    last = np.searchsorted(-count, -np.arange(count[0]), "left")
+    for step, going in enumerate(last.tolist()):
+        at = edges[first[:going] + step]
+        sizes = edges[first[:going] + step + 1] - at
+        most, crowd = int(n[:going].max()), int(sizes.max())
+        room = held.shape[2]
+        if most + crowd > room:
+            more = 2 * (most + crowd) + 6 - room
+            held, areas = np.pad(held[:, :going], ((0, 0), (0, 0), (more, 0))), np.pad(areas[:going], ((0, 0), (more, 0)))
+            room += more
+        own, used = boxes[:, at], room - max(most, 1)
+        size = np.maximum(own[2] - own[0], 0) * np.maximum(own[3] - own[1], 0)
+        low_x, low_y, high_x, high_y = held[:, :going, used:]
+        x1, y1, x2, y2 = own[:, :, None]
+        overlap, high = np.minimum(high_x, x2), np.minimum(high_y, y2)
+        overlap -= np.maximum(low_x, x1)
+        high -= np.maximum(low_y, y1)
+        np.maximum(overlap, 0, out=overlap)
+        np.maximum(high, 0, out=high)
+        overlap *= high
+        union = np.add(areas[:going, used:], size[:, None], out=high)
+        union -= overlap
+        with np.errstate(divide="ignore", invalid="ignore"):
+            overlap /= union
+        if not union.min() > 0:
+            overlap[~(union > 0)] = 0
+        rows, best = np.arange(going), overlap.argmax(axis=1)
+        fits, place = overlap[rows, best] >= min_iou, best + used
+        if crowd > 1:
+            crowded = np.flatnonzero(sizes > 1)
+            rows = np.flatnonzero(sizes == 1)
+            at, own, fits, place = at[rows], own[:, rows], fits[rows], place[rows]
+        place = np.where(fits, place, room - 1 - n[rows])
+        means = held[:, rows, place]
+        means = np.where(fits, means + smoothing * (own - means), own)
+        held[:, rows, place] = means
+        areas[rows, place] = np.maximum(means[2] - means[0], 0) * np.maximum(means[3] - means[1], 0)
+        n[rows] += ~fits
+        found[at] = room - 1 - place
+        if crowd > 1:
+            for k in crowded.tolist():
+                clusters = OpenClusters.within(held[:, k, ::-1].T, int(n[k]))
+                begin, end = edges[first[k] + step], edges[first[k] + step + 1]
+                found[begin:end] = clusters.take(boxes[:, begin:end].T, min_iou, smoothing)
+                n[k] = clusters.n
+                areas[k] = np.maximum(held[2, k] - held[0, k], 0) * np.maximum(held[3, k] - held[1, k], 0)
+
+
+def _changes(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a whole number differs from that of the row before, and whether it is null."""
+    column = table[name].combine_chunks()
+    null, values = column.is_null().to_numpy(zero_copy_only=False), column.fill_null(0).to_numpy(zero_copy_only=False)
+    return np.r_[True, (values[1:] != values[:-1]) | (null[1:] != null[:-1])], null
+
+
+def track_sorted(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...], min_iou: float, smoothing: float) -> Iterator[pa.RecordBatch]:
+    """Tracks of boxes that come sorted by keys, frame_idx and box_no (nulls of these two last): a track a key, blocks of rows at a time.
+
+    Adds ``own``, the number of a row's cluster within its track, and ``first_frame`` and ``first_box``, those of the box that opened it.
+    A block ends with a track; a track of more rows than a block goes on frame by frame with its open clusters.
+    """
+    waiting: list[pa.RecordBatch] = []
+    going: OpenClusters | None = None
+    openers: pa.Table | None = None
+    batches = iter(batches)
+    more = True
+    while more:
+        batch = next(batches, None)
+        more = batch is not None
+        if more:
+            waiting.append(batch)
+        rows = sum(b.num_rows for b in waiting)
+        if rows == 0 or (more and rows < BLOCK):
+            continue
+        table = pa.Table.from_batches(waiting)
+        frame, no_frame = _changes(table, "frame_idx")
+        track = np.logical_or.reduce([_changes(table, k)[0] for k in keys])
+        starts, edges = np.flatnonzero(track), np.flatnonzero(track | frame | no_frame)
+        cut, within = rows, False
+        if more:
+            within = len(starts) == 1
+            cut = int(edges[-1] if within else starts[-1])
+            if cut == 0:
+                continue
+        waiting = [b for b in table.slice(cut).to_batches() if b.num_rows]
+        table, starts, edges = table.slice(0, cut), starts[starts < cut], np.r_[edges[edges < cut], cut]
+        boxes = np.stack([table[c].to_numpy() for c in ("x1", "y1", "x2", "y2")])
+        found = np.empty(cut, np.int32)
+        first = np.searchsorted(edges, starts)
+        count = np.diff(np.r_[first, len(edges) - 1])
+        alone = np.maximum.reduceat(np.diff(edges), first) > CROWD
+        known = 0 if going is None else going.n
+        alone[0] |= within or going is not None
+        for k in np.flatnonzero(alone).tolist():
+            clusters = going if k == 0 and going is not None else OpenClusters()
+            mine = edges[first[k] : first[k] + count[k] + 1]
+            found[mine[0] : mine[-1]] = track_rows(boxes[:, mine[0] : mine[-1]].T, (mine - mine[0]).tolist(), clusters, min_iou, smoothing)
+            if k == 0:
+                going = clusters
+        order = np.flatnonzero(~alone)
+        order = order[np.argsort(-count[order], kind="stable")]
+        for at in range(0, len(order), ABREAST):
+            some = order[at : at + ABREAST]
+            track_abreast(boxes, edges, first[some], count[some], found, min_iou, smoothing)
+        # the row that opened each row's cluster, those of the track that goes on before the block's
+        length = np.diff(np.r_[starts, cut])
+        _, opened, which = np.unique(np.repeat(np.arange(len(starts)) << 32, length) + found, return_index=True, return_inverse=True)
+        opener = opened[which] + known
+        if known:
+            opener[: length[0]] = np.where(found[: length[0]] < known, found[: length[0]], opener[: length[0]])
+        pool = table.select(["frame_idx", "box_no"])
+        pool = pool if openers is None else pa.concat_tables([openers, pool])
+        firsts = pool.take(pa.array(opener))
+        if within:
+            fresh = opened[found[opened] >= known] + known
+            openers = pool.take(pa.array(np.r_[np.arange(known), fresh]))
         else:
-            found[at:to] = clusters.take(boxes[at:to], min_iou, smoothing)
-    return pdf.assign(cluster_id=found)
+            going = openers = None
+        made = table.append_column("own", pa.array(found)).append_column("first_frame", firsts["frame_idx"]).append_column("first_box", firsts["box_no"])
+        yield from made.combine_chunks().to_batches()
 
 
 def detection_rows(detections: DataFrame) -> DataFrame:
@@ -108,20 +257,26 @@ def detection_rows(detections: DataFrame) -> DataFrame:
     return detections.select(*(F.col(c).cast(kinds.get(c, "double")).alias(c) for c in columns))
 
 
+def _overlap_cuts(boxes: DataFrame, rounds: int) -> tuple[DataFrame, list[str]]:
+    """The boxes with a column a cut, and the columns' names: parts are the same in all of them (see :func:`overlap_groups`)."""
+    rows, cuts = boxes, []
+    for low, high in [("x1", "x2"), ("y1", "y2")] * rounds:
+        order = Window.partitionBy("title_id", *cuts).orderBy(F.col(low).asc_nulls_first())
+        reached = F.max(high).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        rows = rows.withColumn("free", F.coalesce(F.col(low) >= reached, F.lit(False)).cast("long"))
+        rows = rows.withColumn(f"cut_{len(cuts)}", F.sum("free").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        cuts.append(f"cut_{len(cuts)}")
+    return rows.drop("free"), cuts
+
+
 def overlap_groups(boxes: DataFrame, rounds: int = 1) -> DataFrame:
     """Adds ``part``: boxes of a title in different parts are apart, and so is all that lies between boxes of one part.
 
     Each round cuts a part where no box covers a place, from left to right and then from top to bottom (running
     ends over a window), so the parts' bounding boxes don't overlap.
     """
-    rows = boxes.withColumn("part", F.array().cast("array<long>"))
-    for low, high in [("x1", "x2"), ("y1", "y2")] * rounds:
-        order = Window.partitionBy("title_id", "part").orderBy(F.col(low).asc_nulls_first())
-        reached = F.max(high).over(order.rowsBetween(Window.unboundedPreceding, -1))
-        rows = rows.withColumn("free", F.coalesce(F.col(low) >= reached, F.lit(False)).cast("long"))
-        island = F.sum("free").over(order.rowsBetween(Window.unboundedPreceding, 0))
-        rows = rows.withColumn("island", island).withColumn("part", F.array_append("part", F.col("island")))
-    return rows.drop("free", "island")
+    rows, cuts = _overlap_cuts(boxes, rounds)
+    return rows.withColumn("part", F.array(*cuts)).drop(*cuts)
 
 
 def cluster_detections(detections: DataFrame, min_iou: float = 0.3, smoothing: float = 0.2) -> DataFrame:
@@ -132,17 +287,18 @@ def cluster_detections(detections: DataFrame, min_iou: float = 0.3, smoothing: f
     towards what it takes; boxes left over open clusters.
 
     A cluster's box stays within its boxes' bounds, so parts of the picture that no box joins (:func:`overlap_groups`) don't touch each
-    other: each part of a title is a task's group of its own, sequential in itself, and clusters are numbered by their
-    first boxes afterwards.  cuegrid.streaming.tracking tracks titles that grow, with the open clusters as its only state.
+    other: each part of a title is a track of its own, sequential in itself, and clusters are numbered by their
+    first boxes afterwards.  Tracks are sorted within Spark's partitions and followed side by side (:func:`track_sorted`), blocks of rows at a
+    time.  cuegrid.streaming.tracking tracks titles that grow, with the open clusters as its only state.
     """
-    track = lambda pdf: track_frames(pdf, OpenClusters(), min_iou, smoothing)
-    found = overlap_groups(detection_rows(detections)).groupBy("title_id", "part").applyInPandas(track, f"{CLUSTERED}, part array<long>")
-    found = found.withColumnRenamed("cluster_id", "own")
-    clusters = found.groupBy("title_id", "part", "own").agg(F.min(F.struct("frame_idx", "box_no")).alias("first"))
-    number = F.row_number().over(Window.partitionBy("title_id").orderBy("first")) - 1
-    named = clusters.select("title_id", "part", "own", number.alias("cluster_id"))
-    columns = [c.split()[0] for c in CLUSTERED.split(", ")]
-    return found.join(named, ["title_id", "part", "own"]).select(*columns)
+    rows, cuts = _overlap_cuts(detection_rows(detections), 1)
+    keys, columns = ("title_id", *cuts), [c.split()[0] for c in CLUSTERED.split(", ")]
+    tracks = rows.repartition(*keys).sortWithinPartitions(*keys, F.col("frame_idx").asc_nulls_last(), F.col("box_no").asc_nulls_last())
+    names = rows.columns
+    kinds = ", ".join([*(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names), "own int, first_frame long, first_box long"])
+    found = tracks.mapInArrow(lambda batches: track_sorted(batches, keys, min_iou, smoothing), kinds)
+    opened = Window.partitionBy("title_id").orderBy(F.col("first_frame").asc_nulls_last(), F.col("first_box").asc_nulls_last(), *cuts, "own")
+    return found.withColumn("cluster_id", F.dense_rank().over(opened) - 1).select(*columns)
 
 
 def cluster_features(clustered: DataFrame, frames: DataFrame, frame_w: int, frame_h: int) -> DataFrame:

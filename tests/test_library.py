@@ -1070,6 +1070,46 @@ def test_a_frame_of_one_box_is_taken_like_any_frame():
     assert 64 < one.n < 400 and np.array_equal(whole.boxes, one.boxes, equal_nan=True)
 
 
+@pytest.mark.parametrize("block, abreast, crowd, batch", [(1 << 17, 512, 8, 10_000), (60, 3, 1, 7), (7, 512, 2, 1000)])
+def test_tracks_side_by_side_equal_tracks_alone(monkeypatch, block, abreast, crowd, batch):
+    import pyarrow as pa
+
+    for name, value in (("BLOCK", block), ("ABREAST", abreast), ("CROWD", crowd)):
+        monkeypatch.setattr(detections, name, value)
+    rng = np.random.default_rng(4)
+    rows = [(t // 2, t % 2, f, b) for t in range(14) for f in range((1, 5, 90, 30)[t % 4]) for b in range(1 if f % 6 else rng.integers(1, 12))]
+    pdf = pd.DataFrame(rows, columns=["title_id", "cut", "frame_idx", "box_no"])
+    boxes = rng.integers(0, 40, (len(pdf), 4)) / 4  # ties, empty and turned boxes
+    boxes[:, 2:] += boxes[:, :2] * (rng.random((len(pdf), 1)) < 0.9)
+    boxes[7, 0], boxes[30] = np.nan, boxes[29]
+    pdf = pdf.assign(**dict(zip(("x1", "y1", "x2", "y2"), boxes.T, strict=True)))
+    table = pa.Table.from_pandas(pdf, preserve_index=False)
+    got = pa.Table.from_batches(detections.track_sorted(table.to_batches(max_chunksize=batch), ("title_id", "cut"), 0.3, 0.2)).to_pandas()
+    assert got[["title_id", "cut", "frame_idx", "box_no"]].equals(pdf[["title_id", "cut", "frame_idx", "box_no"]])
+    for _, track in got.groupby(["title_id", "cut"]):
+        alone = detections.track_frames(track.drop(columns="own"), detections.OpenClusters(), 0.3, 0.2)
+        assert track.own.tolist() == alone.cluster_id.tolist()
+        opened = alone.groupby("cluster_id")[["frame_idx", "box_no"]].transform("first")
+        assert track[["first_frame", "first_box"]].to_numpy().tolist() == opened.to_numpy().tolist()
+
+
+def test_frames_of_one_box_are_not_taken_one_by_one(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(detections.OpenClusters, "take_one", None)
+    table = pa.table({"title_id": np.repeat(np.arange(30), 40), "frame_idx": np.tile(np.arange(40), 30), "box_no": np.zeros(1200, int), **{c: np.full(1200, v) for c, v in (("x1", 0.0), ("y1", 0.0), ("x2", 9.0), ("y2", 9.0))}})
+    (made,) = detections.track_sorted(table.to_batches(), ("title_id",), 0.3, 0.2)
+    assert made.num_rows == 1200 and set(made["own"].to_pylist()) == {0}
+
+
+def test_tracking_makes_no_group_a_title(spark):
+    frame = spark.createDataFrame([(None if t == 2 else t, f, 0, 1.0 * f, 0.0, f + 9.0, 9.0, None) for t in range(3) for f in range(5)], "title_id long, frame_idx long, box_no long, x1 double, y1 double, x2 double, y2 double, motion double")
+    made = detections.cluster_detections(frame)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan and "Join" not in plan
+    assert made.count() == 15 and made.schema["cluster_id"].dataType.simpleString() == "int"
+
+
 def test_cuts_are_folded_once(spark):
     """A filter that Spark makes from the rows' array would fold the words again."""
     rows = [(1, i, "word", i * 0.4, i * 0.4 + 0.35) for i in range(60)]
